@@ -29,7 +29,13 @@ from orderflow.functions.quality import split_valid
 from orderflow.operators import metrics
 from orderflow.operators.explore import facet_values, filter_transactions, recent_transactions
 from orderflow.operators.windows import as_interval, orders_in_last_minute, windowed_orders
-from orderflow.plans.rollup import TEXT_DIMENSIONS, all_metrics, metrics_snapshot
+from orderflow.plans.rollup import (
+    TEXT_DIMENSIONS,
+    all_metrics,
+    metrics_snapshot,
+    snapshot_rows,
+    state_of,
+)
 from orderflow.plans.snapshot import (
     pipeline_status,
     read_snapshot_rows,
@@ -209,11 +215,9 @@ def _through_files(fmt: str) -> Query:
 
 def _line_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """All metrics of the order lines. The joins run once, into a staged table."""
-    columns = [*TEXT_DIMENSIONS, "timestamp", "total_amount"]
     lines = validate_columns(line_transactions(apply_settings(spark), folder))
-    rows = staged(lines.select(*columns), "lines")
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in lines.schema if f.name not in columns]
-    return zoneless(metrics_snapshot(rows.select("*", *missing)))
+    rows = staged(lines.select(*TEXT_DIMENSIONS, "timestamp", "total_amount"), "lines")
+    return zoneless(snapshot_rows(state_of(rows)))
 
 
 def _metric_table(name: str) -> Callable[[DataFrame], DataFrame]:

@@ -19,9 +19,12 @@ def parse_transactions(df: DataFrame, keep_message: bool = False) -> DataFrame:
     the text as ``message`` so that a refused row can be looked at later.
     """
     text = F.col("value").cast("string")
-    parsed = df.select(text.alias("message"), F.from_json(text, RAW_SCHEMA).alias("record"))
-    columns = ["record.*", "message"] if keep_message else ["record.*"]
-    return parsed.select(*columns)
+    # As a generator of one row each, the parser runs once per message. As a
+    # plain column Spark repeats it for every use of a field in later filters.
+    record = F.inline(F.array(F.from_json(text, RAW_SCHEMA)))
+    if keep_message:
+        return df.select(text.alias("message"), record)
+    return df.select(record)
 
 
 def event_time(text: Column) -> Column:

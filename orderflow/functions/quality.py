@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,46 +16,49 @@ DISCOUNT_RANGE = (0.0, 100.0)
 MALFORMED = "malformed_message"
 
 
-def _not_a_number(name: str) -> Column:
-    value = F.col(name)
-    return value.isNull() | value.cast("double").isin(
-        float("nan"), float("inf"), float("-inf")
-    )
+def _no_number(name: str) -> Column:
+    value = F.col(name).cast("double")
+    return value.isNull() | value.isin(float("nan"), float("inf"), float("-inf"))
+
+
+def _holds(condition: Column) -> Column:
+    """The condition, false where a null leaves it open."""
+    return F.coalesce(condition, F.lit(False))
 
 
 def _rules() -> dict[str, Column]:
     """Reason code of each rule and the condition under which a row breaks it."""
     low, high = DISCOUNT_RANGE
+    discount = F.col("discount_percent")
     return {
         "missing_order_id": F.coalesce(F.trim("order_id"), F.lit("")) == "",
         "bad_timestamp": F.col("timestamp").isNull(),
-        "bad_quantity": _not_a_number("quantity"),
-        "negative_quantity": F.col("quantity") < 0,
-        "bad_unit_price": _not_a_number("unit_price"),
-        "negative_unit_price": F.col("unit_price") < 0,
-        "bad_discount": _not_a_number("discount_percent"),
-        "discount_out_of_range": ~F.col("discount_percent").between(low, high)
-        & ~_not_a_number("discount_percent"),
+        "bad_quantity": _no_number("quantity"),
+        "negative_quantity": _holds(F.col("quantity") < 0),
+        "bad_unit_price": _no_number("unit_price"),
+        "negative_unit_price": _holds(F.col("unit_price") < 0),
+        "bad_discount": _no_number("discount_percent"),
+        "discount_out_of_range": _holds(~discount.between(low, high))
+        & ~_no_number("discount_percent"),
     }
 
 
-def with_reasons(df: DataFrame) -> DataFrame:
-    """Add ``reasons``, the codes of the rules a processed row breaks (empty if none).
+def is_valid() -> Column:
+    """Whether a processed row breaks no rule; never null."""
+    return ~reduce(or_, _rules().values())
+
+
+def reasons() -> Column:
+    """Codes of the rules a processed row breaks, as an array.
 
     A row without a single field came from a message that could not be read
     at all; it gets that one reason instead of one per field.
     """
     nothing_read = F.coalesce(*[F.col(name).cast("string") for name in RAW_SCHEMA.names]).isNull()
-    broken = F.array_compact(
-        F.array(*[F.when(condition, F.lit(code)) for code, condition in _rules().items()])
-    )
-    return df.withColumn(
-        "reasons", F.when(nothing_read, F.array(F.lit(MALFORMED))).otherwise(broken)
-    )
+    broken = F.concat_ws(",", *[F.when(rule, F.lit(code)) for code, rule in _rules().items()])
+    return F.when(nothing_read, F.array(F.lit(MALFORMED))).otherwise(F.split(broken, ","))
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows in their own columns, and quarantined rows with ``reasons``."""
-    judged = with_reasons(df)
-    valid = judged.where(F.size("reasons") == 0).drop("reasons")
-    return valid, judged.where(F.size("reasons") > 0)
+    """Valid rows as they are, and the refused rows with their ``reasons``."""
+    return df.where(is_valid()), df.where(~is_valid()).withColumn("reasons", reasons())

@@ -7,6 +7,7 @@ documents, single JSON objects with five numbers and five lists, are read too.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -115,7 +116,13 @@ def _item_number(field: str, kind: str) -> Column:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Snapshot documents as ``text`` and ``document``, null where it is no JSON."""
+    """A snapshot document as ``text`` and ``document``, null where it is no JSON.
+
+    No row where there is no file.
+    """
+    if not path_exists(spark, path):
+        text = spark.createDataFrame([], "text string, computed_at timestamp")
+        return text.withColumn("document", F.try_parse_json("text"))
     text = spark.read.text(path, wholetext=True).select(
         F.btrim("value", F.lit(" \t\r\n")).alias("text"),
         F.col("_metadata.file_modification_time").alias("computed_at"),
@@ -177,6 +184,17 @@ def document_freshness(documents: DataFrame) -> DataFrame:
     )
 
 
+def read_freshness(spark: SparkSession, path: str) -> DataFrame:
+    """Freshness row of the snapshot stored at ``path``, with the error if it is unreadable."""
+    schema = "total_orders bigint, computed_at timestamp, error string"
+    try:
+        found = snapshot_freshness(read_snapshot_rows(spark, path)).first()
+    except PySparkException as problem:
+        reason = str(problem).splitlines()[0]
+        found = (0, None, f"Error reading analytics output: {reason}")
+    return spark.createDataFrame([tuple(found)], schema)
+
+
 def pipeline_status(freshness: DataFrame, now: Column, stale_seconds: int = 60) -> DataFrame:
     """Whether the pipeline behind a snapshot is live, from its freshness row.
 

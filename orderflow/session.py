@@ -73,6 +73,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below ``path``, nothing where it does not exist."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove ``path`` and what is below it; a missing path is fine."""
     hadoop_path, file_system = _hadoop_path(spark, path)

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from orderflow.functions.display import DISPLAY_SOURCES, to_display
 from orderflow.schema import RAW_SCHEMA
+from orderflow.session import path_exists
 
 # Keys of a JSON object that wraps a list of transactions, in
 # the order they are tried.
@@ -87,3 +89,46 @@ def read_transactions_files(
     if fmt in ("json", "ndjson"):
         return _read_json(spark, path, streaming, fmt == "json", options)
     raise ValueError(f"unknown transaction file format: {fmt!r}")
+
+
+def _recent_json(spark: SparkSession, path: str) -> DataFrame:
+    """Items of whole-file JSON with their position, fields as text under any known name."""
+    whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("whole"))
+
+    def items(inner: str) -> Column:
+        return F.try_variant_get("whole", inner, "array<variant>")
+
+    lists = [F.when(F.size(items(f"$.{key}")) > 0, items(f"$.{key}")) for key in WRAPPER_KEYS]
+    found = F.coalesce(items("$"), *lists, F.array("whole"))
+    names = sorted({name for group in DISPLAY_SOURCES.values() for name in group})
+    return whole.select(F.posexplode(found).alias("position", "item")).select(
+        F.col("position").alias("place"),
+        *[F.try_variant_get("item", f"$.{name}", "string").alias(name) for name in names],
+    )
+
+
+def recent_from_file(
+    spark: SparkSession, path: str, fmt: str = "json", n: int = 20
+) -> DataFrame:
+    """The last ``n`` transactions of a file in display columns, last one first.
+
+    Takes the formats of ``read_transactions_files`` and every field name the
+    display knows. No rows where there is no file.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], to_display(spark.range(0)).schema)
+    if fmt == "json":
+        rows = _recent_json(spark, path)
+    else:
+        # Rows of one file block come in order, blocks go by their offset.
+        place = F.struct(
+            F.col("_metadata.file_path"),
+            F.col("_metadata.file_block_start"),
+            F.monotonically_increasing_id(),
+        )
+        if fmt == "csv":
+            rows = spark.read.options(header=True, escape='"').csv(path)
+        else:
+            rows = spark.read.json(path, primitivesAsString=True)
+        rows = rows.select("*", place.alias("place"))
+    return to_display(rows.orderBy(F.col("place").desc()).limit(n))

@@ -7,6 +7,8 @@ Below one root folder, each with one folder per micro-batch:
 ``snapshot``      the metrics that follow from the state
 ``recent``        the latest transactions so far
 ``versions``      one row per finished batch, written last
+``archive``       transactions of many old batches in fewer, larger files
+``archives``      one row per finished archive folder, written after it
 
 A version record makes a batch visible. All else is written before it and
 overwritten when a batch is run again, so a crash at any point leaves the last
@@ -23,12 +25,12 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from orderflow.functions.quality import with_reasons
+from orderflow.functions.quality import is_valid, reasons
 from orderflow.operators.explore import latest
 from orderflow.plans.rollup import MARGIN_COLUMNS, merge_states, snapshot_rows, state_of
 from orderflow.plans.snapshot import empty_snapshot, read_snapshot_rows, write_snapshot
 from orderflow.schema import PROCESSED_SCHEMA
-from orderflow.session import delete_path, path_exists
+from orderflow.session import child_names, delete_path, path_exists
 
 _BATCH = StructField("batch_id", LongType())
 TRANSACTION_SCHEMA = StructType(
@@ -40,6 +42,14 @@ TRANSACTION_SCHEMA = StructType(
         StructField("accepted", BooleanType()),
     ]
 )
+ARCHIVE_SCHEMA = StructType(
+    [
+        StructField("arrived_in", LongType()),
+        *[field for field in TRANSACTION_SCHEMA if field.name != "batch_id"],
+        StructField("upto", LongType()),
+    ]
+)
+ARCHIVES_SCHEMA = StructType([StructField("rows_from", LongType()), _BATCH])
 RECENT_SCHEMA = StructType([StructField("arrived_in", LongType()), *PROCESSED_SCHEMA, _BATCH])
 STATE_SCHEMA = (
     StructType()
@@ -60,22 +70,17 @@ VERSION_SCHEMA = (
 
 
 def judged(df: DataFrame, validate: bool = True) -> DataFrame:
-    """Processed rows with ``message``, ``reasons`` and whether they are ``accepted``.
+    """Processed rows and whether they are ``accepted``; refused ones with their why.
 
     Without validation every row is accepted, as in a pipeline that has no
     row rules.
     """
     rows = df if "message" in df.columns else df.withColumn("message", F.lit(None).cast("string"))
-    if validate:
-        rows = with_reasons(rows)
-    else:
-        rows = rows.withColumn("reasons", F.array().cast("array<string>"))
-    accepted = F.size("reasons") == 0
+    accepted = is_valid() if validate else F.lit(True)
     return rows.select(
         *PROCESSED_SCHEMA.fieldNames(),
-        # The text is only needed to look into refused rows.
         F.when(~accepted, F.col("message")).alias("message"),
-        "reasons",
+        F.when(~accepted, reasons()).alias("reasons"),
         accepted.alias("accepted"),
     )
 
@@ -133,7 +138,21 @@ class TransactionStore:
     def _finished_transactions(self) -> DataFrame:
         newest = self.newest()
         bound = -1 if newest is None else newest["batch_id"]
-        return self._read("transactions", TRANSACTION_SCHEMA).where(F.col("batch_id") <= bound)
+        archived = self.archived_upto()
+        rows = self._read("transactions", TRANSACTION_SCHEMA).where(
+            (F.col("batch_id") > archived) & (F.col("batch_id") <= bound)
+        )
+        if archived < 0:
+            return rows
+        old = self._read("archive", ARCHIVE_SCHEMA).where(F.col("upto") <= archived)
+        return rows.unionByName(
+            old.withColumnRenamed("arrived_in", "batch_id").select(*TRANSACTION_SCHEMA.names)
+        )
+
+    def archived_upto(self) -> int:
+        """The last batch whose transactions are in the archive, -1 if there is none."""
+        record = self._read("archives", ARCHIVES_SCHEMA).orderBy(F.col("batch_id").desc()).first()
+        return -1 if record is None else record["batch_id"]
 
     def history(self) -> DataFrame:
         """All accepted transactions of finished batches, with their ``batch_id``."""
@@ -217,6 +236,47 @@ class TransactionStore:
         self._forget_before(batch_id, keep)
         return True
 
+    def compact(self, leave: int = 100) -> bool:
+        """Move all but the newest ``leave`` batches into one archive folder.
+
+        Many small files of many batches become few that are clustered by time,
+        so that time filters skip most of them. Each transaction moves once. The
+        order id in the clustering splits a moment that holds most of the rows.
+        Readers take the archive as soon as its record is there;
+        ``drop_archived`` then removes the old folders.
+        """
+        newest, archived = self.newest(), self.archived_upto()
+        upto = -1 if newest is None else newest["batch_id"] - leave
+        if upto <= archived:
+            return False
+        rows = self._read("transactions", TRANSACTION_SCHEMA).where(
+            (F.col("batch_id") > archived) & (F.col("batch_id") <= upto)
+        )
+        (
+            rows.withColumnRenamed("batch_id", "arrived_in")
+            .repartitionByRange("accepted", "timestamp", "order_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("accepted")
+            .parquet(f"{self.path('archive')}/upto={upto}")
+        )
+        record = self.spark.range(1).select(F.lit(archived + 1).cast("bigint").alias("rows_from"))
+        self._write(record, "archives", upto)
+        return True
+
+    def drop_archived(self) -> int:
+        """Delete the batch folders that are in the archive; returns how many.
+
+        Call it when no reader can still be on a plan from before the archive.
+        """
+        archived, dropped = self.archived_upto(), 0
+        for name in child_names(self.spark, self.path("transactions")):
+            kind, _, number = name.partition("=")
+            if kind == "batch_id" and int(number) <= archived:
+                delete_path(self.spark, self._folder("transactions", int(number)))
+                dropped += 1
+        return dropped
+
     def _forget_before(self, batch_id: int, keep: int) -> None:
         """Drop all but the newest ``keep`` versions; transactions are never dropped."""
         versions = self._read("versions", VERSION_SCHEMA).select("batch_id")
