@@ -50,12 +50,12 @@ def with_total_amount(df: DataFrame) -> DataFrame:
     )
 
 
-def process(df: DataFrame) -> DataFrame:
-    """Messages in ``value`` to processed transactions, plus their ``message`` text."""
-    return with_total_amount(with_event_time(parse_transactions(df, keep_message=True)))
-
-
 def process_records(df: DataFrame) -> DataFrame:
-    """Raw records, as the file readers give them, to processed transactions."""
+    """Raw records to processed transactions, keeping their ``message`` if they have one."""
     extra = [name for name in ("message",) if name in df.columns]
     return with_total_amount(with_event_time(df)).select(*PROCESSED_SCHEMA.fieldNames(), *extra)
+
+
+def process(df: DataFrame) -> DataFrame:
+    """Messages in ``value`` to processed transactions with their ``message``."""
+    return process_records(parse_transactions(df, keep_message=True))

@@ -2,50 +2,42 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.schema import RAW_SCHEMA
 
 # The sensible range of a discount, in percent.
-DISCOUNT_RANGE = (0.0, 100.0)
+DISCOUNT_RANGE = (0, 100)
 
 MALFORMED = "malformed_message"
 
 
-def _no_number(name: str) -> Column:
-    value = F.col(name).cast("double")
-    return value.isNull() | value.isin(float("nan"), float("inf"), float("-inf"))
-
-
-def _holds(condition: Column) -> Column:
-    """The condition, false where a null leaves it open."""
-    return F.coalesce(condition, F.lit(False))
+def _number(column: str) -> str:
+    """SQL test for a finite number; Spark holds NaN to be above infinity."""
+    return f"coalesce(abs({column}) < double('infinity'), false)"
 
 
-def _rules() -> dict[str, Column]:
-    """Reason code of each rule and the condition under which a row breaks it."""
-    low, high = DISCOUNT_RANGE
-    discount = F.col("discount_percent")
-    return {
-        "missing_order_id": F.coalesce(F.trim("order_id"), F.lit("")) == "",
-        "bad_timestamp": F.col("timestamp").isNull(),
-        "bad_quantity": _no_number("quantity"),
-        "negative_quantity": _holds(F.col("quantity") < 0),
-        "bad_unit_price": _no_number("unit_price"),
-        "negative_unit_price": _holds(F.col("unit_price") < 0),
-        "bad_discount": _no_number("discount_percent"),
-        "discount_out_of_range": _holds(~discount.between(low, high))
-        & ~_no_number("discount_percent"),
-    }
+# Reason code of each rule and the SQL condition under which a row breaks it.
+# The conditions are never null.
+RULES = {
+    "missing_order_id": "coalesce(trim(order_id), '') = ''",
+    "bad_timestamp": "timestamp IS NULL",
+    "bad_quantity": "quantity IS NULL",
+    "negative_quantity": "coalesce(quantity < 0, false)",
+    "bad_unit_price": f"NOT {_number('unit_price')}",
+    "negative_unit_price": f"{_number('unit_price')} AND unit_price < 0",
+    "bad_discount": f"NOT {_number('discount_percent')}",
+    "discount_out_of_range": (
+        f"{_number('discount_percent')} AND discount_percent "
+        f"NOT BETWEEN {DISCOUNT_RANGE[0]} AND {DISCOUNT_RANGE[1]}"
+    ),
+}
 
 
 def is_valid() -> Column:
     """Whether a processed row breaks no rule; never null."""
-    return ~reduce(or_, _rules().values())
+    return F.expr(f"NOT ({' OR '.join(f'({rule})' for rule in RULES.values())})")
 
 
 def reasons() -> Column:
@@ -54,9 +46,11 @@ def reasons() -> Column:
     A row without a single field came from a message that could not be read
     at all; it gets that one reason instead of one per field.
     """
-    nothing_read = F.coalesce(*[F.col(name).cast("string") for name in RAW_SCHEMA.names]).isNull()
-    broken = F.concat_ws(",", *[F.when(rule, F.lit(code)) for code, rule in _rules().items()])
-    return F.when(nothing_read, F.array(F.lit(MALFORMED))).otherwise(F.split(broken, ","))
+    fields = ", ".join(f"CAST({name} AS STRING)" for name in RAW_SCHEMA.names)
+    codes = ", ".join(f"IF({rule}, '{code}', NULL)" for code, rule in RULES.items())
+    return F.expr(
+        f"IF(coalesce({fields}) IS NULL, array('{MALFORMED}'), split(concat_ws(',', {codes}), ','))"
+    )
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -21,8 +21,7 @@ def duration_seconds(duration: str) -> int:
 
 def as_interval(duration: str) -> Column:
     """A duration text as an interval to add to or take from a time."""
-    days, seconds = divmod(duration_seconds(duration), UNIT_SECONDS["day"])
-    return F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), F.lit(float(seconds)))
+    return F.expr(f"INTERVAL '{duration_seconds(duration)}' SECOND")
 
 
 def _bounds(df: DataFrame) -> DataFrame:

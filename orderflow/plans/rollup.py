@@ -10,7 +10,7 @@ rows costs no more than any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.operators.windows import as_interval, last_span
@@ -61,13 +61,14 @@ def margins(df: DataFrame) -> DataFrame:
     # A bit is set for each dimension a row is not grouped by, first one highest;
     # only this tells a null value from a dimension left out.
     everything = 2 ** len(dimensions) - 1
-    dimension = F.lit(None).cast("string")
-    for place, name in enumerate(reversed(dimensions)):
-        dimension = F.when(F.col("left_out") == everything - 2**place, name).otherwise(dimension)
-    return grouped.select(
-        dimension.alias("dimension"),
-        F.coalesce(*TEXT_DIMENSIONS).alias("key"),
-        F.col(MINUTE).alias("time"),
+    places = " ".join(
+        f"WHEN {everything - 2**place} THEN '{name}'"
+        for place, name in enumerate(reversed(dimensions))
+    )
+    return grouped.selectExpr(
+        f"CASE left_out {places} END AS dimension",
+        f"coalesce({', '.join(TEXT_DIMENSIONS)}) AS key",
+        f"{MINUTE} AS time",
         "order_count",
         "amount",
     )
@@ -84,12 +85,12 @@ def tail(df: DataFrame, span: str = "1 minute") -> DataFrame:
         last_span(df.select("timestamp"), span)
         .groupBy(F.col("timestamp").cast("timestamp").alias("timestamp"))
         .agg(F.count("*").alias("order_count"))
-        .select(
-            F.lit(TAIL).alias("dimension"),
-            F.lit(None).cast("string").alias("key"),
-            F.col("timestamp").alias("time"),
+        .selectExpr(
+            f"'{TAIL}' AS dimension",
+            "CAST(NULL AS STRING) AS key",
+            "timestamp AS time",
             "order_count",
-            F.lit(None).cast("double").alias("amount"),
+            "CAST(NULL AS DOUBLE) AS amount",
         )
     )
 
@@ -115,75 +116,64 @@ def merge_states(first: DataFrame, second: DataFrame, span: str = "1 minute") ->
 
 def _entry(
     metric: str,
-    key: Column | None = None,
-    window: tuple[Column, Column] | None = None,
-    order_count: Column | None = None,
-    revenue: Column | None = None,
-) -> Column:
-    """What one state row adds to one metric."""
-    start, end = window or (None, None)
-    typed = (
-        (F.lit(metric), "string", "metric"),
-        (key, "string", "key"),
-        (start, "timestamp", "window_start"),
-        (end, "timestamp", "window_end"),
-        (order_count, "bigint", "order_count"),
-        (revenue, "double", "revenue"),
-    )
-    return F.struct(
-        *[
-            (F.lit(None) if column is None else column).cast(kind).alias(name)
-            for column, kind, name in typed
-        ]
+    key: str = "NULL",
+    start: str = "NULL",
+    end: str = "NULL",
+    order_count: str = "NULL",
+    revenue: str = "NULL",
+) -> str:
+    """SQL for what one state row adds to one metric."""
+    return (
+        f"struct('{metric}' AS metric, CAST({key} AS STRING) AS key, "
+        f"CAST({start} AS TIMESTAMP) AS window_start, CAST({end} AS TIMESTAMP) AS window_end, "
+        f"CAST({order_count} AS BIGINT) AS order_count, CAST({revenue} AS DOUBLE) AS revenue)"
     )
 
 
-def _entries() -> Column:
-    """The metric entries of a state row, as an array by its dimension."""
-    key, time = F.col("key"), F.col("time")
-    count, amount = F.col("order_count"), F.col("amount")
-
-    per_status = F.array(
-        _entry("order_status_distribution", key=key, order_count=count),
-        _entry("total_orders", order_count=count),
-        _entry("completed_orders", order_count=F.when(key == COMPLETED, count)),
-        _entry("returned_orders", order_count=F.when(key == RETURNED, count)),
-        _entry("completed_revenue", revenue=F.when(key == COMPLETED, amount)),
-    )
-    per_minute = F.array(
+def _if_status(status: str, value: str) -> str:
+    return f"IF(key = '{status}', {value}, NULL)"
+
+
+# The entries of a state row, by its dimension.
+_ENTRIES = {
+    "category": [_entry("revenue_by_category", key="key", revenue="amount")],
+    "city": [_entry("orders_by_city", key="key", order_count="order_count")],
+    "payment_method": [
+        _entry("payment_method_distribution", key="key", order_count="order_count")
+    ],
+    "order_status": [
+        _entry("order_status_distribution", key="key", order_count="order_count"),
+        _entry("total_orders", order_count="order_count"),
+        _entry("completed_orders", order_count=_if_status(COMPLETED, "order_count")),
+        _entry("returned_orders", order_count=_if_status(RETURNED, "order_count")),
+        _entry("completed_revenue", revenue=_if_status(COMPLETED, "amount")),
+    ],
+    MINUTE: [
         _entry(
             WINDOWED_METRIC,
-            window=(time, time + as_interval("1 minute")),
-            order_count=count,
-        )
-    )
-    dimension = F.col("dimension")
-    return (
-        F.when(dimension == "order_status", per_status)
-        .when(
-            dimension == "category", F.array(_entry("revenue_by_category", key=key, revenue=amount))
+            start="time",
+            end="time + INTERVAL '1' MINUTE",
+            order_count="order_count",
         )
-        .when(dimension == "city", F.array(_entry("orders_by_city", key=key, order_count=count)))
-        .when(
-            dimension == "payment_method",
-            F.array(_entry("payment_method_distribution", key=key, order_count=count)),
-        )
-        .when((dimension == MINUTE) & time.isNotNull(), per_minute)
-        .when(dimension == TAIL, F.array(_entry("orders_in_last_minute", order_count=count)))
-    )
+    ],
+    TAIL: [_entry("orders_in_last_minute", order_count="order_count")],
+}
 
+# One zero per scalar metric, so that an empty input has them all.
+_ZEROS = [
+    _entry(metric, revenue="0") if metric in REVENUE_METRICS else _entry(metric, order_count="0")
+    for metric in SCALAR_METRICS
+]
 
-def _zero_entries(state: DataFrame) -> DataFrame:
-    """One zero row per scalar metric, so that an empty input has them all."""
-    zeros = [
-        _entry(
-            metric,
-            order_count=None if metric in REVENUE_METRICS else F.lit(0),
-            revenue=F.lit(0.0) if metric in REVENUE_METRICS else None,
-        )
-        for metric in SCALAR_METRICS
-    ]
-    return state.sparkSession.range(1).select(F.inline(F.array(*zeros)))
+
+def _entries_of(state: DataFrame) -> DataFrame:
+    """Every state row as its entries. Rows without a time belong to no window."""
+    cases = " ".join(
+        f"WHEN '{dimension}' THEN array({', '.join(entries)})"
+        for dimension, entries in _ENTRIES.items()
+    )
+    rows = state.where(f"dimension <> '{MINUTE}' OR time IS NOT NULL")
+    return rows.selectExpr(f"inline(CASE dimension {cases} END)")
 
 
 def snapshot_rows(state: DataFrame) -> DataFrame:
@@ -192,7 +182,8 @@ def snapshot_rows(state: DataFrame) -> DataFrame:
     Scalars have neither key nor window; windows have no key. A metric fills
     either ``order_count`` or ``revenue``.
     """
-    entries = state.select(F.inline(_entries())).unionByName(_zero_entries(state))
+    zeros = state.sparkSession.range(1).selectExpr(f"inline(array({', '.join(_ZEROS)}))")
+    entries = _entries_of(state).unionByName(zeros)
     return (
         entries.groupBy("metric", "key", "window_start", "window_end")
         .agg(

@@ -7,6 +7,7 @@ documents, single JSON objects with five numbers and five lists, are read too.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,8 +190,8 @@ def read_freshness(spark: SparkSession, path: str) -> DataFrame:
     schema = "total_orders bigint, computed_at timestamp, error string"
     try:
         found = snapshot_freshness(read_snapshot_rows(spark, path)).first()
-    except PySparkException as problem:
-        reason = str(problem).splitlines()[0]
+    except (PySparkException, Py4JJavaError) as problem:
+        reason = str(getattr(problem, "java_exception", problem)).splitlines()[0]
         found = (0, None, f"Error reading analytics output: {reason}")
     return spark.createDataFrame([tuple(found)], schema)
 

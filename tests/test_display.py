@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderflow.functions.display import (
+    DISPLAY_SOURCES,
+    WHITESPACE,
+    currency_text,
+    integer_text,
+    status_label,
+    to_display,
+    with_display_formats,
+)
+from orderflow.operators.explore import facet_values, filter_transactions, recent_transactions
+
+
+def text_of(spark, function, value, kind):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(function(F.col("v"))).first()[0]
+
+
+@pytest.mark.parametrize(
+    "value, kind, expected",
+    [
+        (1234.5, "double", "₹1,234.50"), (0, "int", "₹0.00"), (None, "double", "₹0.00"),
+        ("invalid", "string", "₹0.00"), ("12.5", "string", "₹12.50"), (" 7 ", "string", "₹7.00"),
+        ("1e3", "string", "₹1,000.00"), ("12d", "string", "₹0.00"), ("3f", "string", "₹0.00"),
+        (-1234.5, "double", "₹-1,234.50"), (0.125, "double", "₹0.12"), (1e15, "double", "₹1,000,000,000,000,000.00"),
+    ],
+)
+def test_currency(spark, value, kind, expected):
+    assert text_of(spark, currency_text, value, kind) == expected
+
+
+@pytest.mark.parametrize(
+    "value, kind, expected",
+    [
+        (1234567, "int", "1,234,567"), (0, "int", "0"), (None, "int", "0"), (2.9, "double", "2"),
+        ("12", "string", "12"), ("2.9", "string", "0"), ("x", "string", "0"),
+        (float("nan"), "double", "0"), (-1234, "bigint", "-1,234"),
+    ],
+)
+def test_integer(spark, value, kind, expected):
+    assert text_of(spark, integer_text, value, kind) == expected
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ("Completed", "✅ Completed"), (" returned\n", "↩️ Returned"), ("CANCELLED", "❌ Cancelled"),
+        (" completed ", "✅ Completed"), (None, "Unknown"), ("", "Unknown"), ("  ", ""),
+        (" Pending ", "Pending"),
+    ],
+)
+def test_status_label(spark, value, expected):
+    assert text_of(spark, status_label, value, "string") == expected
+
+
+def test_whitespace_is_what_unicode_says():
+    assert len(WHITESPACE) == 29 and WHITESPACE.strip() == ""
+
+
+def test_formats_of_a_frame(spark):
+    shown = spark.createDataFrame([(1.5, 2000, 3)], "Amount double, n int, Status int")
+    row = with_display_formats(shown, integers=("n",)).first()
+    assert tuple(row) == ("₹1.50", "2,000", "Unknown")
+    only = spark.createDataFrame([(1,)], "other int")
+    assert with_display_formats(only).columns == ["other"]
+
+
+def test_display_of_processed_rows_takes_the_telling_columns(spark, six):
+    shown = to_display(six.orderBy("order_id"))
+    assert shown.columns == list(DISPLAY_SOURCES)
+    first = shown.first()
+    assert tuple(first) == ("ORD1001", "Notebook", "Books", 192.0, "Erode", "Returned")
+
+
+def test_display_of_other_names_and_gaps(spark):
+    other = spark.createDataFrame(
+        [("7", "Pen", "3.5", None), ("8", None, "bad", "Open")],
+        "orderId string, product string, amount string, status string",
+    )
+    assert [tuple(row) for row in to_display(other).collect()] == [
+        ("7", "Pen", "—", 3.5, "—", "—"),
+        ("8", "—", "—", 0.0, "—", "Open"),
+    ]
+    nan = spark.createDataFrame([(float("nan"), "P1")], "unit_price double, product_id string")
+    assert tuple(to_display(nan).first()) == ("—", "P1", "—", 0.0, "—", "—")
+    assert to_display(to_display(other)).collect() == to_display(other).collect()
+
+
+def ids(df):
+    return sorted(row[0] for row in df.select(df.columns[0]).collect())
+
+
+def test_filters(six):
+    assert len(ids(filter_transactions(six))) == 6
+    assert len(ids(filter_transactions(six, status="All", city="All", search="  "))) == 6
+    assert ids(filter_transactions(six, status="Completed", city="Salem")) == ["ORD1002", "ORD1004"]
+    assert ids(filter_transactions(six, status="completed")) == []
+    assert ids(filter_transactions(six, search=" BAT ")) == ["ORD1002"]
+    assert ids(filter_transactions(six, search="1003")) == ["ORD1003"]
+    assert ids(filter_transactions(six, status="Completed", search="o")) == [
+        "ORD1002", "ORD1003", "ORD1004", "ORD1005"]
+
+
+def test_search_is_plain_text_unless_asked(six):
+    assert ids(filter_transactions(six, search="a(")) == []
+    assert ids(filter_transactions(six, search="100[12]")) == []
+    assert ids(filter_transactions(six, search="100[12]", regex=True)) == ["ORD1001", "ORD1002"]
+
+
+def test_filters_on_display_frames(spark, six):
+    shown = to_display(six)
+    assert ids(filter_transactions(shown, status="Returned")) == ["ORD1001"]
+    assert ids(filter_transactions(shown, city="Salem", search="cookware")) == ["ORD1004"]
+    gaps = spark.createDataFrame([("1", None), ("2", "X")], "order_id string, city string")
+    assert ids(filter_transactions(gaps, city="—")) == ["1"]
+    assert ids(filter_transactions(gaps, status="—")) == ["1", "2"]
+    assert ids(filter_transactions(gaps, status="Completed")) == []
+
+
+def test_facets(spark, six):
+    assert [r[0] for r in facet_values(six, "city").collect()] == [
+        "Chennai", "Erode", "Madurai", "Salem", "Trichy"]
+    gaps = spark.createDataFrame([(None,), ("a",), ("B",), ("a",)], "city string")
+    assert [r[0] for r in facet_values(gaps, "city").collect()] == ["B", "a", "—"]
+
+
+def test_recent(six):
+    shown = recent_transactions(six, 3).collect()
+    assert [row["Order ID"] for row in shown] == ["ORD1006", "ORD1005", "ORD1004"]
+    assert recent_transactions(six).count() == 6

@@ -1,0 +1,123 @@
+"""What the plans look like and what the package leaves to Spark."""
+
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
+import pytest
+from conftest import frame, order
+
+from orderflow import session
+from orderflow.functions.parse import process
+from orderflow.functions.quality import split_valid
+from orderflow.operators import metrics
+from orderflow.operators.explore import filter_transactions, latest
+from orderflow.operators.windows import orders_in_last_minute, windowed_orders
+from orderflow.plans.rollup import margins
+
+PACKAGE = Path(session.__file__).parent
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("stored") / "t")
+    frame(spark, [order(f"O{n}") for n in range(10)]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_margins_read_the_input_once(stored):
+    text = plan(margins(stored))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    assert "partial_count" in text and "partial_sum" in text
+    assert "order_id" not in re.search(r"ReadSchema: (.*)", text)[1]
+
+
+def test_scalars_read_their_columns_only(stored):
+    schema = re.search(r"ReadSchema: (.*)", plan(metrics.kpis(stored)))[1]
+    assert schema.startswith("struct<order_status:string,total_amount:double>")
+    assert "struct<>" in plan(metrics.total_orders(stored))
+
+
+def test_filters_reach_the_scan(stored):
+    text = plan(filter_transactions(stored, status="Returned", city="Salem", search="x"))
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", text)[1]
+    assert "EqualTo(order_status,Returned)" in pushed and "EqualTo(city,Salem)" in pushed
+
+
+def test_last_minute_bound_reaches_the_scan(stored):
+    assert "GreaterThanOrEqual(timestamp,ScalarSubquery" in plan_formatted(orders_in_last_minute(stored))
+
+
+def plan_formatted(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_sliding_windows_copy_counts_not_rows(stored):
+    text = plan(windowed_orders(stored, "1 hour", "1 minute"))
+    assert text.index("Expand") < text.index("partial_count")
+    assert text.count("FileScan") == 1
+
+
+def test_latest_keeps_a_top_list_per_task(stored):
+    assert "TakeOrderedAndProject" in plan(latest(stored, 20))
+
+
+def test_a_message_is_parsed_once(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("{}")
+    valid, _ = split_valid(process(spark.read.text(str(tmp_path))))
+    text = plan(metrics.revenue_by_category(valid))
+    assert len(re.findall(r"from_json\(", text)) == 1
+
+
+def sources():
+    return {path: path.read_text() for path in PACKAGE.rglob("*.py")}
+
+
+def test_no_rows_are_collected_and_no_python_functions_run():
+    for path, text in sources().items():
+        for call in ("collect()", "toPandas(", "udf(", "mapInPandas", "applyInPandas", ".rdd",
+                     "localCheckpoint", "crossJoin", "broadcast(", "toArrow("):
+            assert call not in text, f"{call} in {path.name}"
+
+
+def test_driver_gets_single_rows_only():
+    """``first`` and ``toLocalIterator`` serve version records and one freshness row."""
+    allowed = {"store.py": 3, "snapshot.py": 1}
+    for path, text in sources().items():
+        taken = len(re.findall(r"\.first\(\)|\.head\(|\.take\(|toLocalIterator\(", text))
+        assert taken <= allowed.get(path.name, 0), path.name
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    first, second = session.new_folder(spark, "x"), session.new_folder(spark, "x")
+    assert first != second and first.startswith(session.shared_folder(spark))
+
+
+class _Session:
+    """Stands in for a session whose settings name no shared folder."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+        self.conf = self
+        self.sparkContext = self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_local_sessions_fall_back_to_a_temporary_folder():
+    assert session.shared_folder(_Session("local[2]")).startswith("/")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(_Session("spark://host:7077"))
