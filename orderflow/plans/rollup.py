@@ -10,10 +10,10 @@ rows costs no more than any other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.operators.windows import as_interval, last_span
+from orderflow.operators.windows import as_interval
 from orderflow.schema import COMPLETED, RETURNED, validate_columns
 
 # The dimension holding the metric's key, for each metric with a key.
@@ -35,7 +35,7 @@ REVENUE_METRICS = ("completed_revenue", "revenue_by_category")
 
 TEXT_DIMENSIONS = tuple(KEYED_METRICS.values())
 MINUTE = "minute"
-# Rows of this dimension count the event times of the last minute; see ``tail``.
+# Rows of this dimension count the event times of the last minute; see ``state_of``.
 TAIL = "tail"
 
 MARGIN_COLUMNS = ("dimension", "key", "time", "order_count", "amount")
@@ -74,15 +74,10 @@ def margins(df: DataFrame) -> DataFrame:
     )
 
 
-def tail(df: DataFrame, span: str = "1 minute") -> DataFrame:
-    """Rows per distinct event time in the last ``span``, in margin columns.
-
-    Messages carry whole seconds, so a minute has at most 61 of them. Later
-    input only moves the bound forward, which makes the tail all that is
-    needed to carry the last-minute count along.
-    """
+def tail(df: DataFrame, bound: Column) -> DataFrame:
+    """Rows per distinct event time from ``bound`` on, in margin columns."""
     return (
-        last_span(df.select("timestamp"), span)
+        df.where(F.col("timestamp") >= bound)
         .groupBy(F.col("timestamp").cast("timestamp").alias("timestamp"))
         .agg(F.count("*").alias("order_count"))
         .selectExpr(
@@ -95,23 +90,35 @@ def tail(df: DataFrame, span: str = "1 minute") -> DataFrame:
     )
 
 
-def state_of(df: DataFrame, span: str = "1 minute") -> DataFrame:
-    """Everything the metrics of ``df`` follow from, in margin columns."""
-    return margins(df).unionByName(tail(df, span))
-
+def state_of(
+    df: DataFrame, before: DataFrame | None = None, span: str = "1 minute"
+) -> DataFrame:
+    """Everything the metrics of ``df`` follow from, in margin columns.
 
-def merge_states(first: DataFrame, second: DataFrame, span: str = "1 minute") -> DataFrame:
-    """The state of two disjoint inputs together."""
-    both = first.select(*MARGIN_COLUMNS).unionByName(second.select(*MARGIN_COLUMNS))
-    merged = both.groupBy("dimension", "key", "time").agg(
-        F.sum("order_count").alias("order_count"), F.sum("amount").alias("amount")
-    )
-    bound = (
-        both.where(F.col("dimension") == TAIL)
-        .select(F.max("time") - as_interval(span))
-        .scalar()
+    With ``before``, the state of earlier input, both together. Counts and
+    amounts add up. The last-minute count does not, so the state keeps the rows
+    per event time of the last ``span``, its tail: messages carry whole
+    seconds, so a minute has at most 61 of them, and later input only moves
+    the bound forward.
+    """
+    latest = df.select(F.max("timestamp").alias("time"))
+    if before is not None:
+        earlier = before.where(F.col("dimension") == TAIL).select("time")
+        latest = latest.unionByName(earlier)
+    # In the type of the column, so that the comparison reaches the scan.
+    kind = df.schema["timestamp"].dataType
+    bound = latest.select((F.max("time") - as_interval(span)).cast(kind)).scalar()
+
+    state = margins(df).unionByName(tail(df, bound))
+    if before is None:
+        return state
+    kept = before.where((F.col("dimension") != TAIL) | (F.col("time") >= bound))
+    return (
+        kept.select(*MARGIN_COLUMNS)
+        .unionByName(state)
+        .groupBy("dimension", "key", "time")
+        .agg(F.sum("order_count").alias("order_count"), F.sum("amount").alias("amount"))
     )
-    return merged.where((F.col("dimension") != TAIL) | (F.col("time") >= bound))
 
 
 def _entry(

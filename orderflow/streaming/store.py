@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, Stru
 
 from orderflow.functions.quality import is_valid, reasons
 from orderflow.operators.explore import latest
-from orderflow.plans.rollup import MARGIN_COLUMNS, merge_states, snapshot_rows, state_of
+from orderflow.plans.rollup import MARGIN_COLUMNS, snapshot_rows, state_of
 from orderflow.plans.snapshot import empty_snapshot, read_snapshot_rows, write_snapshot
 from orderflow.schema import PROCESSED_SCHEMA
 from orderflow.session import child_names, delete_path, path_exists
@@ -129,6 +129,11 @@ class TransactionStore:
         reader = self.spark.read.schema(schema).option("basePath", self.path(table))
         return reader.parquet(self._folder(table, batch_id))
 
+    def _batch_folders(self, table: str) -> list[int]:
+        """Numbers of the batches a table has a folder for, finished or not."""
+        names = [name.partition("=") for name in child_names(self.spark, self.path(table))]
+        return [int(number) for kind, _, number in names if kind == "batch_id"]
+
     def newest(self) -> Row | None:
         """The version record of the newest finished batch."""
         return self._read("versions", VERSION_SCHEMA).orderBy(F.col("batch_id").desc()).first()
@@ -209,17 +214,18 @@ class TransactionStore:
         stored = append_history(batch_df, batch_id, self.path("transactions"), validate)
         accepted = stored.where(F.col("accepted"))
 
-        state = state_of(accepted)
         arrivals = accepted.select(
             F.col("batch_id").alias("arrived_in"), *PROCESSED_SCHEMA.fieldNames()
         )
+        state_before = None
         if previous is not None:
-            before = previous["batch_id"]
-            state = merge_states(self._read_version("state", STATE_SCHEMA, before), state)
+            version = previous["batch_id"]
+            state_before = self._read_version("state", STATE_SCHEMA, version)
             arrivals = arrivals.unionByName(
-                self._read_version("recent", RECENT_SCHEMA, before).drop("batch_id")
+                self._read_version("recent", RECENT_SCHEMA, version).drop("batch_id")
             )
-        self._write(state.select(*MARGIN_COLUMNS), "state", batch_id)
+        state = state_of(accepted, state_before).select(*MARGIN_COLUMNS)
+        self._write(state, "state", batch_id)
         self._write(_latest_arrivals(arrivals, recent), "recent", batch_id)
 
         now = F.current_timestamp() if computed_at is None else computed_at
@@ -269,23 +275,20 @@ class TransactionStore:
 
         Call it when no reader can still be on a plan from before the archive.
         """
-        archived, dropped = self.archived_upto(), 0
-        for name in child_names(self.spark, self.path("transactions")):
-            kind, _, number = name.partition("=")
-            if kind == "batch_id" and int(number) <= archived:
-                delete_path(self.spark, self._folder("transactions", int(number)))
-                dropped += 1
-        return dropped
+        archived = self.archived_upto()
+        outdated = [n for n in self._batch_folders("transactions") if n <= archived]
+        for number in outdated:
+            delete_path(self.spark, self._folder("transactions", number))
+        return len(outdated)
 
     def _forget_before(self, batch_id: int, keep: int) -> None:
         """Drop all but the newest ``keep`` versions; transactions are never dropped."""
-        versions = self._read("versions", VERSION_SCHEMA).select("batch_id")
-        # Each batch leaves at most one version more than is kept.
-        outdated = versions.orderBy(F.col("batch_id").desc()).offset(keep).limit(100)
-        for row in outdated.toLocalIterator():
-            if row["batch_id"] < batch_id:
-                for table in ("versions", "snapshot", "recent", "state"):
-                    delete_path(self.spark, self._folder(table, row["batch_id"]))
+        numbers = self._batch_folders("versions")
+        outdated = sorted((n for n in numbers if n <= batch_id), reverse=True)[keep:]
+        # The record goes first, so that no reader takes a version that is going.
+        for number in outdated:
+            for table in ("versions", "snapshot", "recent", "state"):
+                delete_path(self.spark, self._folder(table, number))
 
 
 def _latest_arrivals(rows: DataFrame, n: int) -> DataFrame:

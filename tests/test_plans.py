@@ -86,8 +86,8 @@ def test_no_rows_are_collected_and_no_python_functions_run():
 
 
 def test_driver_gets_single_rows_only():
-    """``first`` and ``toLocalIterator`` serve version records and one freshness row."""
-    allowed = {"store.py": 3, "snapshot.py": 1}
+    """``first`` serves version records and one freshness row."""
+    allowed = {"store.py": 2, "snapshot.py": 1}
     for path, text in sources().items():
         taken = len(re.findall(r"\.first\(\)|\.head\(|\.take\(|toLocalIterator\(", text))
         assert taken <= allowed.get(path.name, 0), path.name

@@ -11,7 +11,6 @@ from orderflow.plans.rollup import (
     MARGIN_COLUMNS,
     all_metrics,
     margins,
-    merge_states,
     metrics_snapshot,
     snapshot_rows,
     state_of,
@@ -97,7 +96,7 @@ def test_merged_states_equal_one_state(spark, seed):
     parts = [frame(spark, rows[:10]), frame(spark, rows[10:90]), frame(spark, rows[90:])]
     state = state_of(parts[0])
     for part in parts[1:]:
-        state = merge_states(state, state_of(part))
+        state = state_of(part, state)
     assert state.columns == list(MARGIN_COLUMNS)
     assert as_set(snapshot_rows(state)) == as_set(metrics_snapshot(frame(spark, rows)))
 
@@ -106,8 +105,7 @@ def test_tail_follows_late_and_newer_rows(spark):
     def last(*batches):
         state = None
         for times in batches:
-            part = state_of(frame(spark, [order(time=t) for t in times]))
-            state = part if state is None else merge_states(state, part)
+            state = state_of(frame(spark, [order(time=t) for t in times]), state)
         return snapshot_rows(state).where("metric = 'orders_in_last_minute'").first().order_count
 
     day = "2026-09-21 10:0"
