@@ -37,6 +37,7 @@ from orderflow.plans.rollup import (
     state_of,
 )
 from orderflow.plans.snapshot import (
+    export_tables,
     pipeline_status,
     read_snapshot_rows,
     snapshot_freshness,
@@ -231,6 +232,14 @@ def _stored_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return zoneless(read_snapshot_rows(spark, path).select(*SNAPSHOT_LAYOUT))
 
 
+def _exported_windows(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(apply_settings(spark), "export")
+    with all_metrics(event_transactions(spark, folder)) as tables:
+        export_tables({"windowed_orders": tables["windowed_orders"]}, path)
+    schema = "window_start string, window_end string, order_count bigint"
+    return spark.read.schema(schema).json(f"{path}/windowed_orders")
+
+
 def _freshness(df: DataFrame) -> DataFrame:
     """Status of a snapshot as old as the last event, half a minute and two hours on."""
     newest = df.select(F.max(F.col("timestamp").cast("timestamp"))).scalar()
@@ -393,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "ndjson_round_trip": _through_files("ndjson"),
     # snapshots
     "stored_snapshot": _stored_snapshot,
+    "exported_windows": _exported_windows,
     "freshness_status": _on_events(_freshness),
     # streams
     "stream_kpis": _stream_metric("kpis"),

@@ -78,5 +78,11 @@ def last_span(df: DataFrame, span: str = "1 minute") -> DataFrame:
 
 
 def orders_in_last_minute(df: DataFrame, span: str = "1 minute") -> DataFrame:
-    """Order lines in the last ``span`` of event time; 0 if there is no event time."""
+    """Order lines in the last ``span`` of event time; 0 if there is no event time.
+
+    For batch input. A stream has no latest time yet: count its windows, or
+    read the snapshot of the stored stream.
+    """
+    if df.isStreaming:
+        raise ValueError("the last span of a stream is open; use streaming_windowed_orders")
     return last_span(df, span).agg(F.count("*").alias("orders_in_last_minute"))

@@ -214,6 +214,11 @@ def oracle_queries() -> dict[str, str]:
         "refused_by_reason": FAULTS,
         "valid_revenue_by_category": CATEGORY_REVENUE.replace("FROM t", f"FROM t {SOUND}"),
         "stored_snapshot": _snapshot(),
+        "exported_windows": (
+            "SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, "
+            "strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, order_count "
+            f"FROM ({MINUTES})"
+        ),
         "freshness_status": FRESHNESS,
         "stream_kpis": KPIS,
         "stream_revenue_by_category": CATEGORY_REVENUE,

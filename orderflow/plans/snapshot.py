@@ -90,6 +90,15 @@ def read_snapshot(
     return snapshot_tables(read_snapshot_rows(spark, path, version))
 
 
+def export_tables(tables: dict[str, DataFrame], path: str) -> None:
+    """Write each metric as JSON lines below ``path``, window bounds as text."""
+    for name, table in tables.items():
+        times = [f.name for f in table.schema if f.dataType.typeName().startswith("timestamp")]
+        texts = {time: F.date_format(time, "yyyy-MM-dd HH:mm:ss") for time in times}
+        rows = table.withColumns(texts) if texts else table
+        rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
+
+
 def _member(name: str, kind: str, of: str = "document") -> Column:
     return F.try_variant_get(F.col(of), f"$.{name}", kind)
 

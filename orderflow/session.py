@@ -81,6 +81,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored below ``path``."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    return file_system.getContentSummary(hadoop_path).getLength()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove ``path`` and what is below it; a missing path is fine."""
     hadoop_path, file_system = _hadoop_path(spark, path)

@@ -35,7 +35,9 @@ def streaming_windowed_orders(
 def dedup_orders(stream: DataFrame, lateness: str) -> DataFrame:
     """Drop repeats of an order id that come within ``lateness`` of each other.
 
-    Off unless called: repeated order ids count as orders of their own.
+    Off unless called: repeated order ids count as orders of their own. Belongs
+    after the row rules, which refuse rows without an order id; those would
+    all be repeats of one another.
     """
     return stream.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["order_id"])
 

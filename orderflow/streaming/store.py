@@ -30,7 +30,10 @@ from orderflow.operators.explore import latest
 from orderflow.plans.rollup import MARGIN_COLUMNS, snapshot_rows, state_of
 from orderflow.plans.snapshot import empty_snapshot, read_snapshot_rows, write_snapshot
 from orderflow.schema import PROCESSED_SCHEMA
-from orderflow.session import child_names, delete_path, path_exists
+from orderflow.session import child_names, delete_path, path_exists, stored_bytes
+
+# What an archive file should hold.
+ARCHIVE_FILE_BYTES = 256 * 1024 * 1024
 
 _BATCH = StructField("batch_id", LongType())
 TRANSACTION_SCHEMA = StructType(
@@ -246,21 +249,26 @@ class TransactionStore:
         """Move all but the newest ``leave`` batches into one archive folder.
 
         Many small files of many batches become few that are clustered by time,
-        so that time filters skip most of them. Each transaction moves once. The
-        order id in the clustering splits a moment that holds most of the rows.
-        Readers take the archive as soon as its record is there;
-        ``drop_archived`` then removes the old folders.
+        so that time filters skip most of them. Each transaction moves once. As
+        many files are written as the data fills, and the order id in the
+        clustering splits a moment that holds most of the rows. Readers take
+        the archive as soon as its record is there; ``drop_archived`` then
+        removes the old folders.
         """
         newest, archived = self.newest(), self.archived_upto()
         upto = -1 if newest is None else newest["batch_id"] - leave
         if upto <= archived:
             return False
+        moving = [n for n in self._batch_folders("transactions") if archived < n <= upto]
+        size = sum(stored_bytes(self.spark, self._folder("transactions", n)) for n in moving)
         rows = self._read("transactions", TRANSACTION_SCHEMA).where(
             (F.col("batch_id") > archived) & (F.col("batch_id") <= upto)
         )
         (
             rows.withColumnRenamed("batch_id", "arrived_in")
-            .repartitionByRange("accepted", "timestamp", "order_id")
+            .repartitionByRange(
+                1 + size // ARCHIVE_FILE_BYTES, "accepted", "timestamp", "order_id"
+            )
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("accepted")

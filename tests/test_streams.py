@@ -9,10 +9,10 @@ from conftest import as_dict, as_set, frame, order
 from orderflow.functions.parse import process
 from orderflow.functions.quality import split_valid
 from orderflow.operators import metrics
-from orderflow.operators.windows import windowed_orders
+from orderflow.operators.windows import orders_in_last_minute, windowed_orders
 from orderflow.plans.rollup import SNAPSHOT_COLUMNS, metrics_snapshot
 from orderflow.schema import PROCESSED_SCHEMA, RAW_SCHEMA
-from orderflow.session import child_names
+from orderflow.session import child_names, stored_bytes
 from orderflow.streaming.aggregates import (
     dedup_orders,
     read_results,
@@ -47,16 +47,26 @@ def message_stream(spark, folder, per_batch=1):
     return process(spark.readStream.option("maxFilesPerTrigger", per_batch).text(str(folder)))
 
 
-@pytest.fixture
-def source(tmp_path):
+def put_batches(folder):
     """Three batches of messages, the second one with two that are refused."""
-    folder = tmp_path / "in"
     for number, batch in enumerate(BATCHES):
         spoiled = ["not json", text_of(order("O9", quantity=-1))] if number == 1 else []
         put(folder, number, *map(text_of, batch), *spoiled)
     return folder
 
 
+@pytest.fixture
+def source(tmp_path):
+    return put_batches(tmp_path / "in")
+
+
+@pytest.fixture(scope="module")
+def finished(spark, tmp_path_factory):
+    """The tables after the three batches, for tests that only read them."""
+    folder = tmp_path_factory.mktemp("finished")
+    return run(spark, put_batches(folder / "in"), folder / "root")
+
+
 def run(spark, source, root, **options):
     start_stream(
         message_stream(spark, source), str(root), trigger={"availableNow": True}, **options
@@ -72,16 +82,16 @@ def everything(spark):
     return frame(spark, [row for batch in BATCHES for row in batch])
 
 
-def test_stream_equals_batch(spark, source, tmp_path):
-    store = run(spark, source, tmp_path / "root")
+def test_stream_equals_batch(spark, finished):
+    store = finished
     assert rows_of(store) == as_set(metrics_snapshot(everything(spark)))
     assert as_set(store.history().drop("batch_id")) == as_set(
         everything(spark).select(*PROCESSED_SCHEMA.names))
     assert store.newest()["accepted_rows"] == 6
 
 
-def test_refused_rows_are_kept_with_their_reasons(spark, source, tmp_path):
-    refused = run(spark, source, tmp_path / "root").quarantine().collect()
+def test_refused_rows_are_kept_with_their_reasons(finished):
+    refused = finished.quarantine().collect()
     assert {(r.batch_id, r.message, tuple(r.reasons)) for r in refused} == {
         (1, "not json", ("malformed_message",)),
         (1, text_of(order("O9", quantity=-1)), ("negative_quantity",)),
@@ -93,8 +103,8 @@ def test_without_row_rules_every_row_counts(spark, source, tmp_path):
     assert store.newest()["accepted_rows"] == 8 and store.quarantine().count() == 0
 
 
-def test_recent_goes_by_arrival(spark, source, tmp_path):
-    store = run(spark, source, tmp_path / "root")
+def test_recent_goes_by_arrival(finished):
+    store = finished
     assert [r.order_id for r in store.recent().collect()] == ["O5", "O4", "O3", "O3", "O2", "O1"]
     assert [r.order_id for r in store.recent(1).collect()] == ["O5"]
 
@@ -171,10 +181,9 @@ def test_a_batch_of_refused_rows_only(spark, tmp_path):
     assert rows_of(store) == as_set(metrics_snapshot(frame(spark, BATCHES[0])))
 
 
-def test_another_stream_may_not_add_to_the_tables(spark, source, tmp_path):
-    run(spark, source, tmp_path / "root")
+def test_another_stream_may_not_add_to_the_tables(spark, finished):
     with pytest.raises(ValueError, match="another stream"):
-        process_batch(frame(spark, BATCHES[0]), 99, str(tmp_path / "root"))
+        process_batch(frame(spark, BATCHES[0]), 99, finished.root)
 
 
 def test_old_versions_go_and_transactions_stay(spark, tmp_path):
@@ -217,6 +226,25 @@ def test_archive_keeps_every_row(spark, tmp_path):
     assert store.history().count() == len(BATCHES) * 4 + 2
 
 
+def test_archive_has_as_many_files_as_the_data_fills(spark, tmp_path, monkeypatch):
+    import orderflow.streaming.store as module
+
+    root = str(tmp_path / "root")
+    store = TransactionStore(spark, root)
+    # One moment holds all rows: the order id still spreads them.
+    process_batch(frame(spark, [order(f"O{n}") for n in range(500)]), 0, root)
+    size = stored_bytes(spark, f"{root}/transactions")
+    monkeypatch.setattr(module, "ARCHIVE_FILE_BYTES", size // 4 + 1)
+    assert store.compact(leave=0)
+    files = list((tmp_path / "root" / "archive" / "upto=0" / "accepted=true").glob("*.parquet"))
+    assert len(files) == 4 and store.history().count() == 500
+
+
+def test_last_minute_of_a_stream_is_refused(spark, source):
+    with pytest.raises(ValueError, match="stream"):
+        orders_in_last_minute(message_stream(spark, source))
+
+
 # --- Spark's own streaming state --------------------------------------------------
 
 
