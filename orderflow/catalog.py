@@ -64,8 +64,6 @@ from orderflow.streaming.store import TransactionStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-STREAM_FILES = 8
-FILES_PER_BATCH = 2
 SNAPSHOT_LAYOUT = ["metric", "key", "window_start", "window_end", "order_count", "revenue"]
 
 
@@ -299,17 +297,22 @@ def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.order_status_distribution(unique)
 
 
-def _message_stream(spark: SparkSession, messages: DataFrame) -> DataFrame:
-    """Messages as a stream of several micro-batches of files."""
+def message_stream(spark: SparkSession, messages: DataFrame, batches: int = 4) -> DataFrame:
+    """Messages as a stream of files in about this many micro-batches.
+
+    As many files are written as the session shuffles partitions, so that no
+    task has more to write than in any other shuffle.
+    """
     path = new_folder(spark, "messages")
-    messages.repartition(STREAM_FILES).write.text(path)
-    return spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH).text(path)
+    files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    messages.repartition(files).write.text(path)
+    return spark.readStream.option("maxFilesPerTrigger", -(-files // batches)).text(path)
 
 
 def _run_store(spark: SparkSession, messages: DataFrame) -> TransactionStore:
     """The stored tables after all messages went through as a stream."""
     root = new_folder(spark, "store")
-    processed = process(_message_stream(spark, messages))
+    processed = process(message_stream(spark, messages))
     start_stream(processed, root, trigger={"availableNow": True}).awaitTermination()
     return TransactionStore(spark, root)
 
@@ -336,9 +339,8 @@ def _replayed(spark: SparkSession, folder: str) -> TransactionStore:
     """The tables after one batch was handed in twice."""
     root = new_folder(apply_settings(spark), "replay")
     events = event_transactions(spark, folder)
-    batch = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     for _ in range(2):
-        process_batch(batch, 0, root)
+        process_batch(events, 0, root)
     return TransactionStore(spark, root)
 
 

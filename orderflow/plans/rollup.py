@@ -90,8 +90,22 @@ def tail(df: DataFrame, bound: Column) -> DataFrame:
     )
 
 
+def tail_bound(df: DataFrame, before: DataFrame | None, span: str) -> Column:
+    """The start of the last ``span`` of ``df`` and earlier input, as a scalar subquery."""
+    latest = df.select(F.max("timestamp").alias("time"))
+    if before is not None:
+        earlier = before.where(F.col("dimension") == TAIL).select("time")
+        latest = latest.unionByName(earlier)
+    # In the type of the column, so that the comparison reaches the scan.
+    kind = df.schema["timestamp"].dataType
+    return latest.select((F.max("time") - as_interval(span)).cast(kind)).scalar()
+
+
 def state_of(
-    df: DataFrame, before: DataFrame | None = None, span: str = "1 minute"
+    df: DataFrame,
+    before: DataFrame | None = None,
+    bound: Column | None = None,
+    span: str = "1 minute",
 ) -> DataFrame:
     """Everything the metrics of ``df`` follow from, in margin columns.
 
@@ -99,16 +113,10 @@ def state_of(
     amounts add up. The last-minute count does not, so the state keeps the rows
     per event time of the last ``span``, its tail: messages carry whole
     seconds, so a minute has at most 61 of them, and later input only moves
-    the bound forward.
+    its ``bound`` forward. A caller who knows that bound saves looking for it.
     """
-    latest = df.select(F.max("timestamp").alias("time"))
-    if before is not None:
-        earlier = before.where(F.col("dimension") == TAIL).select("time")
-        latest = latest.unionByName(earlier)
-    # In the type of the column, so that the comparison reaches the scan.
-    kind = df.schema["timestamp"].dataType
-    bound = latest.select((F.max("time") - as_interval(span)).cast(kind)).scalar()
-
+    if bound is None:
+        bound = tail_bound(df, before, span)
     state = margins(df).unionByName(tail(df, bound))
     if before is None:
         return state

@@ -57,7 +57,11 @@ def empty_snapshot(spark: SparkSession) -> DataFrame:
 def read_snapshot_rows(
     spark: SparkSession, path: str, version: int | None = None
 ) -> DataFrame:
-    """The long metric frame of a version, by default the newest; empty if none is stored."""
+    """The long metric frame of a version, by default the newest; empty if none is stored.
+
+    While a stream is writing, ``TransactionStore.snapshot_rows`` knows which
+    version is finished.
+    """
     if not path_exists(spark, path):
         return empty_snapshot(spark)
     stored = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)

@@ -50,11 +50,23 @@ def start_stream(
 
 
 def main() -> None:
-    """Run the pipeline from Kafka until it is stopped; settings come from the environment."""
+    """Run the pipeline from Kafka until it is stopped.
+
+    Servers, topic and folders come from the environment. How much one batch
+    takes and over how many tasks a narrow topic is spread come from the
+    session: ``spark.orderflow.maxOffsetsPerTrigger`` and ``.minPartitions``.
+    """
     spark = build_session("orderflow-stream")
+    most = spark.conf.get("spark.orderflow.maxOffsetsPerTrigger", None)
+    tasks = spark.conf.get("spark.orderflow.minPartitions", None)
+    messages = read_transactions_kafka(
+        spark,
+        max_offsets_per_trigger=int(most) if most else None,
+        min_partitions=int(tasks) if tasks else None,
+    )
     root = os.environ.get("ANALYTICS_OUTPUT_PATH") or f"{shared_folder(spark)}/orderflow/service"
     checkpoint = os.environ.get("ANALYTICS_CHECKPOINT_LOCATION")
-    start_stream(process(read_transactions_kafka(spark)), root, checkpoint).awaitTermination()
+    start_stream(process(messages), root, checkpoint).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -21,12 +21,13 @@ minute; the transactions of earlier batches are not read again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from orderflow.functions.quality import is_valid, reasons
 from orderflow.operators.explore import latest
+from orderflow.operators.windows import as_interval
 from orderflow.plans.rollup import MARGIN_COLUMNS, snapshot_rows, state_of
 from orderflow.plans.snapshot import empty_snapshot, read_snapshot_rows, write_snapshot
 from orderflow.schema import PROCESSED_SCHEMA
@@ -67,6 +68,7 @@ VERSION_SCHEMA = (
     StructType()
     .add("stream_id", "string")
     .add("accepted_rows", "long")
+    .add("latest_micros", "long")
     .add("computed_at", "timestamp")
     .add(_BATCH)
 )
@@ -81,31 +83,48 @@ def judged(df: DataFrame, validate: bool = True) -> DataFrame:
     rows = df if "message" in df.columns else df.withColumn("message", F.lit(None).cast("string"))
     accepted = is_valid() if validate else F.lit(True)
     return rows.select(
-        *PROCESSED_SCHEMA.fieldNames(),
+        *[F.col(field.name).cast(field.dataType) for field in PROCESSED_SCHEMA],
         F.when(~accepted, F.col("message")).alias("message"),
         F.when(~accepted, reasons()).alias("reasons"),
         accepted.alias("accepted"),
     )
 
 
-def append_history(
+def write_batch(
     batch_df: DataFrame, batch_id: int, path: str, validate: bool = True
-) -> DataFrame:
-    """Write a micro-batch as folder ``batch_id`` of the transaction table; give its rows back.
+) -> dict[str, int | None]:
+    """Write a micro-batch as folder ``batch_id`` of the transaction table.
 
-    Accepted and refused rows go out in one pass over the source. Running a
-    batch again replaces its folder, also where it now has no rows.
+    Accepted and refused rows go out in one pass over the source, which also
+    observes the number of ``rows`` and the ``latest`` accepted event time, in
+    microseconds. Running a batch again replaces its folder, also where it now
+    has no rows.
     """
-    folder = f"{path}/batch_id={batch_id}"
+    seen = Observation()
+    accepted_time = F.when(F.col("accepted"), F.unix_micros("timestamp"))
     (
         judged(batch_df, validate)
+        .observe(seen, F.count(F.lit(1)).alias("rows"), F.max(accepted_time).alias("latest"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("accepted")
-        .parquet(folder)
+        .parquet(f"{path}/batch_id={batch_id}")
     )
-    reader = batch_df.sparkSession.read.schema(TRANSACTION_SCHEMA).option("basePath", path)
-    return reader.parquet(folder)
+    return seen.get
+
+
+def read_batch(spark: SparkSession, batch_id: int, path: str) -> DataFrame:
+    """One micro-batch of the transaction table, without listing the others."""
+    reader = spark.read.schema(TRANSACTION_SCHEMA).option("basePath", path)
+    return reader.parquet(f"{path}/batch_id={batch_id}")
+
+
+def append_history(
+    batch_df: DataFrame, batch_id: int, path: str, validate: bool = True
+) -> DataFrame:
+    """Write a micro-batch into the transaction table and give its rows back."""
+    write_batch(batch_df, batch_id, path, validate)
+    return read_batch(batch_df.sparkSession, batch_id, path)
 
 
 class TransactionStore:
@@ -211,11 +230,13 @@ class TransactionStore:
                 )
             if previous["batch_id"] >= batch_id:
                 return False
-        if batch_df.isEmpty():
+        seen = write_batch(batch_df, batch_id, self.path("transactions"), validate)
+        if not seen["rows"]:
+            delete_path(self.spark, self._folder("transactions", batch_id))
             return False
-
-        stored = append_history(batch_df, batch_id, self.path("transactions"), validate)
-        accepted = stored.where(F.col("accepted"))
+        accepted = read_batch(self.spark, batch_id, self.path("transactions")).where(
+            F.col("accepted")
+        )
 
         arrivals = accepted.select(
             F.col("batch_id").alias("arrived_in"), *PROCESSED_SCHEMA.fieldNames()
@@ -227,7 +248,10 @@ class TransactionStore:
             arrivals = arrivals.unionByName(
                 self._read_version("recent", RECENT_SCHEMA, version).drop("batch_id")
             )
-        state = state_of(accepted, state_before).select(*MARGIN_COLUMNS)
+        times = [seen["latest"], previous and previous["latest_micros"]]
+        latest_micros = max((time for time in times if time is not None), default=None)
+        bound = F.timestamp_micros(F.lit(latest_micros).cast("bigint")) - as_interval("1 minute")
+        state = state_of(accepted, state_before, bound).select(*MARGIN_COLUMNS)
         self._write(state, "state", batch_id)
         self._write(_latest_arrivals(arrivals, recent), "recent", batch_id)
 
@@ -239,6 +263,7 @@ class TransactionStore:
         version = merged.where(F.col("dimension") == "order_status").agg(
             F.lit(stream_id).alias("stream_id"),
             total.alias("accepted_rows"),
+            F.lit(latest_micros).cast("bigint").alias("latest_micros"),
             F.max(now.cast("timestamp")).alias("computed_at"),
         )
         self._write(version, "versions", batch_id)

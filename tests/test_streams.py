@@ -133,7 +133,7 @@ def test_the_same_batch_again_changes_nothing(spark, tmp_path):
     assert rows_of(store) == before and store.history().count() == 4
 
 
-@pytest.mark.parametrize("table", ["append_history", "write_snapshot"])
+@pytest.mark.parametrize("table", ["write_batch", "write_snapshot"])
 def test_a_batch_that_broke_off_is_counted_once(spark, tmp_path, monkeypatch, table):
     root = str(tmp_path / "root")
     batches = [frame(spark, rows) for rows in BATCHES]
