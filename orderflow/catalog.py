@@ -32,6 +32,7 @@ from orderflow.operators.windows import as_interval, orders_in_last_minute, wind
 from orderflow.plans.rollup import (
     TEXT_DIMENSIONS,
     all_metrics,
+    metric_frames,
     metrics_snapshot,
     snapshot_rows,
     state_of,
@@ -220,7 +221,7 @@ def _line_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _metric_table(name: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: all_metrics(df)[name]
+    return lambda df: metric_frames(metrics_snapshot(df))[name]
 
 
 def _stored_snapshot(spark: SparkSession, folder: str) -> DataFrame:

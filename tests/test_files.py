@@ -4,7 +4,7 @@ import json
 
 import pytest
 from conftest import SIX_ORDERS, order
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 
 from orderflow.catalog import raw_records
 from orderflow.functions.parse import process, process_records
@@ -66,6 +66,42 @@ def test_csv_stream_checks_its_header(spark, tmp_path):
     assert spark.table("csv_in").count() == 2
 
 
+def rows_streamed(spark, tmp_path, **reading):
+    stream = read_transactions_files(spark, str(tmp_path / "in"), streaming=True, **reading)
+    query = (
+        stream.writeStream.format("parquet").trigger(availableNow=True)
+        .options(path=str(tmp_path / "out"), checkpointLocation=str(tmp_path / "cp")).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).collect()
+
+
+def test_csv_stream_with_another_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    header = ["quantity", "order_id", "remark"]
+    csv(folder, "3,O7,x", header=",".join(header))
+    rows = rows_streamed(spark, tmp_path, header=header)
+    assert [(r.order_id, r.quantity, r.city) for r in rows] == [("O7", 3, None)]
+
+
+def test_csv_stream_fails_on_an_unexpected_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    csv(folder, LINE, header=",".join(reversed(RAW_SCHEMA.names)))
+    with pytest.raises(StreamingQueryException):
+        rows_streamed(spark, tmp_path)
+
+
+def test_json_lines_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    item = json.dumps(dict(zip(RAW_SCHEMA.names, order())))
+    (folder / "a.json").write_text(f"{item}\nbroken\n")
+    rows = rows_streamed(spark, tmp_path, fmt="ndjson")
+    assert sorted((r.order_id or "", r.message) for r in rows) == [("", "broken"), ("O1", None)]
+
+
 @pytest.mark.parametrize("wrap", [
     lambda items: items,
     lambda items: {"transactions": items},
@@ -133,9 +169,11 @@ def test_kafka_options(monkeypatch):
     assert kafka_options("x:2", "u")["subscribe"] == "u"
 
 
-def test_kafka_needs_its_connector(spark):
+def test_kafka_needs_its_connector(spark, six):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         read_transactions_kafka(spark)
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        publish_transactions(raw_records(six))
 
 
 RECENT = [

@@ -117,6 +117,12 @@ class _Session:
         self.folder = folder
 
 
+def test_settings_pin_the_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    session.apply_settings(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def test_only_local_sessions_fall_back_to_a_temporary_folder():
     assert session.shared_folder(_Session("local[2]")).startswith("/")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
