@@ -30,12 +30,10 @@ from orderflow.operators import metrics
 from orderflow.operators.explore import facet_values, filter_transactions, recent_transactions
 from orderflow.operators.windows import as_interval, orders_in_last_minute, windowed_orders
 from orderflow.plans.rollup import (
-    TEXT_DIMENSIONS,
+    METRIC_COLUMNS,
     all_metrics,
     metric_frames,
     metrics_snapshot,
-    snapshot_rows,
-    state_of,
 )
 from orderflow.plans.snapshot import (
     export_tables,
@@ -215,9 +213,8 @@ def _through_files(fmt: str) -> Query:
 
 def _line_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """All metrics of the order lines. The joins run once, into a staged table."""
-    lines = validate_columns(line_transactions(apply_settings(spark), folder))
-    rows = staged(lines.select(*TEXT_DIMENSIONS, "timestamp", "total_amount"), "lines")
-    return zoneless(snapshot_rows(state_of(rows)))
+    lines = line_transactions(apply_settings(spark), folder)
+    return zoneless(metrics_snapshot(staged(lines.select(*METRIC_COLUMNS), "lines")))
 
 
 def _metric_table(name: str) -> Callable[[DataFrame], DataFrame]:

@@ -70,10 +70,17 @@ def latest(df: DataFrame, n: int = 20) -> DataFrame:
     """The last ``n`` transactions, newest first.
 
     Arrival is known by batch; within one, event time and order id decide. The
-    plan keeps the top ``n`` rows per task and never sorts the whole input.
+    n-th largest value of the leading column, found from that column alone,
+    bounds what is read in full; it reaches the scan as a filter. The top list
+    is then kept per task, nothing is sorted as a whole.
     """
     order = [name for name in ("batch_id", "timestamp", "order_id") if name in df.columns]
-    return df.orderBy(*[F.col(name).desc_nulls_last() for name in order]).limit(n)
+    lead = F.col(order[0])
+    largest = df.select(lead).where(lead.isNotNull()).orderBy(lead.desc()).limit(n)
+    bound = largest.select(F.min(lead)).scalar()
+    # Rows without the leading value come last, but they may be needed.
+    candidates = df.where((lead >= bound) | lead.isNull())
+    return candidates.orderBy(*[F.col(name).desc_nulls_last() for name in order]).limit(n)
 
 
 def recent_transactions(df: DataFrame, n: int = 20) -> DataFrame:

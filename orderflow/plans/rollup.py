@@ -1,4 +1,4 @@
-"""All metrics of a frame from one pass over it.
+"""All metrics of a frame together.
 
 A *margin* is the count and amount of the rows that share one value of one
 dimension. Margins of disjoint inputs add up, so they serve both as the
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.windows import as_interval
 from orderflow.schema import COMPLETED, RETURNED, validate_columns
+from orderflow.session import staged
 
 # The dimension holding the metric's key, for each metric with a key.
 KEYED_METRICS = {
@@ -38,20 +39,16 @@ MINUTE = "minute"
 # Rows of this dimension count the event times of the last minute; see ``state_of``.
 TAIL = "tail"
 
+METRIC_COLUMNS = (*TEXT_DIMENSIONS, "timestamp", "total_amount")
 MARGIN_COLUMNS = ("dimension", "key", "time", "order_count", "amount")
 SNAPSHOT_COLUMNS = ("metric", "key", "window_start", "window_end", "order_count", "revenue")
 
 
-def margins(df: DataFrame) -> DataFrame:
-    """Margins of processed transactions over each text dimension and each minute."""
-    dimensions = [*TEXT_DIMENSIONS, MINUTE]
+def text_margins(df: DataFrame) -> DataFrame:
+    """Margins of processed transactions over each text dimension."""
     grouped = (
-        df.select(
-            *TEXT_DIMENSIONS,
-            F.date_trunc("minute", F.col("timestamp").cast("timestamp")).alias(MINUTE),
-            "total_amount",
-        )
-        .groupingSets([[name] for name in dimensions], *dimensions)
+        df.select(*TEXT_DIMENSIONS, "total_amount")
+        .groupingSets([[name] for name in TEXT_DIMENSIONS], *TEXT_DIMENSIONS)
         .agg(
             F.count("*").alias("order_count"),
             F.sum("total_amount").alias("amount"),
@@ -60,34 +57,52 @@ def margins(df: DataFrame) -> DataFrame:
     )
     # A bit is set for each dimension a row is not grouped by, first one highest;
     # only this tells a null value from a dimension left out.
-    everything = 2 ** len(dimensions) - 1
+    everything = 2 ** len(TEXT_DIMENSIONS) - 1
     places = " ".join(
         f"WHEN {everything - 2**place} THEN '{name}'"
-        for place, name in enumerate(reversed(dimensions))
+        for place, name in enumerate(reversed(TEXT_DIMENSIONS))
     )
     return grouped.selectExpr(
         f"CASE left_out {places} END AS dimension",
         f"coalesce({', '.join(TEXT_DIMENSIONS)}) AS key",
-        f"{MINUTE} AS time",
+        "CAST(NULL AS TIMESTAMP) AS time",
         "order_count",
         "amount",
     )
 
 
+def _counts_by_time(df: DataFrame, dimension: str, time: Column) -> DataFrame:
+    """Rows per ``time``, in margin columns."""
+    counted = df.groupBy(time.alias("time")).agg(F.count("*").alias("order_count"))
+    return counted.selectExpr(
+        f"'{dimension}' AS dimension",
+        "CAST(NULL AS STRING) AS key",
+        "time",
+        "order_count",
+        "CAST(NULL AS DOUBLE) AS amount",
+    )
+
+
+def minute_margins(df: DataFrame) -> DataFrame:
+    """Rows per minute of processed transactions.
+
+    Apart from the text dimensions: minutes may be many, and a task that has to
+    spill them should not spill the few text values along with them. Of a
+    columnar input this reads the one column the others leave out.
+    """
+    minute = F.date_trunc("minute", F.col("timestamp").cast("timestamp"))
+    return _counts_by_time(df, MINUTE, minute)
+
+
+def margins(df: DataFrame) -> DataFrame:
+    """Margins of processed transactions over each text dimension and each minute."""
+    return text_margins(df).unionByName(minute_margins(df))
+
+
 def tail(df: DataFrame, bound: Column) -> DataFrame:
     """Rows per distinct event time from ``bound`` on, in margin columns."""
-    return (
-        df.where(F.col("timestamp") >= bound)
-        .groupBy(F.col("timestamp").cast("timestamp").alias("timestamp"))
-        .agg(F.count("*").alias("order_count"))
-        .selectExpr(
-            f"'{TAIL}' AS dimension",
-            "CAST(NULL AS STRING) AS key",
-            "timestamp AS time",
-            "order_count",
-            "CAST(NULL AS DOUBLE) AS amount",
-        )
-    )
+    late = df.where(F.col("timestamp") >= bound)
+    return _counts_by_time(late, TAIL, F.col("timestamp").cast("timestamp"))
 
 
 def tail_bound(df: DataFrame, before: DataFrame | None, span: str) -> Column:
@@ -163,14 +178,6 @@ _ENTRIES = {
         _entry("returned_orders", order_count=_if_status(RETURNED, "order_count")),
         _entry("completed_revenue", revenue=_if_status(COMPLETED, "amount")),
     ],
-    MINUTE: [
-        _entry(
-            WINDOWED_METRIC,
-            start="time",
-            end="time + INTERVAL '1' MINUTE",
-            order_count="order_count",
-        )
-    ],
     TAIL: [_entry("orders_in_last_minute", order_count="order_count")],
 }
 
@@ -181,37 +188,58 @@ _ZEROS = [
 ]
 
 
-def _entries_of(state: DataFrame) -> DataFrame:
-    """Every state row as its entries. Rows without a time belong to no window."""
+def _keyed_and_scalar_rows(state: DataFrame) -> DataFrame:
+    """Metrics of the state rows that are not minutes; each status row adds to several."""
     cases = " ".join(
         f"WHEN '{dimension}' THEN array({', '.join(entries)})"
         for dimension, entries in _ENTRIES.items()
     )
-    rows = state.where(f"dimension <> '{MINUTE}' OR time IS NOT NULL")
-    return rows.selectExpr(f"inline(CASE dimension {cases} END)")
-
-
-def snapshot_rows(state: DataFrame) -> DataFrame:
-    """All metrics of a state in one long frame, amounts rounded.
-
-    Scalars have neither key nor window; windows have no key. A metric fills
-    either ``order_count`` or ``revenue``.
-    """
     zeros = state.sparkSession.range(1).selectExpr(f"inline(array({', '.join(_ZEROS)}))")
-    entries = _entries_of(state).unionByName(zeros)
     return (
-        entries.groupBy("metric", "key", "window_start", "window_end")
+        state.selectExpr(f"inline(CASE dimension {cases} END)")
+        .unionByName(zeros)
+        .groupBy("metric", "key", "window_start", "window_end")
         .agg(
             F.sum("order_count").alias("order_count"),
             F.round(F.sum("revenue"), 2).alias("revenue"),
         )
-        .select(*SNAPSHOT_COLUMNS)
     )
 
 
-def metrics_snapshot(df: DataFrame) -> DataFrame:
-    """All metrics of processed transactions in one long frame and one plan."""
-    return snapshot_rows(state_of(validate_columns(df)))
+def _window_rows(minutes: DataFrame) -> DataFrame:
+    """Minute rows as windows, one each and without a shuffle; none without a time."""
+    return minutes.where(F.col("time").isNotNull()).selectExpr(
+        f"'{WINDOWED_METRIC}' AS metric",
+        "CAST(NULL AS STRING) AS key",
+        "time AS window_start",
+        "time + INTERVAL '1' MINUTE AS window_end",
+        "order_count",
+        "CAST(NULL AS DOUBLE) AS revenue",
+    )
+
+
+def snapshot_rows(state: DataFrame) -> DataFrame:
+    """All metrics of a stored state in one long frame, amounts rounded.
+
+    Scalars have neither key nor window; windows have no key. A metric fills
+    either ``order_count`` or ``revenue``.
+    """
+    minute = F.col("dimension") == MINUTE
+    others = _keyed_and_scalar_rows(state.where(~minute))
+    return others.unionByName(_window_rows(state.where(minute))).select(*SNAPSHOT_COLUMNS)
+
+
+def metrics_snapshot(df: DataFrame, span: str = "1 minute") -> DataFrame:
+    """All metrics of processed transactions in one long frame and one plan.
+
+    Reads each column of ``df`` once, and the event time again for the last
+    ``span``. A frame that is not stored by column, such as parsed text or a
+    join, should go through ``session.staged`` first.
+    """
+    validate_columns(df, METRIC_COLUMNS)
+    small = text_margins(df).unionByName(tail(df, tail_bound(df, None, span)))
+    rows = _keyed_and_scalar_rows(small).unionByName(_window_rows(minute_margins(df)))
+    return rows.select(*SNAPSHOT_COLUMNS)
 
 
 class MetricSet(dict):
@@ -253,6 +281,12 @@ def metric_frames(snapshot: DataFrame) -> dict[str, DataFrame]:
     return frames
 
 
-def all_metrics(df: DataFrame) -> MetricSet:
-    """All metrics of processed transactions, each as a small frame."""
-    return MetricSet(metrics_snapshot(df))
+def all_metrics(df: DataFrame, stage: bool = False) -> MetricSet:
+    """All metrics of processed transactions, each as a small frame.
+
+    With ``stage`` the columns needed are first written to the shared folder:
+    for parsed text or joins, which would otherwise run once per column group.
+    """
+    validate_columns(df)
+    rows = staged(df.select(*METRIC_COLUMNS), "metrics") if stage else df
+    return MetricSet(metrics_snapshot(rows))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, StructField, StructType, TimestampType
 
@@ -38,10 +40,12 @@ RETURNED = "Returned"
 CANCELLED = "Cancelled"
 
 
-def validate_columns(df: DataFrame) -> DataFrame:
+def validate_columns(
+    df: DataFrame, required: Sequence[str] = tuple(PROCESSED_SCHEMA.fieldNames())
+) -> DataFrame:
     """Return ``df``, or raise ``ValueError`` naming the processed columns it lacks."""
     present = set(df.columns)
-    missing = [name for name in PROCESSED_SCHEMA.fieldNames() if name not in present]
+    missing = [name for name in required if name not in present]
     if missing:
         raise ValueError(f"not a processed transaction frame, missing columns: {missing}")
     return df

@@ -238,8 +238,8 @@ class TransactionStore:
             F.col("accepted")
         )
 
-        arrivals = accepted.select(
-            F.col("batch_id").alias("arrived_in"), *PROCESSED_SCHEMA.fieldNames()
+        arrivals = latest(accepted.drop("batch_id"), recent).select(
+            F.lit(batch_id).cast("bigint").alias("arrived_in"), *PROCESSED_SCHEMA.fieldNames()
         )
         state_before = None
         if previous is not None:
@@ -325,6 +325,6 @@ class TransactionStore:
 
 
 def _latest_arrivals(rows: DataFrame, n: int) -> DataFrame:
-    """The last ``n`` rows by arrival, then event time and order id, newest first."""
-    by_batch = rows.withColumn("batch_id", F.col("arrived_in"))
-    return latest(by_batch, n).drop("batch_id")
+    """The last ``n`` of a few rows by arrival, then event time and order id."""
+    order = ("arrived_in", "timestamp", "order_id")
+    return rows.orderBy(*[F.col(name).desc_nulls_last() for name in order]).limit(n)

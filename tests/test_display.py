@@ -131,3 +131,25 @@ def test_recent(six):
     shown = recent_transactions(six, 3).collect()
     assert [row["Order ID"] for row in shown] == ["ORD1006", "ORD1005", "ORD1004"]
     assert recent_transactions(six).count() == 6
+
+
+def test_recent_takes_rows_without_time_last(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('1', timestamp'2024-01-01 00:00:00'), ('2', NULL), ('3', NULL), "
+        "('4', timestamp'2024-01-02 00:00:00'), ('5', timestamp'2024-01-02 00:00:00') "
+        "AS t(order_id, timestamp)"
+    )
+    def shown(n):
+        return [r["Order ID"] for r in recent_transactions(rows, n).collect()]
+
+    assert [shown(n) for n in (1, 2, 3, 4, 9)] == [
+        ["5"], ["5", "4"], ["5", "4", "1"], ["5", "4", "1", "3"], ["5", "4", "1", "3", "2"]]
+    assert [r["Order ID"] for r in recent_transactions(rows.where("order_id < 4 AND order_id > 1"), 5).collect()] == ["3", "2"]
+
+
+def test_recent_goes_by_batch_first(spark):
+    rows = spark.sql(
+        "SELECT bigint(id DIV 3) batch_id, string(id) order_id, "
+        "timestamp'2024-01-01 00:00:00' - make_interval(0, 0, 0, int(id)) timestamp FROM range(10)"
+    )
+    assert [r["Order ID"] for r in recent_transactions(rows, 5).collect()] == ["9", "6", "7", "8", "3"]

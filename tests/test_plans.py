@@ -14,7 +14,8 @@ from orderflow.functions.quality import split_valid
 from orderflow.operators import metrics
 from orderflow.operators.explore import filter_transactions, latest
 from orderflow.operators.windows import orders_in_last_minute, windowed_orders
-from orderflow.plans.rollup import margins
+from orderflow.plans.rollup import METRIC_COLUMNS, margins, snapshot_rows
+from orderflow.streaming.store import STATE_SCHEMA
 
 PACKAGE = Path(session.__file__).parent
 
@@ -30,11 +31,19 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_margins_read_the_input_once(stored):
+def test_margins_read_each_column_once(stored):
     text = plan(margins(stored))
-    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    read = re.findall(r"ReadSchema: struct<(.*?)>", text)
+    columns = [field.split(":")[0] for schema in read for field in schema.split(",")]
+    assert sorted(columns) == sorted(METRIC_COLUMNS)
+    assert text.count("Exchange") == 2
     assert "partial_count" in text and "partial_sum" in text
-    assert "order_id" not in re.search(r"ReadSchema: (.*)", text)[1]
+
+
+def test_windows_of_a_snapshot_are_not_shuffled(spark, stored):
+    state = spark.createDataFrame([], STATE_SCHEMA)
+    text = plan(snapshot_rows(state.union(state)))
+    assert text.count("Exchange") <= 1
 
 
 def test_scalars_read_their_columns_only(stored):
@@ -63,8 +72,10 @@ def test_sliding_windows_copy_counts_not_rows(stored):
     assert text.count("FileScan") == 1
 
 
-def test_latest_keeps_a_top_list_per_task(stored):
-    assert "TakeOrderedAndProject" in plan(latest(stored, 20))
+def test_latest_keeps_a_top_list_per_task_and_prunes_by_time(stored):
+    text = plan_formatted(latest(stored, 20))
+    assert text.count("TakeOrderedAndProject") >= 2
+    assert "Or(GreaterThanOrEqual(timestamp,ScalarSubquery" in text
 
 
 def test_a_message_is_parsed_once(spark, tmp_path):

@@ -58,8 +58,9 @@ def test_all_metrics_equal_the_single_ones(spark, seed):
             assert found[name].columns == metric(df).columns
 
 
-def test_golden(six):
-    with all_metrics(six) as found:
+@pytest.mark.parametrize("stage", [False, True])
+def test_golden(six, stage):
+    with all_metrics(six, stage) as found:
         assert found["completed_revenue"].first()[0] == 6655.40
         assert found["orders_in_last_minute"].first()[0] == 1
         assert found["windowed_orders"].count() == 2
