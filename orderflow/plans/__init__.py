@@ -1 +1 @@
-"""All metrics from one pass, and their stored snapshots."""
+"""All metrics together, and their stored snapshots."""
