@@ -7,10 +7,13 @@ are never read and never returned, unless an operator says that it keeps rows.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
@@ -32,6 +35,26 @@ def type_of(df: DataFrame, name: str) -> DataType:
     return df.schema.fields[df.columns.index(name)].dataType
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once per application, as ``--py-files`` would.
+
+    The archive is handed out by Spark; no executor reads the driver's folders.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def bounded_groups(sizes: Iterable[int], limit: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of neighbours whose sizes sum to at most ``limit``, one item at least."""
     start = total = i = 0
@@ -58,6 +81,7 @@ def map_texts(
     """
     if id_col in [field.name for field in results]:
         raise ValueError(f"the id column {id_col} has the name of a result")
+    ship(df.sparkSession)
     schema = StructType([StructField(id_col, type_of(df, id_col)), *results])
     rows = pick(df, id=id_col, text=text_col).select("id", F.col("text").cast("string"))
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orderflow.llm import secrets
+from orderflow.llm.language import held_out, identify_languages, sample_texts
 from orderflow.llm.sharding import shard_rows
+from orderflow.llm.simhash import near_duplicates
 from orderflow.llm.token_counts import PieceAutomaton, byte_pieces, count_tokens
 
 SHARDS = 16
@@ -27,6 +31,39 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), automaton, "doc_id", "text", lead=b" ")
 
 
+def op3_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document; a document is a repository, its source the owner."""
+    documents = table(spark, folder, "documents")
+    found = secrets.scan_secrets(documents, "doc_id", "text", "doc_id", "source")
+    base = F.filter("spans", lambda s: s["base"])
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    verdict = lambda v: F.size(F.filter("spans", lambda s: s["verdict"] == v)).cast("long")
+    return found.select(
+        "doc_id",
+        *[of(kind.name).alias(f"n_{kind.name}") for kind in secrets.KINDS if kind.base],
+        F.sha2(secrets.span_digest(base), 256).alias("base_sha256"),
+        secrets.span_digest(F.col("spans")).alias("spans"),
+        verdict("live").alias("n_live"),
+        verdict("example").alias("n_example"),
+    )
+
+
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = near_duplicates(table(spark, folder, "documents"), "doc_id", "text")
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from labelled documents that are not held out."""
+    documents = table(spark, folder, "documents")
+    samples = sample_texts(documents, "doc_id", "text", "lang")
+    found = identify_languages(documents, "doc_id", "text", samples)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Shard, place and shard after growth of every document."""
     return shard_rows(table(spark, folder, "documents"), "doc_id", "text", SHARDS)
@@ -34,6 +71,9 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_secret_scans": op3_secret_scans,
+    "op4_simhash": op4_simhash,
+    "op8_language_id": op8_language_id,
     "op10_sharding": op10_sharding,
 }
 ORACLES: dict[str, str] = {}

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from orderflow.llm.common import pick, type_of
+from orderflow.llm.common import pick, ship, type_of
 from orderflow.session import staged
 
 #: Fixed values of the jump hash: the multiplier of its generator and the bits it keeps.
@@ -53,6 +53,7 @@ def with_shard(df: DataFrame, key_col: str, shards: int, name: str = "shard") ->
     """The rows with the shard of their key as a last column, for ``write_shards``."""
     if name.lower() in [c.lower() for c in df.columns]:
         raise ValueError(f"the table has a column {name} already")
+    ship(df.sparkSession)
     names = [f"_{i}" for i in range(len(df.columns))]
 
     @F.pandas_udf(IntegerType())
@@ -81,6 +82,7 @@ def shard_rows(df: DataFrame, id_col: str, text_col: str, shards: int) -> DataFr
     per partition and shard, so no shuffle moves rows and a hot key is spread
     over as many tasks as it was read by.
     """
+    ship(df.sparkSession)
     rows = pick(df, id=id_col, text=text_col)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = rows.select(
