@@ -86,7 +86,9 @@ class CrossParser:
         automata = [SuffixAutomaton(map(self.classes.get, samples[k])) for k in self.languages]
         self.width = len(alphabet) + 1
         self.roots = np.cumsum([0, *[len(a.next) for a in automata]])[:-1].astype(np.int32)
-        self.table = np.full((sum(len(a.next) for a in automata), self.width), -1, dtype=np.int32)
+        # The last state has no way on: there a letter leads that no sample has.
+        self.dead = sum(len(a.next) for a in automata)
+        self.table = np.full((self.dead + 1, self.width), -1, dtype=np.int32)
         for root, automaton in zip(self.roots, automata, strict=True):
             for state, after in enumerate(automaton.next):
                 for letter, target in after.items():
@@ -128,19 +130,19 @@ class CrossParser:
         for column, i in enumerate(order):
             letters[: len(stretches[i]), column] = stretches[i]
         roots = self.roots.astype(np.int64)
-        state = np.tile(roots, (count, 1))
+        state = np.full((count, kinds), self.dead, dtype=np.int64)
         for step in range(len(letters)):
             n = int(np.searchsorted(-lengths, -step, side="left"))
             letter = letters[step, :n, None].astype(np.int64)
             after = self.flat[state[:n] * self.width + letter]
             ended = after < 0
-            # A phrase ends before a letter that can't extend it; the next begins there.
+            # A letter that can't extend the phrase before it begins the next one.
             found[:n] += ended
             first = self.flat[roots * self.width + letter]
-            after = np.where(ended, np.where(first < 0, roots, first), after)
+            after = np.where(ended, np.where(first < 0, self.dead, first), after)
             state[:n] = after
         result = np.empty_like(found)
-        result[order] = found + (lengths > 0)[:, None]
+        result[order] = found
         return result
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
