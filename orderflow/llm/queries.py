@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import secrets
 from orderflow.llm.language import held_out, identify_languages, sample_texts
+from orderflow.llm.packing import pack_documents
 from orderflow.llm.sharding import shard_rows
 from orderflow.llm.simhash import near_duplicates
 from orderflow.llm.token_counts import PieceAutomaton, byte_pieces, count_tokens
@@ -56,6 +57,20 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Where every piece of every document lies in its sequence."""
+    pieces = pack_documents(table(spark, folder, "documents"), "doc_id", "text", vocabulary_file())
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from labelled documents that are not held out."""
     documents = table(spark, folder, "documents")
@@ -73,6 +88,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash": op4_simhash,
+    "op5_packing": op5_packing,
     "op8_language_id": op8_language_id,
     "op10_sharding": op10_sharding,
 }
