@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderflow.llm import secrets
 from orderflow.llm.language import held_out, identify_languages, sample_texts
 from orderflow.llm.packing import pack_documents
+from orderflow.llm.quality import judge_quality
 from orderflow.llm.sharding import shard_rows
 from orderflow.llm.simhash import near_duplicates
 from orderflow.llm.token_counts import PieceAutomaton, byte_pieces, count_tokens
@@ -71,6 +72,11 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics and verdict of every document, against its language and source."""
+    return judge_quality(table(spark, folder, "documents"), "doc_id", "text", "lang", "source")
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from labelled documents that are not held out."""
     documents = table(spark, folder, "documents")
@@ -89,6 +95,7 @@ QUERIES = {
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
+    "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op10_sharding": op10_sharding,
 }

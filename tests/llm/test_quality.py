@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orderflow.llm import quality
+from orderflow.llm.common import pick
+from orderflow.llm.quality import (
+    NAMES,
+    PAIRS,
+    SCATTER,
+    chi_square,
+    chi_square_point,
+    judge_quality,
+    robust_estimates,
+    text_statistics,
+)
+
+FOLDER = "/root/testdata/sf0.01"
+P = len(NAMES)
+
+
+def plain_statistics(text):
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    lines = [line for line in text.split("\n") if re.search("[^\x20\x09-\x0d]", line)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    inside = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    repeats = sum(line in lines[:i] for i, line in enumerate(lines))
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        repeats,
+        len(inside),
+        len(lines),
+    )
+
+
+def test_statistics_by_their_definition():
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choices(["a ", "b ", "c\n", "é🙂", "#", "\n", "\t|", "\x0b", "\x85", "\xa0", "\x1c", " a b a b"], k=rng.randint(0, 30)))
+        assert text_statistics(text) == plain_statistics(text)
+    assert text_statistics(None) == text_statistics("") == (0,) * 6
+
+
+def test_chi_square():
+    assert chi_square(3.841458820694124, 1) == pytest.approx(0.95, abs=1e-9)
+    assert chi_square(4.0, 2) == pytest.approx(1 - math.exp(-2), abs=1e-12)
+    assert chi_square_point(0.975, 5) == pytest.approx(12.832501994, abs=1e-6)
+    assert chi_square_point(1 - 1e-7, 5) == pytest.approx(quality.CUTOFF, abs=0.5)
+
+
+def plain_estimate(z):
+    """The estimate of one group, by the same definition, row by row."""
+
+    def finish(centre, scatter):
+        scatter = scatter + np.diag(np.square(list(SCATTER.values())))
+        return np.round(centre, 9), np.round(np.linalg.inv(scatter), 9), round(float(np.linalg.slogdet(scatter)[1]), 9)
+
+    def far(estimate):
+        gap = z - estimate[0]
+        return np.einsum("ni,ij,nj->n", gap, estimate[1], gap)
+
+    def from_rows(rows, share):
+        widening = quality._widening(share) if share < 1 else 1
+        return finish(rows.mean(axis=0), widening * np.cov(rows.T, bias=True))
+
+    bins = np.floor(z * quality.STATISTIC_BINS)
+    values = (bins + 0.5) / quality.STATISTIC_BINS
+    low = lambda v: np.sort(v, axis=0)[math.ceil(len(v) / 2) - 1]
+    centre = low(values)
+    starts = [from_rows(z, 1), finish(centre, np.diag((1.4826 * low(np.abs(values - centre))) ** 2))]
+    ends = []
+    for estimate in starts:
+        for _ in range(quality.STEPS):
+            bin_of = np.floor(np.log2(far(estimate) + 1e-6) * quality.DISTANCE_BINS)
+            limit = np.sort(bin_of)[math.ceil(quality.KEPT_SHARE * len(z)) - 1]
+            estimate = from_rows(z[bin_of <= limit], quality.KEPT_SHARE)
+        ends.append(estimate)
+    best = min(ends, key=lambda e: e[2])
+    return from_rows(z[far(best) <= chi_square_point(quality.REWEIGHT, P)], quality.REWEIGHT)
+
+
+def test_estimates_against_row_by_row_steps(spark):
+    rng = np.random.default_rng(2)
+    groups = {}
+    for name, n in (("x", 400), ("y", 60), ("z", 3)):
+        z = rng.normal(size=(n, P)) @ rng.normal(size=(P, P)) * 0.3 + rng.normal(size=P) + 3
+        z[: n // 5] += 6
+        groups[name] = np.round(z, 6)
+    rows = [(name, *map(float, v)) for name, z in groups.items() for v in z]
+    df = spark.createDataFrame(rows, ["group", *[f"z{i}" for i in range(P)]])
+    for frame in (df, df.repartition(5)):
+        found = {r.group: r for r in robust_estimates(frame).collect()}
+        assert found.keys() == groups.keys()
+        for name in ("x", "y"):
+            centre, precise, _ = plain_estimate(groups[name])
+            row = found[name]
+            assert [row[f"m{i}"] for i in range(P)] == pytest.approx(centre.tolist(), abs=1e-6)
+            assert [row[f"p{i}_{j}"] for i, j in PAIRS] == pytest.approx([precise[i, j] for i, j in PAIRS], abs=1e-4)
+
+
+def test_odd_and_empty_tables(spark, odd_documents, no_documents):
+    rows = judge_quality(odd_documents, "doc_id", "text", "lang", "source").collect()
+    texts = [tuple(r) for r in pick(odd_documents, i="doc_id", t="text").collect()]
+    found = sorted(((r.doc_id, *r[1:6], r.base_failed) for r in rows), key=repr)
+    expected = []
+    for i, text in texts:
+        n, chars, symbols, lines, repeated, _ = text_statistics(text)
+        expected.append((i, n, chars, symbols, lines, repeated, n < 50 or 100 * repeated > 50 * n))
+    assert found == sorted(expected, key=repr)
+    assert all(not r.kept for r in rows if r.base_failed)
+    assert judge_quality(no_documents, "doc_id", "text", "lang", "source").count() == 0
+
+
+def test_labelled_documents(spark):
+    df = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    judged = judge_quality(df, "doc_id", "text", "lang", "source").where("not base_failed").join(labels, "doc_id")
+    shares = {r.quality: r.share for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert shares[1] > 0.995 and shares[0] < 0.1
