@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import secrets
+from orderflow.llm.decontaminate import find_items
 from orderflow.llm.language import held_out, identify_languages, sample_texts
 from orderflow.llm.packing import pack_documents
 from orderflow.llm.quality import judge_quality
@@ -72,6 +73,18 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in documents: which, where, and how many edits away."""
+    return find_items(
+        table(spark, folder, "documents"),
+        "doc_id",
+        "text",
+        table(spark, folder, "benchmark"),
+        "item_id",
+        "text",
+    )
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics and verdict of every document, against its language and source."""
     return judge_quality(table(spark, folder, "documents"), "doc_id", "text", "lang", "source")
@@ -95,6 +108,7 @@ QUERIES = {
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
+    "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op10_sharding": op10_sharding,
