@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderflow.llm import secrets
 from orderflow.llm.decontaminate import find_items
 from orderflow.llm.language import held_out, identify_languages, sample_texts
+from orderflow.llm.licenses import scan_licenses
 from orderflow.llm.packing import pack_documents
 from orderflow.llm.quality import judge_quality
 from orderflow.llm.sharding import shard_rows
@@ -34,6 +35,18 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), automaton, "doc_id", "text", lead=b" ")
 
 
+def op2_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Licenses of every document: how many, the best coverage, and each one's span and words."""
+    found = scan_licenses(table(spark, folder, "documents"), "doc_id", "text")
+    entry = lambda m: F.concat_ws(":", m["license"], *[m[c].cast("string") for c in ("start", "end", "matched")])
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.round(F.array_max(F.transform("licenses", lambda m: m["coverage"])), 6).alias("coverage"),
+        F.array_join(F.transform("licenses", entry), ",").alias("spans"),
+    )
+
+
 def op3_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document; a document is a repository, its source the owner."""
     documents = table(spark, folder, "documents")
@@ -105,6 +118,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_license_scans": op2_license_scans,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
