@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import secrets
+from orderflow.llm import secrets, warc
 from orderflow.llm.decontaminate import find_items
 from orderflow.llm.language import held_out, identify_languages, sample_texts
 from orderflow.llm.licenses import scan_licenses
@@ -111,6 +111,23 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """The derived records of every page, with what links them to their response."""
+    pages = warc.responses(table(spark, folder, "pages"), "page_id", "url", "html")
+    records = warc.derivatives(pages, "page_id")
+    return records.select(
+        "page_id",
+        "type",
+        warc.header_value("WARC-Record-ID").alias("record_id"),
+        warc.header_value("WARC-Refers-To").alias("refers_to"),
+        warc.header_value("WARC-Target-URI").alias("target_uri"),
+        warc.header_value("WARC-Refers-To-Payload-Digest").alias("source_digest"),
+        warc.header_value("WARC-Block-Digest").alias("block_digest"),
+        F.length("block").cast("long").alias("block_chars"),
+        F.sha2(warc.record_text(), 256).alias("record_sha256"),
+    )
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Shard, place and shard after growth of every document."""
     return shard_rows(table(spark, folder, "documents"), "doc_id", "text", SHARDS)
@@ -125,6 +142,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
+    "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
 }
 ORACLES: dict[str, str] = {}
