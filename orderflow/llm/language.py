@@ -22,9 +22,9 @@ from collections.abc import Iterable
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
-from orderflow.llm.common import map_texts, pick
+from orderflow.llm.common import bounded_groups, map_texts, pick, ship
 
 #: Letters of a sample per language. The sample is the one thing that doesn't grow with the data.
 SAMPLE_LETTERS = 40_000
@@ -230,6 +230,26 @@ def identify_languages(
     return map_texts(df, id_col, text_col, results, start)
 
 
+def keep_identified(df: DataFrame, text_col: str, samples: dict[str, str]) -> DataFrame:
+    """The rows whose text has a language; nothing else about them changes."""
+    ship(df.sparkSession)
+    sent = df.sparkSession.sparkContext.broadcast(samples)
+    names = [f"_{i}" for i in range(len(df.columns))]
+
+    @F.pandas_udf(BooleanType())
+    def identified(texts):
+        import pandas as pd
+
+        texts = [t if isinstance(t, str) else None for t in texts]
+        parser, found = _parser_of(sent.value), []
+        for low, high in bounded_groups(len(t) if t else 0 for t in texts):
+            found += [label != UNKNOWN for label in parser.predict(texts[low:high])[0]]
+        return pd.Series(found, dtype=bool)
+
+    text = F.col(names[df.columns.index(text_col)]).cast("string")
+    return df.toDF(*names).where(identified(text)).toDF(*df.columns)
+
+
 _PARSERS: dict[int, CrossParser] = {}
 
 

@@ -201,10 +201,17 @@ def span_digest(spans):
 
 
 def redact_secrets(
-    df: DataFrame, text_col: str, repo_col: str, owner_col: str, mask: str = "<secret>"
+    df: DataFrame,
+    text_col: str,
+    repo_col: str,
+    owner_col: str,
+    length_col: str | None = None,
+    mask: str = "<secret>",
 ) -> DataFrame:
     """The rows with every reported span replaced by ``mask``.
 
+    ``length_col`` names a column of the text's length, if there is one to keep right.
+
     Rows without a match pass through as they are; only those with one are
     joined with their spans, by the hash of their text. Reported spans depend
     on the text and on corpus-wide counts alone, so equal texts share them.
@@ -215,9 +222,9 @@ def redact_secrets(
     text = f"_{names.index(text_col)}"
     loose = "|".join(f"(?:{kind.pattern})" for kind in KINDS)
     hit = F.coalesce(F.col(text).rlike(loose), F.lit(False))
+    suspects = staged(plain.where(hit), "suspects")
     found = _found(
-        plain.where(hit)
-        .select(at[text_col].alias("text"), at[repo_col].alias("repo"), at[owner_col].alias("owner"))
+        suspects.select(at[text_col].alias("text"), at[repo_col].alias("repo"), at[owner_col].alias("owner"))
         .select(
             F.sha2("text", 256).alias("key"),
             "repo",
@@ -244,11 +251,17 @@ def redact_secrets(
         done["out"], F.substring(whole, (done["at"] + 1).cast("int"), F.length(whole))
     )
     redacted = F.when(F.size("spans") > 0, F.aggregate("spans", step, masked, rest)).otherwise(whole)
+    columns = {text: redacted}
+    if length_col:
+        length = f"_{names.index(length_col)}"
+        changed = F.length("_masked").cast(df.schema.fields[names.index(length_col)].dataType)
+        columns[length] = F.when(F.size("spans") > 0, changed).otherwise(F.col(length))
     touched = (
-        plain.where(hit)
-        .withColumn("_key", F.sha2(whole, 256))
+        suspects.withColumn("_key", F.sha2(whole, 256))
         .join(spans, "_key", "left")
-        .withColumn(text, redacted)
-        .drop("_key", "spans")
+        .withColumn("_masked", columns.pop(text))
+        .withColumns(columns)
+        .withColumn(text, F.col("_masked"))
+        .drop("_key", "spans", "_masked")
     )
     return plain.where(~hit).unionByName(touched).toDF(*names)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from orderflow.llm.common import map_texts, ship
+from orderflow.llm.common import map_texts, pick, ship
 from orderflow.llm.components import connected_components
 from orderflow.session import staged
 
@@ -148,17 +148,13 @@ def links(nodes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     return homes.join(others, (homes["anchor"] == others["anchor"]) & (F.col("a") > F.col("b")) & near).select("a", "b")
 
 
-def near_duplicates(
-    df: DataFrame,
-    id_col: str,
-    text_col: str,
-    shingle_words: int = SHINGLE_WORDS,
-    distance: int = MAX_DISTANCE,
-) -> DataFrame:
-    """Every row's id, its fingerprint ``fp`` and its ``component_id``, the smallest id reachable."""
+def _components(df: DataFrame, id_col: str, text_col: str, shingle_words: int, distance: int) -> DataFrame:
+    """Every row's ``id``, the ``hash`` of its text, its ``fp`` and ``component_id``."""
     ship(df.sparkSession)
-    rows = staged(fingerprints(df, id_col, text_col, shingle_words), "fingerprints")
-    nodes = staged(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "nodes")
+    rows = pick(df, id=id_col, text=text_col)
+    rows = rows.select(F.struct("id", F.xxhash64("text").alias("hash")).alias("key"), "text")
+    rows = staged(fingerprints(rows, "key", "text", shingle_words).select("key.*", "fp"), "fingerprints")
+    nodes = staged(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     roots = connected_components(links(nodes, distance))
     named = staged(
         nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
@@ -167,5 +163,47 @@ def near_duplicates(
         "roots",
     )
     names = staged(named.groupBy("root").agg(F.min("least").alias("component_id")), "names")
-    named = staged(named.join(names, "root").select("fp", "component_id"), "components")
-    return rows.join(named, "fp").select(id_col, "fp", "component_id")
+    named = staged(named.join(names, "root").select("fp", "root", "component_id"), "components")
+    return rows.join(named, "fp")
+
+
+def near_duplicates(
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    shingle_words: int = SHINGLE_WORDS,
+    distance: int = MAX_DISTANCE,
+) -> DataFrame:
+    """Every row's id, its fingerprint ``fp`` and its ``component_id``, the smallest id reachable."""
+    found = _components(df, id_col, text_col, shingle_words, distance)
+    return found.select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_representatives(
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    shingle_words: int = SHINGLE_WORDS,
+    distance: int = MAX_DISTANCE,
+) -> DataFrame:
+    """One row of each component: that of the smallest id, of the smallest text hash among equals.
+
+    Rows are told apart by id and text hash; only where both are repeated are
+    whole rows compared, so the texts are shuffled once, for the join.
+    """
+    found = _components(df, id_col, text_col, shingle_words, distance)
+    # Nulls come first in order, so a row without an id is behind any other.
+    place = F.struct(F.col("id").isNull().alias("without"), "id", "hash")
+    counted = found.groupBy("root", "id", "hash").agg(F.count("*").alias("copies"))
+    kept = staged(
+        counted.groupBy("root").agg(F.min(F.struct(place.alias("place"), "copies")).alias("first")).select("first.*"),
+        "representatives",
+    ).select(F.col("place.id").alias("kept_id"), F.col("place.hash").alias("kept_hash"), "copies")
+    names = [f"_{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*names)
+    own_id, text = (F.col(names[df.columns.index(c)]) for c in (id_col, text_col))
+    same = own_id.eqNullSafe(F.col("kept_id")) & (F.xxhash64(text.cast("string")) == F.col("kept_hash"))
+    single = rows.join(kept.where("copies = 1"), same, "left_semi")
+    copied = rows.join(kept.where("copies > 1"), same, "left_semi")
+    copied = copied.dropDuplicates([names[df.columns.index(c)] for c in (id_col, text_col)])
+    return single.unionByName(copied).toDF(*df.columns)
