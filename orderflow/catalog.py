@@ -203,7 +203,7 @@ def _through_files(fmt: str) -> Query:
             raw.write.options(header=True, escape='"').csv(path)
         else:
             publish_transactions(raw, "text", path=path)
-        return zoneless(process_records(read_transactions_files(spark, path, fmt))).drop("message")
+        return zoneless(process_records(read_transactions_files(spark, path, fmt))).drop("message", "corrupt")
 
     return query
 

@@ -51,8 +51,8 @@ def with_total_amount(df: DataFrame) -> DataFrame:
 
 
 def process_records(df: DataFrame) -> DataFrame:
-    """Raw records to processed transactions, keeping their ``message`` if they have one."""
-    extra = [name for name in ("message",) if name in df.columns]
+    """Raw records to processed transactions, keeping ``message`` and ``corrupt`` if they are there."""
+    extra = [name for name in ("message", "corrupt") if name in df.columns]
     return with_total_amount(with_event_time(df)).select(*PROCESSED_SCHEMA.fieldNames(), *extra)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from orderflow.schema import RAW_SCHEMA
 DISCOUNT_RANGE = (0, 100)
 
 MALFORMED = "malformed_message"
+# A record its reader could not make out, though its fields break no other rule:
+# too few or too many of them, or text that is left over.
+CORRUPT = "corrupt_record"
 
 
 def _number(column: str) -> str:
@@ -35,24 +40,38 @@ RULES = {
 }
 
 
-def is_valid() -> Column:
-    """Whether a processed row breaks no rule; never null."""
-    return F.expr(f"NOT ({' OR '.join(f'({rule})' for rule in RULES.values())})")
+def _rules(columns: Sequence[str]) -> dict[str, str]:
+    """The rules for a frame with these columns; records from files tell if they are corrupt."""
+    if "corrupt" not in columns:
+        return RULES
+    others = " OR ".join(f"({rule})" for rule in RULES.values())
+    return {**RULES, CORRUPT: f"coalesce(corrupt, false) AND NOT ({others})"}
+
+
+def is_valid(columns: Sequence[str] = ()) -> Column:
+    """Whether a processed row of a frame with ``columns`` breaks no rule; never null."""
+    return F.expr(f"NOT ({' OR '.join(f'({rule})' for rule in _rules(columns).values())})")
 
 
-def reasons() -> Column:
+def reasons(columns: Sequence[str] = ()) -> Column:
     """Codes of the rules a processed row breaks, as an array.
 
     A row without a single field came from a message that could not be read
     at all; it gets that one reason instead of one per field.
     """
     fields = ", ".join(f"CAST({name} AS STRING)" for name in RAW_SCHEMA.names)
-    codes = ", ".join(f"IF({rule}, '{code}', NULL)" for code, rule in RULES.items())
+    codes = ", ".join(f"IF({rule}, '{code}', NULL)" for code, rule in _rules(columns).items())
     return F.expr(
         f"IF(coalesce({fields}) IS NULL, array('{MALFORMED}'), split(concat_ws(',', {codes}), ','))"
     )
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows as they are, and the refused rows with their ``reasons``."""
-    return df.where(is_valid()), df.where(~is_valid()).withColumn("reasons", reasons())
+    """Valid rows as they are, and the refused rows with their ``reasons``.
+
+    Two frames over one source: whoever uses both reads it twice. Where that
+    is dear, as with parsed text, stage the source first, or use
+    ``streaming.store.judged``, which marks the rows in one pass.
+    """
+    accepted = is_valid(df.columns)
+    return df.where(accepted), df.where(~accepted).withColumn("reasons", reasons(df.columns))

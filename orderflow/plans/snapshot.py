@@ -24,6 +24,7 @@ from orderflow.plans.rollup import (
     metric_frames,
 )
 from orderflow.session import path_exists
+from orderflow.sources.files import json_value
 
 SNAPSHOT_SCHEMA = (
     StructType()
@@ -57,18 +58,22 @@ def empty_snapshot(spark: SparkSession) -> DataFrame:
 def read_snapshot_rows(
     spark: SparkSession, path: str, version: int | None = None
 ) -> DataFrame:
-    """The long metric frame of a version, by default the newest; empty if none is stored.
+    """The long metric frame of a version, by default the newest.
 
-    While a stream is writing, ``TransactionStore.snapshot_rows`` knows which
-    version is finished.
+    Empty if none was asked for and none is stored; a version that was asked
+    for and is not there is an error. The tables of a stream are read through
+    ``TransactionStore.snapshot_rows``.
     """
+    if version is not None:
+        folder = f"{path}/batch_id={version}"
+        if not path_exists(spark, folder):
+            raise ValueError(f"version {version} is not stored at {path}")
+        return spark.read.schema(SNAPSHOT_SCHEMA).option("basePath", path).parquet(folder)
     if not path_exists(spark, path):
         return empty_snapshot(spark)
     stored = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
-    if version is None:
-        wanted = stored.select(F.max("batch_id")).scalar()
-        return stored.where(F.col("batch_id") == wanted)
-    return stored.where(F.col("batch_id") == version)
+    wanted = stored.select(F.max("batch_id")).scalar()
+    return stored.where(F.col("batch_id") == wanted)
 
 
 def snapshot_tables(rows: DataFrame) -> dict[str, DataFrame]:
@@ -136,12 +141,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """
     if not path_exists(spark, path):
         text = spark.createDataFrame([], "text string, computed_at timestamp")
-        return text.withColumn("document", F.try_parse_json("text"))
+        return text.withColumn("document", json_value(F.col("text")))
     text = spark.read.text(path, wholetext=True).select(
         F.btrim("value", F.lit(" \t\r\n")).alias("text"),
         F.col("_metadata.file_modification_time").alias("computed_at"),
     )
-    return text.withColumn("document", F.try_parse_json("text"))
+    return text.withColumn("document", json_value(F.col("text")))
 
 
 def document_tables(documents: DataFrame) -> dict[str, DataFrame]:

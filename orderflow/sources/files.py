@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from orderflow.functions.display import DISPLAY_SOURCES, to_display
 from orderflow.schema import RAW_SCHEMA
@@ -15,12 +15,14 @@ from orderflow.session import path_exists
 WRAPPER_KEYS = ("transactions", "recent_transactions")
 
 _CORRUPT = "_corrupt_record"
-_CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False}
+_UNREAD = [StructField("message", StringType()), StructField("corrupt", BooleanType())]
+# Without pruning a row's fate does not depend on the columns a query uses.
+_CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False, "columnPruning": False}
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
+def csv_header(spark: SparkSession, path: str, quoted_lines: bool = False) -> list[str]:
     """Column names of a CSV data set; reads its first line only."""
-    return spark.read.options(header=True, escape='"').csv(path).columns
+    return spark.read.options(header=True, escape='"', multiLine=quoted_lines).csv(path).columns
 
 
 def _csv_schema(header: list[str]) -> StructType:
@@ -39,13 +41,34 @@ def _raw_columns(df: DataFrame) -> list[Column]:
     ]
 
 
+def _unread(rows: DataFrame) -> list[Column]:
+    """Text of an unreadable row as ``message``, and whether the row is one as ``corrupt``."""
+    # The reader converts, and so finds fault with, only the fields a query asks
+    # for; the text therefore asks for all that have to be converted, and for one at least.
+    kinds = {f.name: f.dataType for f in rows.schema if f.name != _CORRUPT}
+    typed = [name for name, kind in kinds.items() if kind != StringType()] or list(kinds)[:1]
+    seen = F.coalesce(*[F.col(f"`{name}`").cast("string") for name in typed], F.col(_CORRUPT))
+    text = F.when(seen.isNotNull(), F.col(_CORRUPT))
+    return [text.alias("message"), text.isNotNull().alias("corrupt")]
+
+
 def _read_csv(
-    spark: SparkSession, path: str, streaming: bool, header: list[str] | None, options: dict
+    spark: SparkSession,
+    path: str,
+    streaming: bool,
+    header: list[str] | None,
+    quoted_lines: bool,
+    options: dict,
 ) -> DataFrame:
-    header = header or (RAW_SCHEMA.names if streaming else csv_header(spark, path))
+    header = header or (
+        RAW_SCHEMA.names if streaming else csv_header(spark, path, quoted_lines)
+    )
+    if not header:
+        return spark.createDataFrame([], StructType([*RAW_SCHEMA, *_UNREAD]))
     reader = spark.readStream if streaming else spark.read
-    rows = reader.schema(_csv_schema(header)).options(**_CSV_OPTIONS, **options).csv(path)
-    return rows.select(*_raw_columns(rows), F.col(_CORRUPT).alias("message"))
+    chosen = {**_CSV_OPTIONS, "multiLine": quoted_lines, **options}
+    rows = reader.schema(_csv_schema(header)).options(**chosen).csv(path)
+    return rows.select(*_raw_columns(rows), *_unread(rows))
 
 
 def _read_json(
@@ -65,7 +88,7 @@ def _read_json(
     records = F.coalesce(
         *[F.when(F.size(key) > 0, F.col(key)) for key in WRAPPER_KEYS], itself
     )
-    return rows.select(F.inline(records), F.col(_CORRUPT).alias("message"))
+    return rows.select(F.inline(records), *_unread(rows))
 
 
 def read_transactions_files(
@@ -74,32 +97,57 @@ def read_transactions_files(
     fmt: str = "csv",
     streaming: bool = False,
     header: list[str] | None = None,
+    quoted_lines: bool = False,
     **options: object,
 ) -> DataFrame:
-    """Raw transactions from files, with the text of unreadable rows in ``message``.
+    """Raw transactions from files; unreadable rows are ``corrupt``, with their text in ``message``.
 
     ``fmt`` is ``csv``, ``ndjson`` (one object per line) or ``json`` (whole
     files: a list, an object wrapping a list, or a single object). CSV columns
     go by their header names; a stream of CSV files takes them from
     ``header``, by default the raw field order, and fails on other headers.
-    Whole-file JSON cannot be split, so large data belongs into the others.
+    Whole-file JSON cannot be split, so large data belongs into the others; nor
+    can CSV files with ``quoted_lines``, line breaks within quotes, which
+    otherwise make a row corrupt. An empty CSV file has no rows.
     """
     if fmt == "csv":
-        return _read_csv(spark, path, streaming, header, options)
+        return _read_csv(spark, path, streaming, header, quoted_lines, options)
     if fmt in ("json", "ndjson"):
         return _read_json(spark, path, streaming, fmt == "json", options)
     raise ValueError(f"unknown transaction file format: {fmt!r}")
 
 
+def json_value(text: Column) -> Column:
+    """The JSON value that a text consists of; null where it is none, or more than one.
+
+    The parser takes the first value of a text and leaves the rest. Inside of
+    brackets and braces alike, nothing can follow the value unseen.
+    """
+    alone = F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>"
+    )
+    also = F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
+    return F.when((F.size(alone) == 1) & also.isNotNull(), F.get(alone, F.lit(0)))
+
+
 def _recent_json(spark: SparkSession, path: str) -> DataFrame:
-    """Items of whole-file JSON with their position, fields as text under any known name."""
-    whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("whole"))
+    """Items of a JSON file with their position, fields as text under any known name.
+
+    A file that is no single JSON value is taken as one value per line, and
+    lines that are none are passed over.
+    """
+    whole = spark.read.text(path, wholetext=True).select("value", json_value(F.col("value")).alias("whole"))
 
     def items(inner: str) -> Column:
         return F.try_variant_get("whole", inner, "array<variant>")
 
     lists = [F.when(F.size(items(f"$.{key}")) > 0, items(f"$.{key}")) for key in WRAPPER_KEYS]
-    found = F.coalesce(items("$"), *lists, F.array("whole"))
+    lines = F.filter(
+        F.transform(F.split("value", "\\r?\\n"), json_value), lambda item: item.isNotNull()
+    )
+    found = F.when(F.col("whole").isNull(), lines).otherwise(
+        F.coalesce(items("$"), *lists, F.array("whole"))
+    )
     names = sorted({name for group in DISPLAY_SOURCES.values() for name in group})
     return whole.select(F.posexplode(found).alias("position", "item")).select(
         F.col("position").alias("place"),

@@ -13,18 +13,40 @@ from orderflow.sources.kafka import read_transactions_kafka
 from orderflow.streaming.store import TransactionStore
 
 
+# What the service takes per batch, and when it archives, unless the session says otherwise.
+MAX_OFFSETS_PER_TRIGGER = 1_000_000
+ARCHIVE_EVERY = 360
+ARCHIVE_LEAVE = 100
+ARCHIVE_WAIT_SECONDS = 3600
+
+
 def process_batch(
-    batch_df: DataFrame, batch_id: int, root: str, validate: bool = True, **options: object
+    batch_df: DataFrame,
+    batch_id: int,
+    root: str,
+    validate: bool = True,
+    archive_every: int | None = None,
+    archive_leave: int = ARCHIVE_LEAVE,
+    archive_wait_seconds: int = ARCHIVE_WAIT_SECONDS,
+    **options: object,
 ) -> bool:
     """Add one micro-batch of processed rows to the tables below ``root``.
 
     For use with ``foreachBatch``. The stream's own id ties the tables to its
     checkpoint, so that batch numbers of another stream are not mixed in.
+
+    After every ``archive_every`` batches, all but the newest ``archive_leave``
+    move into the archive, and their own folders go once they have been there
+    for ``archive_wait_seconds``: so long may a reader be on an older plan.
     """
     spark = batch_df.sparkSession
     stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
     store = TransactionStore(spark, root)
-    return store.add_batch(batch_df, batch_id, stream_id, validate=validate, **options)
+    added = store.add_batch(batch_df, batch_id, stream_id, validate=validate, **options)
+    if archive_every and (batch_id + 1) % archive_every == 0:
+        store.compact(archive_leave)
+        store.drop_archived(archive_wait_seconds)
+    return added
 
 
 def start_stream(
@@ -52,21 +74,32 @@ def start_stream(
 def main() -> None:
     """Run the pipeline from Kafka until it is stopped.
 
-    Servers, topic and folders come from the environment. How much one batch
-    takes and over how many tasks a narrow topic is spread come from the
-    session: ``spark.orderflow.maxOffsetsPerTrigger`` and ``.minPartitions``.
+    Servers, topic and folders come from the environment, figures from the
+    session, below ``spark.orderflow``: ``maxOffsetsPerTrigger`` (by default
+    ``MAX_OFFSETS_PER_TRIGGER``), ``minPartitions``, over which a narrow topic
+    is spread, and ``archiveEvery``, ``archiveLeave`` and ``archiveWaitSeconds``.
     """
     spark = build_session("orderflow-stream")
-    most = spark.conf.get("spark.orderflow.maxOffsetsPerTrigger", None)
-    tasks = spark.conf.get("spark.orderflow.minPartitions", None)
+
+    def figure(name: str, default: int | None) -> int | None:
+        value = spark.conf.get(f"spark.orderflow.{name}", None)
+        return int(value) if value else default
+
     messages = read_transactions_kafka(
         spark,
-        max_offsets_per_trigger=int(most) if most else None,
-        min_partitions=int(tasks) if tasks else None,
+        max_offsets_per_trigger=figure("maxOffsetsPerTrigger", MAX_OFFSETS_PER_TRIGGER),
+        min_partitions=figure("minPartitions", None),
     )
     root = os.environ.get("ANALYTICS_OUTPUT_PATH") or f"{shared_folder(spark)}/orderflow/service"
     checkpoint = os.environ.get("ANALYTICS_CHECKPOINT_LOCATION")
-    start_stream(process(messages), root, checkpoint).awaitTermination()
+    start_stream(
+        process(messages),
+        root,
+        checkpoint,
+        archive_every=figure("archiveEvery", ARCHIVE_EVERY),
+        archive_leave=figure("archiveLeave", ARCHIVE_LEAVE),
+        archive_wait_seconds=figure("archiveWaitSeconds", ARCHIVE_WAIT_SECONDS),
+    ).awaitTermination()
 
 
 if __name__ == "__main__":

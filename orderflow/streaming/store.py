@@ -3,33 +3,49 @@
 Below one root folder, each with one folder per micro-batch:
 
 ``transactions``  every row of the batch, marked accepted or refused
-``state``         the margins of all batches so far (see ``plans.rollup``)
-``snapshot``      the metrics that follow from the state
-``recent``        the latest transactions so far
-``versions``      one row per finished batch, written last
+``state``         margins (see ``plans.rollup``): ``day=all`` those of the text
+                  dimensions over all batches, and a folder for each day that
+                  the batch had rows of, with the minutes of that day
+``versions``      one row per finished batch, written last: where the state of
+                  each day lies, the latest transactions, and totals
 ``archive``       transactions of many old batches in fewer, larger files
 ``archives``      one row per finished archive folder, written after it
 
 A version record makes a batch visible. All else is written before it and
 overwritten when a batch is run again, so a crash at any point leaves the last
-finished version readable and counts the repeated batch once.
-
-State is carried from version to version. A micro-batch therefore costs its
-own rows plus the state, which has one row per value of each dimension and per
-minute; the transactions of earlier batches are not read again.
+finished version readable and counts the repeated batch once. What has no
+record is never read: a folder that a broken-off archive run left is passed
+over and removed by the next one.
+
+State is carried from version to version. A micro-batch costs its own rows,
+one row per value of each text dimension, and the minutes of the days it has
+rows of; other days stay where they are, and the transactions of earlier
+batches are not read again. The metrics follow from the state when they are read.
 """
 
 from __future__ import annotations
 
+import json
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from orderflow.functions.quality import is_valid, reasons
 from orderflow.operators.explore import latest
 from orderflow.operators.windows import as_interval
-from orderflow.plans.rollup import MARGIN_COLUMNS, snapshot_rows, state_of
-from orderflow.plans.snapshot import empty_snapshot, read_snapshot_rows, write_snapshot
+from orderflow.plans.rollup import MARGIN_COLUMNS, MINUTE, snapshot_rows, state_of
+from orderflow.plans.snapshot import SNAPSHOT_SCHEMA, empty_snapshot
 from orderflow.schema import PROCESSED_SCHEMA
 from orderflow.session import child_names, delete_path, path_exists, stored_bytes
 
@@ -53,8 +69,12 @@ ARCHIVE_SCHEMA = StructType(
         StructField("upto", LongType()),
     ]
 )
-ARCHIVES_SCHEMA = StructType([StructField("rows_from", LongType()), _BATCH])
-RECENT_SCHEMA = StructType([StructField("arrived_in", LongType()), *PROCESSED_SCHEMA, _BATCH])
+ARCHIVES_SCHEMA = StructType(
+    [StructField("rows_from", LongType()), StructField("written_at", TimestampType()), _BATCH]
+)
+RECENT_SCHEMA = StructType([StructField("arrived_in", LongType()), *PROCESSED_SCHEMA])
+# The state folder of what belongs to no day.
+ALL_DAYS = "all"
 STATE_SCHEMA = (
     StructType()
     .add("dimension", "string")
@@ -62,6 +82,7 @@ STATE_SCHEMA = (
     .add("time", "timestamp")
     .add("order_count", "long")
     .add("amount", "double")
+    .add("day", "string")
     .add(_BATCH)
 )
 VERSION_SCHEMA = (
@@ -70,6 +91,10 @@ VERSION_SCHEMA = (
     .add("accepted_rows", "long")
     .add("latest_micros", "long")
     .add("computed_at", "timestamp")
+    .add("written_at", "timestamp")
+    .add("days", MapType(StringType(), LongType()))
+    .add("recent_kept", "integer")
+    .add("recent", ArrayType(RECENT_SCHEMA))
     .add(_BATCH)
 )
 
@@ -81,11 +106,11 @@ def judged(df: DataFrame, validate: bool = True) -> DataFrame:
     row rules.
     """
     rows = df if "message" in df.columns else df.withColumn("message", F.lit(None).cast("string"))
-    accepted = is_valid() if validate else F.lit(True)
+    accepted = is_valid(rows.columns) if validate else F.lit(True)
     return rows.select(
         *[F.col(field.name).cast(field.dataType) for field in PROCESSED_SCHEMA],
         F.when(~accepted, F.col("message")).alias("message"),
-        F.when(~accepted, reasons()).alias("reasons"),
+        F.when(~accepted, reasons(rows.columns)).alias("reasons"),
         accepted.alias("accepted"),
     )
 
@@ -96,15 +121,20 @@ def write_batch(
     """Write a micro-batch as folder ``batch_id`` of the transaction table.
 
     Accepted and refused rows go out in one pass over the source, which also
-    observes the number of ``rows`` and the ``latest`` accepted event time, in
-    microseconds. Running a batch again replaces its folder, also where it now
+    observes the number of ``rows``, of ``accepted`` ones, and the ``latest``
+    accepted event time, in microseconds. Running a batch again replaces its folder, also where it now
     has no rows.
     """
     seen = Observation()
     accepted_time = F.when(F.col("accepted"), F.unix_micros("timestamp"))
     (
         judged(batch_df, validate)
-        .observe(seen, F.count(F.lit(1)).alias("rows"), F.max(accepted_time).alias("latest"))
+        .observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if("accepted").alias("accepted"),
+            F.max(accepted_time).alias("latest"),
+        )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("accepted")
@@ -151,6 +181,13 @@ class TransactionStore:
         reader = self.spark.read.schema(schema).option("basePath", self.path(table))
         return reader.parquet(self._folder(table, batch_id))
 
+    def _read_folders(self, table: str, schema: StructType, folders: list[str]) -> DataFrame:
+        """Some folders of a table, without listing the others."""
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        return reader.parquet(*folders)
+
     def _batch_folders(self, table: str) -> list[int]:
         """Numbers of the batches a table has a folder for, finished or not."""
         names = [name.partition("=") for name in child_names(self.spark, self.path(table))]
@@ -158,28 +195,45 @@ class TransactionStore:
 
     def newest(self) -> Row | None:
         """The version record of the newest finished batch."""
-        return self._read("versions", VERSION_SCHEMA).orderBy(F.col("batch_id").desc()).first()
+        for number in sorted(self._batch_folders("versions"), reverse=True):
+            record = self.version(number)
+            if record is not None:
+                return record
+        return None
+
+    def version(self, batch_id: int) -> Row | None:
+        """The record of a finished batch, None if there is none (any more)."""
+        if not path_exists(self.spark, self._folder("versions", batch_id)):
+            return None
+        return self._read_version("versions", VERSION_SCHEMA, batch_id).first()
 
     # --- reading -----------------------------------------------------------
 
+    def _archives(self) -> list[Row]:
+        """The records of finished archive folders, oldest first."""
+        return self._read("archives", ARCHIVES_SCHEMA).orderBy("batch_id").collect()
+
     def _finished_transactions(self) -> DataFrame:
         newest = self.newest()
         bound = -1 if newest is None else newest["batch_id"]
-        archived = self.archived_upto()
-        rows = self._read("transactions", TRANSACTION_SCHEMA).where(
-            (F.col("batch_id") > archived) & (F.col("batch_id") <= bound)
+        archives = [record["batch_id"] for record in self._archives()]
+        archived = max(archives, default=-1)
+        fresh = [n for n in self._batch_folders("transactions") if archived < n <= bound]
+        rows = self._read_folders(
+            "transactions", TRANSACTION_SCHEMA, [self._folder("transactions", n) for n in fresh]
         )
-        if archived < 0:
+        if not archives:
             return rows
-        old = self._read("archive", ARCHIVE_SCHEMA).where(F.col("upto") <= archived)
+        old = self._read_folders(
+            "archive", ARCHIVE_SCHEMA, [f"{self.path('archive')}/upto={n}" for n in archives]
+        )
         return rows.unionByName(
             old.withColumnRenamed("arrived_in", "batch_id").select(*TRANSACTION_SCHEMA.names)
         )
 
     def archived_upto(self) -> int:
         """The last batch whose transactions are in the archive, -1 if there is none."""
-        record = self._read("archives", ARCHIVES_SCHEMA).orderBy(F.col("batch_id").desc()).first()
-        return -1 if record is None else record["batch_id"]
+        return max((record["batch_id"] for record in self._archives()), default=-1)
 
     def history(self) -> DataFrame:
         """All accepted transactions of finished batches, with their ``batch_id``."""
@@ -190,20 +244,49 @@ class TransactionStore:
         """All refused transactions of finished batches, with message and reasons."""
         return self._finished_transactions().where(~F.col("accepted")).drop("accepted")
 
-    def snapshot_rows(self) -> DataFrame:
-        """The newest metrics as one long frame."""
-        newest = self.newest()
-        if newest is None:
+    def _state(self, record: Row, days: list[str] | None = None) -> DataFrame:
+        """The margins of a version, of all days or of some and what belongs to none."""
+        batches = {ALL_DAYS: record["batch_id"], **record["days"]}
+        chosen = batches if days is None else [ALL_DAYS, *(d for d in days if d in batches)]
+        folders = [f"{self._folder('state', batches[day])}/day={day}" for day in chosen]
+        # A version without an accepted row has written no folder at all.
+        if not record["accepted_rows"]:
+            folders = []
+        return self._read_folders("state", STATE_SCHEMA, folders).select(*MARGIN_COLUMNS)
+
+    def snapshot_rows(self, version: int | None = None) -> DataFrame:
+        """The metrics of a version, by default the newest, as one long frame.
+
+        Empty while there is no version. One that was asked for and is not
+        there, because it was never finished or is past its time, is an error.
+        The frame reads the version's files when it is used: see ``add_batch``
+        for how long these are kept.
+        """
+        record = self.newest() if version is None else self.version(version)
+        if record is None and version is not None:
+            raise ValueError(f"version {version} is not stored below {self.root}")
+        if record is None:
             return empty_snapshot(self.spark)
-        return read_snapshot_rows(self.spark, self.path("snapshot"), newest["batch_id"])
+        rows = snapshot_rows(self._state(record))
+        return rows.select(
+            "*",
+            F.lit(record["computed_at"]).cast("timestamp").alias("computed_at"),
+            F.lit(record["batch_id"]).cast("bigint").alias("batch_id"),
+        ).select(*SNAPSHOT_SCHEMA.names)
 
     def recent(self, n: int = 20) -> DataFrame:
-        """The latest accepted transactions, newest first; at most as many as were kept."""
+        """The latest ``n`` accepted transactions, newest first.
+
+        The version record has the last few; for more, history is read.
+        """
         newest = self.newest()
         if newest is None:
-            return self.spark.createDataFrame([], RECENT_SCHEMA).drop("batch_id")
-        kept = self._read_version("recent", RECENT_SCHEMA, newest["batch_id"])
-        return _latest_arrivals(kept, n)
+            return self.spark.createDataFrame([], RECENT_SCHEMA)
+        if n <= max(newest["recent_kept"], len(newest["recent"])) or newest["accepted_rows"] <= len(newest["recent"]):
+            kept = self.spark.createDataFrame(newest["recent"], RECENT_SCHEMA)
+            return _latest_arrivals(kept, n)
+        rows = latest(self.history(), n).withColumnRenamed("batch_id", "arrived_in")
+        return rows.select(*RECENT_SCHEMA.names)
 
     # --- writing -----------------------------------------------------------
 
@@ -218,9 +301,14 @@ class TransactionStore:
         validate: bool = True,
         recent: int = 20,
         keep: int = 3,
+        keep_seconds: int = 3600,
         computed_at: Column | None = None,
     ) -> bool:
-        """Add a micro-batch to all tables; False if it was empty or added before."""
+        """Add a micro-batch to all tables; False if it was empty or added before.
+
+        A version stays for ``keep_seconds`` at least, and the newest ``keep``
+        stay whatever their age: so long may a reader be on a frame it made.
+        """
         previous = self.newest()
         if previous is not None:
             if previous["stream_id"] != stream_id:
@@ -237,39 +325,55 @@ class TransactionStore:
         accepted = read_batch(self.spark, batch_id, self.path("transactions")).where(
             F.col("accepted")
         )
+        # As many days as a batch has rows of.
+        day = F.date_format("timestamp", "yyyy-MM-dd")
+        touched = [r[0] for r in accepted.select(day).distinct().collect() if r[0] is not None]
 
+        times = [seen["latest"], previous and previous["latest_micros"]]
+        latest_micros = max((time for time in times if time is not None), default=None)
+        bound = F.timestamp_micros(F.lit(latest_micros).cast("bigint")) - as_interval("1 minute")
+        before = None if previous is None else self._state(previous, touched)
+        self._write_state(state_of(accepted, before, bound), batch_id)
+
+        now = F.current_timestamp() if computed_at is None else computed_at
         arrivals = latest(accepted.drop("batch_id"), recent).select(
             F.lit(batch_id).cast("bigint").alias("arrived_in"), *PROCESSED_SCHEMA.fieldNames()
         )
-        state_before = None
+        days = dict.fromkeys(touched, batch_id)
+        rows = seen["accepted"]
         if previous is not None:
-            version = previous["batch_id"]
-            state_before = self._read_version("state", STATE_SCHEMA, version)
             arrivals = arrivals.unionByName(
-                self._read_version("recent", RECENT_SCHEMA, version).drop("batch_id")
+                self.spark.createDataFrame(previous["recent"], RECENT_SCHEMA)
             )
-        times = [seen["latest"], previous and previous["latest_micros"]]
-        latest_micros = max((time for time in times if time is not None), default=None)
-        bound = F.timestamp_micros(F.lit(latest_micros).cast("bigint")) - as_interval("1 minute")
-        state = state_of(accepted, state_before, bound).select(*MARGIN_COLUMNS)
-        self._write(state, "state", batch_id)
-        self._write(_latest_arrivals(arrivals, recent), "recent", batch_id)
-
-        now = F.current_timestamp() if computed_at is None else computed_at
-        merged = self._read_version("state", STATE_SCHEMA, batch_id)
-        write_snapshot(snapshot_rows(merged), self.path("snapshot"), batch_id, now)
-
-        total = F.coalesce(F.sum("order_count"), F.lit(0)).cast("bigint")
-        version = merged.where(F.col("dimension") == "order_status").agg(
+            days = {**previous["days"], **days}
+            rows += previous["accepted_rows"]
+        listed = F.collect_list(F.struct(*RECENT_SCHEMA.names)).alias("recent")
+        version = _latest_arrivals(arrivals, recent).agg(listed).select(
             F.lit(stream_id).alias("stream_id"),
-            total.alias("accepted_rows"),
+            F.lit(rows).cast("bigint").alias("accepted_rows"),
             F.lit(latest_micros).cast("bigint").alias("latest_micros"),
-            F.max(now.cast("timestamp")).alias("computed_at"),
+            now.cast("timestamp").alias("computed_at"),
+            F.current_timestamp().alias("written_at"),
+            F.from_json(F.lit(json.dumps(days)), MapType(StringType(), LongType())).alias("days"),
+            F.lit(recent).alias("recent_kept"),
+            "recent",
         )
         self._write(version, "versions", batch_id)
-        self._forget_before(batch_id, keep)
+        self._forget_before(batch_id, keep, keep_seconds)
         return True
 
+    def _write_state(self, state: DataFrame, batch_id: int) -> None:
+        """Margins of the touched days and of all text values, a file for each folder."""
+        day = F.when(F.col("dimension") == MINUTE, F.date_format("time", "yyyy-MM-dd"))
+        rows = state.select(*MARGIN_COLUMNS, F.coalesce(day, F.lit(ALL_DAYS)).alias("day"))
+        (
+            rows.repartition("day")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("day")
+            .parquet(self._folder("state", batch_id))
+        )
+
     def compact(self, leave: int = 100) -> bool:
         """Move all but the newest ``leave`` batches into one archive folder.
 
@@ -280,14 +384,16 @@ class TransactionStore:
         the archive as soon as its record is there; ``drop_archived`` then
         removes the old folders.
         """
-        newest, archived = self.newest(), self.archived_upto()
+        newest, records = self.newest(), self._archives()
+        archived = max((record["batch_id"] for record in records), default=-1)
         upto = -1 if newest is None else newest["batch_id"] - leave
+        self._drop_orphans({f"upto={record['batch_id']}" for record in records})
         if upto <= archived:
             return False
         moving = [n for n in self._batch_folders("transactions") if archived < n <= upto]
         size = sum(stored_bytes(self.spark, self._folder("transactions", n)) for n in moving)
-        rows = self._read("transactions", TRANSACTION_SCHEMA).where(
-            (F.col("batch_id") > archived) & (F.col("batch_id") <= upto)
+        rows = self._read_folders(
+            "transactions", TRANSACTION_SCHEMA, [self._folder("transactions", n) for n in moving]
         )
         (
             rows.withColumnRenamed("batch_id", "arrived_in")
@@ -299,29 +405,63 @@ class TransactionStore:
             .partitionBy("accepted")
             .parquet(f"{self.path('archive')}/upto={upto}")
         )
-        record = self.spark.range(1).select(F.lit(archived + 1).cast("bigint").alias("rows_from"))
+        record = self.spark.range(1).select(
+            F.lit(archived + 1).cast("bigint").alias("rows_from"),
+            F.current_timestamp().alias("written_at"),
+        )
         self._write(record, "archives", upto)
         return True
 
-    def drop_archived(self) -> int:
-        """Delete the batch folders that are in the archive; returns how many.
+    def _drop_orphans(self, finished: set[str]) -> None:
+        """Remove what a broken-off run left in the archive: folders without a record."""
+        for name in child_names(self.spark, self.path("archive")):
+            if name.startswith("upto=") and name not in finished:
+                delete_path(self.spark, f"{self.path('archive')}/{name}")
+
+    def drop_archived(self, wait_seconds: int = 0) -> int:
+        """Delete the batch folders that have been in the archive for a while; returns how many.
 
-        Call it when no reader can still be on a plan from before the archive.
+        Wait as long as a reader may be on a plan from before the archive.
         """
-        archived = self.archived_upto()
+        since = _seconds_ago(wait_seconds)
+        archived = max(
+            (r["batch_id"] for r in self._archives() if _utc(r["written_at"]) <= since), default=-1
+        )
         outdated = [n for n in self._batch_folders("transactions") if n <= archived]
         for number in outdated:
             delete_path(self.spark, self._folder("transactions", number))
         return len(outdated)
 
-    def _forget_before(self, batch_id: int, keep: int) -> None:
-        """Drop all but the newest ``keep`` versions; transactions are never dropped."""
-        numbers = self._batch_folders("versions")
-        outdated = sorted((n for n in numbers if n <= batch_id), reverse=True)[keep:]
-        # The record goes first, so that no reader takes a version that is going.
-        for number in outdated:
-            for table in ("versions", "snapshot", "recent", "state"):
-                delete_path(self.spark, self._folder(table, number))
+    def _forget_before(self, batch_id: int, keep: int, keep_seconds: int) -> None:
+        """Drop versions that are neither new nor young, and the state only they refer to.
+
+        Transactions are never dropped.
+        """
+        numbers = sorted(n for n in self._batch_folders("versions") if n <= batch_id)
+        since = _seconds_ago(keep_seconds)
+        # Oldest first, up to the first that stays: young ones are not looked at.
+        for number, after in zip(numbers, numbers[1 : len(numbers) - keep + 1]):
+            gone, left = self.version(number), self.version(after)
+            if gone is not None and _utc(gone["written_at"]) > since:
+                break
+            # The record goes first, so that no reader takes a version that is going.
+            delete_path(self.spark, self._folder("versions", number))
+            if gone is None:
+                continue
+            delete_path(self.spark, f"{self._folder('state', number)}/day={ALL_DAYS}")
+            # What the next version has elsewhere, no later one refers to.
+            for day, batch in gone["days"].items():
+                if left is not None and left["days"].get(day) != batch:
+                    delete_path(self.spark, f"{self._folder('state', batch)}/day={day}")
+
+
+def _utc(time: datetime) -> datetime:
+    """A collected time, which is local and bare, with its zone."""
+    return time.astimezone(timezone.utc)
+
+
+def _seconds_ago(seconds: int) -> datetime:
+    return datetime.now(timezone.utc) - timedelta(seconds=seconds)
 
 
 def _latest_arrivals(rows: DataFrame, n: int) -> DataFrame:

@@ -14,6 +14,7 @@ from orderflow.schema import PROCESSED_SCHEMA, RAW_SCHEMA
 from orderflow.sources.files import read_transactions_files, recent_from_file
 from orderflow.sources.kafka import kafka_options, read_transactions_kafka
 from orderflow.sources.publish import publish_transactions, to_messages
+from orderflow.streaming.store import judged
 
 HEADER = ",".join(RAW_SCHEMA.names)
 LINE = "O1,2026-09-21 10:00:00,C1,P1,Pen,Books,1,10,0,Salem,UPI,Completed"
@@ -31,8 +32,8 @@ def raw(spark, *rows):
 
 def test_csv(spark, tmp_path):
     rows = read_transactions_files(spark, csv(tmp_path, LINE))
-    assert rows.columns == [*RAW_SCHEMA.names, "message"]
-    assert tuple(rows.first()) == (*order(), None)
+    assert rows.columns == [*RAW_SCHEMA.names, "message", "corrupt"]
+    assert tuple(rows.first()) == (*order(), None, False)
     assert process_records(rows).select(*PROCESSED_SCHEMA.names).first().total_amount == 10.0
 
 
@@ -56,6 +57,41 @@ def test_csv_bad_and_empty_numbers(spark, tmp_path):
     assert [r.reasons for r in refused.collect()] == [["bad_quantity"]] * 2
 
 
+def test_csv_rows_of_the_wrong_length_are_refused_with_their_text(spark, tmp_path):
+    short, long = LINE.rpartition(",")[0], LINE + ",more"
+    path = csv(tmp_path, LINE, short, long)
+    rows = process_records(read_transactions_files(spark, path))
+    valid, refused = split_valid(rows)
+    assert valid.count() == 1
+    assert {(r.message, tuple(r.reasons)) for r in refused.collect()} == {
+        (short, ("corrupt_record",)),
+        (long, ("corrupt_record",)),
+    }
+    kept = judged(rows).where("not accepted").select("message")
+    assert {r.message for r in kept.collect()} == {short, long}
+
+
+def test_csv_text_of_bad_rows_does_not_depend_on_the_columns_read(spark, tmp_path):
+    bad = LINE.replace(",1,10,", ",x,10,")
+    rows = read_transactions_files(spark, csv(tmp_path, LINE, bad))
+    for columns in (["order_id", "message"], ["message"], ["message", "quantity"]):
+        assert sorted(str(r.message) for r in rows.select(*columns).collect()) == sorted(["None", bad])
+    assert rows.where("message is not null").count() == 1
+
+
+def test_csv_quoted_line_breaks_and_empty_files(spark, tmp_path):
+    path = csv(tmp_path, LINE.replace("Pen", '"Pen\nblue"'), LINE)
+    whole = read_transactions_files(spark, path, quoted_lines=True)
+    assert sorted(r.product_name for r in whole.collect()) == ["Pen", "Pen\nblue"]
+    _, refused = split_valid(process_records(read_transactions_files(spark, path)))
+    assert refused.count() == 2
+    empty = tmp_path / "empty.csv"
+    empty.write_text("")
+    nothing = read_transactions_files(spark, str(empty))
+    assert nothing.columns == whole.columns and nothing.count() == 0
+    assert nothing.select("message").count() == 0
+
+
 def test_csv_stream_checks_its_header(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
@@ -112,7 +148,7 @@ def test_json_layouts(spark, tmp_path, wrap):
     items = [dict(zip(RAW_SCHEMA.names, order(f"O{n}"))) for n in range(3)]
     path = tmp_path / "orders.json"
     path.write_text(json.dumps(wrap(items), indent=2))
-    rows = read_transactions_files(spark, str(path), "json").drop("message").collect()
+    rows = read_transactions_files(spark, str(path), "json").drop("message", "corrupt").collect()
     assert [tuple(r) for r in rows] == [order(f"O{n}") for n in range(3)]
 
 
@@ -120,7 +156,7 @@ def test_json_single_object_and_lines(spark, tmp_path):
     item = json.dumps(dict(zip(RAW_SCHEMA.names, order())))
     single = tmp_path / "one.json"
     single.write_text(item)
-    assert tuple(read_transactions_files(spark, str(single), "json").first()) == (*order(), None)
+    assert tuple(read_transactions_files(spark, str(single), "json").first()) == (*order(), None, False)
     lines = tmp_path / "lines.json"
     lines.write_text(f"{item}\nbroken\n{item}\n")
     rows = read_transactions_files(spark, str(lines), "ndjson").collect()
@@ -209,3 +245,22 @@ def test_recent_csv_single_and_missing(spark, tmp_path):
     path.write_text(json.dumps(RECENT[0]))
     assert [tuple(r) for r in recent_from_file(spark, str(path)).collect()] == SHOWN[1:]
     assert recent_from_file(spark, str(tmp_path / "none.json")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ('{"order_id": "a"}\n{"order_id": "b"}\n', ["b", "a"]),
+        ('{"order_id": "a"}\nbroken {\n\r\n{"order_id": "b"}', ["b", "a"]),
+        ('[{"order_id": "a"}, {"order_id": "b"}]', ["b", "a"]),
+        ('{"order_id": "a"}] {"order_id": "b"}', []),
+        ('{"order_id": "a"}} {"order_id": "b"}', []),
+        ("no json at all", []),
+        ("", []),
+    ],
+)
+def test_recent_rows_of_json_files_of_any_layout(spark, tmp_path, text, found):
+    path = tmp_path / "recent.json"
+    path.write_text(text)
+    rows = recent_from_file(spark, str(path)).collect()
+    assert [r["Order ID"] for r in rows] == found

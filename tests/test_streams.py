@@ -109,9 +109,12 @@ def test_recent_goes_by_arrival(finished):
     assert [r.order_id for r in store.recent(1).collect()] == ["O5"]
 
 
-def test_recent_keeps_as_many_as_asked(spark, source, tmp_path):
+def test_recent_beyond_what_is_kept_comes_from_history(spark, source, tmp_path):
     store = run(spark, source, tmp_path / "root", recent=3)
-    assert [r.order_id for r in store.recent().collect()] == ["O5", "O4", "O3"]
+    assert len(store.newest()["recent"]) == 3
+    assert [r.order_id for r in store.recent(3).collect()] == ["O5", "O4", "O3"]
+    assert [r.order_id for r in store.recent(50).collect()] == ["O5", "O4", "O3", "O3", "O2", "O1"]
+    assert store.recent(50).schema == store.recent(3).schema
 
 
 def test_stream_goes_on_from_its_checkpoint(spark, source, tmp_path):
@@ -133,8 +136,8 @@ def test_the_same_batch_again_changes_nothing(spark, tmp_path):
     assert rows_of(store) == before and store.history().count() == 4
 
 
-@pytest.mark.parametrize("table", ["write_batch", "write_snapshot"])
-def test_a_batch_that_broke_off_is_counted_once(spark, tmp_path, monkeypatch, table):
+@pytest.mark.parametrize("step", ["write_batch", "_write_state", "_write"])
+def test_a_batch_that_broke_off_is_counted_once(spark, tmp_path, monkeypatch, step):
     root = str(tmp_path / "root")
     batches = [frame(spark, rows) for rows in BATCHES]
     process_batch(batches[0], 0, root)
@@ -143,13 +146,15 @@ def test_a_batch_that_broke_off_is_counted_once(spark, tmp_path, monkeypatch, ta
 
     import orderflow.streaming.store as module
 
-    original = getattr(module, table)
+    place = module if step == "write_batch" else TransactionStore
+    original = getattr(place, step)
 
     def broken(*args, **kwargs):
-        original(*args, **kwargs)
+        if step != "_write":
+            original(*args, **kwargs)
         raise OSError("lost")
 
-    monkeypatch.setattr(module, table, broken)
+    monkeypatch.setattr(place, step, broken)
     with pytest.raises(OSError):
         process_batch(batches[1], 1, root)
     # Nothing of the unfinished batch shows.
@@ -189,10 +194,50 @@ def test_another_stream_may_not_add_to_the_tables(spark, finished):
 def test_old_versions_go_and_transactions_stay(spark, tmp_path):
     root = str(tmp_path / "root")
     for number in range(6):
-        process_batch(frame(spark, BATCHES[0]), number, root, keep=2)
-    for table in ("versions", "state", "snapshot", "recent"):
-        assert set(child_names(spark, f"{root}/{table}")) == {"batch_id=4", "batch_id=5"}
-    assert TransactionStore(spark, root).history().count() == 12
+        process_batch(frame(spark, BATCHES[0]), number, root, keep=2, keep_seconds=0)
+    assert set(child_names(spark, f"{root}/versions")) == {"batch_id=4", "batch_id=5"}
+    store = TransactionStore(spark, root)
+    assert store.history().count() == 12
+    left = [n for n in range(6) if child_names(spark, f"{root}/state/batch_id={n}/day=all")]
+    assert left == [4, 5]
+    assert store.snapshot_rows(4).count() > 0
+    for gone in (0, 99):
+        with pytest.raises(ValueError, match="not stored"):
+            store.snapshot_rows(gone)
+
+
+def test_young_versions_stay_for_their_readers(spark, tmp_path):
+    root = str(tmp_path / "root")
+    process_batch(frame(spark, BATCHES[0]), 0, root, keep=1)
+    held = TransactionStore(spark, root).snapshot_rows()
+    before = as_set(held.select(*SNAPSHOT_COLUMNS))
+    for number in range(1, 5):
+        process_batch(frame(spark, BATCHES[0]), number, root, keep=1)
+    assert as_set(held.select(*SNAPSHOT_COLUMNS)) == before
+
+
+def files_below(folder):
+    return {str(f): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_a_batch_leaves_the_files_of_other_days_alone(spark, tmp_path):
+    root = tmp_path / "root"
+    days = [frame(spark, [order(f"O{d}", f"2026-09-{d:02d} 10:00:00")]) for d in range(1, 5)]
+    for number, rows in enumerate(days):
+        process_batch(rows, number, str(root), keep=1, keep_seconds=0)
+    before = files_below(root / "state")
+    # A late row of the second day, and one that has no day's company yet.
+    late = frame(spark, [order("L", "2026-09-02 10:00:30"), order("N", "2026-08-01 00:00:00")])
+    process_batch(late, 4, str(root), keep=1, keep_seconds=0)
+    after = files_below(root / "state")
+    same = {f.split("day=")[1][:10] for f in after if before.get(f) == after[f]}
+    assert same == {"2026-09-01", "2026-09-03", "2026-09-04"}
+    store = TransactionStore(spark, str(root))
+    assert store.newest()["days"] == {
+        "2026-09-01": 0, "2026-09-02": 4, "2026-09-03": 2, "2026-09-04": 3, "2026-08-01": 4}
+    assert len({f.split("day=")[1][:10] for f in after}) == len([f for f in after]) == 6
+    everything_sent = days[0].union(days[1]).union(days[2]).union(days[3]).union(late)
+    assert rows_of(store) == as_set(metrics_snapshot(everything_sent))
 
 
 def test_append_history_replaces_a_batch(spark, tmp_path):
@@ -226,6 +271,43 @@ def test_archive_keeps_every_row(spark, tmp_path):
     assert store.history().count() == len(BATCHES) * 4 + 2
 
 
+def test_an_archive_run_that_broke_off_leaves_no_second_copy(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "root")
+    store = TransactionStore(spark, root)
+    for number in range(4):
+        process_batch(frame(spark, BATCHES[0]), number, root)
+    write = TransactionStore._write
+
+    def lost(self, df, table, batch_id):
+        if table == "archives":
+            raise OSError("lost")
+        write(self, df, table, batch_id)
+
+    monkeypatch.setattr(TransactionStore, "_write", lost)
+    with pytest.raises(OSError):
+        store.compact(leave=2)
+    assert store.history().count() == 8
+    monkeypatch.undo()
+    # The bound moves on, so the next run writes another folder over the same batches.
+    process_batch(frame(spark, BATCHES[1]), 4, root)
+    assert store.compact(leave=2)
+    assert store.history().count() == 10 and store.quarantine().count() == 0
+    assert child_names(spark, f"{root}/archive") == ["upto=2"]
+    assert store.drop_archived(wait_seconds=3600) == 0
+    assert store.drop_archived() == 3 and store.history().count() == 10
+
+
+def test_the_service_archives_as_it_goes(spark, tmp_path):
+    source = tmp_path / "in"
+    for number in range(7):
+        put(source, number, text_of(order(f"O{number}", f"2026-09-21 10:0{number}:00")))
+    store = run(spark, source, tmp_path / "root", archive_every=3, archive_leave=1, archive_wait_seconds=0)
+    # After batches 2 and 5, all but the newest batch went to the archive.
+    assert store.archived_upto() == 4
+    assert set(child_names(spark, f"{store.root}/transactions")) == {"batch_id=5", "batch_id=6"}
+    assert store.history().count() == 7
+
+
 def test_archive_has_as_many_files_as_the_data_fills(spark, tmp_path, monkeypatch):
     import orderflow.streaming.store as module
 
