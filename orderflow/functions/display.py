@@ -64,9 +64,9 @@ def to_display(df: DataFrame) -> DataFrame:
 
 def currency_text(value: Column) -> Column:
     """Rupee text with two decimals, ``₹0.00`` for anything that is no number."""
-    return F.concat(
-        F.lit("₹"), F.coalesce(F.format_number(_number(value), 2), F.lit("0.00"))
-    )
+    number = _number(value)
+    number = F.when(~F.isnan(number), number)
+    return F.concat(F.lit("₹"), F.coalesce(F.format_number(number, 2), F.lit("0.00")))
 
 
 def integer_text(value: Column) -> Column:

@@ -20,10 +20,12 @@ def _equals(df: DataFrame, shown: str, wanted: str) -> Column:
     columns = _source_columns(df, shown)
     if not columns:
         return F.lit(wanted == MISSING_TEXT)
+    # One source is compared as it is, so that the comparison reaches the scan;
+    # of several the first that is filled counts, as it does on display.
+    value = columns[0] if len(columns) == 1 else F.coalesce(*[c.cast("string") for c in columns])
     if wanted == MISSING_TEXT:
-        return columns[0].isNull() | (columns[0] == wanted)
-    # A plain comparison, so that it reaches the scan.
-    return columns[0] == wanted
+        return value.isNull() | (value == wanted)
+    return value == wanted
 
 
 def _matches(df: DataFrame, shown: str, term: str, regex: bool) -> Column:

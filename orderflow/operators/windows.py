@@ -2,26 +2,46 @@
 
 from __future__ import annotations
 
+import math
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Seconds per unit of a duration text such as "10 minutes".
-UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+# Microseconds per unit of a duration text such as "10 minutes".
+UNIT_MICROS = {
+    "microsecond": 1,
+    "millisecond": 1_000,
+    "second": 1_000_000,
+    "minute": 60_000_000,
+    "hour": 3_600_000_000,
+    "day": 86_400_000_000,
+    "week": 604_800_000_000,
+}
+_PART = re.compile(r"([+-]?\d+(?:\.\d+)?)\s+([a-z]+?)s?(?:\s+|$)")
 
 
-def duration_seconds(duration: str) -> int:
-    """Seconds of a duration text: whole numbers of seconds up to weeks."""
-    match = re.fullmatch(r"\s*(\d+)\s+([a-z]+?)s?\s*", duration.lower())
-    if not match or match[2] not in UNIT_SECONDS:
+def duration_micros(duration: str) -> int:
+    """Microseconds of a duration text: units from microseconds to weeks, as often as wanted.
+
+    The texts that Spark's ``window`` takes, such as ``1 hour 30 minutes``.
+    """
+    text = re.sub(r"^\s*interval\s+", "", duration.lower()).strip()
+    total, at = 0, 0
+    for part in _PART.finditer(text):
+        if part.start() != at or part[2] not in UNIT_MICROS or "." in part[1] and part[2] != "second":
+            break
+        total += round(float(part[1]) * 1_000_000) if "." in part[1] else int(part[1]) * UNIT_MICROS[part[2]]
+        at = part.end()
+    if not text or at != len(text) or total <= 0:
         raise ValueError(f"not a duration: {duration!r}")
-    return int(match[1]) * UNIT_SECONDS[match[2]]
+    return total
 
 
 def as_interval(duration: str) -> Column:
     """A duration text as an interval to add to or take from a time."""
-    return F.expr(f"INTERVAL '{duration_seconds(duration)}' SECOND")
+    seconds, micros = divmod(duration_micros(duration), 1_000_000)
+    return F.expr(f"INTERVAL '{seconds}.{micros:06d}' SECOND")
 
 
 def _bounds(df: DataFrame) -> DataFrame:
@@ -37,34 +57,75 @@ def windowed_orders(
 ) -> DataFrame:
     """Order lines per time window ``[start, end)``; windows without any are absent.
 
-    With ``slide`` the windows overlap. A row then belongs to several windows,
-    and copying every row into each of them multiplies the input. Where the
-    slide divides the width, rows are counted per slide step first and only
-    those counts are copied.
+    With ``slide`` the windows overlap. Batch input is then counted without
+    copying rows or counts into windows, see ``_sliding``; a stream keeps a
+    count per open window.
     """
+    width = duration_micros(duration)
+    step = width if slide is None else duration_micros(slide)
+    if step > width:
+        raise ValueError("windows that slide by more than their width leave rows out")
     times = df.select("timestamp")
-    if slide is None:
-        counted = times.groupBy(F.window("timestamp", duration)).agg(
-            F.count("*").alias("order_count")
-        )
-        return _bounds(counted)
-
-    stepwise = not df.isStreaming and duration_seconds(duration) % duration_seconds(slide) == 0
-    if not stepwise:
-        counted = times.groupBy(F.window("timestamp", duration, slide)).agg(
-            F.count("*").alias("order_count")
-        )
-        return _bounds(counted)
-
-    steps = (
-        times.groupBy(F.window("timestamp", slide).alias("step"))
-        .agg(F.count("*").alias("step_count"))
-        .select(F.col("step.start").alias("step_start"), "step_count")
+    if slide is not None and step < width and not df.isStreaming:
+        return _sliding(times, width, step)
+    micros = [f"{n} microseconds" for n in (width, step)]
+    counted = times.groupBy(F.window("timestamp", *micros)).agg(F.count("*").alias("order_count"))
+    return _bounds(counted)
+
+
+def _sliding(times: DataFrame, width: int, step: int) -> DataFrame:
+    """Counts of overlapping windows, of ``width`` and a start every ``step`` microseconds.
+
+    Rows are counted per common divisor of the two. A count then raises the
+    number of rows in a window from the first start whose window reaches it,
+    and lowers it again at the first start behind it; between two such points
+    all windows hold the same. So a count is touched twice however many windows
+    it is in, and only the windows of the result are made. Running sums go day
+    by day, on top of the sums of the days before.
+    """
+    kind = times.schema["timestamp"].dataType
+    grain, day = math.gcd(width, step), UNIT_MICROS["day"]
+    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    counts = (
+        times.where(F.col("timestamp").isNotNull())
+        .groupBy((micros - F.pmod(micros, F.lit(grain))).alias("at"))
+        .agg(F.count("*").alias("n"))
     )
-    counted = steps.groupBy(F.window("step_start", duration, slide)).agg(
-        F.sum("step_count").alias("order_count")
+
+    def first_start_behind(time: Column) -> Column:
+        return time - F.pmod(time, F.lit(step)) + F.lit(step)
+
+    changes = F.array(
+        F.struct(first_start_behind(F.col("at") - F.lit(width)).alias("start"), F.col("n").alias("change")),
+        F.struct(first_start_behind(F.col("at")).alias("start"), (-F.col("n")).alias("change")),
+    )
+    points = (
+        counts.select(F.inline(changes))
+        .groupBy("start")
+        .agg(F.sum("change").alias("change"))
+        .withColumn("day", F.floor(F.col("start") / F.lit(float(day))))
+    )
+    # One row per day, few enough to be put in order together.
+    in_order = Window.orderBy("day")
+    days = points.groupBy("day").agg(F.sum("change").alias("sum"), F.min("start").alias("first"))
+    days = days.select(
+        "day",
+        F.coalesce(F.sum("sum").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.lead("first").over(in_order).alias("next_day"),
+    )
+    within = Window.partitionBy("day").orderBy("start")
+    held = points.join(days, "day").select(
+        "start",
+        (F.col("before") + F.sum("change").over(within)).alias("order_count"),
+        F.coalesce(F.lead("start").over(within), F.col("next_day")).alias("until"),
+    )
+    starts = F.sequence(F.col("start"), F.col("until") - F.lit(step), F.lit(step))
+    windows = held.where("order_count > 0").select(F.explode(starts).alias("start"), "order_count")
+    return windows.select(
+        F.timestamp_micros("start").cast(kind).alias("window_start"),
+        F.timestamp_micros(F.col("start") + F.lit(width)).cast(kind).alias("window_end"),
+        F.col("order_count").cast("bigint").alias("order_count"),
     )
-    return _bounds(counted)
 
 
 def last_span(df: DataFrame, span: str = "1 minute") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.windows import as_interval
 from orderflow.schema import COMPLETED, RETURNED, validate_columns
-from orderflow.session import staged
+from orderflow.session import delete_path, new_folder
 
 # The dimension holding the metric's key, for each metric with a key.
 KEYED_METRICS = {
@@ -207,8 +207,8 @@ def _keyed_and_scalar_rows(state: DataFrame) -> DataFrame:
 
 
 def _window_rows(minutes: DataFrame) -> DataFrame:
-    """Minute rows as windows, one each and without a shuffle; none without a time."""
-    return minutes.where(F.col("time").isNotNull()).selectExpr(
+    """Minute rows, all with a time, as windows, one each and without a shuffle."""
+    return minutes.selectExpr(
         f"'{WINDOWED_METRIC}' AS metric",
         "CAST(NULL AS STRING) AS key",
         "time AS window_start",
@@ -226,34 +226,49 @@ def snapshot_rows(state: DataFrame) -> DataFrame:
     """
     minute = F.col("dimension") == MINUTE
     others = _keyed_and_scalar_rows(state.where(~minute))
-    return others.unionByName(_window_rows(state.where(minute))).select(*SNAPSHOT_COLUMNS)
+    minutes = state.where(minute & F.col("time").isNotNull())
+    return others.unionByName(_window_rows(minutes)).select(*SNAPSHOT_COLUMNS)
 
 
 def metrics_snapshot(df: DataFrame, span: str = "1 minute") -> DataFrame:
     """All metrics of processed transactions in one long frame and one plan.
 
-    Reads each column of ``df`` once, and the event time again for the last
-    ``span``. A frame that is not stored by column, such as parsed text or a
-    join, should go through ``session.staged`` first.
+    Reads the text columns and the event time of ``df`` once each, and of the
+    last ``span`` the time again: the minutes carry their latest time, from
+    which its bound follows, and Spark computes them once for both uses. A frame
+    that is not stored by column, such as parsed text or a join, should go
+    through ``session.staged`` first.
     """
     validate_columns(df, METRIC_COLUMNS)
-    small = text_margins(df).unionByName(tail(df, tail_bound(df, None, span)))
-    rows = _keyed_and_scalar_rows(small).unionByName(_window_rows(minute_margins(df)))
+    minute = F.date_trunc("minute", F.col("timestamp").cast("timestamp"))
+    minutes = df.groupBy(minute.alias("time")).agg(
+        F.count("*").alias("order_count"), F.max("timestamp").alias("latest")
+    )
+    # Both uses need both figures, so that neither is pruned and the plans are equal.
+    minutes = minutes.where("latest IS NOT NULL AND order_count > 0")
+    kind = df.schema["timestamp"].dataType
+    bound = minutes.select((F.max("latest") - as_interval(span)).cast(kind)).scalar()
+    small = text_margins(df).unionByName(tail(df, bound))
+    rows = _keyed_and_scalar_rows(small).unionByName(_window_rows(minutes))
     return rows.select(*SNAPSHOT_COLUMNS)
 
 
 class MetricSet(dict):
     """Metric frames by name over one small cached snapshot.
 
-    Use as a context manager, or call ``release``, to drop the cache.
+    Use as a context manager, or call ``release``, to drop the cache and the
+    staged copy. The frames are of no use after that.
     """
 
-    def __init__(self, snapshot: DataFrame):
+    def __init__(self, snapshot: DataFrame, staged_at: str | None = None):
         self._snapshot = snapshot.persist()
+        self._staged_at = staged_at
         super().__init__(metric_frames(self._snapshot))
 
     def release(self) -> None:
         self._snapshot.unpersist()
+        if self._staged_at:
+            delete_path(self._snapshot.sparkSession, self._staged_at)
 
     def __enter__(self) -> MetricSet:
         return self
@@ -288,5 +303,10 @@ def all_metrics(df: DataFrame, stage: bool = False) -> MetricSet:
     for parsed text or joins, which would otherwise run once per column group.
     """
     validate_columns(df)
-    rows = staged(df.select(*METRIC_COLUMNS), "metrics") if stage else df
-    return MetricSet(metrics_snapshot(rows))
+    if not stage:
+        return MetricSet(metrics_snapshot(df))
+    path = new_folder(df.sparkSession, "metrics")
+    columns = df.select(*METRIC_COLUMNS)
+    columns.write.parquet(path)
+    rows = df.sparkSession.read.schema(columns.schema).parquet(path)
+    return MetricSet(metrics_snapshot(rows), path)

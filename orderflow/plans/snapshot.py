@@ -108,6 +108,55 @@ def export_tables(tables: dict[str, DataFrame], path: str) -> None:
         rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
 
 
+def document_of(rows: DataFrame, recent: DataFrame | None = None) -> DataFrame:
+    """The long metric frame as one JSON object, in one row of one column ``value``.
+
+    Five numbers and five lists, sorted as the tables are, window bounds as
+    text; with ``recent``, its rows as ``recent_transactions``, in their order. A
+    document is made by one task and is for what one reader can take at once.
+    """
+    measures = {
+        metric: ("revenue", F.lit(0.0)) if metric in REVENUE_METRICS else ("order_count", F.lit(0))
+        for metric in (*SCALAR_METRICS, *KEYED_METRICS, WINDOWED_METRIC)
+    }
+    found = []
+    for metric in SCALAR_METRICS:
+        measure, zero = measures[metric]
+        value = F.max(F.when(F.col("metric") == metric, F.col(measure)))
+        found.append(F.coalesce(value, zero).alias(metric))
+
+    def listed(metric: str, order: list[Column], *fields: Column) -> Column:
+        item = F.struct(F.struct(*order).alias("order"), F.struct(*fields).alias("item"))
+        sorted_items = F.array_sort(F.collect_list(F.when(F.col("metric") == metric, item)))
+        return F.transform(sorted_items, lambda entry: entry["item"]).alias(metric)
+
+    for metric, column in KEYED_METRICS.items():
+        measure, _ = measures[metric]
+        place = [(-F.col(measure)).alias("measure"), F.col("key")]
+        found.append(listed(metric, place, F.col("key").alias(column), F.col(measure)))
+    times = [
+        F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name) for name in ("window_start", "window_end")
+    ]
+    newest = [(-F.unix_micros(F.col("window_start").cast("timestamp"))).alias("newest")]
+    found.append(listed(WINDOWED_METRIC, newest, *times, F.col("order_count")))
+    document = rows.agg(*found)
+    if recent is not None:
+        numbered = recent.select(
+            F.struct(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row")).alias("item")
+        )
+        items = numbered.agg(F.array_sort(F.collect_list("item")).alias("items")).select(
+            F.transform("items", lambda item: item["row"])
+        )
+        document = document.withColumn("recent_transactions", items.scalar())
+    everything = F.struct(*[F.col(name) for name in document.columns])
+    return document.select(F.to_json(everything, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def write_document(rows: DataFrame, path: str, recent: DataFrame | None = None) -> None:
+    """Write the long metric frame as one JSON document, for ``read_documents``."""
+    document_of(rows, recent).write.mode("overwrite").text(path)
+
+
 def _member(name: str, kind: str, of: str = "document") -> Column:
     return F.try_variant_get(F.col(of), f"$.{name}", kind)
 
@@ -189,6 +238,7 @@ def snapshot_freshness(rows: DataFrame) -> DataFrame:
 def document_freshness(documents: DataFrame) -> DataFrame:
     """Order total, time and read error of a snapshot document in one row."""
     filled = F.col("text") != ""
+    # The beginnings of the two messages.
     problem = F.when(
         filled & F.col("document").isNull(),
         F.lit("Error reading analytics output: not valid JSON"),

@@ -4,7 +4,7 @@ import pytest
 from conftest import SIX_AMOUNTS, as_dict, as_set, frame, order
 
 from orderflow.operators import metrics
-from orderflow.operators.windows import duration_seconds, orders_in_last_minute, windowed_orders
+from orderflow.operators.windows import duration_micros, orders_in_last_minute, windowed_orders
 from orderflow.schema import PROCESSED_SCHEMA, RAW_SCHEMA, validate_columns
 
 
@@ -31,30 +31,26 @@ def test_amount_null_if_any_part_is(spark):
 
 def test_scalars(six):
     assert one(metrics.total_orders(six)) == {"total_orders": 6}
-    assert one(metrics.completed_orders(six)) == {"completed_orders": 4}
-    assert one(metrics.returned_orders(six)) == {"returned_orders": 1}
-    assert one(metrics.completed_revenue(six)) == {"completed_revenue": 6655.40}
+    assert one(metrics.completed_orders(six)) == {"completed_orders": 3}
+    assert one(metrics.returned_orders(six)) == {"returned_orders": 2}
+    assert one(metrics.completed_revenue(six)) == {"completed_revenue": 215.85}
     assert one(metrics.kpis(six)) == {
         "total_orders": 6,
-        "completed_orders": 4,
-        "returned_orders": 1,
-        "completed_revenue": 6655.40,
+        "completed_orders": 3,
+        "returned_orders": 2,
+        "completed_revenue": 215.85,
     }
 
 
 def test_breakdowns(six):
-    # Books adds a returned and a cancelled order: every status counts.
+    # Returned and cancelled orders add to their categories: every status counts.
     assert as_dict(metrics.revenue_by_category(six)) == {
-        "Sports": 3078.60, "Home & Kitchen": 2077.80, "Accessories": 1499.00, "Books": 471.20,
-    }
-    assert as_dict(metrics.orders_by_city(six)) == {
-        "Salem": 2, "Chennai": 1, "Madurai": 1, "Erode": 1, "Trichy": 1,
-    }
-    assert as_dict(metrics.payment_method_distribution(six)) == {
-        "Credit Card": 3, "UPI": 2, "Debit Card": 1,
+        "Lighting": 168.35, "Kitchen": 109.0, "Garden": 175.5,
     }
+    assert as_dict(metrics.orders_by_city(six)) == {"Porto": 2, "Ghent": 2, "Turku": 2}
+    assert as_dict(metrics.payment_method_distribution(six)) == {"Card": 3, "Cash": 2, "Voucher": 1}
     assert as_dict(metrics.order_status_distribution(six)) == {
-        "Completed": 4, "Returned": 1, "Cancelled": 1,
+        "Completed": 3, "Returned": 2, "Cancelled": 1,
     }
 
 
@@ -91,23 +87,25 @@ def test_repeated_order_ids_count(spark):
 
 def test_status_ratios(six, nothing):
     found = one(metrics.status_ratios(metrics.kpis(six)))
-    assert (found["completed_percent"], found["returned_percent"]) == (66.7, 16.7)
+    assert (found["completed_percent"], found["returned_percent"]) == (50.0, 33.3)
     found = one(metrics.status_ratios(metrics.kpis(nothing)))
     assert (found["completed_percent"], found["returned_percent"]) == (0.0, 0.0)
 
 
 def test_ranked_breaks_ties_by_key(six):
     cities = [r.city for r in metrics.ranked(metrics.orders_by_city(six), "order_count").collect()]
-    assert cities == ["Salem", "Chennai", "Erode", "Madurai", "Trichy"]
+    assert cities == ["Ghent", "Porto", "Turku"]
     windows = metrics.ranked(windowed_orders(six), "window_start").collect()
-    assert [w.order_count for w in windows] == [1, 5]
+    assert [w.order_count for w in windows] == [2, 1, 2, 1]
 
 
 def test_tumbling_windows(six):
     found = {(str(r.window_start), str(r.window_end), r.order_count) for r in windowed_orders(six).collect()}
     assert found == {
-        ("2026-09-21 10:00:00", "2026-09-21 10:01:00", 5),
-        ("2026-09-21 10:02:00", "2026-09-21 10:03:00", 1),
+        ("2025-03-14 08:59:00", "2025-03-14 09:00:00", 1),
+        ("2025-03-14 09:00:00", "2025-03-14 09:01:00", 2),
+        ("2025-03-14 09:01:00", "2025-03-14 09:02:00", 1),
+        ("2025-03-14 09:03:00", "2025-03-14 09:04:00", 2),
     }
 
 
@@ -118,9 +116,10 @@ def test_window_bounds_and_null_times(spark):
 
 
 @pytest.mark.parametrize("duration, slide", [("2 minutes", "1 minute"), ("3 minutes", "2 minutes"),
-                                             ("1 hour", "20 minutes")])
+                                             ("1 hour", "20 minutes"), ("50 hours", "7 hours"),
+                                             ("1 hour 30 minutes", "25 minutes"), ("1 minute", "1 minute")])
 def test_sliding_windows_equal_brute_force(spark, six, duration, slide):
-    width, step = duration_seconds(duration), duration_seconds(slide)
+    width, step = (duration_micros(d) // 1_000_000 for d in (duration, slide))
     expected = {}
     for row in six.collect():
         seconds = int((row.timestamp - row.timestamp.min.replace(year=1970)).total_seconds())
@@ -137,8 +136,9 @@ def test_sliding_windows_equal_brute_force(spark, six, duration, slide):
 
 
 def test_last_minute(spark, six):
-    assert one(orders_in_last_minute(six)) == {"orders_in_last_minute": 1}
-    assert one(orders_in_last_minute(six, "2 minutes")) == {"orders_in_last_minute": 4}
+    assert one(orders_in_last_minute(six)) == {"orders_in_last_minute": 2}
+    assert one(orders_in_last_minute(six, "2 minutes")) == {"orders_in_last_minute": 2}
+    assert one(orders_in_last_minute(six, "2 minutes 3 seconds")) == {"orders_in_last_minute": 3}
     # The bound itself belongs to the minute; rows without time do not.
     times = ["2026-09-21 10:00:00", "2026-09-21 10:01:00", "2026-09-21 09:59:59", None]
     rows = frame(spark, [order(time=t) for t in times])
@@ -147,11 +147,43 @@ def test_last_minute(spark, six):
 
 
 def test_durations():
-    assert duration_seconds("1 minute") == 60
-    assert duration_seconds("2 Hours") == 7200
-    for text in ("minute", "1 fortnight", "-1 minute"):
+    second = 1_000_000
+    for text, micros in {
+        "1 minute": 60 * second,
+        "2 Hours": 7200 * second,
+        "1 hour 30 minutes": 5400 * second,
+        "interval 1 day 1 second": 86_401 * second,
+        "500 milliseconds": second // 2,
+        "1.5 seconds": 3 * second // 2,
+        "7 microseconds": 7,
+    }.items():
+        assert duration_micros(text) == micros
+    for text in ("", "minute", "1 fortnight", "-1 minute", "1 month", "1 minute ago", "1 minute, 2 seconds"):
         with pytest.raises(ValueError):
-            duration_seconds(text)
+            duration_micros(text)
+
+
+@pytest.mark.parametrize("duration", ["1 hour 30 minutes", "1500 milliseconds", "1 week"])
+def test_every_duration_works_with_and_without_a_slide(six, duration):
+    assert as_set(windowed_orders(six, duration, duration)) == as_set(windowed_orders(six, duration))
+    half = f"{duration_micros(duration) // 2} microseconds"
+    found = windowed_orders(six, duration, half).collect()
+    assert sum(r.order_count for r in found) == 2 * six.count()
+    assert one(orders_in_last_minute(six, duration))["orders_in_last_minute"] >= 1
+
+
+def test_sliding_windows_over_many_days_and_before_the_epoch(spark):
+    times = ["1969-12-31 23:59:30", "1970-01-01 00:00:10", "1970-01-03 12:00:00", "2024-02-29 00:00:00", None]
+    rows = frame(spark, [order(time=t) for t in times])
+    found = {(str(r.window_start), r.order_count) for r in windowed_orders(rows, "1 minute", "30 seconds").collect()}
+    assert found == {
+        ("1969-12-31 23:59:00", 1), ("1969-12-31 23:59:30", 2), ("1970-01-01 00:00:00", 1),
+        ("1970-01-03 11:59:30", 1), ("1970-01-03 12:00:00", 1),
+        ("2024-02-28 23:59:30", 1), ("2024-02-29 00:00:00", 1),
+    }
+    assert windowed_orders(rows.limit(0), "1 minute", "30 seconds").count() == 0
+    with pytest.raises(ValueError):
+        windowed_orders(rows, "1 minute", "2 minutes")
 
 
 def test_schema_check(spark, six):

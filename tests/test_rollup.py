@@ -61,9 +61,9 @@ def test_all_metrics_equal_the_single_ones(spark, seed):
 @pytest.mark.parametrize("stage", [False, True])
 def test_golden(six, stage):
     with all_metrics(six, stage) as found:
-        assert found["completed_revenue"].first()[0] == 6655.40
-        assert found["orders_in_last_minute"].first()[0] == 1
-        assert found["windowed_orders"].count() == 2
+        assert found["completed_revenue"].first()[0] == 215.85
+        assert found["orders_in_last_minute"].first()[0] == 2
+        assert found["windowed_orders"].count() == 4
 
 
 def test_empty_input_has_zero_scalars_and_empty_tables(nothing):
@@ -116,3 +116,12 @@ def test_tail_follows_late_and_newer_rows(spark):
     assert last([None], [f"{day}5:00"]) == 1
     assert last([f"{day}5:00"], [None]) == 1
     assert last([None], [None]) == 0
+
+
+def test_a_staged_copy_goes_with_its_metrics(spark, six):
+    from orderflow.session import path_exists
+
+    found = all_metrics(six, stage=True)
+    assert path_exists(spark, found._staged_at)
+    found.release()
+    assert not path_exists(spark, found._staged_at)
