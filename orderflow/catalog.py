@@ -7,6 +7,7 @@ order lines joined to their dimensions, ``event`` queries the event table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,21 +31,29 @@ from orderflow.operators import metrics
 from orderflow.operators.explore import facet_values, filter_transactions, recent_transactions
 from orderflow.operators.windows import as_interval, orders_in_last_minute, windowed_orders
 from orderflow.plans.rollup import (
+    KEYED_METRICS,
     METRIC_COLUMNS,
+    REVENUE_METRICS,
+    WINDOWED_METRIC,
     all_metrics,
     metric_frames,
     metrics_snapshot,
 )
 from orderflow.plans.snapshot import (
+    document_freshness,
+    document_of,
+    document_tables,
     export_tables,
     pipeline_status,
+    read_documents,
     read_snapshot_rows,
     snapshot_freshness,
+    write_document,
     write_snapshot,
 )
 from orderflow.schema import RAW_SCHEMA, validate_columns
-from orderflow.session import apply_settings, new_folder, staged
-from orderflow.sources.files import read_transactions_files
+from orderflow.session import apply_settings, delete_path, new_folder, staged
+from orderflow.sources.files import read_transactions_files, recent_from_file
 from orderflow.sources.publish import publish_transactions, to_messages
 from orderflow.sources.views import (
     event_transaction_stream,
@@ -208,6 +217,41 @@ def _through_files(fmt: str) -> Query:
     return query
 
 
+def _faulty_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Refused rows by reason, of a CSV whose faults go by the product id.
+
+    Rows that miss their last field, that have one too many, and with text for a number.
+    """
+    path = new_folder(apply_settings(spark), "csv")
+    raw = raw_records(event_transactions(spark, folder))
+    kind = F.col("product_id").cast("int") % 10
+    fields = [F.col(name).cast("string") for name in RAW_SCHEMA.names]
+    number = RAW_SCHEMA.names.index("quantity")
+    bad = [*fields[:number], F.lit("x"), *fields[number + 1 :]]
+    line = (
+        F.when(kind == 1, F.concat_ws(",", *fields[:-1]))
+        .when(kind == 2, F.concat_ws(",", *fields, F.lit("more")))
+        .when(kind == 3, F.concat_ws(",", *bad))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    # One column that bears the whole header as its name; its separator occurs nowhere.
+    whole = raw.select(line.alias(",".join(RAW_SCHEMA.names)))
+    whole.write.options(header=True, sep="\u0001").csv(path)
+    _, refused = split_valid(process_records(read_transactions_files(spark, path)))
+    return refused.groupBy(F.array_join("reasons", ",").alias("reasons")).agg(
+        F.count("*").alias("order_count"),
+        F.count_if(F.col("message").isNotNull()).alias("with_text"),
+    )
+
+
+def _recent_of_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The last rows of a JSON file that holds one record per line; such a file is one task's."""
+    path = new_folder(apply_settings(spark), "json")
+    events = event_transactions(spark, folder).orderBy("timestamp", "order_id")
+    publish_transactions(events.coalesce(1), "text", path=path)
+    return _snake_case(recent_from_file(spark, path))
+
+
 # --- all metrics ----------------------------------------------------------------
 
 
@@ -228,6 +272,52 @@ def _stored_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return zoneless(read_snapshot_rows(spark, path).select(*SNAPSHOT_LAYOUT))
 
 
+def _document_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """All metrics through a snapshot document, in the long layout."""
+    path = new_folder(apply_settings(spark), "document")
+    write_document(metrics_snapshot(event_transactions(spark, folder)), path)
+    tables = document_tables(read_documents(spark, path))
+    parts = []
+    for metric, table in tables.items():
+        keyed = {"key": table.columns[0]} if metric in KEYED_METRICS else {}
+        measure = "revenue" if metric in REVENUE_METRICS else "order_count"
+        value = table.columns[-1]
+        columns = {**dict.fromkeys(SNAPSHOT_LAYOUT, "NULL"), **keyed, measure: f"`{value}`"}
+        if metric == WINDOWED_METRIC:
+            columns |= {"window_start": "window_start", "window_end": "window_end"}
+        columns["metric"] = f"'{metric}'"
+        kinds = ("string", "string", "timestamp_ntz", "timestamp_ntz", "bigint", "double")
+        parts.append(
+            table.selectExpr(
+                *[f"CAST({columns[c]} AS {k}) AS {c}" for c, k in zip(SNAPSHOT_LAYOUT, kinds)]
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _document_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Status of a document, of one with text behind it, and of one without orders."""
+    events = event_transactions(apply_settings(spark), folder)
+    whole = document_of(metrics_snapshot(events))
+    cases = {
+        "whole": whole,
+        "broken": whole.select(F.concat("value", F.lit(" and more {")).alias("value")),
+        "empty": document_of(metrics_snapshot(events.limit(0))),
+    }
+    found = []
+    for case, document in cases.items():
+        path = new_folder(spark, "document")
+        document.write.text(path)
+        freshness = document_freshness(read_documents(spark, path))
+        now = F.col("computed_at") + as_interval("30 seconds")
+        found.append(
+            pipeline_status(freshness, now).select(
+                F.lit(case).alias("document"), "status", "status_badge", "status_message", "error", "has_data"
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def _exported_windows(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(apply_settings(spark), "export")
     with all_metrics(event_transactions(spark, folder)) as tables:
@@ -268,8 +358,36 @@ def _drained(results: DataFrame, mode: str, keys: list[str] | None = None) -> Da
     return zoneless(read_results(spark, folder, results.schema, mode, keys))
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return event_transaction_stream(apply_settings(spark), folder)
+# Files of a micro-batch, and micro-batches, of the streams below.
+FILES_PER_BATCH = 2
+EVENT_BATCHES = 5
+# Every so many of the first events come last in the stream with late rows.
+HELD_BACK = 50
+
+
+def _in_time_order(spark: SparkSession, folder: str, held_back: bool = False) -> str:
+    """The event table as files that arrive slice of time by slice of time.
+
+    With ``held_back``, some events of the first two slices come with the last.
+    """
+    path = new_folder(apply_settings(spark), "events")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = (events.select(pick(micros)).scalar() for pick in (F.min, F.max))
+    piece = F.floor((micros - first) * EVENT_BATCHES / (last - first + 1))
+    if held_back:
+        late = (F.col("event_id") % HELD_BACK == 0) & (piece <= 1)
+        piece = F.when(late, EVENT_BATCHES - 1).otherwise(piece)
+    for number in range(EVENT_BATCHES):
+        slice_ = events.where(piece == number).repartition(FILES_PER_BATCH)
+        slice_.write.mode("append").parquet(f"{path}/events.parquet")
+    return path
+
+
+def _event_stream(spark: SparkSession, folder: str, held_back: bool = False) -> DataFrame:
+    """The events in time order, in several micro-batches."""
+    arriving = _in_time_order(spark, folder, held_back)
+    return event_transaction_stream(spark, arriving, maxFilesPerTrigger=FILES_PER_BATCH)
 
 
 def _stream_metric(name: str) -> Query:
@@ -279,10 +397,16 @@ def _stream_metric(name: str) -> Query:
 
 
 def _stream_windows(
-    mode: str, duration: str, slide: str | None = None, lateness: str = "10 minutes"
+    mode: str,
+    duration: str,
+    slide: str | None = None,
+    lateness: str = "10 minutes",
+    held_back: bool = False,
 ) -> Query:
     return lambda spark, folder: _drained(
-        streaming_windowed_orders(_event_stream(spark, folder), lateness, duration, slide),
+        streaming_windowed_orders(
+            _event_stream(spark, folder, held_back), lateness, duration, slide
+        ),
         mode,
         ["window_start", "window_end"],
     )
@@ -290,21 +414,21 @@ def _stream_windows(
 
 def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every event sent twice, and the second one dropped."""
-    twice = _event_stream(spark, folder).unionByName(_event_stream(spark, folder))
+    arriving = _in_time_order(spark, folder)
+    first, second = (
+        event_transaction_stream(spark, arriving, maxFilesPerTrigger=FILES_PER_BATCH)
+        for _ in range(2)
+    )
+    twice = first.unionByName(second)
     unique = _drained(dedup_orders(twice, "10 minutes"), "append")
     return metrics.order_status_distribution(unique)
 
 
 def message_stream(spark: SparkSession, messages: DataFrame, batches: int = 4) -> DataFrame:
-    """Messages as a stream of files in about this many micro-batches.
-
-    As many files are written as the session shuffles partitions, so that no
-    task has more to write than in any other shuffle.
-    """
+    """Messages as a stream of files in this many micro-batches."""
     path = new_folder(spark, "messages")
-    files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    messages.repartition(files).write.text(path)
-    return spark.readStream.option("maxFilesPerTrigger", -(-files // batches)).text(path)
+    messages.repartition(batches * FILES_PER_BATCH).write.text(path)
+    return spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH).text(path)
 
 
 def _run_store(spark: SparkSession, messages: DataFrame) -> TransactionStore:
@@ -333,6 +457,17 @@ def _stream_history(spark: SparkSession, folder: str) -> DataFrame:
     return zoneless(_run_store(spark, messages).history().drop("batch_id"))
 
 
+def _archived_history(spark: SparkSession, folder: str) -> DataFrame:
+    """History after two archive runs, of which the first lost its record."""
+    messages = to_messages(raw_records(event_transactions(apply_settings(spark), folder)))
+    store = _run_store(spark, messages)
+    store.compact(leave=2)
+    delete_path(spark, store.path("archives"))
+    store.compact(leave=1)
+    store.drop_archived()
+    return zoneless(store.history().drop("batch_id"))
+
+
 def _replayed(spark: SparkSession, folder: str) -> TransactionStore:
     """The tables after one batch was handed in twice."""
     root = new_folder(apply_settings(spark), "replay")
@@ -346,9 +481,12 @@ def _replayed_batch(spark: SparkSession, folder: str) -> DataFrame:
     return zoneless(_replayed(spark, folder).snapshot_rows().select(*SNAPSHOT_LAYOUT))
 
 
-def _stored_recent(spark: SparkSession, folder: str) -> DataFrame:
-    recent = _replayed(spark, folder).recent()
-    return _snake_case(with_display_formats(to_display(recent)))
+def _stored_recent(n: int) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        recent = _replayed(spark, folder).recent(n)
+        return _snake_case(with_display_formats(to_display(recent)))
+
+    return query
 
 
 QUERIES: dict[str, Query] = {
@@ -390,6 +528,10 @@ QUERIES: dict[str, Query] = {
     "sliding_windowed_orders": _on_events(
         lambda df: windowed_orders(df, "10 minutes", "5 minutes")
     ),
+    "day_by_minute_windows": _on_events(lambda df: windowed_orders(df, "1 day", "1 minute")),
+    "uneven_sliding_windows": _on_events(
+        lambda df: windowed_orders(df, "1 hour 30 minutes", "25 minutes")
+    ),
     "orders_in_last_minute": _on_events(orders_in_last_minute),
     "orders_in_last_hour": _on_events(lambda df: orders_in_last_minute(df, "1 hour")),
     # messages and files
@@ -400,10 +542,14 @@ QUERIES: dict[str, Query] = {
     "valid_revenue_by_category": _on_events(_valid_only),
     "csv_round_trip": _through_files("csv"),
     "ndjson_round_trip": _through_files("ndjson"),
+    "csv_refused_by_reason": _faulty_csv,
+    "recent_json_lines": _recent_of_lines,
     # snapshots
     "stored_snapshot": _stored_snapshot,
     "exported_windows": _exported_windows,
     "freshness_status": _on_events(_freshness),
+    "document_round_trip": _document_round_trip,
+    "document_status": _document_status,
     # streams
     "stream_kpis": _stream_metric("kpis"),
     "stream_revenue_by_category": _stream_metric("revenue_by_category"),
@@ -413,10 +559,13 @@ QUERIES: dict[str, Query] = {
     "stream_windowed_orders": _stream_windows("update", "1 minute"),
     "stream_sliding_windowed_orders": _stream_windows("update", "10 minutes", "5 minutes"),
     "stream_closed_windows": _stream_windows("append", "1 minute"),
+    "stream_late_rows": _stream_windows("update", "1 minute", held_back=True),
     "stream_dedup": _stream_dedup,
     "stream_snapshot": _stream_snapshot,
     "stream_history": _stream_history,
     "stream_quarantine": _stream_quarantine,
     "replayed_batch": _replayed_batch,
-    "stored_recent": _stored_recent,
+    "stored_recent": _stored_recent(20),
+    "stored_recent_500": _stored_recent(500),
+    "archived_history": _archived_history,
 }

@@ -64,6 +64,15 @@ TEN_MINUTES = """SELECT s AS window_start, s + INTERVAL 10 MINUTE AS window_end,
 FROM (SELECT unnest([b, b - INTERVAL 5 MINUTE]) AS s
       FROM (SELECT make_timestamp((epoch_us(timestamp) // 300000000) * 300000000) AS b FROM t))
 GROUP BY ALL"""
+SLIDING = """SELECT s AS window_start, s + INTERVAL {width} MINUTE AS window_end, count(*) AS order_count
+FROM (SELECT make_timestamp((epoch_us(timestamp) // ({slide} * 60000000) - n) * ({slide} * 60000000)) AS s, timestamp
+      FROM t, (SELECT unnest(range({copies})) AS n))
+WHERE timestamp < s + INTERVAL {width} MINUTE GROUP BY ALL"""
+# Events that come in the last of five slices of time although they belong to the first two.
+LATE = """SELECT * EXCLUDE (slice) FROM (
+  SELECT *, (epoch_us(timestamp) - min(epoch_us(timestamp)) OVER ()) * 5
+    // (max(epoch_us(timestamp)) OVER () - min(epoch_us(timestamp)) OVER () + 1) AS slice FROM t)
+WHERE NOT (order_id::BIGINT % 50 = 0 AND slice <= 1)"""
 LAST = """SELECT count(*) AS orders_in_last_minute FROM t
 WHERE timestamp >= (SELECT max(timestamp) FROM t) - INTERVAL {span}"""
 
@@ -84,6 +93,18 @@ FAULTS = """SELECT CASE k % 10 WHEN 1 THEN 'bad_quantity' WHEN 2 THEN 'negative_
   WHEN 5 THEN 'missing_order_id' ELSE 'malformed_message' END AS reasons,
   count(*) AS order_count
 FROM keyed WHERE k % 10 BETWEEN 1 AND 7 GROUP BY ALL"""
+CSV_FAULTS = """SELECT CASE WHEN k % 10 = 3 THEN 'bad_quantity' ELSE 'corrupt_record' END AS reasons,
+  count(*) AS order_count, count(*) AS with_text
+FROM keyed WHERE k % 10 BETWEEN 1 AND 3 GROUP BY ALL"""
+DOCUMENT_STATUS = """SELECT 'whole' AS document, 'LIVE' AS status,
+  '🟢 LIVE • Kafka + Spark Streaming' AS status_badge,
+  'LIVE • Streaming active (updated 30s ago)' AS status_message,
+  NULL::VARCHAR AS error, count(*) > 0 AS has_data FROM t
+UNION ALL
+SELECT 'broken', 'ERROR', '🔴 ERROR', 'Error reading analytics output: not valid JSON',
+  'Error reading analytics output: not valid JSON', false
+UNION ALL
+SELECT 'empty', 'WAITING', '⚪ WAITING', 'Waiting for streaming data...', NULL, false"""
 SOUND = "WHERE product_id::INTEGER % 10 NOT BETWEEN 1 AND 7"
 
 
@@ -208,6 +229,8 @@ def oracle_queries() -> dict[str, str]:
         "recent_transactions": DISPLAY.replace("FROM t", latest),
         "windowed_orders": MINUTES,
         "sliding_windowed_orders": TEN_MINUTES,
+        "day_by_minute_windows": SLIDING.format(width=1440, slide=1, copies=1440),
+        "uneven_sliding_windows": SLIDING.format(width=90, slide=25, copies=4),
         "orders_in_last_minute": LAST.format(span="1 MINUTE"),
         "orders_in_last_hour": LAST.format(span="1 HOUR"),
         "parsed_messages": "SELECT k AS quantity, count(*) AS order_count FROM keyed GROUP BY k",
@@ -220,6 +243,10 @@ def oracle_queries() -> dict[str, str]:
             f"FROM ({MINUTES})"
         ),
         "freshness_status": FRESHNESS,
+        "csv_refused_by_reason": CSV_FAULTS,
+        "recent_json_lines": DISPLAY.replace("total_amount", "unit_price").replace("FROM t", latest),
+        "document_round_trip": _snapshot(),
+        "document_status": DOCUMENT_STATUS,
         "stream_kpis": KPIS,
         "stream_revenue_by_category": CATEGORY_REVENUE,
         "stream_orders_by_city": _orders_per("city"),
@@ -231,10 +258,14 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT * FROM ({MINUTES}) "
             "WHERE window_end <= (SELECT max(timestamp) FROM t) - INTERVAL 10 MINUTE"
         ),
+        "stream_late_rows": MINUTES.replace("FROM t", f"FROM ({LATE})"),
         "stream_dedup": _orders_per("order_status"),
         "stream_quarantine": FAULTS,
         "replayed_batch": _snapshot(),
         "stored_recent": FORMATTED.format(rest="").replace("FROM t", latest),
+        "stored_recent_500": FORMATTED.format(rest="").replace(
+            "FROM t", latest.replace("LIMIT 20", "LIMIT 500")
+        ),
     }
     seconds = {
         "message_round_trip": PROCESSED.format(rest=""),
@@ -243,6 +274,7 @@ def oracle_queries() -> dict[str, str]:
         "ndjson_round_trip": PROCESSED.format(rest=""),
         "stream_snapshot": _snapshot(),
         "stream_history": PROCESSED.format(rest=SOUND),
+        "archived_history": PROCESSED.format(rest=""),
     }
     return {
         **{name: _over(LINES, query) for name, query in lines.items()},
