@@ -145,4 +145,3 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
 }
-ORACLES: dict[str, str] = {}
