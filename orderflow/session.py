@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,6 +88,13 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return file_system.getContentSummary(hadoop_path).getLength()
 
 
+def modified_at(spark: SparkSession, path: str) -> datetime:
+    """When ``path`` was last written, by its file system's clock."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    millis = file_system.getFileStatus(hadoop_path).getModificationTime()
+    return datetime.fromtimestamp(millis / 1000, timezone.utc)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove ``path`` and what is below it; a missing path is fine."""
     hadoop_path, file_system = _hadoop_path(spark, path)

@@ -47,7 +47,7 @@ from orderflow.operators.windows import as_interval
 from orderflow.plans.rollup import MARGIN_COLUMNS, MINUTE, snapshot_rows, state_of
 from orderflow.plans.snapshot import SNAPSHOT_SCHEMA, empty_snapshot
 from orderflow.schema import PROCESSED_SCHEMA
-from orderflow.session import child_names, delete_path, path_exists, stored_bytes
+from orderflow.session import child_names, delete_path, modified_at, path_exists, stored_bytes
 
 # What an archive file should hold.
 ARCHIVE_FILE_BYTES = 256 * 1024 * 1024
@@ -117,16 +117,17 @@ def judged(df: DataFrame, validate: bool = True) -> DataFrame:
 
 def write_batch(
     batch_df: DataFrame, batch_id: int, path: str, validate: bool = True
-) -> dict[str, int | None]:
+) -> dict[str, object]:
     """Write a micro-batch as folder ``batch_id`` of the transaction table.
 
     Accepted and refused rows go out in one pass over the source, which also
-    observes the number of ``rows``, of ``accepted`` ones, and the ``latest``
-    accepted event time, in microseconds. Running a batch again replaces its folder, also where it now
+    observes the number of ``rows``, of ``accepted`` ones, their ``latest`` event
+    time, in microseconds, and their ``days``, which are few in any batch. Running a batch again replaces its folder, also where it now
     has no rows.
     """
     seen = Observation()
     accepted_time = F.when(F.col("accepted"), F.unix_micros("timestamp"))
+    accepted_day = F.when(F.col("accepted"), F.date_format("timestamp", "yyyy-MM-dd"))
     (
         judged(batch_df, validate)
         .observe(
@@ -134,6 +135,7 @@ def write_batch(
             F.count(F.lit(1)).alias("rows"),
             F.count_if("accepted").alias("accepted"),
             F.max(accepted_time).alias("latest"),
+            F.array_sort(F.collect_set(accepted_day)).alias("days"),
         )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -325,10 +327,7 @@ class TransactionStore:
         accepted = read_batch(self.spark, batch_id, self.path("transactions")).where(
             F.col("accepted")
         )
-        # As many days as a batch has rows of.
-        day = F.date_format("timestamp", "yyyy-MM-dd")
-        touched = [r[0] for r in accepted.select(day).distinct().collect() if r[0] is not None]
-
+        touched = list(seen["days"])
         times = [seen["latest"], previous and previous["latest_micros"]]
         latest_micros = max((time for time in times if time is not None), default=None)
         bound = F.timestamp_micros(F.lit(latest_micros).cast("bigint")) - as_interval("1 minute")
@@ -336,7 +335,7 @@ class TransactionStore:
         self._write_state(state_of(accepted, before, bound), batch_id)
 
         now = F.current_timestamp() if computed_at is None else computed_at
-        arrivals = latest(accepted.drop("batch_id"), recent).select(
+        arrivals = accepted.select(
             F.lit(batch_id).cast("bigint").alias("arrived_in"), *PROCESSED_SCHEMA.fieldNames()
         )
         days = dict.fromkeys(touched, batch_id)
@@ -441,9 +440,9 @@ class TransactionStore:
         since = _seconds_ago(keep_seconds)
         # Oldest first, up to the first that stays: young ones are not looked at.
         for number, after in zip(numbers, numbers[1 : len(numbers) - keep + 1]):
-            gone, left = self.version(number), self.version(after)
-            if gone is not None and _utc(gone["written_at"]) > since:
+            if modified_at(self.spark, self._folder("versions", number)) > since:
                 break
+            gone, left = self.version(number), self.version(after)
             # The record goes first, so that no reader takes a version that is going.
             delete_path(self.spark, self._folder("versions", number))
             if gone is None:
@@ -465,6 +464,6 @@ def _seconds_ago(seconds: int) -> datetime:
 
 
 def _latest_arrivals(rows: DataFrame, n: int) -> DataFrame:
-    """The last ``n`` of a few rows by arrival, then event time and order id."""
+    """The last ``n`` rows by arrival, then event time and order id; a top list per task."""
     order = ("arrived_in", "timestamp", "order_id")
     return rows.orderBy(*[F.col(name).desc_nulls_last() for name in order]).limit(n)
