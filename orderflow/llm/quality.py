@@ -50,6 +50,10 @@ CUTOFF = 40.9
 REWEIGHT = 0.975
 STEPS = 6
 LEAST_ROWS = 100
+#: Estimates, of some 250 bytes each, that are sent to every task; beyond, rows are joined
+#: with them by group and salt, of which there are so many.
+SENT_ESTIMATES = 100_000
+SALTS = 256
 #: Bins of the distance per doubling, and of a statistic per unit.
 DISTANCE_BINS = 16
 STATISTIC_BINS = 64
@@ -214,9 +218,21 @@ def _median_start(vectors: DataFrame) -> DataFrame:
     return staged(bins.groupBy("group").applyInPandas(run, _ESTIMATE), "medians")
 
 
+def _beside_estimates(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows with the estimates of their group, without bringing a group's rows together.
+
+    ``estimates`` is a written table, so that counting it costs nothing.
+    """
+    if estimates.count() <= SENT_ESTIMATES:
+        return rows.join(F.broadcast(estimates), "group", how)
+    salted = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    return rows.withColumn("salt", salt).join(salted, ["group", "salt"], how).drop("salt")
+
+
 def _nearest(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
     """Sums over the nearest rows of each start and group: whole bins, up to the kept share."""
-    joined = vectors.join(estimates, "group")
+    joined = _beside_estimates(vectors, estimates)
     bin_of = F.floor(F.log2(_distance() + 1e-6) * DISTANCE_BINS).cast("int")
     bins = joined.groupBy("start", "group", bin_of.alias("bin")).agg(*_sums())
     whole = Window.partitionBy("start", "group")
@@ -236,12 +252,13 @@ def robust_estimates(vectors: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         estimates = _estimates(_nearest(vectors, estimates), KEPT_SHARE)
     best = estimates.groupBy("group").agg(F.min_by("start", F.struct("det", "start")).alias("start"))
-    estimates = estimates.join(best, ["group", "start"])
-    inside = vectors.join(estimates, "group").where(_distance() <= chi_square_point(REWEIGHT, len(NAMES)))
+    estimates = staged(estimates.join(best, ["group", "start"]), "best")
+    inside = _beside_estimates(vectors, estimates).where(_distance() <= chi_square_point(REWEIGHT, len(NAMES)))
     weighted = inside.groupBy("group").agg(*_sums()).withColumn("start", F.lit(0))
     again = _estimates(weighted, REWEIGHT)
     # A group without a row inside keeps its estimate.
-    return again.unionByName(estimates.join(again.select("group"), "group", "left_anti"))
+    kept = estimates.join(again.select("group"), "group", "left_anti")
+    return staged(again.unionByName(kept), "estimates")
 
 
 def judge_quality(
@@ -278,10 +295,10 @@ def judge_quality(
         "vectors",
     )
     vectors = rows.where("not base_failed").select("group", *[f"z{i}" for i in range(len(NAMES))])
-    estimates = robust_estimates(vectors).drop("start", "det")
+    estimates = robust_estimates(vectors)
     distance = F.when(~F.col("base_failed"), F.round(_distance(), 6))
     return (
-        rows.join(estimates, "group", "left")
+        _beside_estimates(rows, estimates, "left")
         .withColumn("distance", distance)
         .select(
             F.col("id").alias(id_col),
