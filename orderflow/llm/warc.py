@@ -61,11 +61,9 @@ _BREAK = re.compile(
     re.I,
 )
 _TAG = re.compile(r"<[/!?]?[a-zA-Z!?][^<>]*>")
-_ANY_SPACE = re.compile(r"\s+")
-_SPACE = re.compile(r"[^\S\n]+")
-_LINES = re.compile(r" ?\n\s*")
 _TITLE = re.compile(r"<title\b[^<>]*>(.*?)(?:</title|\Z)", re.I | re.S)
 _LANG = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_ORIGIN = re.compile(r"https?://[^/?#\s]+")
 _LINK = re.compile(
     r"<(a|area|link|img|script|iframe|source)\b[^<>]*?\b(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))",
     re.I,
@@ -81,30 +79,42 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, chr(0).join(parts))}>"
 
 
-def plain_text(page: str) -> str:
-    """The visible text of a page, one line per block."""
+def without_hidden(page: str) -> str:
+    """A page without comments, scripts and the like."""
+    return _HIDDEN.sub(" ", page)
+
+
+def plain_text(page: str, shown: str | None = None) -> str:
+    """The visible text of a page, one line per block; ``shown`` is the page without the hidden."""
     # Line ends of the markup are spaces; blocks and breaks make the lines.
-    text = _ANY_SPACE.sub(" ", _HIDDEN.sub(" ", page))
+    text = " ".join((without_hidden(page) if shown is None else shown).split())
     text = _BREAK.sub("\n", text)
-    text = html.unescape(_TAG.sub("", text))
-    return _LINES.sub("\n", _SPACE.sub(" ", text)).strip()
+    lines = html.unescape(_TAG.sub("", text)).split("\n")
+    return "\n".join(filter(None, (" ".join(line.split()) for line in lines)))
 
 
-def links(page: str, address: str) -> list[dict[str, str]]:
+def links(page: str, address: str, shown: str | None = None) -> list[dict[str, str]]:
     """Links of a page as absolute addresses, in their order."""
     found = []
-    for tag, attribute, *values in _LINK.findall(_HIDDEN.sub(" ", page)):
+    base = _ORIGIN.match(address)
+    for tag, attribute, *values in _LINK.findall(without_hidden(page) if shown is None else shown):
         value = html.unescape("".join(values)).strip()
-        try:
-            target = urljoin(address, value)
-        except ValueError:
-            target = value
+        target = value
+        if base and value[:1] == "/" and value[1:2] != "/" and "/." not in value:
+            target = base[0] + value
+        elif not value.startswith(("http://", "https://")):
+            try:
+                target = urljoin(address, value)
+            except ValueError:
+                pass
         found.append({"path": f"{tag.lower()}@/{attribute.lower()}", "url": target})
     return found
 
 
 def _clean(value: str) -> str:
     """A header value can't hold line ends or other control characters."""
+    if value.isprintable():
+        return value.strip()
     return re.sub(r"[\x00-\x1f\x7f]+", " ", value).strip()
 
 
@@ -158,7 +168,8 @@ def derived_records(headers: list[dict], block: str) -> list[dict]:
     date = header(headers, "WARC-Date") or DATE
     payload = header(headers, "WARC-Payload-Digest") or digest(page.encode("utf-8", "surrogatepass"))
     title, lang = _TITLE.search(page), _LANG.search(page)
-    text = plain_text(page)
+    shown = without_hidden(page)
+    text = plain_text(page, shown)
     language = [("WARC-Identified-Content-Language", lang[1].lower())] if lang else []
     own = {kind: record_id(kind, source, payload) for kind in ("metadata", "conversion")}
 
@@ -180,7 +191,7 @@ def derived_records(headers: list[dict], block: str) -> list[dict]:
         "http-headers": [[h["name"], h["value"]] for h in http],
         "payload-digest": payload,
         "title": " ".join(html.unescape(_TAG.sub("", title[1])).split()) if title else None,
-        "links": links(page, address),
+        "links": links(page, address, shown),
         "text-digest": digest(text.encode("utf-8", "surrogatepass")),
         "text-characters": len(text),
     }

@@ -5,6 +5,7 @@ import hashlib
 import json
 from collections import Counter
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 from orderflow.llm import warc
 from orderflow.llm.common import pick
@@ -30,6 +31,9 @@ def test_text_links_and_title_of_a_page():
         "https://example.org/a/bild.png",
         "http://[broken",
     ]
+    for address in ("https://example.org/a/b?q=/c", "http://example.org", "about:blank", "x"):
+        for value in ("/", "/a;p?q#f", "//other/x", "/a/../b", "c/./d", "?q", "#f", "", "mailto:x", "https://z/y"):
+            assert warc.links(f'<a href="{value}">', address)[0]["url"] == urljoin(address, value)
     assert warc.plain_text("") == "" and warc.links("", "about:blank") == []
 
 
