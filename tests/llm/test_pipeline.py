@@ -10,9 +10,9 @@ from orderflow.llm.common import pick
 from orderflow.llm.queries import vocabulary_file
 from orderflow.llm.simhash import keep_representatives
 
-from test_decontaminate import plain
-from test_secrets import all_spans
-from test_simhash import fingerprint_of, roots_of
+from .test_decontaminate import plain
+from .test_secrets import all_spans
+from .test_simhash import fingerprint_of, roots_of
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
