@@ -2,9 +2,12 @@
 
 A suffix automaton of a sample of labelled text stands for each language. A text
 is parsed against each of them into the longest phrases that occur in the
-sample; the fewer phrases per letter, the less the sample's language says is
-new, and the language with the fewest wins. Samples are of equal size, so that
-phrase counts compare; they are normalised by the letters parsed.
+sample; the fewer phrases, the less the sample's language says is new. Samples
+may be of any size: a phrase costs the bits that name its place in the sample
+and a letter of the alphabet, so that longer samples pay for their longer
+phrases (Ziv and Merhav's estimate of cross entropy). A letter that the sample
+does not have costs what a phrase of the largest sample does, in each language.
+The language in which the text costs least wins.
 
 Texts are lower-cased, and whatever is no letter counts as one space. They are
 parsed whole, in stretches of ``STRETCH`` letters that each begin a phrase.
@@ -17,6 +20,7 @@ and score 0. Equal texts get equal results. An empty table gives none.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 import numpy as np
@@ -85,6 +89,9 @@ class CrossParser:
         self.classes = {c: i for i, c in enumerate(alphabet, 1)}
         automata = [SuffixAutomaton(map(self.classes.get, samples[k])) for k in self.languages]
         self.width = len(alphabet) + 1
+        # Whole millionths of a bit, so that sums are exact and ties are ties.
+        bits = [math.log2(len(samples[k]) + 1) + math.log2(self.width) for k in self.languages]
+        self.phrase_cost = np.array([round(1e6 * b) for b in bits], dtype=np.int64)
         self.roots = np.cumsum([0, *[len(a.next) for a in automata]])[:-1].astype(np.int32)
         # The last state has no way on: there a letter leads that no sample has.
         self.dead = sum(len(a.next) for a in automata)
@@ -94,6 +101,8 @@ class CrossParser:
                 for letter, target in after.items():
                     self.table[root + state, letter] = root + target
         self.flat = self.table.ravel()
+        #: Classes that a language's sample does not have, by class and language.
+        self.foreign = (self.table[self.roots] < 0).T.astype(np.int64)
         # Letters by code point: class, 0 for other letters, -1 for what is none.
         self.code = np.array(
             [self._class_of(chr(i)) for i in range(0x250)], dtype=np.int16
@@ -145,6 +154,11 @@ class CrossParser:
         result[order] = found
         return result
 
+    def _costs(self, phrases: np.ndarray, coded: list[np.ndarray]) -> np.ndarray:
+        """What the phrases of each text cost, per language; a foreign letter is a phrase by itself."""
+        foreign = np.array([np.bincount(codes, minlength=self.width) @ self.foreign for codes in coded])
+        return (phrases - foreign) * self.phrase_cost + foreign * self.phrase_cost.max()
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
         coded = [self.encode(t) if t else np.empty(0, dtype=np.int16) for t in texts]
@@ -158,6 +172,7 @@ class CrossParser:
             return labels, scores
         totals = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
         np.add.at(totals, np.array(owners), self.phrases(stretches))
+        totals = self._costs(totals, coded)
         best = np.argmin(totals, axis=1)
         for i, codes in enumerate(coded):
             if len(codes):
@@ -204,12 +219,12 @@ def sample_texts(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> di
         drawn.withColumn("text", F.substring("text", 1, share)).collect(),
         key=lambda r: (r.lang, r.draw, str(r.id), r.text),
     ):
-        if sizes.get(row.lang, 0) < letters:
-            samples.setdefault(row.lang, []).append(letters_only(row.text))
-            sizes[row.lang] = sizes.get(row.lang, 0) + len(samples[row.lang][-1]) + 1
-    least = min(sizes.values())
-    # Equal sizes, as longer samples would parse anything into fewer phrases.
-    return {k: " ".join(v)[:least] for k, v in samples.items()}
+        found = letters_only(row.text)
+        if found and sizes.get(row.lang, 0) < letters:
+            samples.setdefault(row.lang, []).append(found)
+            sizes[row.lang] = sizes.get(row.lang, 0) + len(found) + 1
+    # Sizes differ where a language has fewer letters; phrases are priced by them.
+    return {k: " ".join(v)[:letters] for k, v in samples.items()}
 
 
 def identify_languages(

@@ -81,6 +81,34 @@ def test_held_out_labels_and_other_columns_change_nothing(spark):
     assert sample_texts(df.repartition(7), "doc_id", "text", "lang") == sample_texts(df, "doc_id", "text", "lang")
 
 
+def unheld(count: int, start: int = 10_000_000) -> list[int]:
+    return [i for i in range(start, start + 4 * count + 9) if zlib.crc32(str(i).encode()) % 3 != 1][:count]
+
+
+def test_rare_and_letterless_labels_cut_no_other_sample(spark):
+    df = pick(spark.read.parquet(f"{FOLDER}/documents.parquet"), doc_id="doc_id", text="text", lang="lang")
+    rare = "tämä on harvinainen kieli jota puhutaan vain täällä pohjoisessa metsässä järven rannalla " * 3
+    first, second = unheld(2)
+    more = spark.createDataFrame([(first, rare, "fi"), (second, "12 34 5678 " * 40, "digits")], df.schema)
+    before = sample_texts(df, "doc_id", "text", "lang")
+    samples = sample_texts(df.unionByName(more), "doc_id", "text", "lang")
+    assert samples.keys() == before.keys() | {"fi"}
+    assert all(samples[k] == before[k] for k in before) and min(map(len, before.values())) > 2_000
+    found = identify_languages(df.unionByName(more), "doc_id", "text", samples).collect()
+    labels = {r.doc_id: r.lang for r in df.collect()}
+    hits = [labels[r.doc_id] == r.lang_pred for r in found if r.doc_id in labels]
+    assert sum(hits) / len(hits) > 0.97
+    assert {r.lang_pred for r in found if r.doc_id in (first, second)} == {"fi", "und"}
+
+
+def test_phrases_are_priced_by_the_size_of_their_sample():
+    samples = {"x": "the words and lines of this long sample are many " * 90, "y": "die wörter"}
+    parser = CrossParser(samples)
+    assert parser.predict(["many words of this sample", "die wörter"])[0] == ["x", "y"]
+    # Letters that no sample has tie, whatever the sizes.
+    assert parser.predict(["漢字"]) == (["x"], [0.0])
+
+
 def test_odd_and_empty_tables(spark, odd_documents, no_documents):
     samples = {"en": "the words and lines of this language " * 9, "de": "die wörter und zeilen dieser sprache " * 9}
     found = identify_languages(odd_documents, "doc_id", "text", samples).collect()
