@@ -32,9 +32,11 @@ from orderflow.llm.common import bounded_groups, map_texts, pick, ship
 
 #: Letters of a sample per language. The sample is the one thing that doesn't grow with the data.
 SAMPLE_LETTERS = 40_000
-#: Rows that are drawn per language to fill it, in expectation, and the lengths they may have.
-SAMPLE_ROWS = 200
-SAMPLE_LENGTHS = (200, 20_000)
+#: Texts that a sample has at least, where a language has as many, and the letters a text may give.
+VOICES = 20
+PIECES = (125, 250, 500, 1000, 2000, 4000, 8000, 20_000, SAMPLE_LETTERS)
+#: Letters that are drawn, in expectation, per letter of the sample.
+OVERDRAW = 4
 #: Letters of a sample over all languages together, shared out where they are many.
 SAMPLE_TOTAL = 400_000
 #: Letters that are parsed in one go.
@@ -193,38 +195,70 @@ def held_out(id_col: Column) -> Column:
 def sample_texts(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, str]:
     """A sample of labelled text per language, of a bounded number of letters.
 
-    Rows are drawn by a hash of their id, at the rate that gives ``SAMPLE_ROWS``
-    rows per language, and used whole, in the order of the hash, until the
-    language has its letters; the text that passes the bound is cut there.
+    Texts of any length are drawn from, so every label that has a letter is
+    learned. Each text gives up to one of ``PIECES`` letters: a twentieth of the
+    sample, so that it has many voices, or more where the language's texts
+    would not fill it otherwise. Rows are drawn by a hash of their id, at the
+    rate that gives ``OVERDRAW`` samples in expectation; what falls short, as
+    copies count once, is drawn again at a higher one, up to all rows. Pieces
+    are used in the order of the hash, until the language has its letters; the
+    piece that passes the bound is cut there.
     """
     rows = pick(df, id=id_col, text=text_col, lang=lang_col)
-    low, high = SAMPLE_LENGTHS
     rows = rows.where(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
-    ).where(F.length("text").between(low, high))
-    counts = {r.lang: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return {}
-    letters = min(SAMPLE_LETTERS, SAMPLE_TOTAL // len(counts))
+    ).where(F.col("text").rlike(r"\p{L}"))
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.create_map(
-        *[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, SAMPLE_ROWS / n)))]
-    )
-    drawn = rows.where(draw < rate[F.col("lang")]).select("lang", draw.alias("draw"), "text", "id")
-    samples: dict[str, list[str]] = {}
-    sizes: dict[str, int] = {}
-    share = letters // 20 + 1
-    for row in sorted(
-        # No text gives more than a twentieth, so that a sample has many voices.
-        drawn.withColumn("text", F.substring("text", 1, share)).collect(),
-        key=lambda r: (r.lang, r.draw, str(r.id), r.text),
-    ):
-        found = letters_only(row.text)
-        if found and sizes.get(row.lang, 0) < letters:
-            samples.setdefault(row.lang, []).append(found)
-            sizes[row.lang] = sizes.get(row.lang, 0) + len(found) + 1
+    rows = rows.select("lang", draw.alias("draw"), "text")
+    found = F.trim(F.regexp_replace("text", r"[^\p{L}]+", " "))
+    sums = [F.sum(F.least("size", F.lit(piece))).alias(f"n{piece}") for piece in PIECES]
+    sizes = rows.select("lang", F.length(found).alias("size")).groupBy("lang").agg(*sums)
+    available = {r.lang: [r[f"n{piece}"] for piece in PIECES] for r in sizes.collect()}
+    if not available:
+        return {}
+    letters = _shared_letters([a[-1] for a in available.values()])
+    pieces, rates = {}, {}
+    for lang, there in available.items():
+        enough = [(p, n) for p, n in zip(PIECES, there, strict=True) if p * VOICES >= letters]
+        pieces[lang], n = next((pn for pn in enough if pn[1] >= letters), enough[-1])
+        rates[lang] = min(1.0, OVERDRAW * letters / n)
+    samples: dict[str, str] = {}
+    while rates:
+        of = lambda values: F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("lang")]
+        drawn = (
+            rows.where(F.col("draw") < of(rates))
+            .select("lang", "draw", F.substring(found, F.lit(1), of(pieces)).alias("piece"))
+            .distinct()
+        )
+        parts: dict[str, list[str]] = {}
+        filled: dict[str, int] = {}
+        for row in sorted(drawn.collect(), key=lambda r: (r.lang, r.draw, r.piece)):
+            part = letters_only(row.piece)
+            if part and filled.get(row.lang, -1) < letters:
+                parts.setdefault(row.lang, []).append(part)
+                filled[row.lang] = filled.get(row.lang, -1) + len(part) + 1
+        samples |= {k: " ".join(v)[:letters] for k, v in parts.items()}
+        rates = {
+            k: min(1.0, 8 * rate)
+            for k, rate in rates.items()
+            if rate < 1 and filled.get(k, -1) < letters
+        }
     # Sizes differ where a language has fewer letters; phrases are priced by them.
-    return {k: " ".join(v)[:letters] for k, v in samples.items()}
+    return samples
+
+
+def _shared_letters(available: list[int]) -> int:
+    """Letters that a sample may have, so that all together keep to ``SAMPLE_TOTAL``.
+
+    Languages that have fewer leave the rest of their share to the others.
+    """
+    left = SAMPLE_TOTAL
+    for i, n in enumerate(sorted(available)):
+        share = left // (len(available) - i)
+        if n >= share:
+            return max(1, min(SAMPLE_LETTERS, share))
+        left -= n
+    return SAMPLE_LETTERS
 
 
 def identify_languages(

@@ -12,6 +12,7 @@ from orderflow.llm.language import (
     SuffixAutomaton,
     held_out,
     identify_languages,
+    keep_identified,
     letters_only,
     sample_texts,
 )
@@ -101,6 +102,36 @@ def test_rare_and_letterless_labels_cut_no_other_sample(spark):
     assert {r.lang_pred for r in found if r.doc_id in (first, second)} == {"fi", "und"}
 
 
+def test_texts_of_any_length_are_learned(spark):
+    df = pick(spark.read.parquet(f"{FOLDER}/documents.parquet"), doc_id="doc_id", text="text", lang="lang")
+    short = df.withColumn("text", F.substring("text", 1, 150))
+    assert short.agg(F.max(F.length("text"))).first()[0] < 200
+    # A label of many titles and one of a single book fill their samples as far as they can.
+    ids = unheld(402)
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choices(letters, k=6))
+    more = [(i, word("abcde") + " " + word("abcde"), "titles") for i in ids[:400]]
+    more += [(ids[400], " ".join(word("vwxyz") for _ in range(9_000)), "book"), (ids[401], "7 æ 7", "letter")]
+    table = short.unionByName(spark.createDataFrame(more, df.schema))
+    samples = sample_texts(table, "doc_id", "text", "lang")
+    labels = {r.lang for r in df.where("text is not null and lang is not null").select("lang").distinct().collect()}
+    assert samples.keys() == labels | {"titles", "book", "letter"}
+    assert len(samples["book"]) == 40_000 and len(samples["titles"]) == 400 * 14 - 1
+    assert samples["letter"] == "æ"
+    found = {r.doc_id: r.lang_pred for r in identify_languages(df, "doc_id", "text", samples).collect()}
+    hits = [r.lang == found[r.doc_id] for r in df.collect()]
+    assert sum(hits) / len(hits) > 0.95
+    assert keep_identified(table, "text", samples).count() == table.where(F.col("text").rlike(r"\p{L}")).count()
+
+
+def test_copies_do_not_leave_a_sample_short(spark):
+    ids = unheld(300)
+    rows = [(ids[0], "same words in every copy of it " * 80, "xx")] * 3_000
+    rows += [(i, f"{'abcdefghij'[n % 10] * 3} {'klmnopqrst'[n % 9] * 3} " * 300, "xx") for n, i in enumerate(ids[1:])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(sample_texts(df, "doc_id", "text", "lang")["xx"]) == 40_000
+
+
 def test_phrases_are_priced_by_the_size_of_their_sample():
     samples = {"x": "the words and lines of this long sample are many " * 90, "y": "die wörter"}
     parser = CrossParser(samples)
