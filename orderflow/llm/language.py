@@ -24,7 +24,7 @@ import math
 from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
@@ -198,17 +198,19 @@ def sample_texts(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> di
     Texts of any length are drawn from, so every label that has a letter is
     learned. Each text gives up to one of ``PIECES`` letters: a twentieth of the
     sample, so that it has many voices, or more where the language's texts
-    would not fill it otherwise. Rows are drawn by a hash of their id, at the
-    rate that gives ``OVERDRAW`` samples in expectation; what falls short, as
-    copies count once, is drawn again at a higher one, up to all rows. Pieces
-    are used in the order of the hash, until the language has its letters; the
-    piece that passes the bound is cut there.
+    would not fill it otherwise. They stand at a hashed place of the text, as
+    its start may be a header that many share. Rows are drawn by a hash of id
+    and text, at the rate that gives ``OVERDRAW`` samples in expectation; what
+    falls short, as copies count once, is drawn again at a higher one, up to all
+    rows. Pieces are used in the order of the hash, until the language has its
+    letters; the piece that passes the bound is cut there, and none after it
+    comes to the driver.
     """
     rows = pick(df, id=id_col, text=text_col, lang=lang_col)
     rows = rows.where(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
     ).where(F.col("text").rlike(r"\p{L}"))
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
     rows = rows.select("lang", draw.alias("draw"), "text")
     found = F.trim(F.regexp_replace("text", r"[^\p{L}]+", " "))
     sums = [F.sum(F.least("size", F.lit(piece))).alias(f"n{piece}") for piece in PIECES]
@@ -225,18 +227,24 @@ def sample_texts(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> di
     samples: dict[str, str] = {}
     while rates:
         of = lambda values: F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("lang")]
+        room = F.greatest(F.length("found") - of(pieces), F.lit(0)) + 1
+        place = F.pmod(F.xxhash64("draw"), room).cast("int") + 1
+        earlier = Window.partitionBy("lang").orderBy("draw", "piece").rowsBetween(Window.unboundedPreceding, -1)
         drawn = (
             rows.where(F.col("draw") < of(rates))
-            .select("lang", "draw", F.substring(found, F.lit(1), of(pieces)).alias("piece"))
+            .select("lang", "draw", found.alias("found"))
+            .select("lang", "draw", F.trim(F.substring("found", place, of(pieces))).alias("piece"))
             .distinct()
+            # Few rows by now, however many a language has.
+            .withColumn("before", F.coalesce(F.sum(F.length("piece") + 1).over(earlier), F.lit(0)))
+            .where(F.col("before") <= letters)
         )
         parts: dict[str, list[str]] = {}
         filled: dict[str, int] = {}
         for row in sorted(drawn.collect(), key=lambda r: (r.lang, r.draw, r.piece)):
-            part = letters_only(row.piece)
-            if part and filled.get(row.lang, -1) < letters:
+            filled[row.lang] = filled.get(row.lang, -1) + len(row.piece) + 1
+            if part := letters_only(row.piece):
                 parts.setdefault(row.lang, []).append(part)
-                filled[row.lang] = filled.get(row.lang, -1) + len(part) + 1
         samples |= {k: " ".join(v)[:letters] for k, v in parts.items()}
         rates = {
             k: min(1.0, 8 * rate)

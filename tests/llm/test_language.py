@@ -132,6 +132,26 @@ def test_copies_do_not_leave_a_sample_short(spark):
     assert len(sample_texts(df, "doc_id", "text", "lang")["xx"]) == 40_000
 
 
+def test_a_shared_header_is_not_what_is_learned(spark):
+    rng = random.Random(4)
+    header = " ".join("".join(rng.choices("vwxyz", k=6)) for _ in range(290))
+    body = lambda: " ".join("".join(rng.choices("abcde", k=6)) for _ in range(2_000))
+    ids = unheld(60)
+    df = spark.createDataFrame([(i, f"{header} {body()}", "xx") for i in ids], "doc_id bigint, text string, lang string")
+    sample = sample_texts(df, "doc_id", "text", "lang")["xx"]
+    assert len(sample) == 40_000
+    assert sum(c in "vwxyz" for c in sample) < 0.4 * len(sample)
+
+
+def test_one_id_of_many_rows_brings_no_more_than_its_letters(spark, monkeypatch):
+    the_id = unheld(1)[0]
+    df = spark.range(4_000).selectExpr(f"{the_id}L doc_id", "repeat(concat('abc', char(97 + id % 26), ' ', translate(id, '0123456789', 'klmnopqrst'), ' '), 250) text", "'xx' lang")
+    taken, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: taken.append(collect(self)) or taken[-1])
+    assert len(sample_texts(df, "doc_id", "text", "lang")["xx"]) == 40_000
+    assert sum(len(r.piece) for rows in taken for r in rows if "piece" in r) <= 42_100
+
+
 def test_phrases_are_priced_by_the_size_of_their_sample():
     samples = {"x": "the words and lines of this long sample are many " * 90, "y": "die wörter"}
     parser = CrossParser(samples)
