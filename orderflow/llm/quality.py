@@ -14,9 +14,12 @@ nothing but sums per bin leaves a task. The share that is kept ends at a bin's
 edge, so it is three quarters or little more.
 
 Each statistic has a least scatter, added to the estimate; it keeps those that
-are zero in most texts from making the estimate singular. Groups of fewer than
-``LEAST_ROWS`` rows are judged with the other small groups of their language,
-and where these are few, with those of all languages.
+are zero in most texts from making the estimate singular. Every group has its
+own estimate. From ``FULL_ROWS`` rows on that is what its rows are judged by; in
+smaller groups centre and scatter are blended with those of all rows of the
+language, in even steps down to ``NO_ROWS`` rows, of which three quarters hardly
+span five dimensions and one bad row is too many. Languages of few rows are
+blended in the same way with all rows. So no verdict jumps as a group grows.
 
 Results are defined as follows. A null text has no words and fails the fixed
 rules, as do empty and wordless ones. Null languages and sources are values
@@ -49,7 +52,9 @@ KEPT_SHARE = 0.75
 CUTOFF = 40.9
 REWEIGHT = 0.975
 STEPS = 6
-LEAST_ROWS = 100
+#: Rows from which a group's own estimate counts in full, and up to which it doesn't count.
+FULL_ROWS = 24
+NO_ROWS = 8
 #: Estimates, of some 250 bytes each, that are sent to every task; beyond, rows are joined
 #: with them by group and salt, of which there are so many.
 SENT_ESTIMATES = 100_000
@@ -126,20 +131,25 @@ def _vector() -> list[Column]:
     return [F.round(v, 6).alias(f"z{i}") for i, v in enumerate(found)]
 
 
+def own_weight(n: float) -> float:
+    """Share that a group of so many rows has in the estimate it is judged by."""
+    return min(1.0, max(0.0, (n - NO_ROWS) / (FULL_ROWS - NO_ROWS)))
+
+
 def _grouped(rows: DataFrame) -> DataFrame:
-    """The group of each language and source that has rows to judge."""
+    """The group of each language and source that has rows to judge, and those it is blended with."""
     counts = rows.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = F.col("n") < LEAST_ROWS
-    rest = F.sum(F.when(small, F.col("n")).otherwise(0)).over(Window.partitionBy("lang"))
     part = lambda c: F.coalesce(F.to_json(F.struct(c)), F.lit("{}"))
-    return counts.select(
+    of_lang = Window.partitionBy("lang")
+    found = counts.select(
         F.col("lang").alias("of_lang"),
         F.col("source").alias("of_source"),
-        F.when(~small, F.concat(F.lit("1"), part("lang"), part("source")))
-        .when(rest >= LEAST_ROWS, F.concat(F.lit("2"), part("lang")))
-        .otherwise(F.lit("3"))
-        .alias("group"),
+        F.concat(F.lit("1"), part("lang"), part("source")).alias("group"),
+        "n",
+        F.sum("n").over(of_lang).alias("n_lang"),
+        F.when(F.min("n").over(of_lang) < FULL_ROWS, F.concat(F.lit("2"), part("lang"))).alias("wider"),
     )
+    return found.withColumn("widest", F.when(F.col("n_lang") < FULL_ROWS, F.lit("3")))
 
 
 def _sums() -> list[Column]:
@@ -261,6 +271,43 @@ def robust_estimates(vectors: DataFrame) -> DataFrame:
     return staged(again.unionByName(kept), "estimates")
 
 
+def blended_estimates(groups: DataFrame, estimates: DataFrame) -> DataFrame:
+    """The estimate by which each of ``groups`` is judged."""
+    parts = F.array(*[f"m{i}" for i in range(len(NAMES))], *[f"p{i}_{j}" for i, j in PAIRS])
+    under = lambda key, name: estimates.select(F.col("group").alias(key), parts.alias(name))
+    joined = (
+        groups.select("group", "n", "n_lang", "wider", "widest")
+        .join(under("group", "own"), "group")
+        # One estimate per language, and one of all rows.
+        .join(F.broadcast(under("wider", "of_wider").where("wider not like '1%'")), "wider", "left")
+        .join(F.broadcast(under("widest", "of_widest").where("widest = '3'")), "widest", "left")
+    )
+
+    def run(frames):
+        import pandas as pd
+
+        columns = [c.split()[0] for c in _ESTIMATE.split(", ")]
+        for frame in frames:
+            out = []
+            for row in frame.itertuples(index=False):
+                centre = scatter = None
+                for n, found in ((None, row.of_widest), (row.n_lang, row.of_wider), (row.n, row.own)):
+                    if found is None:
+                        continue
+                    precise = np.zeros((len(NAMES), len(NAMES)))
+                    for (i, j), value in zip(PAIRS, found[len(NAMES) :], strict=True):
+                        precise[i, j] = precise[j, i] = value
+                    own = np.array(found[: len(NAMES)]), np.linalg.inv(precise)
+                    weight = 1.0 if centre is None else own_weight(n)
+                    centre = own[0] if weight == 1 else weight * own[0] + (1 - weight) * centre
+                    scatter = own[1] if weight == 1 else weight * own[1] + (1 - weight) * scatter
+                least = np.diag(np.square(list(SCATTER.values())))
+                out.append(_estimate_row(0, row.group, centre, scatter - least))
+            yield pd.DataFrame(out, columns=columns)
+
+    return staged(joined.mapInPandas(run, _ESTIMATE), "blended")
+
+
 def judge_quality(
     df: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str
 ) -> DataFrame:
@@ -291,11 +338,12 @@ def judge_quality(
             groups,
             rows["lang"].eqNullSafe(groups["of_lang"]) & rows["source"].eqNullSafe(groups["of_source"]),
             "left",
-        ).drop("of_lang", "of_source"),
+        ).drop("of_lang", "of_source", "n", "n_lang"),
         "vectors",
     )
-    vectors = rows.where("not base_failed").select("group", *[f"z{i}" for i in range(len(NAMES))])
-    estimates = robust_estimates(vectors)
+    wanted = F.explode(F.array_compact(F.array("group", "wider", "widest"))).alias("group")
+    vectors = rows.where("not base_failed").select(wanted, *[f"z{i}" for i in range(len(NAMES))])
+    estimates = blended_estimates(groups, robust_estimates(vectors))
     distance = F.when(~F.col("base_failed"), F.round(_distance(), 6))
     return (
         _beside_estimates(rows, estimates, "left")

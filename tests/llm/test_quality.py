@@ -109,6 +109,52 @@ def test_estimates_against_row_by_row_steps(spark, monkeypatch):
             assert [row[f"p{i}_{j}"] for i, j in PAIRS] == pytest.approx([precise[i, j] for i, j in PAIRS], abs=1e-4)
 
 
+def styled(rng, words, symbols):
+    """A clean text of distinct words of one length, with so many symbols beside them."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    found = ["".join(rng.choices(letters, k=words)) for _ in range(rng.randint(150, 250))]
+    return " ".join(found + ["#"] * symbols)
+
+
+def test_small_sources_of_their_own_style_are_judged_by_it(spark):
+    rng = random.Random(5)
+    rows = [(f"plain{k}", styled(rng, 5, 2)) for k in range(6) for _ in range(40)]
+    rows += [("own", styled(rng, 14, 2)) for _ in range(30)]
+    rows += [("plain0", styled(rng, 5, 900)) for _ in range(4)]
+    table = [(i, text, "en", source) for i, (source, text) in enumerate(rows)]
+    df = spark.createDataFrame(table, "doc_id bigint, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in judge_quality(df, "doc_id", "text", "lang", "source").collect()}
+    assert all(kept[i] for i in range(270)) and not any(kept[i] for i in range(270, 274))
+
+
+def test_small_groups_are_blended_without_a_switch(spark):
+    weights = [quality.own_weight(n) for n in range(130)]
+    assert weights[8] == 0 and weights[16] == 0.5 and weights[24] == weights[129] == 1
+    assert max(b - a for a, b in zip(weights, weights[1:])) <= 1 / 16 + 1e-9
+    spread = {"own": 1.0, "en": 4.0, "all": 9.0}
+    estimates = spark.createDataFrame(
+        [
+            [0, key, 0.0, *[at] * P, *[1 / spread[name] if i == j else 0.0 for i, j in PAIRS]]
+            for key, name, at in (("1a", "own", 1.0), ("2en", "en", 3.0), ("3", "all", 7.0))
+        ],
+        quality._ESTIMATE,
+    )
+    columns = "group string, n bigint, n_lang bigint, wider string, widest string"
+    for n, n_lang, wider, widest, centre, scatter in (
+        (30, 90, "2en", None, 1.0, 1.0),
+        (24, 90, "2en", None, 1.0, 1.0),
+        (16, 90, "2en", None, 2.0, 2.5),
+        (5, 90, "2en", None, 3.0, 4.0),
+        (16, 16, "2en", "3", 3.0, 3.75),
+        (5, 5, "2en", "3", 7.0, 9.0),
+        (400, 900, None, None, 1.0, 1.0),
+    ):
+        groups = spark.createDataFrame([("1a", n, n_lang, wider, widest)], columns)
+        row = quality.blended_estimates(groups, estimates).first()
+        assert [row[f"m{i}"] for i in range(P)] == pytest.approx([centre] * P)
+        assert [row[f"p{i}_{i}"] for i in range(P)] == pytest.approx([1 / scatter] * P)
+
+
 def test_odd_and_empty_tables(spark, odd_documents, no_documents):
     rows = judge_quality(odd_documents, "doc_id", "text", "lang", "source").collect()
     texts = [tuple(r) for r in pick(odd_documents, i="doc_id", t="text").collect()]
