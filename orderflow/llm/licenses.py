@@ -7,7 +7,9 @@ keeps at least one. A text is looked up in it at all its places, so a shared
 stretch of window plus gram length can't pass unseen. Hits near each other in
 text and diagonal make a candidate, whose stretch of the text is aligned with
 the template, within a band, by words; matched words over the template's words
-are the coverage, and the first and last matched word give the span.
+are the coverage, and the first and last matched word give the span. Words between
+are free, but not inside the phrases that name a license (``NAMING``): without
+"version 3" or "GNU General Public License" in one piece it is another one.
 
 Templates are few and bounded (``TEMPLATE_WORDS``); the index goes to the tasks.
 
@@ -52,6 +54,67 @@ TEMPLATE_WORDS = 200_000
 _WORD = re.compile(r"[^\W_]+")
 
 # Texts of public licenses and of the notices that name them.
+_WARRANTY = (
+    " in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+    " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details."
+)
+_GNU_NOTICE = (
+    "This {thing} is free software: you can redistribute it and/or modify it under the terms of the"
+    " {name} as published by the Free Software Foundation, either version {version} of the License, or (at"
+    " your option) any later version. This {thing} is distributed" + _WARRANTY
+)
+_GNU_ONLY_NOTICE = (
+    "This {thing} is free software: you can redistribute it and/or modify it under the terms of the"
+    " {name} version {version} as published by the Free Software Foundation. This {thing} is distributed"
+    + _WARRANTY
+)
+_GNU = {
+    "gpl-2.0": ("program", "GNU General Public License", "2"),
+    "gpl-3.0": ("program", "GNU General Public License", "3"),
+    "lgpl-2.1": ("library", "GNU Lesser General Public License", "2.1"),
+    "lgpl-3.0": ("program", "GNU Lesser General Public License", "3"),
+    "agpl-3.0": ("program", "GNU Affero General Public License", "3"),
+}
+_BSD_CLAUSES = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    " provided that the following conditions are met: 1. Redistributions of source code must retain"
+    " the above copyright notice, this list of conditions and the following disclaimer. 2."
+    " Redistributions in binary form must reproduce the above copyright notice, this list of"
+    " conditions and the following disclaimer in the documentation and/or other materials provided"
+    " with the distribution. "
+)
+_BSD_ADVERTISING = (
+    "3. All advertising materials mentioning features or use of this software must display the following"
+    " acknowledgement: This product includes software developed by the organization. "
+)
+_BSD_ENDORSEMENT = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
+    " promote products derived from this software without specific prior written permission. "
+)
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR"
+    " IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND"
+    " FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR"
+    " CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL"
+    " DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,"
+    " DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER"
+    " IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT"
+    " OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_CC = {
+    "by": "Attribution",
+    "by-sa": "Attribution-ShareAlike",
+    "by-nc": "Attribution-NonCommercial",
+    "by-nd": "Attribution-NoDerivatives",
+    "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+    "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
+}
+_SPDX = [
+    "MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause-Clear", "BSD-4-Clause", "ISC",
+    "MPL-2.0", "Unlicense", "CC0-1.0", *[f"CC-{kind.upper()}-4.0" for kind in _CC],
+    *[f"{name.upper()}{end}" for name in _GNU for end in ("", "-only", "-or-later")],
+]
+
 TEMPLATES = {
     "apache-2.0-notice": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file"
@@ -62,31 +125,40 @@ TEMPLATES = {
         " specific language governing permissions and limitations under the License."
     ),
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
-    "bsd-2-clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted"
-        " provided that the following conditions are met: 1. Redistributions of source code must retain"
-        " the above copyright notice, this list of conditions and the following disclaimer. 2."
-        " Redistributions in binary form must reproduce the above copyright notice, this list of"
-        " conditions and the following disclaimer in the documentation and/or other materials provided"
-        " with the distribution."
-    ),
-    "cc-by-4.0-line": "Licensed under CC BY 4.0.",
-    "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
-    "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0.",
+    "apache-2.0-line-plain": "Licensed under the Apache License 2.0.",
+    "apache-2.0-line-short": "Licensed under Apache 2.0.",
+    "apache-2.0-line-released": "Released under the Apache License, Version 2.0.",
+    "apache-2.0-line-released-plain": "Released under the Apache License 2.0.",
+    "bsd-2-clause": _BSD_CLAUSES + _BSD_DISCLAIMER,
+    "bsd-3-clause": _BSD_CLAUSES + "3. " + _BSD_ENDORSEMENT + _BSD_DISCLAIMER,
+    "bsd-4-clause": _BSD_CLAUSES + _BSD_ADVERTISING + "4. " + _BSD_ENDORSEMENT + _BSD_DISCLAIMER,
+    **{f"cc-{kind}-4.0-line": f"Licensed under CC {kind.upper()} 4.0." for kind in _CC},
+    **{
+        f"cc-{kind}-4.0-notice": f"This work is licensed under a Creative Commons {name} 4.0 International License."
+        for kind, name in _CC.items()
+    },
     "cc0-1.0-line": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
-    "gpl-3.0-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the"
-        " GNU General Public License as published by the Free Software Foundation, either version 3 of"
-        " the License, or (at your option) any later version. This program is distributed in the hope"
-        " that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
-        " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for"
-        " more details."
-    ),
-    "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
+    **{
+        f"{key}-notice": _GNU_NOTICE.format(thing=thing, name=name, version=version)
+        for key, (thing, name, version) in _GNU.items()
+    },
+    **{
+        f"{key}-only-notice": _GNU_ONLY_NOTICE.format(thing=thing, name=name, version=version)
+        for key, (thing, name, version) in _GNU.items()
+    },
+    **{
+        f"{key}-line": f"This work is licensed under the {name}, version {version}."
+        for key, (_, name, version) in _GNU.items()
+    },
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without"
         " fee is hereby granted, provided that the above copyright notice and this permission notice"
-        " appear in all copies."
+        " appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES"
+        " WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN"
+        " NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES"
+        " OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF"
+        " CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR"
+        " PERFORMANCE OF THIS SOFTWARE."
     ),
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
@@ -95,9 +167,18 @@ TEMPLATES = {
         " distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
         " Software is furnished to do so, subject to the following conditions: The above copyright"
         " notice and this permission notice shall be included in all copies or substantial portions of"
-        " the Software."
+        " the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR"
+        " IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A"
+        " PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE"
+        " LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR"
+        " OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS"
+        " IN THE SOFTWARE."
     ),
     "mit-line": "Released under the MIT License.",
+    "mit-line-licensed": "Licensed under the MIT License.",
+    "mit-line-distributed": "Distributed under the MIT License.",
+    "mit-line-available": "Available under the MIT License.",
+    "mit-line-short": "Licensed under MIT.",
     "mpl-2.0-notice": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy"
         " of the MPL was not distributed with this file, You can obtain one at"
@@ -106,8 +187,43 @@ TEMPLATES = {
     "unlicense": (
         "This is free and unencumbered software released into the public domain. Anyone is free to copy,"
         " modify, publish, use, compile, sell, or distribute this software, either in source code form or"
-        " as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+        " as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In"
+        " jurisdictions that recognize copyright laws, the author or authors of this software dedicate any"
+        " and all copyright interest in the software to the public domain. We make this dedication for the"
+        " benefit of the public at large and to the detriment of our heirs and successors. We intend this"
+        " dedication to be an overt act of relinquishment in perpetuity of all present and future rights to"
+        " this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY"
+        " KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS"
+        " FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY"
+        " CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING"
+        " FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
+    **{f"spdx-{tag.lower()}": f"SPDX-License-Identifier: {tag}" for tag in _SPDX},
+}
+
+# The same without what follows the grant, as it is often quoted; the whole text counts more words.
+for _name, _rest in (("mit", "THE SOFTWARE IS"), ("isc", "THE SOFTWARE IS"), ("unlicense", "In jurisdictions")):
+    TEMPLATES[f"{_name}-grant"] = TEMPLATES[_name].split(f" {_rest}")[0]
+for _name in ("bsd-2-clause", "bsd-3-clause"):
+    TEMPLATES[f"{_name}-conditions"] = TEMPLATES[_name].removesuffix(_BSD_DISCLAIMER)
+
+#: Phrases that tell a template from its neighbours: its span must have each of them in one stretch.
+NAMING = {
+    **{f"{key}-notice": (name, f"version {version} of") for key, (_, name, version) in _GNU.items()},
+    **{f"{key}-only-notice": (f"{name} version {version} as",) for key, (_, name, version) in _GNU.items()},
+    **{f"{key}-line": (name, f"version {version}") for key, (_, name, version) in _GNU.items()},
+    **{f"cc-{kind}-4.0-line": (f"CC {kind} 4.0",) for kind in _CC},
+    **{f"cc-{kind}-4.0-notice": (f"Creative Commons {name} 4.0",) for kind, name in _CC.items()},
+    **{name: (TEMPLATES[name],) for name in TEMPLATES if name.startswith("spdx-")},
+    **{name: ("MIT License",) for name in TEMPLATES if name.startswith("mit-line")},
+    **{name: ("Apache License",) for name in TEMPLATES if name.startswith("apache-")},
+    "mit-line-short": ("under MIT",),
+    "apache-2.0-line-short": ("under Apache 2.0",),
+    "apache-2.0-notice": ("Apache License, Version 2.0",),
+    "bsd-3-clause": ("endorse or promote",),
+    "bsd-3-clause-conditions": ("endorse or promote",),
+    "bsd-4-clause": ("advertising materials", "endorse or promote"),
+    "mpl-2.0-notice": ("Mozilla Public License, v. 2.0",),
 }
 
 
@@ -133,7 +249,12 @@ def winnow(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
 class TemplateIndex:
     """Templates as word numbers, and the winnowed grams of each."""
 
-    def __init__(self, templates: dict[str, str], least: float = LEAST_COVERAGE):
+    def __init__(
+        self,
+        templates: dict[str, str],
+        least: float = LEAST_COVERAGE,
+        naming: dict[str, tuple[str, ...]] = NAMING,
+    ):
         self.names = sorted(templates)
         split = [list(map(str.lower, _WORD.findall(templates[name]))) for name in self.names]
         if not all(split):
@@ -143,6 +264,10 @@ class TemplateIndex:
         # Word 0 is any word that no template has.
         self.words = {w: i for i, w in enumerate(sorted(set().union(*split)), 1)}
         self.codes = [np.array([self.words[w] for w in words], dtype=np.int64) for words in split]
+        self.naming = [
+            [" ".join(["", *map(str.lower, _WORD.findall(phrase)), ""]) for phrase in naming.get(name, ())]
+            for name in self.names
+        ]
         lengths = np.array(list(map(len, self.codes)), dtype=np.int64)
         self.drift = np.clip(lengths // 4, 1, DRIFT)
         self.needed = np.where(lengths < SHORT, lengths, np.ceil(least * lengths - 1e-9)).astype(np.int64)
@@ -179,12 +304,19 @@ class TemplateIndex:
         found = []
         for template, low, high in self._candidates(codes):
             aligned = self._align(codes, self.codes[template], low, high, int(self.drift[template]))
-            if aligned and aligned[2] >= self.needed[template]:
+            if aligned and aligned[2] >= self.needed[template] and self._named(words, template, *aligned[:2]):
                 found.append((template, *aligned))
         if not found:
             return []
         return self._settled(text, found)
 
+    def _named(self, words: list[str], template: int, first: int, last: int) -> bool:
+        """Whether the naming phrases of the template stand in the stretch, each in one piece."""
+        if not self.naming[template]:
+            return True
+        stretch = " ".join(["", *words[first : last + 1], ""])
+        return all(phrase in stretch for phrase in self.naming[template])
+
     def _candidates(self, codes: np.ndarray):
         """Template and diagonals of each cluster of hits."""
         for size, (grams, templates, places) in self.tables.items():

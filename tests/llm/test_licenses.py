@@ -79,6 +79,36 @@ def test_short_lines_must_be_whole_and_spans_do_not_overlap():
         TemplateIndex({"none": "..."})
 
 
+def test_no_template_is_taken_for_its_neighbour():
+    index = TemplateIndex(TEMPLATES)
+    for name, template in TEMPLATES.items():
+        found = index.search(f"Some words before. {template}\n\nand after")
+        assert [(m.license, m.coverage) for m in found] == [(name, 1.0)]
+
+
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [
+        ("Licensed under the MIT License", ["mit-line-licensed"]),
+        ("This project is licensed under the MIT License.", ["mit-line-licensed"]),
+        ("Released under the MIT No Attribution License", []),
+        ("Licensed under CC BY-ND 4.0", ["cc-by-nd-4.0-line"]),
+        ("Licensed under CC BY-NC-ND 4.0", ["cc-by-nc-nd-4.0-line"]),
+        ("Licensed under CC BY-XY 4.0", []),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later", ["spdx-gpl-2.0-or-later"]),
+        ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", ["spdx-cc-by-nc-sa-4.0"]),
+        ("This work is licensed under the GNU Free General Public License, version 3.", []),
+        (TEMPLATES["gpl-3.0-notice"].replace("version 3", "version 9"), []),
+        (TEMPLATES["lgpl-2.1-notice"].replace("library", "program"), ["lgpl-2.1-notice"]),
+        (TEMPLATES["agpl-3.0-notice"].replace("program", "file"), ["agpl-3.0-notice"]),
+        (TEMPLATES["bsd-3-clause"].replace("HOLDER", "OWNER"), ["bsd-3-clause"]),
+        (TEMPLATES["mit"].split("THE SOFTWARE IS PROVIDED")[0], ["mit-grant"]),
+    ],
+)
+def test_naming_words_decide(text, names):
+    assert [m.license for m in TemplateIndex(TEMPLATES).search(text)] == names
+
+
 def test_odd_and_empty_tables(spark, odd_documents, no_documents):
     templates = {"plain": "plain words in a plain line said by no one", "word": "word " * 40, "end": "ß 漢字"}
     rows = scan_licenses(odd_documents, "doc_id", "text", templates).collect()
