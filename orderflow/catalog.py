@@ -42,13 +42,13 @@ from orderflow.plans.rollup import (
 from orderflow.plans.snapshot import (
     document_freshness,
     document_of,
-    document_tables,
     export_tables,
     pipeline_status,
+    read_document_parts,
     read_documents,
     read_snapshot_rows,
     snapshot_freshness,
-    write_document,
+    write_document_parts,
     write_snapshot,
 )
 from orderflow.schema import RAW_SCHEMA, validate_columns
@@ -245,11 +245,11 @@ def _faulty_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _recent_of_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The last rows of a JSON file that holds one record per line; such a file is one task's."""
+    """The last rows of sorted files of JSON lines, written and read in parallel."""
     path = new_folder(apply_settings(spark), "json")
     events = event_transactions(spark, folder).orderBy("timestamp", "order_id")
-    publish_transactions(events.coalesce(1), "text", path=path)
-    return _snake_case(recent_from_file(spark, path))
+    publish_transactions(events, "text", path=path)
+    return _snake_case(recent_from_file(spark, path, "ndjson"))
 
 
 # --- all metrics ----------------------------------------------------------------
@@ -273,10 +273,10 @@ def _stored_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _document_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """All metrics through a snapshot document, in the long layout."""
+    """All metrics through a snapshot document and its windows' lines, in the long layout."""
     path = new_folder(apply_settings(spark), "document")
-    write_document(metrics_snapshot(event_transactions(spark, folder)), path)
-    tables = document_tables(read_documents(spark, path))
+    write_document_parts(metrics_snapshot(event_transactions(spark, folder)), path)
+    tables = read_document_parts(spark, path)
     parts = []
     for metric, table in tables.items():
         keyed = {"key": table.columns[0]} if metric in KEYED_METRICS else {}
@@ -298,11 +298,11 @@ def _document_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 def _document_status(spark: SparkSession, folder: str) -> DataFrame:
     """Status of a document, of one with text behind it, and of one without orders."""
     events = event_transactions(apply_settings(spark), folder)
-    whole = document_of(metrics_snapshot(events))
+    whole = document_of(metrics_snapshot(events), windows=False)
     cases = {
         "whole": whole,
         "broken": whole.select(F.concat("value", F.lit(" and more {")).alias("value")),
-        "empty": document_of(metrics_snapshot(events.limit(0))),
+        "empty": document_of(metrics_snapshot(events.limit(0)), windows=False),
     }
     found = []
     for case, document in cases.items():

@@ -23,7 +23,7 @@ from orderflow.plans.rollup import (
     WINDOWED_METRIC,
     metric_frames,
 )
-from orderflow.session import path_exists
+from orderflow.session import path_exists, staged
 from orderflow.sources.files import json_value
 
 SNAPSHOT_SCHEMA = (
@@ -108,12 +108,15 @@ def export_tables(tables: dict[str, DataFrame], path: str) -> None:
         rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
 
 
-def document_of(rows: DataFrame, recent: DataFrame | None = None) -> DataFrame:
+def document_of(
+    rows: DataFrame, recent: DataFrame | None = None, windows: bool = True
+) -> DataFrame:
     """The long metric frame as one JSON object, in one row of one column ``value``.
 
     Five numbers and five lists, sorted as the tables are, window bounds as
     text; with ``recent``, its rows as ``recent_transactions``, in their order. A
-    document is made by one task and is for what one reader can take at once.
+    document is made by one task and is for what one reader can take at once;
+    ``windows=False`` leaves out the list of windows, which grows with the time.
     """
     measures = {
         metric: ("revenue", F.lit(0.0)) if metric in REVENUE_METRICS else ("order_count", F.lit(0))
@@ -138,7 +141,8 @@ def document_of(rows: DataFrame, recent: DataFrame | None = None) -> DataFrame:
         F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name) for name in ("window_start", "window_end")
     ]
     newest = [(-F.unix_micros(F.col("window_start").cast("timestamp"))).alias("newest")]
-    found.append(listed(WINDOWED_METRIC, newest, *times, F.col("order_count")))
+    if windows:
+        found.append(listed(WINDOWED_METRIC, newest, *times, F.col("order_count")))
     document = rows.agg(*found)
     if recent is not None:
         numbered = recent.select(
@@ -157,6 +161,22 @@ def write_document(rows: DataFrame, path: str, recent: DataFrame | None = None)
     document_of(rows, recent).write.mode("overwrite").text(path)
 
 
+def write_document_parts(rows: DataFrame, path: str) -> None:
+    """The document without its windows below ``path``, and these beside it as JSON lines."""
+    rows = staged(rows, "parts")
+    document_of(rows, windows=False).write.mode("overwrite").text(f"{path}/document")
+    export_tables({WINDOWED_METRIC: metric_frames(rows)[WINDOWED_METRIC]}, path)
+
+
+def read_document_parts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of ``write_document_parts``; lines are read in parallel, newest window first."""
+    windows = spark.read.schema("window_start string, window_end string, order_count bigint").json(
+        f"{path}/{WINDOWED_METRIC}"
+    )
+    tables = document_tables(read_documents(spark, f"{path}/document"))
+    return tables | {WINDOWED_METRIC: windows.orderBy(F.desc("window_start"))}
+
+
 def _member(name: str, kind: str, of: str = "document") -> Column:
     return F.try_variant_get(F.col(of), f"$.{name}", kind)
 
