@@ -8,13 +8,16 @@ By the q-gram lemma, such a region shares at least m - q + 1 - qe of the m - q +
 character q-grams of the item, and e edits move them by at most e diagonals. So
 shared q-grams are counted per item in overlapping bands of diagonals, two
 budgets wide; bands that reach the bound are verified by alignment within the
-band, and no region within the budget is missed.
+band, and no region within the budget is missed. Items have q-grams of the
+longest of ``GRAMS`` that leaves a bound above zero, so short ones keep the
+whole budget.
 
 The index of an item block is bounded (``BLOCK_CHARS``) and sent to the tasks;
 a larger benchmark takes several passes over the documents, one per block.
 
 Results are defined as follows. Null and empty texts hold nothing. Items whose
-text is null or has fewer than q characters after normalisation are left out.
+text is null or has fewer than two characters after normalisation are left out;
+an item of one short word is found inside of longer words, too.
 Items with equal texts are each reported. Regions of an item in a document
 don't overlap; of overlapping ones the one with the fewest edits counts, then
 the first. Equal rows give equal rows. Empty tables give none.
@@ -25,6 +28,7 @@ from __future__ import annotations
 import math
 from bisect import bisect
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,8 @@ from orderflow.llm.common import bounded_groups, pick, ship, type_of
 
 #: Characters per q-gram; a power of two, as hashes are doubled up.
 GRAM = 8
+#: The same for items too short for these, in the order of trial.
+GRAMS = (GRAM, 4, 2)
 #: Edits per character of an item.
 BUDGET = 0.1
 #: Characters of benchmark items indexed at a time.
@@ -88,11 +94,11 @@ def normalised(text: str) -> tuple[np.ndarray, np.ndarray]:
     return codes[places], places
 
 
-def gram_hashes(codes: np.ndarray) -> np.ndarray:
+def gram_hashes(codes: np.ndarray, gram: int = GRAM) -> np.ndarray:
     """A 64-bit hash of each q-gram, by joining the hashes of its halves."""
     hashes, width = codes.astype(np.uint64), 1
     factor = _FACTOR
-    while width < GRAM:
+    while width < gram:
         if len(hashes) <= width:
             return hashes[:0]
         hashes = hashes[:-width] * factor + hashes[width:]
@@ -121,18 +127,19 @@ class Hit:
 class ItemIndex:
     """Inverted index of the q-grams of a block of items."""
 
-    def __init__(self, items: list[tuple], budget: float = BUDGET):
+    def __init__(self, items: list[tuple], budget: float = BUDGET, gram: int = GRAM):
+        self.gram = gram
         self.ids, self.codes = [], []
         for key, text in items:
             codes = normalised(text)[0] if text else np.empty(0, dtype=np.uint32)
-            if len(codes) >= GRAM:
+            if len(codes) >= self.gram:
                 self.ids.append(key)
                 self.codes.append(codes)
         lengths = np.array([len(c) for c in self.codes], dtype=np.int64)
         # Beyond that many edits the bound would be no bound.
-        self.edits = np.minimum((lengths * budget).astype(np.int64), (lengths - GRAM) // GRAM)
-        self.bound = lengths - GRAM + 1 - GRAM * self.edits
-        hashes = [gram_hashes(c) for c in self.codes] or [np.empty(0, dtype=np.uint64)]
+        self.edits = np.minimum((lengths * budget).astype(np.int64), (lengths - self.gram) // self.gram)
+        self.bound = lengths - self.gram + 1 - self.gram * self.edits
+        hashes = [gram_hashes(c, gram) for c in self.codes] or [np.empty(0, dtype=np.uint64)]
         every = np.concatenate(hashes)
         item = np.repeat(np.arange(len(self.codes)), [len(h) for h in hashes] if self.codes else [])
         place = np.concatenate([np.arange(len(h)) for h in hashes])
@@ -177,7 +184,7 @@ class ItemIndex:
 
         A diagonal is where in its text an item would start.
         """
-        hashes = gram_hashes(joined)
+        hashes = gram_hashes(joined, self.gram)
         at = np.flatnonzero(self.filter[_filter_place(hashes)])
         gram = np.minimum(np.searchsorted(self.grams, hashes[at]), len(self.grams) - 1)
         hit = self.grams[gram] == hashes[at]
@@ -201,7 +208,7 @@ class ItemIndex:
             rows = np.concatenate(parts, axis=1)
             # Pairs come by place in the texts: a band is complete where its last diagonal is past.
             text, item = rows[0] // len(self.codes), rows[0] % len(self.codes)
-            ends = begins[text] + (rows[1] + 2) * (self.edits[item] + 1) - _SHIFT + self.bound[item] + GRAM * self.edits[item]
+            ends = begins[text] + (rows[1] + 2) * (self.edits[item] + 1) - _SHIFT + self.bound[item] + self.gram * self.edits[item]
             done = ends <= begins[key[-1] // len(self.codes)] + place[-1] + diagonal[-1] if number < chunks else np.ones(len(ends), dtype=bool)
             waiting = rows[:, ~done]
             yield from self._full(rows[:, done])
@@ -221,7 +228,7 @@ class ItemIndex:
             width = int(self.edits[item]) + 1
             low = int(rows[1, first]) * width - _SHIFT
             diagonals, shared = np.unique(rows[3, first : starts[i + 1]], return_counts=True)
-            whole = np.flatnonzero(shared == len(self.codes[item]) - GRAM + 1)
+            whole = np.flatnonzero(shared == len(self.codes[item]) - self.gram + 1)
             yield text, item, low, low + 2 * width - 1, int(diagonals[whole[0]]) if len(whole) else None
 
     def _pairs(self, at: np.ndarray, gram: np.ndarray, begins: np.ndarray):
@@ -260,6 +267,17 @@ class ItemIndex:
         return end - (length - back), end, edits
 
 
+def item_indexes(items: list[tuple], budget: float = BUDGET) -> list[ItemIndex]:
+    """Indexes of the items by the q-grams that their lengths allow."""
+    kinds: dict[int, list[tuple]] = {}
+    for key, text in items:
+        length = len(normalised(text)[0]) if text else 0
+        edits = int(length * budget)
+        fitting = (gram for gram in GRAMS if length - gram + 1 - gram * edits > 0)
+        kinds.setdefault(next(fitting, GRAMS[-1]), []).append((key, text))
+    return [ItemIndex(kinds[gram], budget, gram) for gram in sorted(kinds, reverse=True)]
+
+
 def _align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, spread: int = 0) -> tuple[int, int]:
     """Fewest edits that turn the pattern into a region of the text, and the region's end.
 
@@ -290,7 +308,7 @@ def _align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, spread: i
 
 
 def _indexes(items: DataFrame, id_col: str, text_col: str, budget: float) -> list:
-    """The index of each block of items, ready to be sent to tasks."""
+    """The indexes of each block of items, ready to be sent to tasks."""
     rows = pick(items, id=id_col, text=text_col).where("text is not null")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_CHARS))
@@ -298,8 +316,8 @@ def _indexes(items: DataFrame, id_col: str, text_col: str, budget: float) -> lis
     found = []
     for block in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
-        index = ItemIndex(sorted(((r["id"], r["text"]) for r in part), key=repr), budget)
-        found.append(context.broadcast(index))
+        indexes = item_indexes(sorted(((r["id"], r["text"]) for r in part), key=repr), budget)
+        found.append(context.broadcast(indexes))
     return found
 
 
@@ -330,10 +348,10 @@ def find_items(
             from pyspark.sql.pandas.types import to_arrow_schema
 
             arrow = to_arrow_schema(schema)
-            index = sent.value
             for batch in batches:
                 texts = batch.column(1).to_pylist()
-                for low, high in bounded_groups(len(t) if t else 0 for t in texts):
+                groups = bounded_groups(len(t) if t else 0 for t in texts)
+                for (low, high), index in product(groups, sent.value):
                     hits = [(low + i, h) for i, own in enumerate(index.search(texts[low:high])) for h in own]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -377,7 +395,10 @@ def drop_contaminated(
             texts = [t if isinstance(t, str) else None for t in texts]
             found = []
             for low, high in bounded_groups(len(t) if t else 0 for t in texts):
-                found += [not hits for hits in sent.value.search(texts[low:high])]
+                hit = [False] * (high - low)
+                for index in sent.value:
+                    hit = [h or bool(own) for h, own in zip(hit, index.search(texts[low:high]), strict=True)]
+                found += [not h for h in hit]
             return pd.Series(found, dtype=bool)
 
         return clean

@@ -7,7 +7,13 @@ import pytest
 
 from orderflow.llm import decontaminate
 from orderflow.llm.common import pick
-from orderflow.llm.decontaminate import ItemIndex, drop_contaminated, find_items, normalised
+from orderflow.llm.decontaminate import (
+    ItemIndex,
+    drop_contaminated,
+    find_items,
+    item_indexes,
+    normalised,
+)
 from orderflow.llm.queries import op6_decontamination
 
 FOLDER = "/root/testdata/sf0.01"
@@ -84,6 +90,32 @@ def test_regions_against_the_full_table():
             assert least == {i: e for i, e in best.items() if e <= budgets[i]}
 
 
+def test_short_items_keep_the_whole_budget():
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choices(LETTERS, k=n))
+    for _ in range(10):
+        items = [word(n) for n in (2, 3, 5, 7, 9, 10, 13, 15, 20, 23, 30, 31, 39, 60)]
+        indexes = item_indexes(list(enumerate(items)))
+        assert sorted(i for index in indexes for i in index.ids) == list(range(len(items)))
+        texts = []
+        for item in items:
+            texts.append(word(40) + edited(rng, item, len(item) // 10) + word(40))
+        found = [set() for _ in texts]
+        for index in indexes:
+            for own, hits in zip(found, index.search(texts), strict=True):
+                own.update(index.ids[h.item] for h in hits)
+        for text, own in zip(texts, found, strict=True):
+            assert own == {i for i, item in enumerate(items) if region_edits(item, text) <= len(item) // 10}
+
+
+def test_short_items_in_tables(spark):
+    items = spark.createDataFrame([(1, "answer it"), (2, "forty two"), (3, "abc1"), (4, "one long question of the benchmark, asked"), (5, "what is new?")], "item_id int, text string")
+    df = spark.createDataFrame([(1, "so ABC1."), (2, "say what iz new now"), (3, "nothing"), (4, "forty-two")], "doc_id int, text string")
+    found = find_items(df, "doc_id", "text", items, "item_id", "text").collect()
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in found) == [(1, 3, 0), (2, 5, 1), (4, 2, 0)]
+    assert [r.doc_id for r in drop_contaminated(df, "text", items, "item_id", "text").collect()] == [3]
+
+
 def test_repeated_characters_and_ends():
     items = [("a", "a" * 60), ("ab", "ab" * 30), ("b", "short"), ("n", None), ("e", "")]
     index = ItemIndex(items)
