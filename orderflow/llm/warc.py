@@ -55,6 +55,8 @@ HEADERS = ArrayType(
 )
 
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+#: Comments, and what scripts and styles hold; their opening tags are group 1.
+_NO_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|(<(script|style)\b[^<>]*>).*?(?:</\2\s*>|\Z)", re.I | re.S)
 _BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li"
     r"|main|nav|ol|p|pre|section|table|td|th|title|tr|ul|head|body|html)\b[^<>]*>",
@@ -65,7 +67,7 @@ _TITLE = re.compile(r"<title\b[^<>]*>(.*?)(?:</title|\Z)", re.I | re.S)
 _LANG = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 _ORIGIN = re.compile(r"https?://[^/?#\s]+")
 _LINK = re.compile(
-    r"<(a|area|link|img|script|iframe|source)\b[^<>]*?\b(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))",
+    r"<(a|area|link|img|script|iframe|source)\b[^<>]*?[\s/\"'](?:xlink:)?(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))",
     re.I,
 )
 
@@ -93,11 +95,11 @@ def plain_text(page: str, shown: str | None = None) -> str:
     return "\n".join(filter(None, (" ".join(line.split()) for line in lines)))
 
 
-def links(page: str, address: str, shown: str | None = None) -> list[dict[str, str]]:
-    """Links of a page as absolute addresses, in their order."""
+def links(page: str, address: str) -> list[dict[str, str]]:
+    """Links of a page as absolute addresses, in their order, those of scripts and noscript too."""
     found = []
     base = _ORIGIN.match(address)
-    for tag, attribute, *values in _LINK.findall(without_hidden(page) if shown is None else shown):
+    for tag, attribute, *values in _LINK.findall(_NO_MARKUP.sub(lambda m: m[1] or " ", page)):
         value = html.unescape("".join(values)).strip()
         target = value
         if base and value[:1] == "/" and value[1:2] != "/" and "/." not in value:
@@ -191,7 +193,7 @@ def derived_records(headers: list[dict], block: str) -> list[dict]:
         "http-headers": [[h["name"], h["value"]] for h in http],
         "payload-digest": payload,
         "title": " ".join(html.unescape(_TAG.sub("", title[1])).split()) if title else None,
-        "links": links(page, address, shown),
+        "links": links(page, address),
         "text-digest": digest(text.encode("utf-8", "surrogatepass")),
         "text-characters": len(text),
     }

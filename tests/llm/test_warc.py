@@ -37,6 +37,21 @@ def test_text_links_and_title_of_a_page():
     assert warc.plain_text("") == "" and warc.links("", "about:blank") == []
 
 
+def test_links_of_scripts_and_noscript_and_no_data_src():
+    page = """<script src="/a.js">var x = '<a href="/no">';</script><!-- <img src="/no"> --><style>a{}</style>
+    <noscript><img src='/b.png'></noscript><img data-src="/no" src="/c.png"><iframe data-src="/no"></iframe>
+    <template><a href=/d>d</a></template><img/src=/e.png><a :href="no" href="/f">f</a>"""
+    found = [(x["path"], x["url"]) for x in warc.links(page, "http://x.org/")]
+    assert found == [
+        ("script@/src", "http://x.org/a.js"),
+        ("img@/src", "http://x.org/b.png"),
+        ("img@/src", "http://x.org/c.png"),
+        ("a@/href", "http://x.org/d"),
+        ("img@/src", "http://x.org/e.png"),
+        ("a@/href", "http://x.org/f"),
+    ]
+
+
 def test_records_name_their_source():
     made = warc.response_record("7", "https://example.org/\r\nX: y", PAGE)
     meta, text = warc.derived_records(made["headers"], made["block"])
