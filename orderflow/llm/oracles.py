@@ -64,4 +64,38 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM d LEFT JOIN g USING (row)"""
 
-ORACLES = {"op3_secret_scans": SECRETS}
+# The first units' lengths add up to a cut; the last unit may lack its line break.
+FILL_IN_MIDDLE = """WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), u AS (
+  SELECT doc_id, text, parts,
+    (len(parts) - CASE WHEN parts[-1] = '' THEN 1 ELSE 0 END)::BIGINT AS n,
+    ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR h3 % 100 >= 100 OR regexp_matches(text, '<[PSM]>') THEN 'plain'
+         WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), e AS (
+  SELECT *,
+    least(coalesce(list_sum(list_transform(parts[1:a], lambda p: length(p) + 1)), 0), length(text))::BIGINT AS x,
+    least(coalesce(list_sum(list_transform(parts[1:b], lambda p: length(p) + 1)), 0), length(text))::BIGINT AS y
+  FROM c
+), o AS (
+  SELECT *, CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || substring(text, 1, x) || '<S>' || substring(text, y + 1) || '<M>' || substring(text, x + 1, y - x)
+    ELSE '<S>' || substring(text, y + 1) || '<P>' || substring(text, 1, x) || '<M>' || substring(text, x + 1, y - x)
+    END AS output
+  FROM e
+), r AS (SELECT *, string_split_regex(output, '<[PSM]>') AS q FROM o)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN y - x END AS middle_chars, sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN q[2] || q[4] || q[3]
+         ELSE q[3] || q[4] || q[2] END) AS restored_sha256
+FROM r"""
+
+ORACLES = {"op3_secret_scans": SECRETS, "op12_fill_in_middle": FILL_IN_MIDDLE}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import secrets, warc
 from orderflow.llm.decontaminate import find_items
+from orderflow.llm.fim import fill_in_middle, restored
 from orderflow.llm.language import held_out, identify_languages, sample_texts
 from orderflow.llm.licenses import scan_licenses
 from orderflow.llm.packing import pack_documents
@@ -133,6 +134,20 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_rows(table(spark, folder, "documents"), "doc_id", "text", SHARDS)
 
 
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut at two line ends: form, lengths, and checksums of output and restored text."""
+    cut = fill_in_middle(table(spark, folder, "documents"), "doc_id", "text")
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scans": op2_license_scans,
@@ -144,4 +159,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
