@@ -15,6 +15,7 @@ from orderflow.llm.quality import judge_quality
 from orderflow.llm.sharding import shard_rows
 from orderflow.llm.simhash import near_duplicates
 from orderflow.llm.token_counts import PieceAutomaton, byte_pieces, count_tokens
+from orderflow.llm.winnowing import compare_edited, mark_digest
 
 SHARDS = 16
 
@@ -134,6 +135,20 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_rows(table(spark, folder, "documents"), "doc_id", "text", SHARDS)
 
 
+def op11_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and what they share."""
+    found = compare_edited(table(spark, folder, "documents"), "doc_id", "text")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        mark_digest(F.col("marks")).alias("fingerprint"),
+        mark_digest(F.col("edited_marks")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     """Every document cut at two line ends: form, lengths, and checksums of output and restored text."""
     cut = fill_in_middle(table(spark, folder, "documents"), "doc_id", "text")
@@ -159,5 +174,6 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
+    "op11_document_fingerprints": op11_document_fingerprints,
     "op12_fill_in_middle": op12_fill_in_middle,
 }

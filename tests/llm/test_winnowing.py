@@ -1,0 +1,150 @@
+"""Winnowing against its definition, the match guarantee, and the order of rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from orderflow.llm import winnowing
+from orderflow.llm.common import pick
+from orderflow.llm.queries import op11_document_fingerprints
+from orderflow.llm.winnowing import GRAM, POSITION_BITS, SURE, WINDOW, compare_edited, fingerprints, likeness, with_next
+
+
+def marks_of(text):
+    """Every window's rightmost smallest hash, by looking at all windows."""
+    if not text:
+        return []
+    points = text.encode("utf-32-be")
+    count = max(len(text) - GRAM + 1, 1)
+    hashes = [
+        xxhash.xxh64_intdigest(points[4 * i : 4 * (i + GRAM)], seed=42) >> (POSITION_BITS + 1)
+        for i in range(count)
+    ]
+    kept = set()
+    for s in range(max(count - WINDOW + 1, 1)):
+        window = hashes[s : s + WINDOW]
+        smallest = min(window)
+        kept.add(max(s + j for j, h in enumerate(window) if h == smallest))
+    return [(p, hashes[p]) for p in sorted(kept)]
+
+
+def digest(marks):
+    return hashlib.sha256(",".join(f"{h}@{p}" for p, h in marks).encode()).hexdigest()
+
+
+def alike(a, b):
+    a, b = {h for _, h in a}, {h for _, h in b}
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def signed(value):
+    return value - 2**64 if value >= 2**63 else value
+
+
+def expected_rows(rows):
+    """(id, text) rows in the defined order, each compared with its successor."""
+    key = lambda r: (r[0] is not None, r[0] or 0, signed(xxhash.xxh64_intdigest((r[1] or "").encode(), seed=42)))
+    rows = sorted(rows, key=key)
+    out = []
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        text, after = text or "", after or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        m, e = marks_of(text), marks_of(edited)
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), digest(m), digest(e), alike(m, e), alike(m, marks_of(after))))
+    return out
+
+
+def compared(df):
+    found = compare_edited(df, "doc_id", "text")
+    return [
+        tuple(r)
+        for r in found.select(
+            "doc_id", "n_chars", F.sha2("edited", 256), winnowing.mark_digest(F.col("marks")),
+            winnowing.mark_digest(F.col("edited_marks")), "near_edited", "near_next",
+        ).collect()
+    ]
+
+
+def same(found, expected):
+    key = lambda r: tuple(str(v) for v in r)
+    return sorted(found, key=key) == sorted(expected, key=key)
+
+
+def random_texts(count, seed=5):
+    draw = random.Random(seed)
+    words = ["ab", "the", "tree", "漢字", "🙂", "\n", "grows", "x" * 30, "é"]
+    texts = [" ".join(draw.choice(words) for _ in range(draw.choice([0, 1, 2, 5, 9, 15, 40, 200]))) for _ in range(count)]
+    return texts + ["a" * n for n in range(0, 90, 3)] + ["ab" * 40, "z" * (SURE - 1), "z" * SURE, "z" * (SURE + 1)]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = [(i // 2 if i % 7 == 0 else 1000 + i, t) for i, t in enumerate(random_texts(120))]
+    return spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+
+
+def test_marks_as_defined(texts):
+    for row in fingerprints(texts, "doc_id", "text").join(texts.withColumnRenamed("text", "t"), "doc_id").collect():
+        if row.doc_id >= 1000:
+            assert [tuple(m) for m in row.marks] == marks_of(row.t)
+
+
+@pytest.mark.parametrize("block", [4, 16, 50])
+def test_blocks_change_nothing(texts, block, monkeypatch):
+    whole = {tuple(map(tuple, r.marks)) for r in fingerprints(texts, "doc_id", "text").collect()}
+    monkeypatch.setattr(winnowing, "BLOCK", block)
+    assert {tuple(map(tuple, r.marks)) for r in fingerprints(texts, "doc_id", "text").collect()} == whole
+
+
+@pytest.mark.parametrize("rows", [7, 500])
+def test_edited_and_next_as_defined(texts, rows, monkeypatch):
+    monkeypatch.setattr(winnowing, "BUCKET_ROWS", rows)
+    assert same(compared(texts), expected_rows([tuple(r) for r in texts.collect()]))
+
+
+@pytest.mark.parametrize("rows", [2, 500])
+def test_odd_and_empty(odd_documents, no_documents, rows, monkeypatch):
+    monkeypatch.setattr(winnowing, "BUCKET_ROWS", rows)
+    plain = pick(odd_documents, doc_id="doc_id", text="text").collect()
+    assert same(compared(odd_documents), expected_rows([tuple(r) for r in plain]))
+    assert compared(no_documents) == []
+
+
+def test_a_single_row_follows_itself(spark):
+    one = spark.createDataFrame([(4, "word " * 30)], "doc_id bigint, text string")
+    [row] = with_next(one, "doc_id", "text").collect()
+    assert row.next_text == row.text and compared(one)[0][-1] == 1.0
+
+
+def test_shared_passages_share_a_mark(spark):
+    draw = random.Random(3)
+    letters = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    rows = []
+    for i in range(60):
+        passage = letters(SURE)
+        rows.append((i, letters(draw.randrange(80)) + passage + letters(draw.randrange(80)),
+                     letters(draw.randrange(80)) + passage + letters(draw.randrange(80))))
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    shared = F.arrays_overlap(*[winnowing.hashes_of(winnowing.winnowed(F.col(c))) for c in "ab"])
+    assert df.where(~shared).count() == 0
+    near = likeness(*[winnowing.hashes_of(winnowing.winnowed(F.col(c))) for c in "ab"])
+    assert df.where((near <= 0) | (near > 1)).count() == 0
+
+
+def test_no_python_worker_and_one_shuffle_of_texts(spark, texts):
+    found = compare_edited(texts, "doc_id", "text")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_query_on_given_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    found = [tuple(r) for r in op11_document_fingerprints(spark, folder).collect()]
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    assert same(found, expected_rows(rows))
