@@ -6,10 +6,10 @@ with its position. So texts that share a passage of ``GRAM + WINDOW - 1`` code
 points share a kept hash, wherever the passage stands, and nothing shorter than
 ``GRAM`` makes them alike.
 
-Window minima are taken in steps of four: minima of 1, 4, 16, ... neighbours,
-each from four of the step before. A hash and its position are one number
-during that, hash first, position from the right below it, so the smallest
-number is the rightmost smallest hash. Long texts are handled in blocks of
+Window minima are taken in steps: minima of 1, 4, 16, ... neighbours, each from
+four of the step before. A hash and its position are one number during that,
+the hash in its upper bits less the position, so the smallest number is the
+rightmost smallest hash. Long texts are handled in blocks of
 windows, whose arrays are all that is held at once beside text and result.
 
 What a window keeps depends on its own code points alone. The fingerprint of a
@@ -36,11 +36,12 @@ from orderflow.llm.common import pick
 
 #: Code points of a gram and hashes of a window; both together bound what is surely found.
 GRAM = 20
-WINDOW = 16
+WINDOW = 31
 SURE = GRAM + WINDOW - 1
 #: Windows handled together, and the bits that number the hashes of a block.
 BLOCK = 1 << 16
 POSITION_BITS = 17
+HASH_MASK = (1 << 63) - (1 << POSITION_BITS)
 #: Rows that are put in order together, and the most such groups (their bounds are gathered).
 BUCKET_ROWS = 500
 MAX_BUCKETS = 100_000
@@ -81,11 +82,8 @@ def _block(points: Column, grams: Column, windows: Column, block: Column) -> Col
     first = block * BLOCK
     last = F.least(first + (BLOCK + WINDOW - 1), grams)
     places = (1 << POSITION_BITS) - 1
-
-    def number(at, i):
-        hashed = F.shiftrightunsigned(F.xxhash64(F.substring(points, at, F.lit(4 * GRAM))), POSITION_BITS + 1)
-        return F.shiftleft(hashed, POSITION_BITS) + (F.lit(places) - i).cast("long")
-
+    # A non-negative multiple of 2^POSITION_BITS less the number of the gram in its block.
+    number = lambda at, i: F.xxhash64(F.substring(points, at, F.lit(4 * GRAM))).bitwiseAND(HASH_MASK) - i
     offsets = F.sequence(4 * first + 1, 4 * last - 3, F.lit(4))
     smallest = F.slice(
         _minima(F.transform(offsets, number)), F.lit(1), F.least(F.lit(BLOCK), windows - first)
@@ -93,8 +91,7 @@ def _block(points: Column, grams: Column, windows: Column, block: Column) -> Col
     return F.transform(
         F.array_distinct(smallest),
         lambda x: F.struct(
-            (first + F.lit(places) - x.bitwiseAND(places)).cast("long").alias("pos"),
-            F.shiftright(x, POSITION_BITS).alias("hash"),
+            ((-x).bitwiseAND(places) + first).alias("pos"), F.shiftright(x + places, POSITION_BITS).alias("hash")
         ),
     )
 
@@ -108,47 +105,60 @@ def _in_order(marks: Column) -> Column:
 
 def winnowed(text: Column) -> Column:
     """The marks of a whole text: kept hashes (46 bits) with their positions, ascending."""
-    text = F.coalesce(text, F.lit(""))
-    n = F.length(text)
-    grams = F.greatest(n - (GRAM - 1), F.lit(1))
-    windows = F.greatest(grams - (WINDOW - 1), F.lit(1))
-    blocks = F.sequence(F.lit(0), F.floor((windows - 1) / BLOCK).cast("int"))
-    sizes = F.struct(F.encode(text, "UTF-32").alias("points"), grams.alias("grams"), windows.alias("windows"))
-    marks = _bound(
-        sizes,
-        lambda s: F.flatten(
-            F.transform(blocks, lambda b: _block(s["points"], s["grams"], s["windows"], b))
-        ),
-    )
-    return F.when(n > 0, _in_order(marks)).otherwise(F.array().cast(MARKS))
+
+    def of(text):
+        n = F.length(text)
+        grams = F.greatest(n - (GRAM - 1), F.lit(1))
+        windows = F.greatest(grams - (WINDOW - 1), F.lit(1))
+        last = F.floor((windows - 1) / BLOCK).cast("int")
+        marks = lambda points, at: F.transform(
+            F.sequence(F.lit(0), at["last"]), lambda b: _block(points, at["grams"], at["windows"], b)
+        )
+        sizes = F.struct(grams.alias("grams"), windows.alias("windows"), last.alias("last"))
+        blocks = _bound(F.encode(text, "UTF-32"), lambda points: _bound(sizes, lambda at: marks(points, at)))
+        # Neighbouring blocks may keep the same hash at their border.
+        whole = _bound(
+            blocks, lambda b: F.when(F.size(b) == 1, F.get(b, F.lit(0))).otherwise(_in_order(F.flatten(b)))
+        )
+        return F.when(n > 0, whole).otherwise(F.array().cast(MARKS))
+
+    return _bound(F.coalesce(text, F.lit("")), of)
 
 
 def _before(marks: Column, last: Column) -> Column:
     """Marks that windows starting at ``last`` or before keep.
 
     A mark is kept from the first window on that reaches it, if it is no larger
-    than the mark before it, else from the window on that has left that one.
+    than the mark before it, else from the window on that has left that one. So
+    marks up to ``last`` are kept, and only those of the next window are in doubt.
     """
 
-    def start(m, x, i):
+    def started(m, x, i, last):
         past = F.get(m, i - 1)
-        return F.when(
+        start = F.when(
             (i == 0) | (x["hash"] <= past["hash"]), x["pos"] - (WINDOW - 1)
         ).otherwise(past["pos"] + 1)
+        return (last >= 0) & (x["pos"] < last + WINDOW) & (start <= last)
 
-    return _bound(
-        F.struct(marks.alias("marks"), last.alias("last")),
-        lambda s: F.filter(
-            s["marks"], lambda x, i: (s["last"] >= 0) & (start(s["marks"], x, i) <= s["last"])
-        ),
+    keep = lambda m, last: F.filter(
+        m, lambda x, i: (x["pos"] <= last) | started(m, x, i, last)
     )
+    return _bound(last, lambda last: _bound(marks, lambda m: keep(m, last)))
 
 
 def _moved(marks: Column, by: Column) -> Column:
-    move = lambda x, far: F.struct((x["pos"] + far).cast("long").alias("pos"), x["hash"].alias("hash"))
+    move = lambda x, by: F.struct((x["pos"] + by).alias("pos"), x["hash"].alias("hash"))
+    return _bound(by.cast("long"), lambda by: F.transform(marks, lambda x: move(x, by)))
+
+
+def _appended(marks: Column, more: Column) -> Column:
+    """Marks of earlier and of later windows: at most the last and the first are the same."""
+    same = lambda a, b: F.get(a, F.size(a) - 1)["pos"] == F.get(b, F.lit(0))["pos"]
     return _bound(
-        F.struct(marks.alias("marks"), by.alias("by")),
-        lambda s: F.transform(s["marks"], lambda x: move(x, s["by"])),
+        F.struct(marks.alias("a"), more.alias("b")),
+        lambda s: F.concat(
+            s["a"], F.when(same(s["a"], s["b"]), F.slice(s["b"], F.lit(2), F.size(s["b"]))).otherwise(s["b"])
+        ),
     )
 
 
@@ -162,20 +172,18 @@ def joined(text: Column, marks: Column, kept: Column, other: Column, other_marks
         F.substring(text, start + 1, kept - start),
         F.substring(other, F.lit(1), F.least(taken, F.lit(SURE - 1))),
     )
-    # Too short for a window of its own, unless it is all there is.
-    across = (F.length(around) >= SURE) | (kept + taken < SURE)
     none = F.array().cast(MARKS)
-    return _in_order(
-        F.concat(
-            _before(marks, kept - SURE),
-            F.when(across, _moved(winnowed(around), start)).otherwise(none),
-            _moved(_before(other_marks, taken - SURE), kept),
-        )
+    # Too short for a window of its own, unless it is all there is.
+    across = _bound(
+        around,
+        lambda t: F.when((F.length(t) >= SURE) | (kept + taken < SURE), _moved(winnowed(t), start)).otherwise(none),
     )
+    first = _appended(_before(marks, kept - SURE), across)
+    return _appended(first, _moved(_before(other_marks, taken - SURE), kept))
 
 
 def hashes_of(marks: Column) -> Column:
-    return F.transform(marks, lambda x: x["hash"])
+    return marks.getField("hash")
 
 
 def likeness(some: Column, others: Column) -> Column:
@@ -188,8 +196,8 @@ def likeness(some: Column, others: Column) -> Column:
 
 def mark_digest(marks: Column) -> Column:
     """Hash and position of all marks, as one checksum."""
-    entries = F.transform(marks, lambda x: F.concat_ws("@", x["hash"].cast("string"), x["pos"].cast("string")))
-    return F.sha2(F.array_join(entries, ","), 256)
+    lists = [F.array_join(marks.getField(c).cast("array<string>"), ",") for c in ("hash", "pos")]
+    return F.sha2(F.concat_ws("@", *lists), 256)
 
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 from orderflow.llm import winnowing
 from orderflow.llm.common import pick
 from orderflow.llm.queries import op11_document_fingerprints
-from orderflow.llm.winnowing import GRAM, POSITION_BITS, SURE, WINDOW, compare_edited, fingerprints, likeness, with_next
+from orderflow.llm.winnowing import (
+    GRAM,
+    HASH_MASK,
+    POSITION_BITS,
+    SURE,
+    WINDOW,
+    compare_edited,
+    fingerprints,
+    likeness,
+    with_next,
+)
 
 
 def marks_of(text):
@@ -22,7 +32,7 @@ def marks_of(text):
     points = text.encode("utf-32-be")
     count = max(len(text) - GRAM + 1, 1)
     hashes = [
-        xxhash.xxh64_intdigest(points[4 * i : 4 * (i + GRAM)], seed=42) >> (POSITION_BITS + 1)
+        (xxhash.xxh64_intdigest(points[4 * i : 4 * (i + GRAM)], seed=42) & HASH_MASK) >> POSITION_BITS
         for i in range(count)
     ]
     kept = set()
@@ -34,7 +44,8 @@ def marks_of(text):
 
 
 def digest(marks):
-    return hashlib.sha256(",".join(f"{h}@{p}" for p, h in marks).encode()).hexdigest()
+    lists = [",".join(str(m[i]) for m in marks) for i in (1, 0)]
+    return hashlib.sha256("@".join(lists).encode()).hexdigest()
 
 
 def alike(a, b):
