@@ -217,20 +217,15 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     keys = rows.select(key.alias("key"))
     heads = keys.repartitionByRange(buckets, "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("key"))
     bounds = heads.agg(F.sort_array(F.collect_list("key")).alias("bounds")).scalar()
-    powers = [1 << i for i in reversed(range(MAX_BUCKETS.bit_length()))]
-
-    def search(at, step):
-        further = F.get(F.col("bounds"), at + step - 1) <= F.col("key")
-        return F.when(further, at + step).otherwise(at)
-
-    found = (
-        rows.select("*", key.alias("key"), bounds.alias("bounds"))
-        .withColumn("bucket", F.aggregate(F.array(*map(F.lit, powers)), F.lit(0), search) - 1)
-    )
+    # How many bounds are at most the key: a binary search, one column per step.
+    found = rows.select("*", key.alias("key"), F.lit(-1).alias("bucket"))
+    for step in [1 << i for i in reversed(range(buckets.bit_length()))]:
+        further = F.get(bounds, F.col("bucket") + step) <= F.col("key")
+        found = found.withColumn("bucket", F.when(further, F.col("bucket") + step).otherwise(F.col("bucket")))
     entry = lambda bucket, guest: F.struct(bucket.alias("bucket"), F.lit(guest).alias("guest"))
-    before = F.pmod(F.col("bucket") - 1, F.size("bounds"))
+    before = F.pmod(F.col("bucket") - 1, F.size(bounds))
     places = F.when(
-        F.col("key") == F.get("bounds", F.col("bucket")), F.array(entry(F.col("bucket"), 0), entry(before, 1))
+        F.col("key") == F.get(bounds, F.col("bucket")), F.array(entry(F.col("bucket"), 0), entry(before, 1))
     ).otherwise(F.array(entry(F.col("bucket"), 0)))
     return found.select(
         "id", "text", F.col("key.hash").alias("hash"), F.explode(places).alias("place")
