@@ -98,4 +98,39 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars,
          ELSE q[3] || q[4] || q[2] END) AS restored_sha256
 FROM r"""
 
-ORACLES = {"op3_secret_scans": SECRETS, "op12_fill_in_middle": FILL_IN_MIDDLE}
+
+def _round(i: int) -> str:
+    """Assignment to the centroids of round i, and the centroids after it."""
+    return f"""a{i} AS MATERIALIZED (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS best
+  FROM (SELECT v.*, c, list_sum(list_transform(range(1, 65), lambda j: (v.v[j] - m[j]) * (v.v[j] - m[j])))::BIGINT AS d
+        FROM v, c{i})
+  GROUP BY row
+), c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(mean, m) AS m FROM c{i} LEFT JOIN (
+    SELECT c, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY j) AS mean
+    FROM (SELECT best.c AS c, j, sum(v[j]) AS s, count(*) AS n FROM a{i}, range(1, 65) AS t(j) GROUP BY ALL)
+    GROUP BY c
+  ) USING (c)
+)"""
+
+
+CLUSTERS = f"""WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m
+  FROM (SELECT sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM v ORDER BY h, v LIMIT 8)
+), {", ".join(_round(i) for i in range(11))}
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance,
+  (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a10 JOIN c10 ON best.c = c10.c"""
+
+ORACLES = {
+    "op3_secret_scans": SECRETS,
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_centroid_clustering": CLUSTERS,
+}

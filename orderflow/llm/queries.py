@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import secrets, warc
+from orderflow.llm.clustering import cluster_vectors, with_inertia
 from orderflow.llm.decontaminate import find_items
 from orderflow.llm.fim import fill_in_middle, restored
 from orderflow.llm.language import held_out, identify_languages, sample_texts
@@ -163,6 +164,19 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster and distance of every vector after ten rounds, with inertia and centroid."""
+    placed, centroids = cluster_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    return with_inertia(placed, centroids).select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scans": op2_license_scans,
@@ -176,4 +190,5 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_document_fingerprints": op11_document_fingerprints,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }

@@ -1,0 +1,100 @@
+"""Heap-ordered bounds against plain rounds over all vectors."""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from orderflow.llm import clustering
+from orderflow.llm.clustering import Block, Centroids, cluster_vectors, with_inertia
+
+FIELDS = "vec_id bigint, embedding array<float>, label int"
+
+
+def plain_rounds(rows, clusters=8, rounds=10, dims=64, scale=1024):
+    """(id, cluster, distance) and the centroids, in Python integers."""
+    kept = [
+        (i, [int(np.floor(scale * float(x))) for x in v])
+        for i, v in rows
+        if v is not None and len(v) == dims and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    name = lambda r: hashlib.sha256(f"3:{'' if r[0] is None else r[0]}".encode()).hexdigest()
+    places = [v for _, v in sorted(kept, key=lambda r: (name(r), r[1]))[:clusters]]
+    far = lambda v, c: sum((a - b) ** 2 for a, b in zip(v, c))
+    nearest = lambda v: min(range(len(places)), key=lambda c: (far(v, places[c]), c))
+    for _ in range(rounds):
+        of = [nearest(v) for _, v in kept]
+        for c in range(len(places)):
+            mine = [v for (_, v), a in zip(kept, of) if a == c]
+            if mine:
+                places[c] = [sum(x) // len(mine) for x in zip(*mine)]
+    return [(i, nearest(v), far(v, places[nearest(v)])) for i, v in kept], places
+
+
+def clustered(df, **settings):
+    placed, places = cluster_vectors(df, "vec_id", "embedding", **settings)
+    key = lambda r: tuple(str(x) for x in r)
+    return sorted((tuple(r) for r in placed.collect()), key=key), places
+
+
+def expected(rows, **settings):
+    found, places = plain_rounds([(r[0], r[1]) for r in rows], **settings)
+    return sorted(found, key=lambda r: tuple(str(x) for x in r)), places
+
+
+def sample(count, dims, seed, ties=False):
+    draw = np.random.default_rng(seed)
+    values = draw.integers(-3, 4, (count, dims)) / 2 if ties else draw.normal(draw.integers(-2, 3, (count, 1)), 0.6, (count, dims))
+    return [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(values)]
+
+
+@pytest.mark.parametrize("ties", [False, True])
+@pytest.mark.parametrize("dims, clusters, rounds", [(3, 5, 10), (2, 8, 4), (64, 8, 10), (2, 1, 3)])
+def test_equals_plain_rounds(spark, monkeypatch, ties, dims, clusters, rounds):
+    monkeypatch.setattr(clustering, "BLOCK", 37)
+    rows = sample(250, dims, dims + clusters, ties)
+    settings = {"dims": dims, "clusters": clusters, "rounds": rounds, "scale": 2 if ties else 1024}
+    assert clustered(spark.createDataFrame(rows, FIELDS).repartition(3), **settings) == expected(rows, **settings)
+
+
+def test_odd_rows_and_empty_tables(spark):
+    good = sample(20, 64, 1)
+    odd = [
+        (None, good[0][1], 1), (3, good[3][1], 2), (3, good[3][1], 2), (50, None, 1), (51, [], 1),
+        (52, [1.0] * 63, 1), (53, [1.0] * 63 + [None], 1), (54, [1.0] * 63 + [float("nan")], 1),
+        (55, [float("-inf")] + [1.0] * 63, 1), (56, [0.0] * 64, 1), (57, [100_000.0] * 64, None),
+    ]
+    df = spark.createDataFrame([(*r, "x") for r in good + odd], f"{FIELDS}, `Vec_Id` string")
+    assert clustered(df) == expected(good + odd)
+    assert clustered(df.limit(0)) == ([], [])
+    assert clustered(df.where("label = 1 and embedding is null")) == ([], [])
+    assert clustered(spark.createDataFrame(good[:3], FIELDS)) == expected(good[:3])
+    with pytest.raises(Exception, match="exceeds"):
+        cluster_vectors(spark.createDataFrame([(1, [1e30] * 64, 0)], FIELDS), "vec_id", "embedding")
+
+
+def test_inertia_adds_up(spark):
+    placed, places = cluster_vectors(spark.createDataFrame(sample(200, 64, 9), FIELDS), "vec_id", "embedding")
+    rows = with_inertia(placed, places).collect()
+    assert len(rows) == 200 and {r.inertia for r in rows} == {sum(r.distance for r in rows)}
+    for r in rows:
+        assert r.cluster_inertia == sum(x.distance for x in rows if x.cluster == r.cluster)
+        assert r.centroid == places[r.cluster]
+
+
+def test_only_expired_gaps_are_measured():
+    draw = np.random.default_rng(4)
+    vectors = (draw.normal(draw.integers(0, 4, (2000, 1)) * 3, 0.5, (2000, 8)) * 1024).astype(np.int64)
+    centroids = Centroids(vectors[:4].copy())
+    block, measured = Block.new(vectors, centroids), []
+    for _ in range(8):
+        counts = [len(k) for k, _ in block.heaps]
+        assert (block.sums == [vectors[block.assigned() == c].sum(axis=0) for c in range(4)]).all()
+        centroids = centroids.moved(block.sums.tolist(), counts)
+        measured.append(block.step(centroids))
+        assert (block.assigned() == centroids.measured(vectors)[0]).all()
+        for keys, _ in block.heaps:
+            assert all(keys[i] >= keys[(i - 1) // 2] for i in range(1, len(keys)))
+    assert measured[-1] < 200 and sum(measured) < 8 * 2000 / 2

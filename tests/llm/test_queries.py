@@ -23,6 +23,6 @@ def test_query_equals_sql(spark, name, folder):
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = list(entry_module.queries())
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert [n for n in names if n.startswith(f"op{number}_")]
     assert "pipeline" in names and set(entry_module.oracle_sql()) <= set(names)
