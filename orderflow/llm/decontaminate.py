@@ -16,8 +16,10 @@ The index of an item block is bounded (``BLOCK_CHARS``) and sent to the tasks;
 a larger benchmark takes several passes over the documents, one per block.
 
 Results are defined as follows. Null and empty texts hold nothing. Items whose
-text is null or has fewer than two characters after normalisation are left out;
-an item of one short word is found inside of longer words, too.
+text is null or has fewer than two characters after normalisation are left out.
+Items of fewer than ``GRAM`` characters are found between the borders of words
+only, and ``drop_contaminated`` drops no row for them unless it is told to: an
+answer such as "no" does not tell where a text comes from.
 Items with equal texts are each reported. Regions of an item in a document
 don't overlap; of overlapping ones the one with the fewest edits counts, then
 the first. Equal rows give equal rows. Empty tables give none.
@@ -116,6 +118,11 @@ def _band_place(key: np.ndarray, band: np.ndarray) -> np.ndarray:
     return ((mixed * _FACTOR) >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)
 
 
+def _apart(codes: np.ndarray, start: int, end: int) -> bool:
+    """Whether a region begins and ends where words do."""
+    return (not start or codes[start - 1] == 32) and (end == len(codes) or codes[end] == 32)
+
+
 @dataclass
 class Hit:
     item: int
@@ -162,7 +169,7 @@ class ItemIndex:
         for text, item, low, high, straight in self._bands(joined, begins):
             codes, places = parts[text]
             region = self._verify(codes, item, low, high, straight)
-            if region:
+            if region and (len(self.codes[item]) >= GRAM or _apart(codes, region[0], region[1])):
                 start, end, edits = region
                 found[text].append(Hit(item, int(places[start]), int(places[end - 1]) + 1, edits))
         return [self._settled(hits) for hits in found]
@@ -307,8 +314,8 @@ def _align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, spread: i
     return int(row[best]), int(ends[best])
 
 
-def _indexes(items: DataFrame, id_col: str, text_col: str, budget: float) -> list:
-    """The indexes of each block of items, ready to be sent to tasks."""
+def _indexes(items: DataFrame, id_col: str, text_col: str, budget: float, least: int = 0) -> list:
+    """The indexes of each block of items of ``least`` characters, ready to be sent to tasks."""
     rows = pick(items, id=id_col, text=text_col).where("text is not null")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_CHARS))
@@ -316,7 +323,8 @@ def _indexes(items: DataFrame, id_col: str, text_col: str, budget: float) -> lis
     found = []
     for block in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
-        indexes = item_indexes(sorted(((r["id"], r["text"]) for r in part), key=repr), budget)
+        known = [(r["id"], r["text"]) for r in part if not least or len(normalised(r["text"])[0]) >= least]
+        indexes = item_indexes(sorted(known, key=repr), budget)
         found.append(context.broadcast(indexes))
     return found
 
@@ -380,8 +388,13 @@ def drop_contaminated(
     item_id_col: str,
     item_text_col: str,
     budget: float = BUDGET,
+    least: int = GRAM,
 ) -> DataFrame:
-    """The rows whose text holds no benchmark item; nothing else about them changes."""
+    """The rows whose text holds no benchmark item; nothing else about them changes.
+
+    Items of fewer than ``least`` characters after normalisation are too short
+    to tell and drop nothing; ``find_items`` reports them.
+    """
     ship(df.sparkSession)
     names = [f"_{i}" for i in range(len(df.columns))]
     rows = df.toDF(*names)
@@ -403,6 +416,6 @@ def drop_contaminated(
 
         return clean
 
-    for sent in _indexes(items, item_id_col, item_text_col, budget):
+    for sent in _indexes(items, item_id_col, item_text_col, budget, least):
         rows = rows.where(of_block(sent)(text))
     return rows.toDF(*df.columns)
