@@ -41,6 +41,8 @@ OVERDRAW = 4
 SAMPLE_TOTAL = 400_000
 #: Letters that are parsed in one go.
 STRETCH = 1024
+#: Letters that have a column in the table of transitions.
+DENSE = 48
 UNKNOWN = "und"
 
 
@@ -81,35 +83,76 @@ class SuffixAutomaton:
 
 
 class CrossParser:
-    """Automata of several languages as one table, for parsing many stretches side by side."""
+    """Automata of several languages as one table, for parsing many stretches side by side.
+
+    The letters that lead on from most states have a column each in a table of
+    all states, ``DENSE`` of them at most; transitions by other letters, of
+    which large alphabets have thousands, lie in one list sorted by state and
+    letter. So the table has ``DENSE`` times four bytes per state, of which
+    there are two per letter of the samples at most: 154 MB for the largest.
+    """
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         samples = {k: letters_only(samples[k]) for k in self.languages}
-        alphabet = sorted(set("".join(samples.values())) | {" "})
-        # Class 0 is any letter that no sample has.
-        self.classes = {c: i for i, c in enumerate(alphabet, 1)}
-        automata = [SuffixAutomaton(map(self.classes.get, samples[k])) for k in self.languages]
-        self.width = len(alphabet) + 1
+        letters = sorted(set("".join(samples.values())) | {" "})
+        numbers = {c: i for i, c in enumerate(letters)}
+        # One automaton at a time is in memory as such.
+        states, edges = [], []
+        for k in self.languages:
+            automaton = SuffixAutomaton(map(numbers.get, samples[k]))
+            own = [(s, c, t) for s, after in enumerate(automaton.next) for c, t in after.items()]
+            root = sum(states)
+            edges.append(np.array(own, dtype=np.int32).reshape(-1, 3) + np.int32([root, 0, root]))
+            states.append(len(automaton.next))
+        source, letter, target = np.concatenate([*edges, np.empty((0, 3), np.int32)]).T
+        # Class 0 is any letter that no sample has; the commonest letters come first.
+        order = np.argsort(-np.bincount(letter, minlength=len(letters)), kind="stable")
+        rank = np.empty(len(letters), dtype=np.int64)
+        rank[order] = np.arange(1, len(letters) + 1)
+        self.classes = {c: int(rank[i]) for c, i in numbers.items()}
+        letter = rank[letter]
+        self.width = len(letters) + 1
         # Whole millionths of a bit, so that sums are exact and ties are ties.
         bits = [math.log2(len(samples[k]) + 1) + math.log2(self.width) for k in self.languages]
         self.phrase_cost = np.array([round(1e6 * b) for b in bits], dtype=np.int64)
-        self.roots = np.cumsum([0, *[len(a.next) for a in automata]])[:-1].astype(np.int32)
+        self.roots = np.cumsum([0, *states])[:-1].astype(np.int32)
         # The last state has no way on: there a letter leads that no sample has.
-        self.dead = sum(len(a.next) for a in automata)
-        self.table = np.full((self.dead + 1, self.width), -1, dtype=np.int32)
-        for root, automaton in zip(self.roots, automata, strict=True):
-            for state, after in enumerate(automaton.next):
-                for letter, target in after.items():
-                    self.table[root + state, letter] = root + target
-        self.flat = self.table.ravel()
+        self.dead = sum(states)
+        self.columns = min(self.width, DENSE + 1)
+        table = np.full((self.dead + 1, self.columns), -1, dtype=np.int32)
+        near = letter < self.columns
+        table[source[near], letter[near]] = target[near]
+        self.flat = table.ravel()
+        keys = source[~near].astype(np.int64) * self.width + letter[~near]
+        order = np.argsort(keys)
+        # A last key that nothing equals keeps every place found within the list.
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.targets = np.append(target[~near][order], np.int32(-1))
         #: Classes that a language's sample does not have, by class and language.
-        self.foreign = (self.table[self.roots] < 0).T.astype(np.int64)
+        classes = np.arange(self.width)[:, None]
+        self.foreign = (self._after(self.roots.astype(np.int64)[None, :], classes) < 0).astype(np.int64)
         # Letters by code point: class, 0 for other letters, -1 for what is none.
         self.code = np.array(
-            [self._class_of(chr(i)) for i in range(0x250)], dtype=np.int16
+            [self._class_of(chr(i)) for i in range(0x250)], dtype=np.int32
         )
 
+    @property
+    def nbytes(self) -> int:
+        return self.flat.nbytes + self.keys.nbytes + self.targets.nbytes
+
+    def _after(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """Where a letter (one per row) leads from states, -1 for nowhere."""
+        if self.columns == self.width:
+            return self.flat[state * self.width + letter]
+        far = letter[:, 0] >= self.columns
+        after = self.flat[state * self.columns + np.where(far[:, None], 0, letter)]
+        if far.any():
+            wanted = (state * self.width + letter)[far]
+            at = np.searchsorted(self.keys, wanted)
+            after[far] = np.where(self.keys[at] == wanted, self.targets[at], -1)
+        return after
+
     def _class_of(self, char: str) -> int:
         low = char.lower()
         return self.classes.get(low[0], 0) if char.isalpha() else -1
@@ -122,7 +165,7 @@ class CrossParser:
         far = np.flatnonzero(~near)
         if len(far):
             kinds, back = np.unique(points[far], return_inverse=True)
-            codes[far] = np.array([self._class_of(chr(k)) for k in kinds], dtype=np.int16)[back]
+            codes[far] = np.array([self._class_of(chr(k)) for k in kinds], dtype=np.int32)[back]
         space = self.classes[" "]
         blank = codes < 0
         codes = np.where(blank, space, codes)
@@ -137,19 +180,19 @@ class CrossParser:
         lengths = np.array([len(s) for s in stretches], dtype=np.int64)
         order = np.argsort(-lengths, kind="stable")
         lengths = lengths[order]
-        letters = np.zeros((int(lengths[0]) if count else 0, count), dtype=np.int16)
+        letters = np.zeros((int(lengths[0]) if count else 0, count), dtype=np.int32)
         for column, i in enumerate(order):
             letters[: len(stretches[i]), column] = stretches[i]
-        roots = self.roots.astype(np.int64)
+        roots = self.roots.astype(np.int64)[None, :]
         state = np.full((count, kinds), self.dead, dtype=np.int64)
         for step in range(len(letters)):
             n = int(np.searchsorted(-lengths, -step, side="left"))
             letter = letters[step, :n, None].astype(np.int64)
-            after = self.flat[state[:n] * self.width + letter]
+            after = self._after(state[:n], letter)
             ended = after < 0
             # A letter that can't extend the phrase before it begins the next one.
             found[:n] += ended
-            first = self.flat[roots * self.width + letter]
+            first = self._after(roots, letter)
             after = np.where(ended, np.where(first < 0, self.dead, first), after)
             state[:n] = after
         result = np.empty_like(found)
@@ -163,7 +206,7 @@ class CrossParser:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
-        coded = [self.encode(t) if t else np.empty(0, dtype=np.int16) for t in texts]
+        coded = [self.encode(t) if t else np.empty(0, dtype=np.int32) for t in texts]
         owners, stretches = [], []
         for i, codes in enumerate(coded):
             for at in range(0, len(codes), STRETCH):

@@ -5,6 +5,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
+from orderflow.llm import language
 from orderflow.llm.common import pick
 from orderflow.llm.language import (
     STRETCH,
@@ -173,3 +174,22 @@ def test_odd_and_empty_tables(spark, odd_documents, no_documents):
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
     assert identify_languages(no_documents, "doc_id", "text", samples).count() == 0
     assert sample_texts(no_documents, "doc_id", "text", "lang") == {}
+
+
+def test_large_alphabets_take_bounded_room_and_change_nothing(monkeypatch):
+    rng = random.Random(8)
+    words = lambda letters, n: " ".join("".join(rng.choices(letters, k=rng.randrange(1, 7))) for _ in range(n))
+    han = [chr(0x4E00 + i) for i in range(3000)]
+    kinds = {k: sorted(rng.sample("abcdefghijklmnopqrstuvwxyzäöüßéèñ", 20)) for k in ("aa", "bb", "cc", "dd")} | {"zh": han}
+    samples = {k: words(letters, 12_000)[:40_000] for k, letters in kinds.items()}
+    parser = CrossParser(samples)
+    assert parser.width > 3000 and parser.nbytes < 200_000_000
+    few = {k: v[:1500] for k, v in samples.items()}
+    texts = [words(kinds[k], 30) for k in kinds for _ in range(8)] + [words(kinds["aa"] + han[:50], 40), "", None, "Ж ж", "漢字 aa"]
+    found = CrossParser(few).predict(texts)
+    for dense in (1, 7, 5000):
+        monkeypatch.setattr(language, "DENSE", dense)
+        assert CrossParser(few).predict(texts) == found
+    monkeypatch.undo()
+    labels = parser.predict(texts)[0][: 8 * len(kinds)]
+    assert labels == [k for k in kinds for _ in range(8)]
