@@ -53,8 +53,8 @@ from orderflow.plans.snapshot import (
 )
 from orderflow.schema import RAW_SCHEMA, validate_columns
 from orderflow.session import apply_settings, delete_path, new_folder, staged
-from orderflow.sources.files import read_transactions_files, recent_from_file
-from orderflow.sources.publish import publish_transactions, to_messages
+from orderflow.sources.files import read_csv_records, read_transactions_files, recent_from_file
+from orderflow.sources.publish import publish_transactions, record_messages, to_messages
 from orderflow.sources.views import (
     event_transaction_stream,
     event_transactions,
@@ -244,6 +244,40 @@ def _faulty_csv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _published_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """What messages of CSV files hold that have further columns, bad numbers and short rows.
+
+    Two sets of files with different headers; faults go by the product id.
+    """
+    path = new_folder(apply_settings(spark), "csv")
+    raw = raw_records(event_transactions(spark, folder))
+    kind = F.col("product_id").cast("int") % 10
+    fields = [F.col(name).cast("string").alias(name) for name in RAW_SCHEMA.names]
+    number = RAW_SCHEMA.names.index("quantity")
+    bad = [*fields[:number], F.lit("two"), *fields[number + 1 :]]
+    coupon, note = F.concat(F.lit("C"), "product_id"), F.concat(F.lit("note "), "order_id")
+    line = (
+        F.when(kind == 1, F.concat_ws(",", *fields))
+        .when(kind == 2, F.concat_ws(",", *bad, coupon, note))
+        .otherwise(F.concat_ws(",", *fields, coupon, note))
+    )
+    header = ",".join([*RAW_SCHEMA.names, "coupon", "note"])
+    raw.where(kind < 5).select(line.alias(header)).write.options(header=True, sep="\u0001").csv(f"{path}/more")
+    raw.where(kind >= 5).select(*fields[::-1]).write.options(header=True).csv(f"{path}/plain")
+    messages = record_messages(read_csv_records(spark, path, recursiveFileLookup=True))
+    whole = messages.select("value", F.try_parse_json("value").alias("fields"))
+    of = lambda name, kind="string": F.try_variant_get("fields", f"$.{name}", kind)
+    return whole.select(
+        F.coalesce(of("order_id"), F.split_part("value", F.lit(","), F.lit(1))).alias("order_id"),
+        of("quantity").alias("quantity"),
+        F.schema_of_variant(of("quantity", "variant")).alias("quantity_type"),
+        of("unit_price", "double").alias("unit_price"),
+        of("city").alias("city"),
+        of("coupon").alias("coupon"),
+        of("note").alias("note"),
+    )
+
+
 def _recent_of_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The last rows of sorted files of JSON lines, written and read in parallel."""
     path = new_folder(apply_settings(spark), "json")
@@ -543,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": _through_files("csv"),
     "ndjson_round_trip": _through_files("ndjson"),
     "csv_refused_by_reason": _faulty_csv,
+    "published_fields": _published_fields,
     "recent_json_lines": _recent_of_lines,
     # snapshots
     "stored_snapshot": _stored_snapshot,

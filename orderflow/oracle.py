@@ -96,6 +96,14 @@ FROM keyed WHERE k % 10 BETWEEN 1 AND 7 GROUP BY ALL"""
 CSV_FAULTS = """SELECT CASE WHEN k % 10 = 3 THEN 'bad_quantity' ELSE 'corrupt_record' END AS reasons,
   count(*) AS order_count, count(*) AS with_text
 FROM keyed WHERE k % 10 BETWEEN 1 AND 3 GROUP BY ALL"""
+PUBLISHED_FIELDS = """SELECT order_id,
+  CASE product_id::INTEGER % 10 WHEN 1 THEN NULL WHEN 2 THEN 'two' ELSE quantity::VARCHAR END AS quantity,
+  CASE product_id::INTEGER % 10 WHEN 1 THEN NULL WHEN 2 THEN 'STRING' ELSE 'BIGINT' END AS quantity_type,
+  CASE WHEN product_id::INTEGER % 10 <> 1 THEN unit_price END AS unit_price,
+  CASE WHEN product_id::INTEGER % 10 <> 1 THEN city END AS city,
+  CASE WHEN product_id::INTEGER % 10 IN (0, 2, 3, 4) THEN 'C' || product_id END AS coupon,
+  CASE WHEN product_id::INTEGER % 10 IN (0, 2, 3, 4) THEN 'note ' || order_id END AS note
+FROM t"""
 DOCUMENT_STATUS = """SELECT 'whole' AS document, 'LIVE' AS status,
   '🟢 LIVE • Kafka + Spark Streaming' AS status_badge,
   'LIVE • Streaming active (updated 30s ago)' AS status_message,
@@ -244,6 +252,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "freshness_status": FRESHNESS,
         "csv_refused_by_reason": CSV_FAULTS,
+        "published_fields": PUBLISHED_FIELDS,
         "recent_json_lines": DISPLAY.replace("total_amount", "unit_price").replace("FROM t", latest),
         "document_round_trip": _snapshot(),
         "document_status": DOCUMENT_STATUS,

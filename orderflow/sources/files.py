@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
@@ -14,22 +18,71 @@ from orderflow.session import path_exists
 # the order they are tried.
 WRAPPER_KEYS = ("transactions", "recent_transactions")
 
-_CORRUPT = "_corrupt_record"
+#: Text of a row that could not be read, null for the others, as Spark's readers name it.
+CORRUPT = "_corrupt_record"
 _UNREAD = [StructField("message", StringType()), StructField("corrupt", BooleanType())]
 # Without pruning a row's fate does not depend on the columns a query uses.
 _CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False, "columnPruning": False}
 
+# Reader options that say which files there are.
+_LISTING = ("recursiveFileLookup", "pathGlobFilter", "modifiedBefore", "modifiedAfter")
+
+
+def csv_headers(spark: SparkSession, path: str, **options: object) -> dict[tuple[str, ...], list[str]]:
+    """The files of a CSV data set by the column names in their first lines.
+
+    Reads the first block of each file; distinct headers and file names, which
+    the driver lists anyway, are all that is gathered.
+    """
+    sep = str(options.get("sep", ","))
+    listed = {name: value for name, value in options.items() if name in _LISTING}
+    lines = spark.read.options(**listed).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    # Lines of a block come in order, so its first one is the file's.
+    first = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("line"))
+    files: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(first.collect()):
+        header = next(csv.reader([row.line.lstrip("\ufeff")], delimiter=sep), [])
+        files.setdefault(tuple(header), []).append(unquote(row.file))
+    return files
+
 
-def csv_header(spark: SparkSession, path: str, quoted_lines: bool = False) -> list[str]:
-    """Column names of a CSV data set; reads its first line only."""
-    return spark.read.options(header=True, escape='"', multiLine=quoted_lines).csv(path).columns
+def field(name: str) -> Column:
+    """The column of exactly that name, whatever characters it has."""
+    return F.col(f"`{name.replace('`', '``')}`")
 
 
-def _csv_schema(header: list[str]) -> StructType:
-    """Reading schema in header order, with unknown columns as text."""
-    known = {field.name: field for field in RAW_SCHEMA}
+def _csv_schema(header: list[str], typed: bool) -> StructType:
+    """Reading schema in header order; as text what is unknown, or all."""
+    known = {field.name: field for field in RAW_SCHEMA} if typed else {}
     fields = [known.get(name, StructField(name, StringType())) for name in header]
-    return StructType([*fields, StructField(_CORRUPT, StringType())])
+    return StructType([*fields, StructField(CORRUPT, StringType())])
+
+
+def _csv_parts(
+    spark: SparkSession,
+    path: str,
+    streaming: bool,
+    header: list[str] | None,
+    quoted_lines: bool,
+    options: dict,
+    typed: bool,
+) -> list[DataFrame]:
+    """The rows of a CSV data set, one frame per header found."""
+    reader = spark.readStream if streaming else spark.read
+    if header or streaming:
+        found = {tuple(header or RAW_SCHEMA.names): path}
+    elif quoted_lines:
+        whole = spark.read.options(header=True, escape='"', multiLine=True).csv(path).columns
+        found = {tuple(whole): path} if whole else {}
+    else:
+        found = csv_headers(spark, path, **options)
+    chosen = {**_CSV_OPTIONS, "multiLine": quoted_lines, **options}
+    return [
+        reader.schema(_csv_schema(list(names), typed)).options(**chosen).csv(files)
+        for names, files in found.items()
+    ]
 
 
 def _raw_columns(df: DataFrame) -> list[Column]:
@@ -45,30 +98,38 @@ def _unread(rows: DataFrame) -> list[Column]:
     """Text of an unreadable row as ``message``, and whether the row is one as ``corrupt``."""
     # The reader converts, and so finds fault with, only the fields a query asks
     # for; the text therefore asks for all that have to be converted, and for one at least.
-    kinds = {f.name: f.dataType for f in rows.schema if f.name != _CORRUPT}
+    kinds = {f.name: f.dataType for f in rows.schema if f.name != CORRUPT}
     typed = [name for name, kind in kinds.items() if kind != StringType()] or list(kinds)[:1]
-    seen = F.coalesce(*[F.col(f"`{name}`").cast("string") for name in typed], F.col(_CORRUPT))
-    text = F.when(seen.isNotNull(), F.col(_CORRUPT))
+    seen = F.coalesce(*[F.col(f"`{name}`").cast("string") for name in typed], F.col(CORRUPT))
+    text = F.when(seen.isNotNull(), F.col(CORRUPT))
     return [text.alias("message"), text.isNotNull().alias("corrupt")]
 
 
-def _read_csv(
+def _read_csv(spark: SparkSession, *how) -> DataFrame:
+    parts = [rows.select(*_raw_columns(rows), *_unread(rows)) for rows in _csv_parts(spark, *how, True)]
+    if not parts:
+        return spark.createDataFrame([], StructType([*RAW_SCHEMA, *_UNREAD]))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def read_csv_records(
     spark: SparkSession,
     path: str,
-    streaming: bool,
-    header: list[str] | None,
-    quoted_lines: bool,
-    options: dict,
+    streaming: bool = False,
+    header: list[str] | None = None,
+    quoted_lines: bool = False,
+    **options: object,
 ) -> DataFrame:
-    header = header or (
-        RAW_SCHEMA.names if streaming else csv_header(spark, path, quoted_lines)
-    )
-    if not header:
-        return spark.createDataFrame([], StructType([*RAW_SCHEMA, *_UNREAD]))
-    reader = spark.readStream if streaming else spark.read
-    chosen = {**_CSV_OPTIONS, "multiLine": quoted_lines, **options}
-    rows = reader.schema(_csv_schema(header)).options(**chosen).csv(path)
-    return rows.select(*_raw_columns(rows), *_unread(rows))
+    """All fields of CSV files as text, known or not, and the text of unreadable rows in ``CORRUPT``.
+
+    Files may have different headers; a field that a file lacks is null in its
+    rows. An empty field is null, too.
+    """
+    parts = _csv_parts(spark, path, streaming, header, quoted_lines, options, False)
+    if not parts:
+        return spark.createDataFrame([], _csv_schema(RAW_SCHEMA.names, False))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.select(*[field(c) for c in rows.columns if c != CORRUPT], CORRUPT)
 
 
 def _read_json(
@@ -79,7 +140,7 @@ def _read_json(
         [
             *record,
             *[StructField(key, ArrayType(record)) for key in WRAPPER_KEYS],
-            StructField(_CORRUPT, StringType()),
+            StructField(CORRUPT, StringType()),
         ]
     )
     reader = spark.readStream if streaming else spark.read
@@ -104,8 +165,10 @@ def read_transactions_files(
 
     ``fmt`` is ``csv``, ``ndjson`` (one object per line) or ``json`` (whole
     files: a list, an object wrapping a list, or a single object). CSV columns
-    go by their header names; a stream of CSV files takes them from
-    ``header``, by default the raw field order, and fails on other headers.
+    go by the header names of each file, which may differ; a stream of CSV files
+    takes them from ``header``, by default the raw field order, and fails on
+    other headers, as do files read with a given ``header``. With
+    ``quoted_lines`` all files must have the same one.
     Whole-file JSON cannot be split, so large data belongs into the others; nor
     can CSV files with ``quoted_lines``, line breaks within quotes, which
     otherwise make a row corrupt. An empty CSV file has no rows.

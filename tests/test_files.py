@@ -11,9 +11,9 @@ from orderflow.functions.parse import process, process_records
 from orderflow.functions.quality import split_valid
 from orderflow.operators import metrics
 from orderflow.schema import PROCESSED_SCHEMA, RAW_SCHEMA
-from orderflow.sources.files import read_transactions_files, recent_from_file
+from orderflow.sources.files import read_csv_records, read_transactions_files, recent_from_file
 from orderflow.sources.kafka import kafka_options, read_transactions_kafka
-from orderflow.sources.publish import publish_transactions, to_messages
+from orderflow.sources.publish import publish_transactions, record_messages, to_messages
 from orderflow.streaming.store import judged
 
 HEADER = ",".join(RAW_SCHEMA.names)
@@ -264,3 +264,50 @@ def test_recent_rows_of_json_files_of_any_layout(spark, tmp_path, text, found):
     path.write_text(text)
     rows = recent_from_file(spark, str(path)).collect()
     assert [r["Order ID"] for r in rows] == found
+
+
+def values_of(df):
+    return [json.loads(r.value) if r.value.startswith("{") else r.value for r in df.collect()]
+
+
+def test_records_keep_every_field_and_bad_numbers_as_text(spark, tmp_path):
+    path = tmp_path / "with space.csv"
+    path.write_text(
+        "order_id,quantity,unit_price,discount_percent,coupon,due.to\n"
+        "A, 2 ,1e2,x,SAVE,\"a,\"\"b\"\"\"\nB,two,NaN,5,,q\nC,1\nD,2.0,7,-1,K,3000000000\nE,3000000000,Infinity,0,1,2\n",
+        encoding="utf-8",
+    )
+    records = read_csv_records(spark, str(path))
+    sent = values_of(record_messages(records))
+    names = ["order_id", "quantity", "unit_price", "discount_percent", "coupon", "due.to"]
+    assert sent == [
+        dict(zip(names, ["A", 2, 100.0, "x", "SAVE", 'a,"b"'])),
+        dict(zip(names, ["B", "two", "NaN", 5.0, None, "q"])),
+        "C,1",
+        dict(zip(names, ["D", "2.0", 7.0, -1.0, "K", "3000000000"])),
+        dict(zip(names, ["E", 3_000_000_000, "Infinity", 0.0, "1", "2"])),
+    ]
+    publish_transactions(records, "text", path=str(tmp_path / "out"))
+    back = split_valid(process(spark.read.text(str(tmp_path / "out"))))[1]
+    assert "C,1" in {r.message for r in back.collect()}
+
+
+def test_files_of_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("order_id,quantity\nA,1\n")
+    (tmp_path / "b.csv").write_text("\ufeffquantity,extra,order_id\n2,x,B\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text("order_id,quantity\n")
+    (tmp_path / "d.csv").write_text("")
+    rows = read_transactions_files(spark, str(tmp_path)).collect()
+    assert sorted((r.order_id, r.quantity, r.corrupt) for r in rows) == [("A", 1, False), ("B", 2, False)]
+    sent = values_of(record_messages(read_csv_records(spark, str(tmp_path))))
+    assert sorted((r["order_id"], r["quantity"], r["extra"]) for r in sent) == [("A", 1, None), ("B", 2, "x")]
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "d.csv").write_text("")
+    assert read_csv_records(spark, str(empty)).count() == 0 == read_transactions_files(spark, str(empty)).count()
+
+
+def test_corrupt_rows_are_published_as_their_text(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("order_id,quantity\nA,1\nB\n")
+    sent = values_of(to_messages(read_transactions_files(spark, str(tmp_path))))
+    assert sent[1] == "B" and sent[0]["quantity"] == 1
