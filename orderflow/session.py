@@ -95,6 +95,13 @@ def modified_at(spark: SparkSession, path: str) -> datetime:
     return datetime.fromtimestamp(millis / 1000, timezone.utc)
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False where there is one already. Of several callers one succeeds."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    file_system.mkdirs(hadoop_path.getParent())
+    return file_system.createNewFile(hadoop_path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove ``path`` and what is below it; a missing path is fine."""
     hadoop_path, file_system = _hadoop_path(spark, path)

@@ -28,6 +28,7 @@ def process_batch(
     archive_every: int | None = None,
     archive_leave: int = ARCHIVE_LEAVE,
     archive_wait_seconds: int = ARCHIVE_WAIT_SECONDS,
+    epochs: dict[str, int] | None = None,
     **options: object,
 ) -> bool:
     """Add one micro-batch of processed rows to the tables below ``root``.
@@ -38,10 +39,13 @@ def process_batch(
     After every ``archive_every`` batches, all but the newest ``archive_leave``
     move into the archive, and their own folders go once they have been there
     for ``archive_wait_seconds``: so long may a reader be on an older plan.
+
+    Calls with the same ``epochs`` are one writer, which stops with an error
+    once another has begun; a call without takes over.
     """
     spark = batch_df.sparkSession
     stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-    store = TransactionStore(spark, root)
+    store = TransactionStore(spark, root, epochs)
     added = store.add_batch(batch_df, batch_id, stream_id, validate=validate, **options)
     if archive_every and (batch_id + 1) % archive_every == 0:
         store.compact(archive_leave)
@@ -57,12 +61,17 @@ def start_stream(
     validate: bool = True,
     **options: object,
 ) -> StreamingQuery:
-    """Start the pipeline. Its checkpoint lies beside its tables unless one is given."""
+    """Start the pipeline. Its checkpoint lies beside its tables unless one is given.
+
+    It is the one writer of its tables from its first batch on; a pipeline
+    started before it below the same root fails at its next batch.
+    """
+    epochs: dict[str, int] = {}
     return (
         processed.writeStream.outputMode("append")
         .foreachBatch(
             lambda batch_df, batch_id: process_batch(
-                batch_df, batch_id, root, validate=validate, **options
+                batch_df, batch_id, root, validate=validate, epochs=epochs, **options
             )
         )
         .option("checkpointLocation", checkpoint or f"{root}/checkpoint")

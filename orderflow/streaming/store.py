@@ -8,8 +8,12 @@ Below one root folder, each with one folder per micro-batch:
                   the batch had rows of, with the minutes of that day
 ``versions``      one row per finished batch, written last: where the state of
                   each day lies, the latest transactions, and totals
-``archive``       transactions of many old batches in fewer, larger files
-``archives``      one row per finished archive folder, written after it
+``archive``       transactions of many old batches in fewer, larger files;
+                  ``archive_l1`` and so on those of several archive folders merged
+``archives``      one row per finished archive folder, written after it, and
+                  ``archives_l1`` and so on; a merged folder's row replaces those
+                  of the folders that it covers
+``writers``       the epoch of the one writer, and ``archivers`` of who archives
 
 A version record makes a batch visible. All else is written before it and
 overwritten when a batch is run again, so a crash at any point leaves the last
@@ -27,6 +31,8 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta, timezone
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +53,7 @@ from orderflow.operators.windows import as_interval
 from orderflow.plans.rollup import MARGIN_COLUMNS, MINUTE, snapshot_rows, state_of
 from orderflow.plans.snapshot import SNAPSHOT_SCHEMA, empty_snapshot
 from orderflow.schema import PROCESSED_SCHEMA
-from orderflow.session import child_names, delete_path, modified_at, path_exists, stored_bytes
+from orderflow.session import child_names, create_new, delete_path, modified_at, path_exists, stored_bytes
 
 # What an archive file should hold.
 ARCHIVE_FILE_BYTES = 256 * 1024 * 1024
@@ -72,6 +78,10 @@ ARCHIVE_SCHEMA = StructType(
 ARCHIVES_SCHEMA = StructType(
     [StructField("rows_from", LongType()), StructField("written_at", TimestampType()), _BATCH]
 )
+# Who may change the tables: one writer of batches and one archiver at a time.
+WRITERS, ARCHIVERS = "writers", "archivers"
+#: Archive folders of one level that are merged into one of the next.
+MERGED = 8
 RECENT_SCHEMA = StructType([StructField("arrived_in", LongType()), *PROCESSED_SCHEMA])
 # The state folder of what belongs to no day.
 ALL_DAYS = "all"
@@ -159,12 +169,34 @@ def append_history(
     return read_batch(batch_df.sparkSession, batch_id, path)
 
 
+class Archive(NamedTuple):
+    """A folder of archived batches, from the first to the last; merged ones are of a higher level."""
+
+    level: int
+    rows_from: int
+    upto: int
+    written_at: datetime | None = None
+
+    def covers(self, other: Archive) -> bool:
+        return self.rows_from <= other.rows_from and other.upto <= self.upto
+
+
+def _rows_table(level: int) -> str:
+    return f"archive_l{level}" if level else "archive"
+
+
+def _records_table(level: int) -> str:
+    return f"archives_l{level}" if level else "archives"
+
+
 class TransactionStore:
     """The tables below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, epochs: dict[str, int] | None = None):
+        """``epochs`` is what a writer holds, for stores that are to be one writer together."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self._epochs = {} if epochs is None else epochs
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -211,31 +243,53 @@ class TransactionStore:
 
     # --- reading -----------------------------------------------------------
 
-    def _archives(self) -> list[Row]:
-        """The records of finished archive folders, oldest first."""
-        return self._read("archives", ARCHIVES_SCHEMA).orderBy("batch_id").collect()
+    def _archive_records(self) -> list[Archive]:
+        """All finished archive folders, merged ones and those they were merged from."""
+        levels = [n.partition("_l") for n in child_names(self.spark, self.root) if n.startswith("archives")]
+        return [
+            Archive(int(level or 0), row["rows_from"], row["batch_id"], row["written_at"])
+            for _, _, level in levels
+            for row in self._read(_records_table(int(level or 0)), ARCHIVES_SCHEMA).collect()
+        ]
+
+    def _archives(self) -> list[Archive]:
+        """The archive folders that hold the archived rows, each row once, oldest first."""
+        live: list[Archive] = []
+        for record in sorted(self._archive_records(), key=lambda a: -a.level):
+            if not any(a.covers(record) for a in live):
+                live.append(record)
+        return sorted(live, key=lambda a: a.upto)
+
+    def _read_archives(self, archives: list[Archive]) -> DataFrame:
+        """The rows of archive folders as they were in the batches; one read per level."""
+        levels: dict[int, list[str]] = {}
+        for a in archives:
+            levels.setdefault(a.level, []).append(self._archive_folder(a))
+        frames = [self._read_folders(_rows_table(n), ARCHIVE_SCHEMA, folders) for n, folders in levels.items()]
+        return reduce(DataFrame.unionByName, frames)
+
+    def _archive_folder(self, archive: Archive) -> str:
+        return f"{self.path(_rows_table(archive.level))}/upto={archive.upto}"
 
     def _finished_transactions(self) -> DataFrame:
         newest = self.newest()
         bound = -1 if newest is None else newest["batch_id"]
-        archives = [record["batch_id"] for record in self._archives()]
-        archived = max(archives, default=-1)
+        archives = self._archives()
+        archived = max((a.upto for a in archives), default=-1)
         fresh = [n for n in self._batch_folders("transactions") if archived < n <= bound]
         rows = self._read_folders(
             "transactions", TRANSACTION_SCHEMA, [self._folder("transactions", n) for n in fresh]
         )
         if not archives:
             return rows
-        old = self._read_folders(
-            "archive", ARCHIVE_SCHEMA, [f"{self.path('archive')}/upto={n}" for n in archives]
-        )
+        old = self._read_archives(archives)
         return rows.unionByName(
             old.withColumnRenamed("arrived_in", "batch_id").select(*TRANSACTION_SCHEMA.names)
         )
 
     def archived_upto(self) -> int:
         """The last batch whose transactions are in the archive, -1 if there is none."""
-        return max((record["batch_id"] for record in self._archives()), default=-1)
+        return max((a.upto for a in self._archives()), default=-1)
 
     def history(self) -> DataFrame:
         """All accepted transactions of finished batches, with their ``batch_id``."""
@@ -292,6 +346,26 @@ class TransactionStore:
 
     # --- writing -----------------------------------------------------------
 
+    def _hold(self, role: str) -> None:
+        """Be the one writer (or archiver) of these tables, or raise if another has come since.
+
+        A writer takes the next epoch by creating its file, which only one can.
+        Whoever comes later takes a higher one, and the earlier writer stops
+        before its next step that readers could see.
+        """
+        folder = self.path(role)
+        taken = [int(n.partition("=")[2]) for n in child_names(self.spark, folder) if n.startswith("epoch=")]
+        newest, own = max(taken, default=0), self._epochs.get(role)
+        if own is not None:
+            if newest > own:
+                raise RuntimeError(f"another of the {role} has taken over the tables below {self.root}")
+            return
+        while not create_new(self.spark, f"{folder}/epoch={newest + 1}"):
+            newest += 1
+        self._epochs[role] = newest + 1
+        for number in taken:
+            delete_path(self.spark, f"{folder}/epoch={number}")
+
     def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(self._folder(table, batch_id))
 
@@ -310,7 +384,9 @@ class TransactionStore:
 
         A version stays for ``keep_seconds`` at least, and the newest ``keep``
         stay whatever their age: so long may a reader be on a frame it made.
+        Raises if another writer has taken over the tables.
         """
+        self._hold(WRITERS)
         previous = self.newest()
         if previous is not None:
             if previous["stream_id"] != stream_id:
@@ -357,6 +433,7 @@ class TransactionStore:
             F.lit(recent).alias("recent_kept"),
             "recent",
         )
+        self._hold(WRITERS)
         self._write(version, "versions", batch_id)
         self._forget_before(batch_id, keep, keep_seconds)
         return True
@@ -383,10 +460,10 @@ class TransactionStore:
         the archive as soon as its record is there; ``drop_archived`` then
         removes the old folders.
         """
-        newest, records = self.newest(), self._archives()
-        archived = max((record["batch_id"] for record in records), default=-1)
+        self._hold(ARCHIVERS)
+        newest, archived = self.newest(), self.archived_upto()
         upto = -1 if newest is None else newest["batch_id"] - leave
-        self._drop_orphans({f"upto={record['batch_id']}" for record in records})
+        self._drop_orphans()
         if upto <= archived:
             return False
         moving = [n for n in self._batch_folders("transactions") if archived < n <= upto]
@@ -394,38 +471,73 @@ class TransactionStore:
         rows = self._read_folders(
             "transactions", TRANSACTION_SCHEMA, [self._folder("transactions", n) for n in moving]
         )
+        self._write_archive(
+            rows.withColumnRenamed("batch_id", "arrived_in"), size, Archive(0, archived + 1, upto)
+        )
+        self._merge_archives()
+        return True
+
+    def _write_archive(self, rows: DataFrame, size: int, archive: Archive) -> None:
+        """Write rows as an archive folder; its record, written last, makes it count."""
         (
-            rows.withColumnRenamed("batch_id", "arrived_in")
-            .repartitionByRange(
+            rows.repartitionByRange(
                 1 + size // ARCHIVE_FILE_BYTES, "accepted", "timestamp", "order_id"
             )
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("accepted")
-            .parquet(f"{self.path('archive')}/upto={upto}")
+            .parquet(self._archive_folder(archive))
         )
         record = self.spark.range(1).select(
-            F.lit(archived + 1).cast("bigint").alias("rows_from"),
+            F.lit(archive.rows_from).cast("bigint").alias("rows_from"),
             F.current_timestamp().alias("written_at"),
         )
-        self._write(record, "archives", upto)
-        return True
+        self._hold(ARCHIVERS)
+        self._write(record, _records_table(archive.level), archive.upto)
+
+    def _merge_archives(self) -> None:
+        """Merge every ``MERGED`` neighbouring folders of a level into one of the next.
 
-    def _drop_orphans(self, finished: set[str]) -> None:
+        So a thousand archives leave some thirty folders, and a row is written
+        again once per level. The merged folder's record replaces those it covers
+        in one step; ``drop_archived`` removes them after its wait.
+        """
+        level = 0
+        while (live := self._archives()) and level <= max(a.level for a in live):
+            own = [a for a in live if a.level == level][:MERGED]
+            if len(own) < MERGED:
+                level += 1
+                continue
+            size = sum(stored_bytes(self.spark, self._archive_folder(a)) for a in own)
+            rows = self._read_archives(own).drop("upto")
+            self._write_archive(rows, size, Archive(level + 1, own[0].rows_from, own[-1].upto))
+
+    def _drop_orphans(self) -> None:
         """Remove what a broken-off run left in the archive: folders without a record."""
-        for name in child_names(self.spark, self.path("archive")):
-            if name.startswith("upto=") and name not in finished:
-                delete_path(self.spark, f"{self.path('archive')}/{name}")
+        finished = {self._archive_folder(a) for a in self._archive_records()}
+        for table in child_names(self.spark, self.root):
+            if table != "archive" and not table.startswith("archive_l"):
+                continue
+            for name in child_names(self.spark, self.path(table)):
+                folder = f"{self.path(table)}/{name}"
+                if name.startswith("upto=") and folder not in finished:
+                    delete_path(self.spark, folder)
 
     def drop_archived(self, wait_seconds: int = 0) -> int:
         """Delete the batch folders that have been in the archive for a while; returns how many.
 
-        Wait as long as a reader may be on a plan from before the archive.
+        Archive folders that have been merged into another for as long go, too.
+        Wait as long as a reader may be on a plan from before.
         """
+        self._hold(ARCHIVERS)
         since = _seconds_ago(wait_seconds)
-        archived = max(
-            (r["batch_id"] for r in self._archives() if _utc(r["written_at"]) <= since), default=-1
-        )
+        records = self._archive_records()
+        old = [a for a in records if _utc(a.written_at) <= since]
+        for a in records:
+            if any(b.level > a.level and b.covers(a) for b in old):
+                delete_path(self.spark, self._folder(_records_table(a.level), a.upto))
+                delete_path(self.spark, self._archive_folder(a))
+        archived = max((a.upto for a in old), default=-1)
         outdated = [n for n in self._batch_folders("transactions") if n <= archived]
         for number in outdated:
             delete_path(self.spark, self._folder("transactions", number))

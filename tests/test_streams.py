@@ -13,6 +13,7 @@ from orderflow.operators.windows import orders_in_last_minute, windowed_orders
 from orderflow.plans.rollup import SNAPSHOT_COLUMNS, metrics_snapshot
 from orderflow.schema import PROCESSED_SCHEMA, RAW_SCHEMA
 from orderflow.session import child_names, stored_bytes
+from orderflow.streaming import store as store_module
 from orderflow.streaming.aggregates import (
     dedup_orders,
     read_results,
@@ -369,3 +370,88 @@ def test_dedup_counts_a_repeated_id_once(spark, source, tmp_path):
     stream = dedup_orders(valid_stream(spark, source), "2 days")
     found = results(spark, stream, tmp_path / "out", "append")
     assert sorted(r.order_id for r in found.collect()) == ["O1", "O2", "O3", "O4", "O5"]
+
+
+def folders_of(spark, root):
+    names = [n for n in child_names(spark, root) if n.startswith("archive") and not n.startswith("archives") and n != "archivers"]
+    return {n: child_names(spark, f"{root}/{n}") for n in names}
+
+
+def test_archives_merge_into_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "MERGED", 2)
+    root = str(tmp_path / "root")
+    store = TransactionStore(spark, root)
+    expected = set()
+    for number in range(7):
+        process_batch(frame(spark, [order(f"O{number}"), order(f"bad{number}", quantity=-1)]), number, root)
+        expected.add(f"O{number}")
+        assert store.compact(leave=0)
+        store.drop_archived()
+        assert {r.order_id for r in store.history().collect()} == expected
+        assert store.history().count() == number + 1 == store.quarantine().count()
+    # 7 = 4 + 2 + 1: a folder each, and nothing left of what they were merged from.
+    assert {k: v for k, v in folders_of(spark, root).items() if v} == {
+        "archive": ["upto=6"], "archive_l1": ["upto=5"], "archive_l2": ["upto=3"]}
+    assert store.archived_upto() == 6 and [(a.level, a.rows_from) for a in store._archives()] == [(2, 0), (1, 4), (0, 6)]
+
+
+@pytest.mark.parametrize("table", ["archives", "archives_l1"])
+def test_merging_may_break_off_anywhere(spark, tmp_path, monkeypatch, table):
+    monkeypatch.setattr(store_module, "MERGED", 2)
+    root = str(tmp_path / "root")
+    for number in range(2):
+        process_batch(frame(spark, BATCHES[number]), number, root)
+        if not number:
+            TransactionStore(spark, root).compact(leave=0)
+    write = TransactionStore._write
+
+    def lost(self, df, name, batch_id):
+        if name == table:
+            raise OSError("lost")
+        write(self, df, name, batch_id)
+
+    history = as_set(TransactionStore(spark, root).history())
+    monkeypatch.setattr(TransactionStore, "_write", lost)
+    with pytest.raises(OSError):
+        TransactionStore(spark, root).compact(leave=0)
+    monkeypatch.setattr(TransactionStore, "_write", write)
+    store = TransactionStore(spark, root)
+    assert as_set(store.history()) == history and store.history().count() == len(history)
+    process_batch(frame(spark, BATCHES[2]), 2, root)
+    assert store.compact(leave=0)
+    store.drop_archived()
+    assert store.history().count() == sum(len(b) for b in BATCHES[:3])
+    assert len(store._archives()) <= 2
+
+
+def test_a_late_writer_raises_and_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "root")
+    first, second = TransactionStore(spark, root), TransactionStore(spark, root)
+    rows = frame(spark, BATCHES[0])
+    assert first.add_batch(rows, 0) and second.add_batch(frame(spark, BATCHES[1]), 1)
+    before, found = files_below(tmp_path / "root"), rows_of(second)
+    with pytest.raises(RuntimeError, match="taken over"):
+        first.add_batch(rows, 2)
+    assert files_below(tmp_path / "root") == before and rows_of(second) == found
+    assert second.add_batch(rows, 2)
+    # Reading and archiving are not writing of batches.
+    assert first.compact(leave=1) and second.add_batch(rows, 3) and first.history().count() == 4 * len(BATCHES[0])
+
+
+def test_a_writer_overtaken_in_its_batch_publishes_no_version(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "root")
+    first, second = TransactionStore(spark, root), TransactionStore(spark, root)
+    rows = frame(spark, BATCHES[0])
+    first.add_batch(rows, 0)
+    write_state = TransactionStore._write_state
+
+    def overtaken(self, state, batch_id):
+        write_state(self, state, batch_id)
+        if self is first:
+            second.add_batch(rows, 1)
+
+    monkeypatch.setattr(TransactionStore, "_write_state", overtaken)
+    with pytest.raises(RuntimeError, match="taken over"):
+        first.add_batch(rows, 1)
+    assert second.newest()["batch_id"] == 1 and second.history().count() == 2 * len(BATCHES[0])
+    assert not second.add_batch(rows, 1) and second.add_batch(rows, 2)
