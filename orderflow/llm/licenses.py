@@ -109,11 +109,8 @@ _CC = {
     "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
     "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
 }
-_SPDX = [
-    "MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause-Clear", "BSD-4-Clause", "ISC",
-    "MPL-2.0", "Unlicense", "CC0-1.0", *[f"CC-{kind.upper()}-4.0" for kind in _CC],
-    *[f"{name.upper()}{end}" for name in _GNU for end in ("", "-only", "-or-later")],
-]
+_CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
+_CC_NOTICES = {"3.0": "3.0 Unported", "4.0": "4.0 International"}
 
 TEMPLATES = {
     "apache-2.0-notice": (
@@ -132,10 +129,12 @@ TEMPLATES = {
     "bsd-2-clause": _BSD_CLAUSES + _BSD_DISCLAIMER,
     "bsd-3-clause": _BSD_CLAUSES + "3. " + _BSD_ENDORSEMENT + _BSD_DISCLAIMER,
     "bsd-4-clause": _BSD_CLAUSES + _BSD_ADVERTISING + "4. " + _BSD_ENDORSEMENT + _BSD_DISCLAIMER,
-    **{f"cc-{kind}-4.0-line": f"Licensed under CC {kind.upper()} 4.0." for kind in _CC},
+    "apache-2.0-line-tag": "under the Apache-2.0 license",
+    **{f"cc-{kind}-{v}-line": f"Licensed under CC {kind.upper()} {v}." for kind in _CC for v in _CC_VERSIONS},
     **{
-        f"cc-{kind}-4.0-notice": f"This work is licensed under a Creative Commons {name} 4.0 International License."
+        f"cc-{kind}-{v}-notice": f"This work is licensed under a Creative Commons {name} {rest} License."
         for kind, name in _CC.items()
+        for v, rest in _CC_NOTICES.items()
     },
     "cc0-1.0-line": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     **{
@@ -146,6 +145,9 @@ TEMPLATES = {
         f"{key}-only-notice": _GNU_ONLY_NOTICE.format(thing=thing, name=name, version=version)
         for key, (thing, name, version) in _GNU.items()
     },
+    **{f"{key}-name": f"{name} v{version}" + ".0" * (version in "23") for key, (_, name, version) in _GNU.items()},
+    **{f"{key}-line-tag": f"Licensed under {key.split('-')[0]}v{version}" for key, (_, _, version) in _GNU.items()},
+    "mit-line-is": "is MIT licensed",
     **{
         f"{key}-line": f"This work is licensed under the {name}, version {version}."
         for key, (_, name, version) in _GNU.items()
@@ -198,7 +200,8 @@ TEMPLATES = {
         " CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING"
         " FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
-    **{f"spdx-{tag.lower()}": f"SPDX-License-Identifier: {tag}" for tag in _SPDX},
+    # What follows its colon is an expression of licenses, see ``expression``.
+    "spdx": "SPDX-License-Identifier",
 }
 
 # The same without what follows the grant, as it is often quoted; the whole text counts more words.
@@ -212,13 +215,17 @@ NAMING = {
     **{f"{key}-notice": (name, f"version {version} of") for key, (_, name, version) in _GNU.items()},
     **{f"{key}-only-notice": (f"{name} version {version} as",) for key, (_, name, version) in _GNU.items()},
     **{f"{key}-line": (name, f"version {version}") for key, (_, name, version) in _GNU.items()},
-    **{f"cc-{kind}-4.0-line": (f"CC {kind} 4.0",) for kind in _CC},
-    **{f"cc-{kind}-4.0-notice": (f"Creative Commons {name} 4.0",) for kind, name in _CC.items()},
-    **{name: (TEMPLATES[name],) for name in TEMPLATES if name.startswith("spdx-")},
+    **{f"{key}-name": (TEMPLATES[f"{key}-name"],) for key in _GNU},
+    **{f"{key}-line-tag": (TEMPLATES[f"{key}-line-tag"],) for key in _GNU},
+    **{f"cc-{kind}-{v}-line": (f"CC {kind} {v}",) for kind in _CC for v in _CC_VERSIONS},
+    **{f"cc-{kind}-{v}-notice": (f"Creative Commons {name} {v}",) for kind, name in _CC.items() for v in _CC_NOTICES},
+    "spdx": (TEMPLATES["spdx"],),
     **{name: ("MIT License",) for name in TEMPLATES if name.startswith("mit-line")},
+    "mit-line-is": (TEMPLATES["mit-line-is"],),
     **{name: ("Apache License",) for name in TEMPLATES if name.startswith("apache-")},
     "mit-line-short": ("under MIT",),
     "apache-2.0-line-short": ("under Apache 2.0",),
+    "apache-2.0-line-tag": (TEMPLATES["apache-2.0-line-tag"],),
     "apache-2.0-notice": ("Apache License, Version 2.0",),
     "bsd-3-clause": ("endorse or promote",),
     "bsd-3-clause-conditions": ("endorse or promote",),
@@ -236,6 +243,45 @@ class Match:
     coverage: float
 
 
+_TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.:-]*\+?)")
+
+
+def expression(text: str, at: int) -> list[tuple[str, int, int]]:
+    """Licenses of the SPDX expression that begins there: name, start and end of each.
+
+    ``AND``, ``OR`` and ``WITH`` join whole identifiers, with parentheses or
+    without. An identifier need not be known, but must have a capital or a
+    digit, as words of a sentence mostly don't. An exception belongs to the name
+    of its license, and the plus of a GNU license is "or later".
+    """
+    found: list[tuple[str, int, int]] = []
+    operand = True
+    while token := _TOKEN.match(text, at):
+        word, start = token[1], token.start(1)
+        if not operand and word in ("AND", "OR", "WITH"):
+            operand, exception, after = True, word == "WITH", token.end()
+        elif operand and word not in ("AND", "OR", "WITH", ")") and (word == "(" or re.search("[A-Z0-9]", word)):
+            after = token.end()
+            if word != "(":
+                name = word if word.endswith("+") else word.rstrip(".:-")
+                after -= len(word) - len(name)
+                operand = False
+                if found and exception:
+                    license, start, _ = found.pop()
+                    found.append((f"{license}-with-{name.lower()}", start, after))
+                else:
+                    name = name.lower()
+                    later = name.endswith("+") and name[:-1] in _GNU
+                    found.append((f"spdx-{name[:-1]}-or-later" if later else f"spdx-{name}", start, after))
+                exception = False
+        elif not operand and word == ")":
+            after = token.end()
+        else:
+            break
+        at = after
+    return found
+
+
 def winnow(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Places kept by winnowing: of each window the smallest hash, the last among equals."""
     count = len(hashes)
@@ -374,6 +420,17 @@ class TemplateIndex:
                 d -= 1
         return first, last, matched
 
+    @staticmethod
+    def _expressed(text: str, tag: Match) -> list[Match]:
+        """Every license of a tag's expression, the first from the tag on."""
+        colon = re.compile("[ \t]*:").match(text, tag.end) if tag.license == "spdx" else None
+        licenses = expression(text, colon.end()) if colon else []
+        starts = [tag.start, *[start for _, start, _ in licenses[1:]]]
+        words = lambda a, b: len(_WORD.findall(text[a:b]))
+        return [
+            Match(name, start, end, words(start, end), 1.0) for start, (name, _, end) in zip(starts, licenses)
+        ]
+
     def _settled(self, text: str, found: list[tuple]) -> list[Match]:
         """Spans that don't overlap, those of more matched words first."""
         spans = [m.span() for m in _WORD.finditer(text)]
@@ -385,7 +442,8 @@ class TemplateIndex:
                 continue
             kept.insert(at, (first, last))
             coverage = matched / len(self.codes[template])
-            result.append(Match(self.names[template], spans[first][0], spans[last][1], matched, coverage))
+            match = Match(self.names[template], spans[first][0], spans[last][1], matched, coverage)
+            result += self._expressed(text, match) or [match]
         return sorted(result, key=lambda m: m.start)
 
 
