@@ -42,9 +42,10 @@ SURE = GRAM + WINDOW - 1
 BLOCK = 1 << 16
 POSITION_BITS = 17
 HASH_MASK = (1 << 63) - (1 << POSITION_BITS)
-#: Rows that are put in order together, and the most such groups (their bounds are gathered).
+#: Rows that are put in order together, the most such groups, and the keys drawn for each bound.
 BUCKET_ROWS = 500
 MAX_BUCKETS = 100_000
+SAMPLES = 8
 
 MARKS = T.ArrayType(
     T.StructType([T.StructField("pos", T.LongType()), T.StructField("hash", T.LongType())])
@@ -209,17 +210,22 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _bucketed(rows: DataFrame) -> DataFrame:
     """The rows with a bucket of neighbours, and the first row of each also as a guest of the one before.
 
-    Bounds of the buckets are the smallest keys of a range partitioning, at
-    most ``MAX_BUCKETS`` of them, gathered in a scalar subquery.
+    Bounds of the buckets are the smallest key and every ``SAMPLES``-th of the
+    keys whose hash falls to a fraction that gives ``SAMPLES`` per bucket. They
+    are gathered in a scalar subquery, by the one pass that looks at all keys.
     """
     key = F.struct("id", F.xxhash64("text").alias("hash"))
-    buckets = min(MAX_BUCKETS, max(1, math.ceil(rows.count() / BUCKET_ROWS)))
-    keys = rows.select(key.alias("key"))
-    heads = keys.repartitionByRange(buckets, "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("key"))
-    bounds = heads.agg(F.sort_array(F.collect_list("key")).alias("bounds")).scalar()
+    count = rows.count()
+    buckets = min(MAX_BUCKETS, max(1, math.ceil(count / BUCKET_ROWS)))
+    drawn = F.pmod(F.xxhash64("key"), F.lit(max(1, count // (SAMPLES * buckets)))) == 0
+    some = rows.select(key.alias("key")).agg(
+        F.min("key").alias("least"), F.sort_array(F.collect_set(F.when(drawn, F.col("key")))).alias("keys")
+    )
+    further = F.filter("keys", lambda x, i: (i % SAMPLES == SAMPLES - 1) & (x > F.col("least")))
+    bounds = some.select(F.concat(F.array("least"), further).alias("bounds")).scalar()
     # How many bounds are at most the key: a binary search, one column per step.
     found = rows.select("*", key.alias("key"), F.lit(-1).alias("bucket"))
-    for step in [1 << i for i in reversed(range(buckets.bit_length()))]:
+    for step in [1 << i for i in reversed(range((2 * MAX_BUCKETS).bit_length()))]:
         further = F.get(bounds, F.col("bucket") + step) <= F.col("key")
         found = found.withColumn("bucket", F.when(further, F.col("bucket") + step).otherwise(F.col("bucket")))
     entry = lambda bucket, guest: F.struct(bucket.alias("bucket"), F.lit(guest).alias("guest"))
