@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # Microseconds per unit of a duration text such as "10 minutes".
 UNIT_MICROS = {
@@ -18,6 +19,8 @@ UNIT_MICROS = {
     "day": 86_400_000_000,
     "week": 604_800_000_000,
 }
+#: Up to so many windows per count, copying counts costs less than running sums.
+MOST_COPIES = 64
 _PART = re.compile(r"([+-]?\d+(?:\.\d+)?)\s+([a-z]+?)s?(?:\s+|$)")
 
 
@@ -58,8 +61,8 @@ def windowed_orders(
     """Order lines per time window ``[start, end)``; windows without any are absent.
 
     With ``slide`` the windows overlap. Batch input is then counted without
-    copying rows or counts into windows, see ``_sliding``; a stream keeps a
-    count per open window.
+    copying rows into windows, see ``_copied`` and ``_sliding``: which of the two
+    follows from the durations alone. A stream keeps a count per open window.
     """
     width = duration_micros(duration)
     step = width if slide is None else duration_micros(slide)
@@ -67,12 +70,44 @@ def windowed_orders(
         raise ValueError("windows that slide by more than their width leave rows out")
     times = df.select("timestamp")
     if slide is not None and step < width and not df.isStreaming:
-        return _sliding(times, width, step)
+        return (_copied if width <= MOST_COPIES * step else _sliding)(times, width, step)
     micros = [f"{n} microseconds" for n in (width, step)]
     counted = times.groupBy(F.window("timestamp", *micros)).agg(F.count("*").alias("order_count"))
     return _bounds(counted)
 
 
+def _counts(times: DataFrame, width: int, step: int) -> DataFrame:
+    """Rows per common divisor of window and slide: within one, all rows are in the same windows."""
+    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    grain = F.lit(math.gcd(width, step))
+    return (
+        times.where(F.col("timestamp").isNotNull())
+        .groupBy((micros - F.pmod(micros, grain)).alias("at"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def _first_start_behind(time: Column, step: int) -> Column:
+    return time - F.pmod(time, F.lit(step)) + F.lit(step)
+
+
+def _from_starts(windows: DataFrame, width: int, kind: DataType) -> DataFrame:
+    return windows.select(
+        F.timestamp_micros("start").cast(kind).alias("window_start"),
+        F.timestamp_micros(F.col("start") + F.lit(width)).cast(kind).alias("window_end"),
+        F.col("order_count").cast("bigint").alias("order_count"),
+    )
+
+
+def _copied(times: DataFrame, width: int, step: int) -> DataFrame:
+    """Counts of overlapping windows: each count is copied into the few windows it is in."""
+    first = _first_start_behind(F.col("at") - F.lit(width), step)
+    last = F.col("at") - F.pmod(F.col("at"), F.lit(step))
+    copies = _counts(times, width, step).select(F.explode(F.sequence(first, last, F.lit(step))).alias("start"), "n")
+    windows = copies.groupBy("start").agg(F.sum("n").alias("order_count"))
+    return _from_starts(windows, width, times.schema["timestamp"].dataType)
+
+
 def _sliding(times: DataFrame, width: int, step: int) -> DataFrame:
     """Counts of overlapping windows, of ``width`` and a start every ``step`` microseconds.
 
@@ -83,24 +118,13 @@ def _sliding(times: DataFrame, width: int, step: int) -> DataFrame:
     it is in, and only the windows of the result are made. Running sums go day
     by day, on top of the sums of the days before.
     """
-    kind = times.schema["timestamp"].dataType
-    grain, day = math.gcd(width, step), UNIT_MICROS["day"]
-    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    counts = (
-        times.where(F.col("timestamp").isNotNull())
-        .groupBy((micros - F.pmod(micros, F.lit(grain))).alias("at"))
-        .agg(F.count("*").alias("n"))
-    )
-
-    def first_start_behind(time: Column) -> Column:
-        return time - F.pmod(time, F.lit(step)) + F.lit(step)
-
+    day = UNIT_MICROS["day"]
     changes = F.array(
-        F.struct(first_start_behind(F.col("at") - F.lit(width)).alias("start"), F.col("n").alias("change")),
-        F.struct(first_start_behind(F.col("at")).alias("start"), (-F.col("n")).alias("change")),
+        F.struct(_first_start_behind(F.col("at") - F.lit(width), step).alias("start"), F.col("n").alias("change")),
+        F.struct(_first_start_behind(F.col("at"), step).alias("start"), (-F.col("n")).alias("change")),
     )
     points = (
-        counts.select(F.inline(changes))
+        _counts(times, width, step).select(F.inline(changes))
         .groupBy("start")
         .agg(F.sum("change").alias("change"))
         .withColumn("day", F.floor(F.col("start") / F.lit(float(day))))
@@ -121,11 +145,7 @@ def _sliding(times: DataFrame, width: int, step: int) -> DataFrame:
     )
     starts = F.sequence(F.col("start"), F.col("until") - F.lit(step), F.lit(step))
     windows = held.where("order_count > 0").select(F.explode(starts).alias("start"), "order_count")
-    return windows.select(
-        F.timestamp_micros("start").cast(kind).alias("window_start"),
-        F.timestamp_micros(F.col("start") + F.lit(width)).cast(kind).alias("window_end"),
-        F.col("order_count").cast("bigint").alias("order_count"),
-    )
+    return _from_starts(windows, width, times.schema["timestamp"].dataType)
 
 
 def last_span(df: DataFrame, span: str = "1 minute") -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderflow.operators.metrics import UNITS_TYPE, as_revenue, outsize, sum_units, units
 from orderflow.operators.windows import as_interval
 from orderflow.schema import COMPLETED, RETURNED, validate_columns
 from orderflow.session import delete_path, new_folder
@@ -40,18 +41,25 @@ MINUTE = "minute"
 TAIL = "tail"
 
 METRIC_COLUMNS = (*TEXT_DIMENSIONS, "timestamp", "total_amount")
-MARGIN_COLUMNS = ("dimension", "key", "time", "order_count", "amount")
+# Amounts up to a bound add up in ``amount``, in units, the few beyond in ``outsize``.
+MARGIN_COLUMNS = ("dimension", "key", "time", "order_count", "amount", "outsize")
+NO_AMOUNTS = (f"CAST(NULL AS {UNITS_TYPE}) AS amount", "CAST(NULL AS DOUBLE) AS outsize")
 SNAPSHOT_COLUMNS = ("metric", "key", "window_start", "window_end", "order_count", "revenue")
 
 
 def text_margins(df: DataFrame) -> DataFrame:
     """Margins of processed transactions over each text dimension."""
     grouped = (
-        df.select(*TEXT_DIMENSIONS, "total_amount")
+        df.select(
+            *TEXT_DIMENSIONS,
+            units(F.col("total_amount")).alias("units"),
+            outsize(F.col("total_amount")).alias("beyond"),
+        )
         .groupingSets([[name] for name in TEXT_DIMENSIONS], *TEXT_DIMENSIONS)
         .agg(
             F.count("*").alias("order_count"),
-            F.sum("total_amount").alias("amount"),
+            sum_units(F.col("units")).alias("amount"),
+            F.sum("beyond").alias("outsize"),
             F.grouping_id().alias("left_out"),
         )
     )
@@ -68,6 +76,7 @@ def text_margins(df: DataFrame) -> DataFrame:
         "CAST(NULL AS TIMESTAMP) AS time",
         "order_count",
         "amount",
+        "outsize",
     )
 
 
@@ -79,7 +88,7 @@ def _counts_by_time(df: DataFrame, dimension: str, time: Column) -> DataFrame:
         "CAST(NULL AS STRING) AS key",
         "time",
         "order_count",
-        "CAST(NULL AS DOUBLE) AS amount",
+        *NO_AMOUNTS,
     )
 
 
@@ -140,7 +149,11 @@ def state_of(
         kept.select(*MARGIN_COLUMNS)
         .unionByName(state)
         .groupBy("dimension", "key", "time")
-        .agg(F.sum("order_count").alias("order_count"), F.sum("amount").alias("amount"))
+        .agg(
+            F.sum("order_count").alias("order_count"),
+            F.sum("amount").cast(UNITS_TYPE).alias("amount"),
+            F.sum("outsize").alias("outsize"),
+        )
     )
 
 
@@ -166,7 +179,7 @@ def _if_status(status: str, value: str) -> str:
 
 # The entries of a state row, by its dimension.
 _ENTRIES = {
-    "category": [_entry("revenue_by_category", key="key", revenue="amount")],
+    "category": [_entry("revenue_by_category", key="key", revenue="total")],
     "city": [_entry("orders_by_city", key="key", order_count="order_count")],
     "payment_method": [
         _entry("payment_method_distribution", key="key", order_count="order_count")
@@ -176,7 +189,7 @@ _ENTRIES = {
         _entry("total_orders", order_count="order_count"),
         _entry("completed_orders", order_count=_if_status(COMPLETED, "order_count")),
         _entry("returned_orders", order_count=_if_status(RETURNED, "order_count")),
-        _entry("completed_revenue", revenue=_if_status(COMPLETED, "amount")),
+        _entry("completed_revenue", revenue=_if_status(COMPLETED, "total")),
     ],
     TAIL: [_entry("orders_in_last_minute", order_count="order_count")],
 }
@@ -196,7 +209,8 @@ def _keyed_and_scalar_rows(state: DataFrame) -> DataFrame:
     )
     zeros = state.sparkSession.range(1).selectExpr(f"inline(array({', '.join(_ZEROS)}))")
     return (
-        state.selectExpr(f"inline(CASE dimension {cases} END)")
+        state.withColumn("total", as_revenue(F.col("amount"), F.col("outsize")))
+        .selectExpr(f"inline(CASE dimension {cases} END)")
         .unionByName(zeros)
         .groupBy("metric", "key", "window_start", "window_end")
         .agg(

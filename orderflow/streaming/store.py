@@ -49,6 +49,7 @@ from pyspark.sql.types import (
 
 from orderflow.functions.quality import is_valid, reasons
 from orderflow.operators.explore import latest
+from orderflow.operators.metrics import UNITS_TYPE
 from orderflow.operators.windows import as_interval
 from orderflow.plans.rollup import MARGIN_COLUMNS, MINUTE, snapshot_rows, state_of
 from orderflow.plans.snapshot import SNAPSHOT_SCHEMA, empty_snapshot
@@ -91,7 +92,8 @@ STATE_SCHEMA = (
     .add("key", "string")
     .add("time", "timestamp")
     .add("order_count", "long")
-    .add("amount", "double")
+    .add("amount", UNITS_TYPE)
+    .add("outsize", "double")
     .add("day", "string")
     .add(_BATCH)
 )

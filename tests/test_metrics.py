@@ -1,10 +1,17 @@
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+from functools import reduce
+
 import pytest
 from conftest import SIX_AMOUNTS, as_dict, as_set, frame, order
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderflow.operators import metrics
 from orderflow.operators.windows import duration_micros, orders_in_last_minute, windowed_orders
+from orderflow.plans.rollup import metrics_snapshot
 from orderflow.schema import PROCESSED_SCHEMA, RAW_SCHEMA, validate_columns
 
 
@@ -116,7 +123,7 @@ def test_window_bounds_and_null_times(spark):
 
 
 @pytest.mark.parametrize("duration, slide", [("2 minutes", "1 minute"), ("3 minutes", "2 minutes"),
-                                             ("1 hour", "20 minutes"), ("50 hours", "7 hours"),
+                                             ("1 hour", "20 minutes"), ("50 hours", "7 hours"), ("90 minutes", "1 minute"),
                                              ("1 hour 30 minutes", "25 minutes"), ("1 minute", "1 minute")])
 def test_sliding_windows_equal_brute_force(spark, six, duration, slide):
     width, step = (duration_micros(d) // 1_000_000 for d in (duration, slide))
@@ -206,3 +213,37 @@ def test_results_do_not_depend_on_partitioning(spark, six):
         shuffled = six.repartition(parts, "order_id")
         assert as_set(metrics.revenue_by_category(shuffled)) == expected[0]
         assert as_set(windowed_orders(shuffled, "2 minutes", "1 minute")) == expected[1]
+
+
+def amounts_past_1e13(spark):
+    """Amounts of both signs and many sizes, whose doubles add up differently by order."""
+    amounts = "CAST((id * 7919 % 8999) AS DOUBLE) * 1e6 + id % 997 * 0.0137D - IF(id % 3 = 0, 4.1e9D, 0D)"
+    return spark.range(6000).selectExpr(
+        f"{amounts} AS total_amount", "'Books' AS category", "'Completed' AS order_status", "'x' AS city",
+        "'y' AS payment_method", "timestamp'2026-01-01 00:00:00' AS timestamp", "id")
+
+
+def test_revenue_does_not_depend_on_the_order_of_rows(spark):
+    rows = amounts_past_1e13(spark).cache()
+    exact = sum(Fraction(r.total_amount).limit_denominator(10**9) for r in rows.collect())
+    assert exact > 10**13
+    cents = float(round(exact, 2))
+    shuffled = [rows.repartition(1 + n % 7, F.xxhash64("id", F.lit(n))).sortWithinPartitions(F.xxhash64("id", F.lit(-n)))
+                .withColumn("category", F.lit(str(n))) for n in range(64)]
+    found = metrics.revenue_by_category(reduce(DataFrame.unionAll, shuffled)).collect()
+    assert len(found) == 64 and {r.revenue for r in found} == {cents}
+    for n in (3, 11):
+        assert metrics.kpis(shuffled[n]).first().completed_revenue == cents
+        row = metrics_snapshot(shuffled[n]).where("metric = 'revenue_by_category'").first()
+        assert row.revenue == cents
+    rows.unpersist()
+
+
+def test_amounts_beyond_the_exact_range_count_too(spark):
+    rows = spark.createDataFrame(
+        [("a", 1e300), ("a", 0.25), ("b", float("nan")), ("b", 1.0), ("c", float("inf")), ("d", None),
+         ("e", -9e9), ("e", 9e9), ("e", 0.1), ("e", -8.9e9), ("f", None), ("f", 2.005)],
+        "category string, total_amount double")
+    found = as_dict(metrics.revenue_by_category(rows))
+    assert math.isnan(found.pop("b"))
+    assert found == {"a": 1e300, "c": math.inf, "d": None, "e": -8899999999.9, "f": 2.01}

@@ -69,6 +69,10 @@ def plan_formatted(df):
 
 def test_sliding_windows_copy_no_row(stored):
     text = plan(windowed_orders(stored, "1 hour", "1 minute"))
+    # Counts are copied, after the counting, and in two exchanges.
+    assert "Expand" not in text and "SinglePartition" not in text
+    assert text.index("Generate explode") < text.rindex("partial_count")
+    text = plan(windowed_orders(stored, "2 hours", "1 minute"))
     assert "Expand" not in text
     # Both changes of a count come after the counting.
     assert text.index("Generate inline") < text.index("partial_count")
@@ -101,9 +105,9 @@ def sources():
 
 
 def test_no_rows_are_collected_and_no_python_functions_run():
-    """But for the records of the archive."""
+    """But for the records of the archive, and the name and header of each CSV file."""
     for path, text in sources().items():
-        assert text.count("collect()") <= {"store.py": 1}.get(path.name, 0), path.name
+        assert text.count("collect()") <= {"store.py": 1, "files.py": 1}.get(path.name, 0), path.name
         for call in ("toPandas(", "udf(", "mapInPandas", "applyInPandas", ".rdd",
                      "localCheckpoint", "crossJoin", "broadcast(", "toArrow("):
             assert call not in text, f"{call} in {path.name}"
