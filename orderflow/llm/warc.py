@@ -55,21 +55,28 @@ HEADERS = ArrayType(
 )
 
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+#: The rest of a tag, to which a ">" in a quoted value still belongs.
+_REST = r"[^<>=]*+(?:=(?:\s*+(?:\"[^\"]*+\"|'[^']*+'))?+[^<>=]*+)*+"
+#: Attributes of a tag before the one looked for, and that one's value in one of three groups.
+_BEFORE = r"(?:[^<>=]*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'<>]++))*?[^<>=]*?(?<![^\s/\"'])"
+_VALUE = r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 #: Comments, and what scripts and styles hold; their opening tags are group 1.
-_NO_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|(<(script|style)\b[^<>]*>).*?(?:</\2\s*>|\Z)", re.I | re.S)
+_NO_MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|(<(script|style)\b{_REST}>).*?(?:</\2\s*>|\Z)", re.I | re.S)
 _BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li"
-    r"|main|nav|ol|p|pre|section|table|td|th|title|tr|ul|head|body|html)\b[^<>]*>",
+    rf"|main|nav|ol|p|pre|section|table|td|th|title|tr|ul|head|body|html)\b{_REST}>",
     re.I,
 )
-_TAG = re.compile(r"<[/!?]?[a-zA-Z!?][^<>]*>")
-_TITLE = re.compile(r"<title\b[^<>]*>(.*?)(?:</title|\Z)", re.I | re.S)
-_LANG = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_TAG = re.compile(rf"<[/!?]?[a-zA-Z!?]{_REST}>")
+_TITLE = re.compile(rf"<title\b{_REST}>(.*?)(?:</title|\Z)", re.I | re.S)
+_LANG = re.compile(rf"<html\b{_BEFORE}lang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 _ORIGIN = re.compile(r"https?://[^/?#\s]+")
 _LINK = re.compile(
-    r"<(a|area|link|img|script|iframe|source)\b[^<>]*?[\s/\"'](?:xlink:)?(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))",
-    re.I,
+    rf"<(?:(a|area|base|link|img|script|iframe|source)\b{_BEFORE}(?:xlink:)?(href|src)|(form)\b{_BEFORE}(action)){_VALUE}", re.I
 )
+_SRCSET = re.compile(rf"<(img|source)\b{_BEFORE}(srcset){_VALUE}", re.I)
+#: An address of a list of images, behind which its width or density may stand.
+_CANDIDATE = re.compile(r"[\s,]*([^\s,]\S*)([^,]*)")
 
 
 def digest(data: bytes) -> str:
@@ -95,22 +102,44 @@ def plain_text(page: str, shown: str | None = None) -> str:
     return "\n".join(filter(None, (" ".join(line.split()) for line in lines)))
 
 
+def _absolute(value: str, address: str, origin: str | None) -> str:
+    """``urljoin`` but for links that need none and addresses it refuses."""
+    if origin and value[:1] == "/" and value[1:2] != "/" and "/." not in value:
+        return origin + value
+    if not value.startswith(("http://", "https://")):
+        try:
+            return urljoin(address, value)
+        except ValueError:
+            pass
+    return value
+
+
+def _candidates(value: str) -> list[str]:
+    """The addresses of a ``srcset``; commas within an address belong to it, at its end they don't."""
+    return [found.rstrip(",") for found, _ in _CANDIDATE.findall(value)]
+
+
 def links(page: str, address: str) -> list[dict[str, str]]:
-    """Links of a page as absolute addresses, in their order, those of scripts and noscript too."""
+    """Links of a page as absolute addresses, in their order, those of scripts and noscript too.
+
+    Relative ones start from the page's first ``base``, if it has any. Forms give
+    their target, images the addresses of their ``srcset``, too.
+    """
+    shown = _NO_MARKUP.sub(lambda m: m[1] or " ", page)
+    matches = [(m.start(), m[1] or m[3], m[2] or m[4], *m.groups("")[4:]) for m in _LINK.finditer(shown)]
+    if "srcset" in shown or "SRCSET" in shown:
+        matches = sorted([*matches, *((m.start(), *m.groups("")) for m in _SRCSET.finditer(shown))])
     found = []
-    base = _ORIGIN.match(address)
-    for tag, attribute, *values in _LINK.findall(_NO_MARKUP.sub(lambda m: m[1] or " ", page)):
-        value = html.unescape("".join(values)).strip()
-        target = value
-        if base and value[:1] == "/" and value[1:2] != "/" and "/." not in value:
-            target = base[0] + value
-        elif not value.startswith(("http://", "https://")):
-            try:
-                target = urljoin(address, value)
-            except ValueError:
-                pass
-        found.append({"path": f"{tag.lower()}@/{attribute.lower()}", "url": target})
-    return found
+    for _, tag, attribute, *values in matches:
+        tag, attribute, value = tag.lower(), attribute.lower(), html.unescape("".join(values)).strip()
+        targets = _candidates(value) if attribute == "srcset" else [value]
+        found.extend((f"{tag}@/{attribute}", target) for target in targets)
+    bases = [value for path, value in found if path == "base@/href"]
+    if bases:
+        address = _absolute(bases[0], address, None)
+    origin = _ORIGIN.match(address)
+    origin = origin and origin[0]
+    return [{"path": path, "url": _absolute(value, address, origin)} for path, value in found if path[:5] != "base@"]
 
 
 def _clean(value: str) -> str:

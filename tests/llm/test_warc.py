@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import time
 from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -52,6 +53,48 @@ def test_links_of_scripts_and_noscript_and_no_data_src():
     ]
 
 
+def test_a_quoted_angle_does_not_end_a_tag():
+    assert warc.plain_text('<p title="1 > 0">Hi</p><div data-x=\'a>b\' y = "<i>">there</div>') == "Hi\nthere"
+    assert warc.plain_text("<p title=\"open>Hi <b>you</b>, it's 1 = 1") == "Hi you, it's 1 = 1"
+    found = warc.links('<a title="a > b" href="/x">x</a><a title="x href=/no" href=/y>y</a><a x="1"href="/z">z</a>', "http://x.org/")
+    assert [x["url"] for x in found] == ["http://x.org/x", "http://x.org/y", "http://x.org/z"]
+    made = warc.response_record("1", "http://x.org/", '<html data-a="b>c" lang=fr><title data-x=">">T</title><script a=">">x</script>')
+    meta, text = warc.derived_records(made["headers"], made["block"])
+    assert json.loads(meta["block"])["title"] == "T" and text["block"] == "T"
+    assert warc.header(text["headers"], "WARC-Identified-Content-Language") == "fr"
+
+
+def test_relative_links_start_from_the_base():
+    page = '<a href="before">b</a><base target=x href="../sub/"><base href="/no/"><a href="c">c</a><a href="/d">d</a>'
+    urls = [x["url"] for x in warc.links(page, "http://x.org/a/b/page")]
+    assert urls == ["http://x.org/a/sub/before", "http://x.org/a/sub/c", "http://x.org/d"]
+    urls = [x["url"] for x in warc.links('<base href="https://y.org/p/"><a href="/d">d</a><img src=e>', "about:blank")]
+    assert urls == ["https://y.org/d", "https://y.org/p/e"]
+
+
+def test_form_targets_and_image_lists():
+    page = """<form method=post action="/send"><a action=/no>x</a><form href=/no action=go>
+    <img src=a.png srcset="a.png 1x, b,c.png 2x,d.png"><source srcset='/e 100w'><img srcset=", "><form>"""
+    assert [(x["path"], x["url"]) for x in warc.links(page, "http://x.org/p/")] == [
+        ("form@/action", "http://x.org/send"),
+        ("form@/action", "http://x.org/p/go"),
+        ("img@/src", "http://x.org/p/a.png"),
+        ("img@/srcset", "http://x.org/p/a.png"),
+        ("img@/srcset", "http://x.org/p/b,c.png"),
+        ("img@/srcset", "http://x.org/p/d.png"),
+        ("source@/srcset", "http://x.org/e"),
+    ]
+
+
+def test_odd_markup_takes_time_in_proportion():
+    for piece in ("<a ", '<a x="', "<a x='", "<a href", '<p t="">', "<a =", "<a x=1 ", "<", '="', "<!--", "<a href='"):
+        page = piece * (200_000 // len(piece))
+        started = time.perf_counter()
+        warc.links(page, "http://x.org/")
+        warc.plain_text(page)
+        assert time.perf_counter() - started < 5, piece
+
+
 def test_records_name_their_source():
     made = warc.response_record("7", "https://example.org/\r\nX: y", PAGE)
     meta, text = warc.derived_records(made["headers"], made["block"])
