@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from functools import reduce
 from urllib.parse import unquote
 
@@ -13,6 +14,7 @@ from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, S
 from orderflow.functions.display import DISPLAY_SOURCES, to_display
 from orderflow.schema import RAW_SCHEMA
 from orderflow.session import path_exists
+from orderflow.sources.records import csv_lines_of_records
 
 # Keys of a JSON object that wraps a list of transactions, in
 # the order they are tried.
@@ -24,6 +26,9 @@ _UNREAD = [StructField("message", StringType()), StructField("corrupt", BooleanT
 # Without pruning a row's fate does not depend on the columns a query uses.
 _CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False, "columnPruning": False}
 
+# Reader options under which only Spark's reader of whole files finds the records.
+_SPLIT_BY_READER = {"escape", "comment", "encoding", "charset", "linesep", "header", "delimiter"}
+
 # Reader options that say which files there are.
 _LISTING = ("recursiveFileLookup", "pathGlobFilter", "modifiedBefore", "modifiedAfter")
 
@@ -71,10 +76,12 @@ def _csv_parts(
 ) -> list[DataFrame]:
     """The rows of a CSV data set, one frame per header found."""
     reader = spark.readStream if streaming else spark.read
+    if quoted_lines and not streaming and _SPLIT_BY_READER.isdisjoint(name.lower() for name in options):
+        return _quoted_parts(spark, path, header, options, typed)
     if header or streaming:
         found = {tuple(header or RAW_SCHEMA.names): path}
     elif quoted_lines:
-        whole = spark.read.options(header=True, escape='"', multiLine=True).csv(path).columns
+        whole = spark.read.options(**{**_CSV_OPTIONS, "multiLine": True, **options}).csv(path).columns
         found = {tuple(whole): path} if whole else {}
     else:
         found = csv_headers(spark, path, **options)
@@ -85,6 +92,37 @@ def _csv_parts(
     ]
 
 
+def _quoted_parts(
+    spark: SparkSession, path: str, header: list[str] | None, options: dict, typed: bool
+) -> list[DataFrame]:
+    """The rows of CSV files with line breaks in quotes, one frame per header found."""
+    listed = {name: value for name, value in options.items() if name in _LISTING}
+    sep, quote = str(options.get("sep", ",")), str(options.get("quote", '"'))
+    records = csv_lines_of_records(spark, path, sep, quote, **listed)
+
+    def names_of(text: str) -> tuple[str, ...]:
+        text = text.removeprefix("\ufeff").removesuffix("\r")
+        return tuple(next(csv.reader(io.StringIO(text, newline=""), delimiter=sep, quotechar=quote), []))
+
+    texts: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(records.headers.collect()):
+        if row.header is None:
+            raise ValueError(f"the first line of {unquote(row.file)} has quotes that its block does not close")
+        texts.setdefault(names_of(row.header), []).append(row.header)
+    if header and set(texts) - {tuple(header)}:
+        raise ValueError(f"files below {path} have other headers than {header}")
+    chosen = {"escape": quote, **{n: v for n, v in options.items() if n not in _LISTING}, "multiLine": True}
+    chosen = {name: str(value).lower() if isinstance(value, bool) else str(value) for name, value in chosen.items()}
+    parts = []
+    for names, alike in texts.items():
+        schema = _csv_schema(list(names), typed)
+        own = records.rows if len(texts) == 1 else records.rows.where(F.col("header").isin(sorted(set(alike))))
+        record = F.from_csv("value", schema.toDDL(), {**chosen, "columnNameOfCorruptRecord": CORRUPT})
+        # As a generator of one row, the parser runs once per record.
+        parts.append(own.select(F.inline(F.array(record))))
+    return parts
+
+
 def _raw_columns(df: DataFrame) -> list[Column]:
     """The raw fields by name; one the files lack becomes null."""
     present = set(df.columns)
@@ -167,11 +205,12 @@ def read_transactions_files(
     files: a list, an object wrapping a list, or a single object). CSV columns
     go by the header names of each file, which may differ; a stream of CSV files
     takes them from ``header``, by default the raw field order, and fails on
-    other headers, as do files read with a given ``header``. With
-    ``quoted_lines`` all files must have the same one.
-    Whole-file JSON cannot be split, so large data belongs into the others; nor
-    can CSV files with ``quoted_lines``, line breaks within quotes, which
-    otherwise make a row corrupt. An empty CSV file has no rows.
+    other headers, as do files read with a given ``header``.
+    Line breaks within quotes make a row corrupt, unless ``quoted_lines`` is
+    set: then record starts are found first (see ``sources.records``), by as many
+    tasks as the files have blocks. A stream, or an ``escape``, ``comment``,
+    ``encoding`` or ``lineSep`` of its own, keeps such a file in one task. Whole-file JSON
+    cannot be split, so large data belongs into the others. An empty CSV file has no rows.
     """
     if fmt == "csv":
         return _read_csv(spark, path, streaming, header, quoted_lines, options)
