@@ -104,6 +104,11 @@ PUBLISHED_FIELDS = """SELECT order_id,
   CASE WHEN product_id::INTEGER % 10 IN (0, 2, 3, 4) THEN 'C' || product_id END AS coupon,
   CASE WHEN product_id::INTEGER % 10 IN (0, 2, 3, 4) THEN 'note ' || order_id END AS note
 FROM t"""
+# Line breaks, quotes and separators in a field.
+BROKEN_NAME = (
+    "CASE WHEN product_id::INTEGER % 3 = 1 "
+    "THEN 'two' || chr(10) || 'lines, \"' || order_id || '\"' || chr(10) END"
+)
 DOCUMENT_STATUS = """SELECT 'whole' AS document, 'LIVE' AS status,
   '🟢 LIVE • Kafka + Spark Streaming' AS status_badge,
   'LIVE • Streaming active (updated 30s ago)' AS status_message,
@@ -281,6 +286,7 @@ def oracle_queries() -> dict[str, str]:
         "event_times": "SELECT order_id, timestamp FROM t",
         "csv_round_trip": PROCESSED.format(rest=""),
         "ndjson_round_trip": PROCESSED.format(rest=""),
+        "quoted_csv_round_trip": PROCESSED.format(rest="").replace(" product_name", f" {BROKEN_NAME} AS product_name"),
         "stream_snapshot": _snapshot(),
         "stream_history": PROCESSED.format(rest=SOUND),
         "archived_history": PROCESSED.format(rest=""),

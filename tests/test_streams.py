@@ -5,6 +5,7 @@ import os
 
 import pytest
 from conftest import as_dict, as_set, frame, order
+from pyspark.sql import functions as F
 
 from orderflow.functions.parse import process
 from orderflow.functions.quality import split_valid
@@ -13,8 +14,10 @@ from orderflow.operators.windows import orders_in_last_minute, windowed_orders
 from orderflow.plans.rollup import SNAPSHOT_COLUMNS, metrics_snapshot
 from orderflow.schema import PROCESSED_SCHEMA, RAW_SCHEMA
 from orderflow.session import child_names, stored_bytes
+from orderflow.streaming import aggregates as aggregates_module
 from orderflow.streaming import store as store_module
 from orderflow.streaming.aggregates import (
+    MERGED_BATCHES,
     dedup_orders,
     read_results,
     streaming_metrics,
@@ -372,6 +375,81 @@ def test_dedup_counts_a_repeated_id_once(spark, source, tmp_path):
     assert sorted(r.order_id for r in found.collect()) == ["O1", "O2", "O3", "O4", "O5"]
 
 
+def write_batch_of(spark, monkeypatch, folder, mode, keys=None, keep_seconds=0):
+    """The function that a result stream calls for each batch, without a stream."""
+    calls = []
+
+    class Writer:
+        def __getattr__(self, name):
+            def option(*args, **kwargs):
+                if name == "foreachBatch":
+                    calls.append(args[0])
+                return self
+
+            return option
+
+    class Frame:
+        writeStream = Writer()
+
+    write_results(Frame(), str(folder), mode, keys=keys, keep_seconds=keep_seconds)
+    return calls[0]
+
+
+@pytest.mark.parametrize("mode", ["update", "append", "complete"])
+def test_results_stay_as_large_as_one_state(spark, tmp_path, monkeypatch, mode):
+    keys = ["key"] if mode == "update" else None
+    write = write_batch_of(spark, monkeypatch, tmp_path, mode, keys)
+    schema = "key long, n long"
+    sizes = []
+    for number in range(200 if mode == "update" else 24):
+        rows = [(k, number) for k in (number % 10, 10 + number % 3)]
+        write(spark.createDataFrame(rows, schema).coalesce(1), number)
+        if number in (9, 23):
+            # The same batch again, and one that is long merged, change nothing.
+            before = as_set(read_results(spark, str(tmp_path), spark.createDataFrame([], schema).schema, mode, keys))
+            write(spark.createDataFrame(rows, schema).coalesce(1), number)
+            write(spark.createDataFrame([(99, 99)], schema), 2)
+            after = read_results(spark, str(tmp_path), spark.createDataFrame([], schema).schema, mode, keys)
+            assert as_set(after) == before
+        sizes.append(sum(len(child_names(spark, f"{tmp_path}/{t}")) for t in ("results", "merged", "done")))
+    assert max(sizes) <= 3 * MERGED_BATCHES
+    found = read_results(spark, str(tmp_path), spark.createDataFrame([], schema).schema, mode, keys)
+    last = number
+    wanted = {
+        "update": {(k, max(n for n in range(last + 1) if n % 10 == k)) for k in range(10)}
+        | {(10 + k, max(n for n in range(last + 1) if n % 3 == k)) for k in range(3)},
+        "append": {(k, n) for n in range(last + 1) for k in (n % 10, 10 + n % 3)},
+        "complete": {(k, last) for k in (last % 10, 10 + last % 3)},
+    }
+    assert as_set(found) == wanted[mode] and found.count() == len(wanted[mode])
+
+
+def test_results_of_another_stream_are_refused(spark, tmp_path, monkeypatch):
+    write = write_batch_of(spark, monkeypatch, tmp_path, "append")
+    write(spark.createDataFrame([(1,)], "n long"), 0)
+    monkeypatch.setattr(type(spark.sparkContext), "getLocalProperty", lambda *_: "another")
+    with pytest.raises(ValueError, match="another stream"):
+        write(spark.createDataFrame([(2,)], "n long"), 0)
+
+
+def test_a_merge_of_results_that_broke_off_changes_nothing(spark, tmp_path, monkeypatch):
+    write = write_batch_of(spark, monkeypatch, tmp_path, "update", ["key"])
+    batch = lambda n: spark.createDataFrame([(n % 2, n)], "key long, n long")
+    for number in range(MERGED_BATCHES - 1):
+        write(batch(number), number)
+    with monkeypatch.context() as broken:
+        create = aggregates_module.create_new
+        broken.setattr(aggregates_module, "create_new", lambda s, path: 1 / ("/done/" not in path) and create(s, path))
+        with pytest.raises(ZeroDivisionError):
+            write(batch(MERGED_BATCHES - 1), MERGED_BATCHES - 1)
+    schema = batch(0).schema
+    wanted = {(0, MERGED_BATCHES - 2), (1, MERGED_BATCHES - 1)}
+    assert as_set(read_results(spark, str(tmp_path), schema, "update", ["key"])) == wanted
+    write(batch(MERGED_BATCHES - 1), MERGED_BATCHES - 1)
+    assert as_set(read_results(spark, str(tmp_path), schema, "update", ["key"])) == wanted
+    assert child_names(spark, f"{tmp_path}/results") == []
+
+
 def folders_of(spark, root):
     names = [n for n in child_names(spark, root) if n.startswith("archive") and not n.startswith("archives") and n != "archivers"]
     return {n: child_names(spark, f"{root}/{n}") for n in names}
