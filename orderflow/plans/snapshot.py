@@ -288,19 +288,26 @@ def pipeline_status(freshness: DataFrame, now: Column, stale_seconds: int = 60)
     """Whether the pipeline behind a snapshot is live, from its freshness row.
 
     ``ERROR`` if the snapshot cannot be read, ``WAITING`` without orders,
-    ``LIVE`` up to ``stale_seconds`` of age, else ``PAUSED``.
+    ``LIVE`` up to ``stale_seconds`` of age, else ``PAUSED``. Where the row has the
+    stream's last sign of life as ``alive_at``, that counts like new data, so an
+    idle stream stays ``LIVE``; one that has ``stopped`` is ``PAUSED`` at once.
     """
+    beats = {"alive_at", "stopped"} <= set(freshness.columns)
     failed = F.col("error").isNotNull()
     has_data = ~failed & (F.col("total_orders") > 0) & F.col("computed_at").isNotNull()
-    micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(
-        F.col("computed_at").cast("timestamp")
-    )
-    age = F.greatest(micros / F.lit(1e6), F.lit(0.0))
+
+    def seconds_since(time: Column) -> Column:
+        micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(time.cast("timestamp"))
+        return F.greatest(micros / F.lit(1e6), F.lit(0.0))
+
+    age = seconds_since(F.col("computed_at"))
+    quiet = F.least(age, seconds_since(F.col("alive_at"))) if beats else age
+    live = (quiet <= stale_seconds) & ~F.col("stopped") if beats else quiet <= stale_seconds
     updated = F.date_format("computed_at", "yyyy-MM-dd HH:mm:ss")
     status = (
         F.when(failed, "ERROR")
         .when(~has_data, "WAITING")
-        .when(age <= stale_seconds, "LIVE")
+        .when(live, "LIVE")
         .otherwise("PAUSED")
     )
     # Badges and messages of each status.

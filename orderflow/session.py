@@ -102,6 +102,25 @@ def create_new(spark: SparkSession, path: str) -> bool:
     return file_system.createNewFile(hadoop_path)
 
 
+def put_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Write a small file that is not seen before it is whole."""
+    hidden, file_system = _hadoop_path(spark, f"{folder}/_{name}")
+    out = file_system.create(hidden, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    file_system.rename(hidden, _hadoop_path(spark, f"{folder}/{name}")[0])
+
+
+def stored_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    opened = file_system.open(hadoop_path)
+    try:
+        return bytes(opened.readAllBytes()).decode("utf-8")
+    finally:
+        opened.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove ``path`` and what is below it; a missing path is fine."""
     hadoop_path, file_system = _hadoop_path(spark, path)

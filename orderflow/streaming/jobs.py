@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderflow.functions.parse import process
 from orderflow.session import build_session, shared_folder
 from orderflow.sources.kafka import read_transactions_kafka
+from orderflow.streaming.heartbeat import attach_heart
 from orderflow.streaming.store import TransactionStore
 
 
@@ -64,10 +65,11 @@ def start_stream(
     """Start the pipeline. Its checkpoint lies beside its tables unless one is given.
 
     It is the one writer of its tables from its first batch on; a pipeline
-    started before it below the same root fails at its next batch.
+    started before it below the same root fails at its next batch. It leaves
+    beats there, by which ``TransactionStore.freshness`` tells idle from dead.
     """
     epochs: dict[str, int] = {}
-    return (
+    query = (
         processed.writeStream.outputMode("append")
         .foreachBatch(
             lambda batch_df, batch_id: process_batch(
@@ -78,6 +80,8 @@ def start_stream(
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )
+    attach_heart(query, processed.sparkSession, root)
+    return query
 
 
 def main() -> None:

@@ -13,6 +13,7 @@ Below one root folder, each with one folder per micro-batch:
 ``archives``      one row per finished archive folder, written after it, and
                   ``archives_l1`` and so on; a merged folder's row replaces those
                   of the folders that it covers
+``heartbeat``     the last sign of life of the stream (see ``streaming.heartbeat``)
 ``writers``       the epoch of the one writer, and ``archivers`` of who archives
 
 A version record makes a batch visible. All else is written before it and
@@ -52,9 +53,10 @@ from orderflow.operators.explore import latest
 from orderflow.operators.metrics import UNITS_TYPE
 from orderflow.operators.windows import as_interval
 from orderflow.plans.rollup import MARGIN_COLUMNS, MINUTE, snapshot_rows, state_of
-from orderflow.plans.snapshot import SNAPSHOT_SCHEMA, empty_snapshot
+from orderflow.plans.snapshot import SNAPSHOT_SCHEMA, empty_snapshot, snapshot_freshness
 from orderflow.schema import PROCESSED_SCHEMA
 from orderflow.session import child_names, create_new, delete_path, modified_at, path_exists, stored_bytes
+from orderflow.streaming.heartbeat import last_beat, with_beat
 
 # What an archive file should hold.
 ARCHIVE_FILE_BYTES = 256 * 1024 * 1024
@@ -332,6 +334,10 @@ class TransactionStore:
             F.lit(record["batch_id"]).cast("bigint").alias("batch_id"),
         ).select(*SNAPSHOT_SCHEMA.names)
 
+    def freshness(self) -> DataFrame:
+        """The newest version's freshness row with the stream's last beat, for ``pipeline_status``."""
+        return with_beat(snapshot_freshness(self.snapshot_rows()), last_beat(self.spark, self.root))
+
     def recent(self, n: int = 20) -> DataFrame:
         """The latest ``n`` accepted transactions, newest first.
 
