@@ -137,19 +137,31 @@ def own_weight(n: float) -> float:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """The group of each language and source that has rows to judge, and those it is blended with."""
+    """The group of each language and source that has rows to judge, and those it is blended with.
+
+    What a language needs comes from sums that tasks begin, so a language of many
+    sources, web domains for example, is in no task alone.
+    """
     counts = rows.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
+    counts = staged(counts, "counts")
     part = lambda c: F.coalesce(F.to_json(F.struct(c)), F.lit("{}"))
-    of_lang = Window.partitionBy("lang")
     found = counts.select(
         F.col("lang").alias("of_lang"),
         F.col("source").alias("of_source"),
         F.concat(F.lit("1"), part("lang"), part("source")).alias("group"),
+        F.concat(F.lit("2"), part("lang")).alias("lang_group"),
         "n",
-        F.sum("n").over(of_lang).alias("n_lang"),
-        F.when(F.min("n").over(of_lang) < FULL_ROWS, F.concat(F.lit("2"), part("lang"))).alias("wider"),
     )
-    return found.withColumn("widest", F.when(F.col("n_lang") < FULL_ROWS, F.lit("3")))
+    languages = found.groupBy("lang_group").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least"))
+    return _beside(found, staged(languages, "languages"), "lang_group").select(
+        "of_lang",
+        "of_source",
+        "group",
+        "n",
+        "n_lang",
+        F.when(F.col("least") < FULL_ROWS, F.col("lang_group")).alias("wider"),
+        F.when(F.col("n_lang") < FULL_ROWS, F.lit("3")).alias("widest"),
+    )
 
 
 def _sums() -> list[Column]:
@@ -228,16 +240,21 @@ def _median_start(vectors: DataFrame) -> DataFrame:
     return staged(bins.groupBy("group").applyInPandas(run, _ESTIMATE), "medians")
 
 
-def _beside_estimates(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
-    """Rows with the estimates of their group, without bringing a group's rows together.
+def _beside(rows: DataFrame, few: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Rows with the one row of ``few`` for their ``key``, without bringing a key's rows together.
 
-    ``estimates`` is a written table, so that counting it costs nothing.
+    ``few`` is a written table, so that counting it costs nothing; beyond a bound
+    it isn't sent to every task, but each of its rows joins a share of its key's.
     """
-    if estimates.count() <= SENT_ESTIMATES:
-        return rows.join(F.broadcast(estimates), "group", how)
-    salted = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    if few.count() <= SENT_ESTIMATES:
+        return rows.join(F.broadcast(few), key, how)
+    salted = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
-    return rows.withColumn("salt", salt).join(salted, ["group", "salt"], how).drop("salt")
+    return rows.withColumn("salt", salt).join(salted, [key, "salt"], how).drop("salt")
+
+
+def _beside_estimates(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
+    return _beside(rows, estimates, "group", how)
 
 
 def _nearest(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -275,13 +292,10 @@ def blended_estimates(groups: DataFrame, estimates: DataFrame) -> DataFrame:
     """The estimate by which each of ``groups`` is judged."""
     parts = F.array(*[f"m{i}" for i in range(len(NAMES))], *[f"p{i}_{j}" for i, j in PAIRS])
     under = lambda key, name: estimates.select(F.col("group").alias(key), parts.alias(name))
-    joined = (
-        groups.select("group", "n", "n_lang", "wider", "widest")
-        .join(under("group", "own"), "group")
-        # One estimate per language, and one of all rows.
-        .join(F.broadcast(under("wider", "of_wider").where("wider not like '1%'")), "wider", "left")
-        .join(F.broadcast(under("widest", "of_widest").where("widest = '3'")), "widest", "left")
-    )
+    joined = groups.select("group", "n", "n_lang", "wider", "widest").join(under("group", "own"), "group")
+    # One estimate per language, and one of all rows.
+    joined = _beside(joined, under("wider", "of_wider").where("wider like '2%'"), "wider", "left")
+    joined = _beside(joined, under("widest", "of_widest").where("widest = '3'"), "widest", "left")
 
     def run(frames):
         import pandas as pd

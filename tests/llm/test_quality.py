@@ -155,6 +155,28 @@ def test_small_groups_are_blended_without_a_switch(spark):
         assert [row[f"p{i}_{i}"] for i in range(P)] == pytest.approx([1 / scatter] * P)
 
 
+def test_a_language_of_many_sources(spark, monkeypatch):
+    """Groups, and the estimates they are judged by, do not depend on how few rows are brought beside."""
+    rng = random.Random(11)
+    rows = [
+        (i, " ".join(str(rng.randint(1, 10**rng.randint(4, 9))) for _ in range(rng.randint(60, 90))), lang, f"site{i % n}.example")
+        for lang, n, low, high in (("en", 40, 0, 300), (None, 3, 300, 330), ("tr", 1, 330, 360))
+        for i in range(low, high)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = []
+    for sent in (quality.SENT_ESTIMATES, 0):
+        monkeypatch.setattr(quality, "SENT_ESTIMATES", sent)
+        judged = quality.judge_quality(df, "doc_id", "text", "lang", "source").orderBy("doc_id").collect()
+        found.append([(r.doc_id, r.kept, r.distance and round(r.distance, 4)) for r in judged])
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    frame = df.selectExpr("lang", "source", "false as base_failed")
+    groups = quality._grouped(frame)
+    assert "Window" not in groups._jdf.queryExecution().optimizedPlan().toString()
+    n = {r.of_lang: (r.n_lang, r.wider, r.widest) for r in groups.collect()}
+    assert n == {"en": (300, '2{"lang":"en"}', None), None: (30, "2{}", None), "tr": (30, None, None)}
+
+
 def test_odd_and_empty_tables(spark, odd_documents, no_documents):
     rows = judge_quality(odd_documents, "doc_id", "text", "lang", "source").collect()
     texts = [tuple(r) for r in pick(odd_documents, i="doc_id", t="text").collect()]
