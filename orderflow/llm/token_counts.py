@@ -27,7 +27,8 @@ from orderflow.llm.common import map_texts
 
 #: Words whose counts a task remembers; beyond it the memory starts afresh.
 REMEMBERED_WORDS = 400_000
-#: Longer words, in bytes, are walked one by one instead of side by side.
+#: Longer words, in bytes, are walked one by one instead of side by side, and not
+#: remembered, so that the memory is bounded in bytes, too.
 LONG_WORD = 64
 
 
@@ -193,6 +194,9 @@ def count_tokens(
             counts = [
                 sum(map(known.__getitem__, ws)) + 2 * n for ws, n in zip(split, missing, strict=True)
             ]
+            for w in new:
+                if len(w) > LONG_WORD:
+                    del known[w]
             return [list(map(len, split)), counts, missing]
 
         return work

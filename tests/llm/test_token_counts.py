@@ -67,3 +67,12 @@ def test_whole_texts(spark, odd_documents, no_documents):
     assert count_tokens(no_documents, automaton, "doc_id", "text").count() == 0
     empty = count_tokens(odd_documents, PieceAutomaton([]), "doc_id", "text").collect()
     assert all(r.n_tokens == r.n_words == r.n_unknown for r in empty)
+
+
+def test_long_words_are_counted_each_time_and_not_kept(spark):
+    automaton = PieceAutomaton([b"a", b"aa", b"b"])
+    long_word, unknown = "a" * 5001, "a" * 300 + "?"
+    texts = [(i, f"{long_word} b {unknown} {long_word}") for i in range(5)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    found = {tuple(r)[1:] for r in count_tokens(df, automaton, "doc_id", "text").collect()}
+    assert found == {(4, 2501 + 1 + 1 + 2501, 1)}
