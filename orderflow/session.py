@@ -83,8 +83,10 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes stored below ``path``."""
+    """Bytes stored below ``path``, none where it does not exist."""
     hadoop_path, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(hadoop_path):
+        return 0
     return file_system.getContentSummary(hadoop_path).getLength()
 
 

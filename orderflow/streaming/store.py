@@ -475,27 +475,37 @@ class TransactionStore:
         if upto <= archived:
             return False
         moving = [n for n in self._batch_folders("transactions") if archived < n <= upto]
-        size = sum(stored_bytes(self.spark, self._folder("transactions", n)) for n in moving)
-        rows = self._read_folders(
-            "transactions", TRANSACTION_SCHEMA, [self._folder("transactions", n) for n in moving]
-        )
+        folders = [self._folder("transactions", n) for n in moving]
+        rows = self._read_folders("transactions", TRANSACTION_SCHEMA, folders)
         self._write_archive(
-            rows.withColumnRenamed("batch_id", "arrived_in"), size, Archive(0, archived + 1, upto)
+            rows.withColumnRenamed("batch_id", "arrived_in"), folders, Archive(0, archived + 1, upto)
         )
         self._merge_archives()
         return True
 
-    def _write_archive(self, rows: DataFrame, size: int, archive: Archive) -> None:
-        """Write rows as an archive folder; its record, written last, makes it count."""
-        (
-            rows.repartitionByRange(
-                1 + size // ARCHIVE_FILE_BYTES, "accepted", "timestamp", "order_id"
+    def _write_archive(self, rows: DataFrame, folders: list[str], archive: Archive) -> None:
+        """Write the rows of some folders as an archive folder; its record, written last, makes it count.
+
+        Accepted and refused rows lie apart already and are written one after
+        the other, each read once. To part them in one write, Spark would sort
+        every task's rows, and what compresses to one file may be far more in memory.
+        """
+        target = self._archive_folder(archive)
+        delete_path(self.spark, target)
+        sizes = {
+            value: sum(stored_bytes(self.spark, f"{folder}/accepted={value}") for folder in folders)
+            for value in ("true", "false")
+        }
+        # Without any row the folder is there all the same.
+        for value in [v for v in sizes if sizes[v]] or ["true"]:
+            files = 1 + sizes[value] // ARCHIVE_FILE_BYTES
+            part = rows.where(F.col("accepted") == (value == "true")).drop("accepted")
+            self._hold(ARCHIVERS)
+            (
+                part.repartitionByRange(files, "timestamp", "order_id")
+                .write.mode("overwrite")
+                .parquet(f"{target}/accepted={value}")
             )
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("accepted")
-            .parquet(self._archive_folder(archive))
-        )
         record = self.spark.range(1).select(
             F.lit(archive.rows_from).cast("bigint").alias("rows_from"),
             F.current_timestamp().alias("written_at"),
@@ -516,9 +526,9 @@ class TransactionStore:
             if len(own) < MERGED:
                 level += 1
                 continue
-            size = sum(stored_bytes(self.spark, self._archive_folder(a)) for a in own)
             rows = self._read_archives(own).drop("upto")
-            self._write_archive(rows, size, Archive(level + 1, own[0].rows_from, own[-1].upto))
+            merged = Archive(level + 1, own[0].rows_from, own[-1].upto)
+            self._write_archive(rows, [self._archive_folder(a) for a in own], merged)
 
     def _drop_orphans(self) -> None:
         """Remove what a broken-off run left in the archive: folders without a record."""

@@ -326,6 +326,60 @@ def test_archive_has_as_many_files_as_the_data_fills(spark, tmp_path, monkeypatc
     assert len(files) == 4 and store.history().count() == 500
 
 
+def logged_tasks(spark, folder, work):
+    """Metrics of the tasks that ``work`` runs, from an event log of its own."""
+    jvm, context = spark._jvm, spark._jsc.sc()
+    conf = context.conf().clone().set("spark.eventLog.compress", "false")
+    none = getattr(jvm.scala, "None$").__getattr__("MODULE$")
+    log = jvm.org.apache.spark.scheduler.EventLoggingListener(
+        "log", none, jvm.java.net.URI(folder.as_uri()), conf, spark._jsc.hadoopConfiguration()
+    )
+    log.start()
+    context.addSparkListener(log)
+    try:
+        work()
+        context.listenerBus().waitUntilEmpty()
+    finally:
+        context.removeSparkListener(log)
+        log.stop()
+    events = [json.loads(line) for path in folder.rglob("*") if path.is_file() and not path.name.endswith(".crc")
+              for line in path.read_text().splitlines()]
+    return [e["Task Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+
+
+def test_archiving_holds_no_rows_in_memory(spark, tmp_path, monkeypatch):
+    """Neither moving batches nor merging archives sorts what a file takes."""
+    monkeypatch.setattr(store_module, "MERGED", 2)
+    (tmp_path / "log").mkdir()
+    root = str(tmp_path / "root")
+    store = TransactionStore(spark, root)
+    rows = [*(order(f"O{n}", f"2026-09-21 10:00:{n % 60:02d}") for n in range(300)), order("bad", quantity=-1)]
+    for number in range(2):
+        process_batch(frame(spark, rows), number, root)
+    tasks = logged_tasks(spark, tmp_path / "log", lambda: (store.compact(leave=1), store.compact(leave=0)))
+    writing = [t for t in tasks if t["Output Metrics"]["Records Written"]]
+    # The rows of each batch, then those of both once more, and three records.
+    assert sum(t["Output Metrics"]["Records Written"] for t in writing) == 4 * len(rows) + 3
+    assert max(t["Peak Execution Memory"] for t in writing) == 0
+    assert store.history().count() == 600 and store.quarantine().count() == 2
+    names = child_names(spark, f"{root}/archive_l1/upto=1")
+    assert {name for name in names if "=" in name} == {"accepted=true", "accepted=false"}
+
+
+def test_an_archive_of_refused_rows_alone_or_of_none(spark, tmp_path):
+    root = str(tmp_path / "root")
+    store = TransactionStore(spark, root)
+    process_batch(frame(spark, [order("bad", quantity=-1)]), 0, root)
+    # Batches without a row leave no folder, but the archive goes past them.
+    for number in (1, 2):
+        process_batch(frame(spark, BATCHES[0]).limit(0), number, root)
+    process_batch(frame(spark, BATCHES[0]), 3, root)
+    assert store.compact(leave=3) and store.compact(leave=1) and store.archived_upto() == 2
+    store.drop_archived()
+    assert [r.order_id for r in store.quarantine().collect()] == ["bad"]
+    assert store.history().count() == len(BATCHES[0])
+
+
 def test_last_minute_of_a_stream_is_refused(spark, source):
     with pytest.raises(ValueError, match="stream"):
         orders_in_last_minute(message_stream(spark, source))
