@@ -7,7 +7,7 @@ import io
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
@@ -33,6 +33,11 @@ _SPLIT_BY_READER = {"escape", "comment", "encoding", "charset", "linesep", "head
 _LISTING = ("recursiveFileLookup", "pathGlobFilter", "modifiedBefore", "modifiedAfter")
 
 
+def _of_each_file(rows: DataFrame) -> list[Row]:
+    """The one row of each file, with its name and header, in order."""
+    return sorted(rows.collect())
+
+
 def csv_headers(spark: SparkSession, path: str, **options: object) -> dict[tuple[str, ...], list[str]]:
     """The files of a CSV data set by the column names in their first lines.
 
@@ -47,7 +52,7 @@ def csv_headers(spark: SparkSession, path: str, **options: object) -> dict[tuple
     # Lines of a block come in order, so its first one is the file's.
     first = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("line"))
     files: dict[tuple[str, ...], list[str]] = {}
-    for row in sorted(first.collect()):
+    for row in _of_each_file(first):
         header = next(csv.reader([row.line.lstrip("\ufeff")], delimiter=sep), [])
         files.setdefault(tuple(header), []).append(unquote(row.file))
     return files
@@ -105,7 +110,7 @@ def _quoted_parts(
         return tuple(next(csv.reader(io.StringIO(text, newline=""), delimiter=sep, quotechar=quote), []))
 
     texts: dict[tuple[str, ...], list[str]] = {}
-    for row in sorted(records.headers.collect()):
+    for row in _of_each_file(records.headers):
         if row.header is None:
             raise ValueError(f"the first line of {unquote(row.file)} has quotes that its block does not close")
         texts.setdefault(names_of(row.header), []).append(row.header)

@@ -47,7 +47,6 @@ def _walker(sep: str, quote: str):
 
     def walk(batches):
         import numpy as np
-        import pyarrow as pa
         import pyarrow.compute as pc
 
         block, lines, state, begun = None, 0, [False, True], [0, 0]
@@ -63,10 +62,9 @@ def _walker(sep: str, quote: str):
                 if key != block:
                     block, lines, state, begun = key, 0, [False, True], [0, 0]
                 part = batch.slice(low, high - low)
-                quoted = np.flatnonzero(
-                    pc.match_substring(part.column(2), quote).to_numpy(zero_copy_only=False)
-                )
-                texts = part.column(2).take(pa.array(quoted)).to_pylist()
+                has_quote = pc.match_substring(part.column(2), quote)
+                quoted = np.flatnonzero(has_quote.to_numpy(zero_copy_only=False))
+                texts = part.column(2).filter(has_quote).to_pylist()
                 before = np.empty((2, high - low), bool)
                 after = np.empty((2, high - low), bool)
                 for case in (0, 1):
